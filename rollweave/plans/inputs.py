@@ -55,3 +55,17 @@ def rollouts(t) -> DataFrame:
         F.col("l_returnflag").alias("flag"),
         F.col("l_linestatus").alias("status"),
     )
+
+
+def joined(ids: str | Column) -> Column:
+    return F.array_join(as_column(ids).cast("array<string>"), " ")
+
+
+def tokenizer(t, template: str = "role_tags"):
+    """Vocabulary over the rendered conversations, stored once in the shared folder."""
+    from rollweave.operators.render import render
+    from rollweave.operators.tokens import Tokenizer, build_vocabulary, tokens_of
+    from rollweave.session import materialise_stage
+
+    corpus = messages(t).select(tokens_of(render("messages", template)).alias("toks"))
+    return Tokenizer(materialise_stage(build_vocabulary(corpus, "toks"), "vocabulary"), template)

@@ -24,6 +24,7 @@ def local_session(cores: str = "8", memory: str = "12g", **conf: str) -> SparkSe
         .appName("rollweave")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cores)
     )
     for key, value in {**DEFAULTS, **conf}.items():
