@@ -84,10 +84,16 @@ def hash_rank(
     return ranked.withColumn(out, F.col(out).cast("long")).drop("__h")
 
 
-def key_buckets(df: DataFrame, key: str, buckets: int | None = None, error: float = 1e-3) -> tuple[DataFrame, str]:
-    """Tag rows with a range bucket of a numeric or time key; split points by quantile sketch."""
+def key_buckets(
+    df: DataFrame, key: str | Column, buckets: int | None = None, error: float = 1e-3
+) -> tuple[DataFrame, str]:
+    """Tag rows with a range bucket of a numeric or time key; split points by quantile sketch.
+
+    Only the split points reach the driver, one per bucket.
+    """
     buckets = buckets or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    numeric = df.withColumn("__n", F.col(key).cast("double"))
+    column = F.col(key) if isinstance(key, str) else key
+    numeric = df.withColumn("__n", column.cast("double"))
     cuts = numeric.approxQuantile("__n", [i / buckets for i in range(1, buckets)], max(error, 0.25 / buckets))
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="__n", outputCol="__range").transform(numeric)
@@ -107,6 +113,15 @@ def running_by_key(df: DataFrame, key: str, **measures: Column) -> DataFrame:
     return running(bucketed, [key], F.col(bucket), **measures).drop(bucket)
 
 
+def value_rank(df: DataFrame, value: str, key: str, out: str = "rank") -> DataFrame:
+    """1-based position by (value, digest of the key); one value may fill many buckets."""
+    digest = F.md5(F.col(key).cast("string"))
+    spread = F.col(value).cast("double") + hash_bucket(digest) / F.lit(float(HASH_BUCKETS))
+    bucketed, bucket = key_buckets(df.withColumn("__h", digest), spread)
+    ranked = running(bucketed, [value, "__h", key], F.col(bucket), **{out: F.lit(1)})
+    return ranked.withColumn(out, F.col(out).cast("long")).drop(bucket, "__h")
+
+
 def first_hash_rows(df: DataFrame, key: str, seed: int | str, groups: Sequence[str], quota: DataFrame) -> DataFrame:
     """First ``quota`` rows of each group in seeded order, ranking only one bucket per group.
 

@@ -73,17 +73,19 @@ def labelled(name: str, messages: str, source: str, trainable: str, key: str = "
     if trainable == "assistant":
         head = "CASE WHEN i > 1 AND ms[i - 1].role <> 'assistant' THEN 0 ELSE 1 END"
         tail = "CASE WHEN ms[i + 1].role <> 'assistant' THEN 0 ELSE 1 END"
-        own = "1"
+        own, line = "1", head
     else:
-        head = "CASE WHEN i = len(ms) THEN CASE WHEN i > 1 AND m.role = 'assistant' THEN 0 ELSE 1 END ELSE 0 END"
-        tail = "0"
+        # A prefix that ends in an assistant turn is one newline short of the full text.
+        head = "CASE WHEN i = len(ms) AND i = 1 THEN 1 ELSE 0 END"
+        line = "CASE WHEN i = len(ms) AND (i = 1 OR ms[i - 1].role = 'assistant') THEN 1 ELSE 0 END"
+        tail = "CASE WHEN i = len(ms) - 1 AND ms[i + 1].role <> 'assistant' THEN 1 ELSE 0 END"
         own = "CASE WHEN i = len(ms) THEN 1 ELSE 0 END"
     other = "CASE WHEN i = len(ms) THEN 1 ELSE 0 END" if trainable == "last" else "0"
     content = tokens("m.content || '</s>'")
     plain = tokens("'<|' || m.role || '|>' || chr(10) || m.content || chr(10)")
     return f"""
     {name}_p AS (SELECT {key}, list_transform(ms, lambda m, i: CASE WHEN m.role = 'assistant' THEN
-        list_concat(list_concat([{{'t': '<|assistant|>', 'k': {head}}}, {{'t': chr(10), 'k': {head}}}],
+        list_concat(list_concat([{{'t': '<|assistant|>', 'k': {head}}}, {{'t': chr(10), 'k': {line}}}],
           list_transform({content}, lambda t: {{'t': t, 'k': {own}}})),
           CASE WHEN i = len(ms) THEN [] ELSE [{{'t': chr(10), 'k': {tail}}}] END)
         ELSE list_transform({plain}, lambda t: {{'t': t, 'k': {other}}}) END) AS parts FROM (SELECT {key}, {messages} AS ms FROM {source})),
