@@ -40,6 +40,12 @@ def as_column(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value: str | Column, use) -> Column:
+    """Bind a computed value to a name: it is evaluated once per row however often ``use``
+    refers to it, and the expression does not grow with each reference."""
+    return F.get(F.transform(F.array(as_column(value)), lambda bound: use(bound)), 0)
+
+
 def message(role: str | Column, content: str | Column) -> Column:
     role = F.lit(role) if isinstance(role, str) else role
     return F.struct(role.alias("role"), as_column(content).alias("content"))
@@ -466,17 +472,20 @@ def shared_prefix(chosen: str | Column, rejected: str | Column) -> Column:
     """Longest common prefix and both remainders.
 
     When one text is a prefix of the other the whole shorter text is shared.  The length is
-    found by bisection on ``startswith``-style equality, so a long text costs log(n) compares.
+    found by doubling steps downwards, so a long text costs log(n) compares.
     """
     a, b = as_column(chosen), as_column(rejected)
     shorter = F.least(F.length(a), F.length(b))
-    grow = lambda at, step: F.when(
-        (at + step <= shorter) & (F.substr(a, at + 1, step) == F.substr(b, at + 1, step)), at + step
-    ).otherwise(at)
     steps = F.transform(F.sequence(F.lit(0), F.lit(30)), lambda i: F.pow(F.lit(2.0), F.lit(30) - i).cast("int"))
-    length = F.aggregate(steps, F.lit(0), grow)
-    return F.struct(
-        F.substr(a, F.lit(1), length).alias("shared"),
-        F.substr(a, length + 1).alias("chosen_rest"),
-        F.substr(b, length + 1).alias("rejected_rest"),
+
+    def length(short: Column) -> Column:
+        same = lambda at, step: F.substr(a, at + 1, step) == F.substr(b, at + 1, step)
+        grow = lambda at, step: F.when((at + step <= short) & same(at, step), at + step).otherwise(at)
+        return F.aggregate(steps, F.lit(0), grow)
+
+    parts = lambda n: F.struct(
+        F.substr(a, F.lit(1), n).alias("shared"),
+        F.substr(a, n + 1).alias("chosen_rest"),
+        F.substr(b, n + 1).alias("rejected_rest"),
     )
+    return let(let(shorter, length), parts)
