@@ -6,6 +6,8 @@ agree, or else when the raw texts agree.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,8 +46,13 @@ def _count(text: Column, part: str) -> Column:
 
 def _replacing(pairs):
     """Ordered replacements as one fold over a constant list of pairs."""
-    listed = lambda: F.array(*[F.struct(F.lit(old).alias("old"), F.lit(new).alias("new")) for old, new in pairs])
-    return lambda text: F.aggregate(listed(), text, lambda acc, p: F.replace(acc, p["old"], p["new"]))
+    listed = json.dumps([{"old": old, "new": new} for old, new in pairs])
+
+    def apply(text: Column) -> Column:
+        constant = F.from_json(F.lit(listed), "array<struct<old:string,new:string>>")
+        return F.aggregate(constant, text, lambda acc, p: F.replace(acc, p["old"], p["new"]))
+
+    return apply
 
 
 def _chain(text: Column, *steps) -> Column:
@@ -56,7 +63,7 @@ def _chain(text: Column, *steps) -> Column:
 
 
 REWRITES = (
-    (r"(?d)(.*?)\$(.*?)\$(.*)", r"\$$2\$"),
+    (r"(?md)^[^$\n]*\$([^$\n]*)\$.*$", r"\$$1\$"),  # per line, in one pass
     (r"(?d)\\text\{(.*?)\}", "$1"),
     (r"(?d)\\textbf\{(.*?)\}", "$1"),
     (r"(?d)\\overline\{(.*?)\}", "$1"),

@@ -47,17 +47,31 @@ def answer_words(text: Column) -> Column:
     return F.filter(F.split(normalise_answer(text), " "), lambda w: w != "")
 
 
+def _shared_words(p: Column, t: Column) -> Column:
+    """Size of the multiset intersection: both sides sorted together, counted in one pass."""
+    side = lambda words, flag: F.transform(words, lambda w: F.struct(w.alias("w"), F.lit(flag).alias("s")))
+    start = F.struct(F.lit("").alias("w"), F.lit(0).alias("p"), F.lit(0).alias("t"), F.lit(0).alias("same"))
+
+    def step(acc: Column, item: Column) -> Column:
+        fresh = acc["w"] != item["w"]
+        count = lambda name, flag: F.when(fresh, 0).otherwise(acc[name]) + F.when(item["s"] == flag, 1).otherwise(0)
+        done = F.when(fresh, F.least(acc["p"], acc["t"])).otherwise(0)
+        return F.struct(item["w"].alias("w"), count("p", 0).alias("p"), count("t", 1).alias("t"), (acc["same"] + done).alias("same"))
+
+    merged = F.sort_array(F.concat(side(p, 0), side(t, 1)))
+    return F.aggregate(merged, start, step, lambda acc: acc["same"] + F.least(acc["p"], acc["t"]))
+
+
 def f1(prediction: Column, label: Column) -> Column:
-    """Token multiset F1.  Only the distinct shared tokens are counted on both sides."""
-    times = lambda words, w: F.size(F.filter(words, lambda x: x == w))
+    """Token multiset F1."""
 
     def score(words: Column) -> Column:
         p, t = words["p"], words["t"]
-        same = F.aggregate(F.array_intersect(p, t), F.lit(0), lambda acc, w: acc + F.least(times(p, w), times(t, w)))
+        share = lambda n, part: n / F.size(part)
         ratio = lambda n: F.when(n == 0, F.lit(0.0)).otherwise(
-            2 * (n / F.size(p)) * (n / F.size(t)) / (n / F.size(p) + n / F.size(t))
+            2 * share(n, p) * share(n, t) / (share(n, p) + share(n, t))
         )
-        return let(same, ratio)
+        return let(_shared_words(p, t), ratio)
 
     return let(F.struct(answer_words(prediction).alias("p"), answer_words(label).alias("t")), score)
 

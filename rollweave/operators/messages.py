@@ -46,6 +46,14 @@ def let(value: str | Column, use) -> Column:
     return F.get(F.transform(F.array(as_column(value)), lambda bound: use(bound)), 0)
 
 
+def first_match(pairs, otherwise: Column) -> Column:
+    """One flat CASE over (condition, value) pairs."""
+    chain = None
+    for condition, value in pairs:
+        chain = F.when(condition, value) if chain is None else chain.when(condition, value)
+    return otherwise if chain is None else chain.otherwise(otherwise)
+
+
 def message(role: str | Column, content: str | Column) -> Column:
     role = F.lit(role) if isinstance(role, str) else role
     return F.struct(role.alias("role"), as_column(content).alias("content"))
@@ -316,7 +324,7 @@ def _drop_null_args(kwargs: Column) -> Column:
 def _old_constraint(text: Column) -> Column:
     """``{"func_name": ...}`` JSON → one constraint with renamed arguments, or null when unmapped."""
     name = F.get_json_object(text, "$.func_name")
-    chain = F.lit(None).cast(CONSTRAINT)
+    cases = []
     for func, (identifier, renames, constants) in FUNCTION_IDS.items():
         entries = []
         for new, old in renames.items():
@@ -326,8 +334,8 @@ def _old_constraint(text: Column) -> Column:
             entries += [F.lit(new), F.lit(constant)]
         kwargs = _drop_null_args(F.create_map(*entries)) if entries else F.create_map().cast(KWARGS)
         built = F.array(F.struct(F.lit(identifier).alias("instruction_id"), kwargs.cast(KWARGS).alias("kwargs")))
-        chain = F.when(name == func, built).otherwise(chain)
-    return chain
+        cases.append((name == func, built))
+    return first_match(cases, F.lit(None).cast(CONSTRAINT))
 
 
 def parse_constraints(ground_truth: str | Column) -> Column:

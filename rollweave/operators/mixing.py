@@ -8,6 +8,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollweave.operators.messages import first_match
 from rollweave.operators.ordering import first_hash_rows, hash_rank, md5_key, row_index
 
 CACHE_VERSION = "v6"
@@ -36,10 +37,7 @@ def check_amounts(amounts: dict[str, int | float]) -> None:
 
 
 def _amount(amounts: dict[str, int | float], source: Column, rule) -> Column:
-    chain = F.lit(None).cast("long")
-    for name, amount in amounts.items():
-        chain = F.when(source == name, rule(amount).cast("long")).otherwise(chain)
-    return chain
+    return first_match([(source == n, rule(a).cast("long")) for n, a in amounts.items()], F.lit(None).cast("long"))
 
 
 def _quota(df: DataFrame, source: str, amounts: dict[str, int | float], rule) -> DataFrame:

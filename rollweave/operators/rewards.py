@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollweave.functions.verifiers import Sample, Verifier, format_reward
-from rollweave.operators.messages import as_column
+from rollweave.operators.messages import as_column, first_match
 from rollweave.operators.ordering import attach
 
 
@@ -39,14 +39,16 @@ def verifier_scores(df: DataFrame, verifiers: dict[str, Verifier], prediction: s
 
     def score(pair: Column) -> Column:
         sample = Sample(F.col(prediction), pair["truth"], n_tokens, config or {})
-        value, name = F.lit(None).cast("double"), F.lit(None).cast("string")
-        for key, verifier in verifiers.items():
-            hit = F.lower(pair["verifier"]) == key
-            value = F.when(hit, verifier.score(sample).cast("double") * (mult * verifier.weight)).otherwise(value)
-            name = F.when(hit, F.lit(verifier.name)).otherwise(name)
+        called = F.lower(pair["verifier"])
+        value = first_match(
+            [(called == key, v.score(sample).cast("double") * (mult * v.weight)) for key, v in verifiers.items()],
+            F.lit(None).cast("double"),
+        )
+        name = first_match([(called == key, F.lit(v.name)) for key, v in verifiers.items()], F.lit(None).cast("string"))
         return F.struct(name.alias("name"), value.alias("value"))
 
-    known = F.filter(F.transform(pairs, score), lambda s: s["name"].isNotNull())
+    wanted = F.filter(pairs, lambda p: F.lower(p["verifier"]).isin(list(verifiers)))
+    known = F.transform(wanted, score)
     return df.withColumn("scores", known)
 
 
