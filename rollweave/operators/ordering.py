@@ -95,6 +95,8 @@ def key_buckets(
     column = F.col(key) if isinstance(key, str) else key
     numeric = df.withColumn("__n", column.cast("double"))
     cuts = numeric.approxQuantile("__n", [i / buckets for i in range(1, buckets)], max(error, 0.25 / buckets))
+    if not cuts:  # no rows
+        return numeric.withColumn("__range", F.lit(0.0)).drop("__n"), "__range"
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="__n", outputCol="__range").transform(numeric)
     return bucketed.drop("__n"), "__range"
