@@ -1 +1,626 @@
-"""Constraint verifiers (placeholder module, filled by the rule families)."""
+"""Constraint rules (families of 2.M), their registries (L3) and verifiers.
+
+A rule is a condition over an answer text and an argument map.  Three families are kept apart,
+because rules of the same name differ.  The language of a text is a joined column, and word
+tokens are runs of word characters with inner hyphens or apostrophes, or single signs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from rollweave.functions import verifiers as v
+from rollweave.functions.text import remove_thinking
+from rollweave.operators.messages import as_column, first_match, let, parse_constraints, strip_space
+
+
+@dataclass(frozen=True)
+class Check:
+    """What a rule sees: the answer, its arguments and the detected language (null: unknown)."""
+
+    t: Column
+    args: Column
+    language: Column
+
+    def s(self, name: str) -> Column:
+        return self.args[name]
+
+    def n(self, name: str) -> Column:
+        return self.args[name].cast("int")
+
+    def items(self, name: str) -> Column:
+        return F.from_json(self.args[name], "array<string>")
+
+
+Rule = Callable[[Check], Column]
+
+# --- text pieces ---------------------------------------------------------------------------
+
+
+def words(text: Column) -> Column:
+    """White-space words."""
+    return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
+
+
+def extract(text: Column, pattern: str, group: int = 0) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+
+def word_characters(text: Column) -> Column:
+    return extract(text, r"(?U)\w+")
+
+
+def word_tokens(text: Column) -> Column:
+    return extract(text, r"(?U)\w+(?:[-'’]\w+)*|[^\w\s]")
+
+
+def matches(text: Column, *pattern: str | Column) -> Column:
+    return F.regexp_count(text, F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pattern]))
+
+
+def found(text: Column, *pattern: str | Column) -> Column:
+    return F.regexp_like(text, F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pattern]))
+
+
+def quoted(text: Column) -> Column:
+    return F.concat(F.lit("\\Q"), text, F.lit("\\E"))
+
+
+def pieces(text: Column, literal: str) -> Column:
+    return F.split(text, f"\\Q{literal}\\E", -1)
+
+
+def blank(text: Column) -> Column:
+    return strip_space(text) == ""
+
+
+def bare(word: Column) -> Column:
+    """A word without anything but word characters."""
+    return F.regexp_replace(word, r"(?U)[^\w]", "")
+
+
+def lower_strip(text: Column) -> Column:
+    return F.lower(strip_space(text))
+
+
+def is_upper(text: Column) -> Column:
+    return text.rlike(r"\p{Lu}") & ~text.rlike(r"[\p{Ll}\p{Lt}]")
+
+
+def is_lower(text: Column) -> Column:
+    return text.rlike(r"\p{Ll}") & ~text.rlike(r"[\p{Lu}\p{Lt}]")
+
+
+def occurrences(text: Column, part: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, part, F.lit("")))
+
+
+def compared(count: Column, relation: Column, threshold: Column) -> Column:
+    return F.when(relation == "less than", count < threshold).otherwise(count >= threshold)
+
+
+def last(items: Column) -> Column:
+    return F.try_element_at(items, F.lit(-1))
+
+
+# The ordered rewrites of the sentence splitter.
+_STARTERS = r"(Mr|Mrs|Ms|Dr|Prof|Capt|Cpt|Lt|He\s|She\s|It\s|They\s|Their\s|Our\s|We\s|But\s|However\s|That\s|This\s|Wherever)"
+SENTENCE_RULES = (
+    (r"(Mr|St|Mrs|Ms|Dr)[.]", "$1<prd>"),
+    (r"[.](com|net|org|io|gov|edu|me)", "<prd>$1"),
+    (r"([0-9])[.]([0-9])", "$1<prd>$2"),
+    (r"(\.{2,})", "$1<stop>"),
+    (r"(?<=\.)\.|\.(?=\.)", "<prd>"),
+    (r"Ph\.D\.", "Ph<prd>D<prd>"),
+    (r"\s([A-Za-z])[.] ", " $1<prd> "),
+    (r"([A-Z][.][A-Z][.](?:[A-Z][.])?) " + _STARTERS, "$1<stop> $2"),
+    (r"([A-Za-z])[.]([A-Za-z])[.]([A-Za-z])[.]", "$1<prd>$2<prd>$3<prd>"),
+    (r"([A-Za-z])[.]([A-Za-z])[.]", "$1<prd>$2<prd>"),
+    (r" (Inc|Ltd|Jr|Sr|Co)[.] " + _STARTERS, " $1<stop> $2"),
+    (r" (Inc|Ltd|Jr|Sr|Co)[.]", " $1<prd>"),
+    (r" ([A-Za-z])[.]", " $1<prd>"),
+    (r"\.”", "”."),
+    (r'\."', '".'),
+    (r'!"', '"!'),
+    (r'\?"', '"?'),
+    (r"([.?!])", "$1<stop>"),
+    (r"<prd>", "."),
+)
+
+
+def sentences(text: Column) -> Column:
+    """Rule-based sentences, trimmed; an empty last one is left out."""
+    marked = F.concat(F.lit(" "), F.replace(text, F.lit("\n"), F.lit(" ")), F.lit("  "))
+    for pattern, replacement in SENTENCE_RULES:
+        marked = F.regexp_replace(marked, pattern, replacement)
+    parts = F.transform(F.split(marked, "<stop>", -1), strip_space)
+    return let(parts, lambda p: F.when(last(p) == "", F.slice(p, 1, F.size(p) - 1)).otherwise(p))
+
+
+def divided(parts: Column, n: Column) -> Column:
+    """Parts of which only the outer ones may be blank, ``n`` of them not."""
+
+    def judge(p: Column) -> Column:
+        inner = F.slice(p, 2, F.greatest(F.size(p) - 2, F.lit(0)))
+        outer = blank(F.get(p, 0)).cast("int") + F.when((F.size(p) > 1) & blank(last(p)), 1).otherwise(0)
+        return F.forall(inner, lambda x: ~blank(x)) & (F.size(p) - outer == n)
+
+    return let(parts, judge)
+
+
+def starred(text: Column) -> Column:
+    return F.split(text, r"\s?\*\*\*\s?", -1)
+
+
+def each(items: Column, test: Callable[[Column], Column]) -> Column:
+    return F.forall(items, test)
+
+
+# --- legacy functions (25) -----------------------------------------------------------------
+
+_SENTENCE_SPLIT = r"(?Ud)(?<!\w\.\w.)(?<![A-Z][a-z]\.)(?<=\.|\?)\s"
+
+
+def _quantified(count: Column, c: Check, around: Column) -> Column:
+    return first_match(
+        [(c.s("quantifier") == "at least", count >= c.n("N")), (c.s("quantifier") == "at most", count <= c.n("N")), (c.s("quantifier") == "around", around)],
+        F.lit(False),
+    )
+
+
+def _letter_count(c: Check) -> Column:
+    wrong = F.raise_error(F.lit("letter parameter must be a single character")).cast("int")
+    return F.when(F.length(c.s("letter")) == 1, occurrences(c.t, c.s("letter"))).otherwise(wrong) == c.n("N")
+
+
+def _words_near(c: Check) -> Column:
+    tolerance = F.greatest(F.bround(c.n("N") * 0.1), F.lit(1.0))
+    return let(F.size(words(c.t)), lambda n: _quantified(n, c, F.abs(n - c.n("N")) <= tolerance))
+
+
+def _two_sides(c: Check) -> Column:
+    return let(pieces(c.t, "******"), lambda p: (F.size(p) == 2) & (strip_space(F.get(p, 0)) != strip_space(last(p))))
+
+
+def _sections(c: Check) -> Column:
+    parts = F.split(c.t, quoted(c.s("section_splitter")), -1)
+    return let(parts, lambda p: F.size(p) - F.when(F.get(p, 0) == "", 1).otherwise(0) == c.n("N"))
+
+
+LEGACY: dict[str, Rule] = {
+    "verify_keywords": lambda c: each(c.items("keyword_list"), lambda k: F.contains(F.lower(c.t), F.lower(k))),
+    "verify_keyword_frequency": lambda c: F.size(F.filter(word_characters(F.lower(c.t)), lambda w: w == F.lower(c.s("word")))) == c.n("N"),
+    "validate_forbidden_words": lambda c: each(c.items("forbidden_words"), lambda k: ~F.contains(F.lower(c.t), F.lower(k))),
+    "verify_letter_frequency": _letter_count,
+    "validate_response_language": lambda c: c.language == c.s("language"),
+    "verify_paragraph_count": lambda c: let(pieces(c.t, "* * *"), lambda p: each(p, lambda x: ~blank(x)) & (F.size(p) == c.n("N"))),
+    "validate_word_constraint": _words_near,
+    "verify_sentence_constraint": lambda c: let(F.size(F.split(c.t, _SENTENCE_SPLIT, -1)), lambda n: _quantified(n, c, F.abs(n - c.n("N")) <= 1)),
+    "validate_paragraphs": lambda c: let(
+        pieces(c.t, "\n\n"), lambda p: (F.size(p) == c.n("N")) & F.startswith(strip_space(F.get(p, c.n("i") - 1)), c.s("first_word"))
+    ),
+    "verify_postscript": lambda c: F.contains(c.t, c.s("postscript_marker"))
+    & (F.length(strip_space(F.substr(c.t, F.position(c.s("postscript_marker"), c.t)))) > F.length(c.s("postscript_marker"))),
+    "validate_placeholders": lambda c: matches(c.t, r"(?d)\[.*?\]") >= c.n("N"),
+    "verify_bullet_points": lambda c: F.size(F.filter(F.split(c.t, "\n", -1), lambda x: strip_space(x).rlike(r"\A[*-]"))) == c.n("N"),
+    "validate_title": lambda c: c.t.rlike(r"(?d)<<.*?>>"),
+    "validate_choice": lambda c: F.exists(c.items("options"), lambda o: F.contains(o, c.t)),
+    "validate_highlighted_sections": lambda c: matches(c.t, r"(?d)\*.*?\*") >= c.n("N"),
+    "validate_sections": _sections,
+    "validate_json_format": lambda c: F.try_parse_json(c.t).isNotNull(),
+    "validate_repeat_prompt": lambda c: F.startswith(c.t, c.s("original_prompt")),
+    "validate_two_responses": _two_sides,
+    "validate_uppercase": lambda c: c.t == F.upper(c.t),
+    "validate_lowercase": lambda c: c.t == F.lower(c.t),
+    "validate_frequency_capital_words": lambda c: let(matches(c.t, r"(?U)\b[A-Z]+\b"), lambda n: _quantified(n, c, n == c.n("N"))),
+    "validate_end": lambda c: F.endswith(c.t, c.s("end_phrase")),
+    "validate_quotation": lambda c: c.t.startswith('"') & c.t.endswith('"'),
+    "validate_no_commas": lambda c: ~F.contains(c.t, F.lit(",")),
+}
+
+# --- registry rules (54) -------------------------------------------------------------------
+
+# The options of the constrained response.
+RESPONSE_OPTIONS = ("My answer is yes.", "My answer is no.", "My answer is maybe.")
+
+
+def _pattern_count(c: Check) -> Column:
+    return compared(matches(c.t, "(?iu)", c.s("keyword")), c.s("relation"), c.n("frequency"))
+
+
+def _letter_frequency(c: Check) -> Column:
+    return compared(occurrences(F.lower(c.t), F.lower(c.s("letter"))), c.s("let_relation"), c.n("let_frequency"))
+
+
+def _nth_paragraph(c: Check) -> Column:
+    def judge(p: Column) -> Column:
+        count = F.size(F.filter(p, lambda x: ~blank(x)))
+        nth = strip_space(F.get(p, c.n("nth_paragraph") - 1))
+        word = F.regexp_replace(F.regexp_replace(F.get(words(nth), 0), r"\A'+", ""), r'\A"+', "")
+        first = F.lower(F.get(F.split(word, r"[.,?!'\"]"), 0))
+        return (count == c.n("num_paragraphs")) & (c.n("nth_paragraph") <= count) & (nth != "") & (first == F.lower(c.s("first_word")))
+
+    return let(pieces(c.t, "\n\n"), judge)
+
+
+def _postscript(c: Check) -> Column:
+    text, marker = F.lower(c.t), c.s("postscript_marker")
+    other = found(text, F.lower(marker))
+    return F.when(marker == "P.P.S", text.rlike(r"p\.\s?p\.\s?s")).when(marker == "P.S.", text.rlike(r"p\.\s?s\.")).otherwise(other)
+
+
+def _highlights(c: Check) -> Column:
+    count = lambda pattern: F.size(F.filter(extract(c.t, pattern, 1), lambda x: ~blank(x)))
+    return count(r"\*([^\n*]*)\*") + count(r"\*\*([^\n*]*)\*\*") >= c.n("num_highlights")
+
+
+def _json(c: Check) -> Column:
+    body = F.regexp_replace(strip_space(c.t), r"\A(?:```json)?(?:```Json)?(?:```JSON)?(?:```)?", "")
+    return F.try_parse_json(strip_space(F.regexp_replace(body, r"```\z", ""))).isNotNull()
+
+
+def _two_answers(c: Check) -> Column:
+    def judge(p: Column) -> Column:
+        inner = F.slice(p, 2, F.greatest(F.size(p) - 2, F.lit(0)))
+        valid = F.filter(F.transform(p, strip_space), lambda x: x != "")
+        return each(inner, lambda x: ~blank(x)) & let(valid, lambda x: (F.size(x) == 2) & (F.get(x, 0) != last(x)))
+
+    return let(pieces(c.t, "******"), judge)
+
+
+def _repeat_phrase(c: Check) -> Column:
+    """Kept as it is: true only when the last span differs by exactly one word."""
+
+    def judge(ref: Column) -> Column:
+        def differences(w: Column) -> Column:
+            changed = F.filter(F.zip_with(w, ref, lambda a, b: a != b), lambda x: x)
+            return F.when(F.size(w) != F.size(ref), F.lit(99)).otherwise(F.size(changed))
+
+        spans = F.regexp_extract_all(c.t, F.concat(F.lit("(?d)"), F.get(ref, 0), F.lit(" .*? "), last(ref)), F.lit(0))
+        counts = F.transform(spans, lambda s: let(words(s), differences))
+        return let(counts, lambda d: (F.size(d) == c.n("small_n")) & each(d, lambda x: x <= 1) & F.coalesce(last(d) == 1, F.lit(False)))
+
+    return let(words(c.s("phrase")), judge)
+
+
+def _hyphens(c: Check) -> Column:
+    gold = sentences(F.replace(c.t, F.lit("-"), F.lit(" ")))
+    pairs = F.arrays_zip(F.split(c.t, "-", -1).alias("a"), gold.alias("b"))
+    return each(pairs, lambda p: p["a"].isNull() | p["b"].isNull() | ((strip_space(p["a"]) == p["a"]) & (p["a"] == p["b"])))
+
+
+def _adjacent(initials: Column, bad: Callable[[Column], Column]) -> Column:
+    def judge(x: Column) -> Column:
+        steps = F.zip_with(F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(0))), F.slice(x, 1, F.greatest(F.size(x) - 1, F.lit(0))), lambda b, a: F.ascii(b) - F.ascii(a))
+        return each(steps, lambda d: ~bad(d)) & each(x, lambda i: F.length(i) == 1)
+
+    return let(initials, judge)
+
+
+def _initials(items: Column) -> Column:
+    return F.transform(items, lambda w: F.lower(F.substring(w, 1, 1)))
+
+
+def _bigrams(c: Check) -> Column:
+    def judge(w: Column) -> Column:
+        wrapped = lambda x, i: F.when(i % 2 == 0, x.startswith("<<") | (i == F.size(w) - 1)).otherwise(x.endswith(">>"))
+        return each(F.transform(w, wrapped), lambda ok: ok)
+
+    return let(words(c.t), judge)
+
+
+def _composition(parts: Column, c: Check, tokens: Callable[[Column], Column], skip_blank: bool) -> Column:
+    per_sentence = lambda s: F.size(tokens(s)) == c.n("n_words")
+    per_part = lambda p: let(sentences(p), lambda ss: (F.size(ss) == c.n("n_sent")) & each(ss, per_sentence))
+    kept = F.filter(parts, lambda p: ~blank(p)) if skip_blank else parts
+    return let(kept, lambda p: (F.size(p) == 3) & each(p, lambda x: ~blank(x) & per_part(x)))
+
+
+def _at_position(parts: Column, tokens: Callable[[Column], Column], c: Check) -> Column:
+    return F.coalesce(F.get(tokens(F.get(parts, c.n("n") - 1)), c.n("m") - 1) == c.s("keyword"), F.lit(False))
+
+
+def _same_ends(tokens: Column) -> Column:
+    return let(tokens, lambda w: (F.size(w) >= 2) & (F.lower(F.get(w, 0)) == F.lower(last(w))))
+
+
+def _no_punctuation(word: Column) -> Column:
+    return F.lower(F.regexp_replace(word, r"(?U)[^\w\s]", ""))
+
+
+def _language(c: Check, wanted: Column) -> Column:
+    return F.coalesce(c.language == wanted, F.lit(True))
+
+
+def _is_copy(text: Column, prompt: Column) -> Column:
+    return lower_strip(text) == lower_strip(prompt)
+
+
+def _unique(tokens: Column) -> Column:
+    return let(tokens, lambda w: F.size(w) == F.size(F.array_distinct(w)))
+
+
+REGISTRY: dict[str, Rule] = {
+    "keywords:existence": lambda c: each(c.items("keywords"), lambda k: found(c.t, "(?iu)", k)),
+    "keywords:frequency": _pattern_count,
+    "keywords:forbidden_words": lambda c: each(c.items("forbidden_words"), lambda k: ~found(c.t, r"(?iU)\b", k, r"\b")),
+    "keywords:letter_frequency": _letter_frequency,
+    "language:response_language": lambda c: _language(c, c.s("language")),
+    "length_constraints:number_sentences": lambda c: compared(F.size(sentences(c.t)), c.s("relation"), c.n("num_sentences")),
+    "length_constraints:number_paragraphs": lambda c: divided(starred(c.t), c.n("num_paragraphs")),
+    "length_constraints:number_words": lambda c: compared(F.size(word_characters(c.t)), c.s("relation"), c.n("num_words")),
+    "length_constraints:nth_paragraph_first_word": _nth_paragraph,
+    "detectable_content:number_placeholders": lambda c: matches(c.t, r"(?d)\[.*?\]") >= c.n("num_placeholders"),
+    "detectable_content:postscript": _postscript,
+    "detectable_format:number_bullet_lists": lambda c: matches(c.t, r"(?md)^\s*\*[^*].*$") + matches(c.t, r"(?md)^\s*-.*$") == c.n("num_bullets"),
+    "detectable_format:constrained_response": lambda c: F.exists(F.array(*[F.lit(o) for o in RESPONSE_OPTIONS]), lambda o: F.contains(strip_space(c.t), o)),
+    "detectable_format:number_highlighted_sections": _highlights,
+    "detectable_format:multiple_sections": lambda c: matches(c.t, r"\s?", c.s("section_spliter"), r"\s?\d+\s?") >= c.n("num_sections"),
+    "detectable_format:json_format": _json,
+    "detectable_format:title": lambda c: F.exists(extract(c.t, r"<<[^\n]+>>"), lambda x: ~blank(F.regexp_replace(x, r"\A<+|>+\z", ""))),
+    "combination:two_responses": _two_answers,
+    "combination:repeat_prompt": lambda c: F.startswith(lower_strip(c.t), lower_strip(c.s("prompt_to_repeat"))),
+    "startend:end_checker": lambda c: F.endswith(F.lower(F.regexp_replace(strip_space(c.t), r'\A"+|"+\z', "")), lower_strip(c.s("end_phrase"))),
+    "change_case:capital_word_frequency": lambda c: compared(F.size(F.filter(word_tokens(c.t), is_upper)), c.s("capital_relation"), c.n("capital_frequency")),
+    "change_case:english_capital": lambda c: is_upper(c.t) & _language(c, F.lit("en")),
+    "change_case:english_lowercase": lambda c: is_lower(c.t) & _language(c, F.lit("en")),
+    "punctuation:no_comma": lambda c: ~F.contains(c.t, F.lit(",")),
+    "startend:quotation": lambda c: (F.length(strip_space(c.t)) > 1) & strip_space(c.t).startswith('"') & strip_space(c.t).endswith('"'),
+    "copy:repeat_phrase": _repeat_phrase,
+    "copy:copy": lambda c: _is_copy(c.t, c.s("prompt_to_repeat")),
+    "new:copy_span_idx": lambda c: _is_copy(c.t, F.substr(c.s("prompt_to_repeat"), c.n("n_start") + 1, c.n("n_end") - c.n("n_start"))),
+    "detectable_format:sentence_hyphens": _hyphens,
+    "keywords:no_adjacent_consecutive": lambda c: _adjacent(_initials(words(c.t)), lambda d: d == 1),
+    "detectable_format:square_brackets": lambda c: each(words(c.t), lambda w: w.startswith("[") & w.endswith("]")),
+    "keywords:word_once": lambda c: matches(c.t, "(?iu)", c.s("keyword")) == 1,
+    "keywords:word_count_different_numbers": _pattern_count,
+    "keywords:exclude_word_harder": lambda c: ~F.contains(c.t, F.concat(F.lit(" "), c.s("keyword"), F.lit(" "))),
+    "paragraphs:paragraphs": lambda c: divided(starred(c.t), F.lit(2)),
+    "paragraphs:paragraphs2": lambda c: divided(pieces(c.t, "\n\n"), F.lit(2)),
+    "first_word:first_word_sent": lambda c: each(sentences(c.t), lambda s: F.coalesce(F.lower(F.get(words(s), 0)) == F.lower(c.s("first_word")), F.lit(False))),
+    "first_word:first_word_answer": lambda c: F.lower(F.get(words(c.t), 0)) == F.lower(c.s("first_word")),
+    "last_word:last_word_sent": lambda c: each(sentences(c.t), lambda s: F.coalesce(_no_punctuation(last(words(s))) == F.lower(c.s("last_word")), F.lit(False))),
+    "last_word:last_word_answer": lambda c: _no_punctuation(last(words(c.t))) == F.lower(c.s("last_word")),
+    "detectable_format:bigram_wrapping": _bigrams,
+    "copy:copying_simple": lambda c: _is_copy(c.t, c.s("prompt_to_repeat")),
+    "copy:copying_multiple": lambda c: let(pieces(c.t, "******"), lambda p: (F.size(p) == c.n("N")) & each(p, lambda x: _is_copy(x, c.s("prompt_to_repeat")))),
+    "punctuation:punctuation_dot": lambda c: ~F.contains(c.t, F.lit(".")),
+    "punctuation:punctuation_exclamation": lambda c: ~F.contains(c.t, F.lit("!")),
+    "count:lowercase_counting": lambda c: matches(c.t, r"(?U)\b[a-z]+\b") <= c.n("N"),
+    "letters:letter_counting": lambda c: first_match(
+        [(c.s("relation") == "at least", matches(c.t, "[a-zA-Z]") >= c.n("N")), (c.s("relation") == "less than", matches(c.t, "[a-zA-Z]") < c.n("N"))], F.lit(False)
+    ),
+    "letters:letter_counting2": _letter_frequency,
+    "count:counting_composition": lambda c: _composition(starred(c.t), c, word_tokens, skip_blank=False),
+    "count:count_unique": lambda c: _unique(word_tokens(c.t)),
+    "count:count_increment_word": lambda c: (matches(c.t, "(?iu)", c.s("keyword1")) == 1) & (matches(c.t, "(?iu)", c.s("keyword2")) == 2),
+    "keywords:palindrome": lambda c: F.exists(words(c.t), lambda w: w == F.reverse(w)),
+    "keywords:keyword_specific_position": lambda c: _at_position(sentences(c.t), word_tokens, c),
+    "keywords:start_end": lambda c: _same_ends(word_tokens(c.t)),
+}
+
+
+def _rephrase(c: Check) -> Column:
+    without = lambda x: F.regexp_replace(x, r"(?d)\*.*\*", "")
+    wrong = F.raise_error(F.lit("no changes in the form of *change me*")).cast("boolean")
+    return F.when(c.t.rlike(r"(?d)\*.*\*"), without(c.t) == without(c.s("original_message"))).otherwise(wrong)
+
+
+def _similar_words(c: Check) -> Column:
+    same = v._shared_words(word_characters(F.lower(c.t)), word_characters(F.lower(c.s("original_paragraph"))))
+    return let(same, lambda n: (n >= c.n("low")) & (n <= c.n("high")))
+
+
+UNREGISTERED: dict[str, Rule] = {
+    "multi-turn:constrained_start": lambda c: found(c.t, r"(?m)^\s*", c.s("starter")),
+    "detectable_format:rephrase": _rephrase,
+    "keywords:key_sentences": lambda c: let(sentences(c.t), lambda ss: F.size(F.filter(c.items("key_sentences"), lambda k: F.array_contains(ss, k))) == c.n("num_sentences")),
+    "detectable_content:rephrase_paragraph": _similar_words,
+}
+
+# --- extended rules (29) -------------------------------------------------------------------
+
+
+def _or(value: Column, default) -> Column:
+    return F.coalesce(value, F.lit(default))
+
+
+def _whole_word(c: Check, name: str) -> Column:
+    return matches(F.lower(c.t), r"(?U)\b", quoted(F.lower(c.s(name))), r"\b")
+
+
+def _filled(text: Column) -> Column:
+    return F.filter(sentences(text), lambda s: ~blank(s))
+
+
+def _every_sentence(c: Check, pick: Callable[[Column], Column], name: str) -> Column:
+    same = lambda s: F.coalesce(F.lower(bare(pick(words(s)))) == F.lower(_or(c.s(name), "")), F.lit(False))
+    return let(_filled(c.t), lambda ss: (F.size(ss) > 0) & each(ss, same))
+
+
+def _answer_word(c: Check, pick: Callable[[Column], Column], name: str) -> Column:
+    return F.coalesce(F.lower(bare(pick(words(c.t)))) == F.lower(_or(c.s(name), "")), F.lit(False))
+
+
+def _copies(c: Check) -> Column:
+    prompt = lower_strip(_or(c.s("prompt_to_repeat"), ""))
+    valid = F.filter(pieces(c.t, "******"), lambda p: ~blank(p))
+    return let(valid, lambda p: (F.size(p) == _or(c.n("N"), 1)) & each(p, lambda x: F.contains(lower_strip(x), prompt)))
+
+
+def _rare_lowercase(c: Check) -> Column:
+    """No lower-case word more often than N: the sorted words are counted as runs."""
+    start = F.struct(F.lit("").alias("w"), F.lit(0).alias("run"), F.lit(0).alias("most"))
+
+    def step(acc: Column, w: Column) -> Column:
+        run = F.when(acc["w"] == w, acc["run"] + 1).otherwise(F.lit(1))
+        return F.struct(w.alias("w"), run.alias("run"), F.greatest(acc["most"], run).alias("most"))
+
+    return F.aggregate(F.sort_array(extract(c.t, r"(?U)\b[a-z]+\b")), start, step, lambda acc: acc["most"]) <= _or(c.n("N"), 3)
+
+
+def _bracketed(c: Check) -> Column:
+    return let(matches(c.t, r"(?U)\w+"), lambda n: (n > 0) & (matches(c.t, r"(?U)\[[\w']+\]") >= n * 0.8))
+
+
+def _position(c: Check) -> Column:
+    word = F.get(words(F.get(_filled(c.t), _or(c.n("n"), 1) - 1)), _or(c.n("m"), 1) - 1)
+    return F.coalesce(F.lower(bare(word)) == F.lower(_or(c.s("keyword"), "")), F.lit(False))
+
+
+def _defaults(c: Check) -> Check:
+    filled = F.map_from_arrays(F.array(F.lit("n_sent"), F.lit("n_words")), F.array(_or(c.s("n_sent"), "3"), _or(c.s("n_words"), "2")))
+    return Check(c.t, filled, c.language)
+
+
+EXTENDED: dict[str, Rule] = {
+    "copy:copy": lambda c: F.contains(lower_strip(c.t), lower_strip(_or(c.s("prompt_to_repeat"), ""))),
+    "copy:copying_simple": lambda c: F.startswith(lower_strip(c.t), lower_strip(_or(c.s("prompt_to_repeat"), ""))),
+    "copy:copying_multiple": _copies,
+    "copy:repeat_phrase": lambda c: F.coalesce(matches(F.lower(c.t), quoted(F.get(words(F.lower(c.s("phrase"))), 0))) >= _or(c.n("small_n"), 1), F.lit(False)),
+    "count:count_increment_word": lambda c: (_whole_word(c, "keyword1") >= 1) & (_whole_word(c, "keyword2") >= 2),
+    "count:count_unique": lambda c: _unique(word_characters(F.lower(c.t))),
+    "count:counting_composition": lambda c: _composition(F.split(c.t, r"\s?\*\s?\*\s?\*\s?", -1), _defaults(c), word_characters, skip_blank=True),
+    "count:lowercase_counting": _rare_lowercase,
+    "detectable_format:sentence_hyphens": lambda c: F.contains(c.t, F.lit("-")) & ~F.contains(c.t, F.lit("- ")) & ~F.contains(c.t, F.lit(" -")),
+    "detectable_format:square_brackets": _bracketed,
+    "detectable_format:bigram_wrapping": lambda c: matches(c.t, "<<[^>]+>>") >= 2,
+    "first_word:first_word_answer": lambda c: _answer_word(c, lambda w: F.get(w, 0), "first_word"),
+    "first_word:first_word_sent": lambda c: _every_sentence(c, lambda w: F.get(w, 0), "first_word"),
+    "last_word:last_word_answer": lambda c: _answer_word(c, last, "last_word"),
+    "last_word:last_word_sent": lambda c: _every_sentence(c, last, "last_word"),
+    "keywords:exclude_word_harder": lambda c: ~F.contains(F.lower(c.t), F.lower(_or(c.s("keyword"), ""))),
+    "keywords:keyword_specific_position": _position,
+    "keywords:no_adjacent_consecutive": lambda c: _adjacent(_initials(extract(c.t, "[a-zA-Z]+")), lambda d: F.abs(d) == 1),
+    "keywords:palindrome": lambda c: F.exists(extract(F.lower(c.t), "[a-zA-Z]+"), lambda w: (F.length(w) >= 3) & (w == F.reverse(w))),
+    "keywords:start_end": lambda c: _same_ends(word_characters(c.t)),
+    "keywords:word_count_different_numbers": lambda c: compared(_whole_word(c, "keyword"), _or(c.s("relation"), "less than"), _or(c.n("frequency"), 1)),
+    "keywords:word_once": lambda c: F.contains(F.lower(c.t), F.lower(_or(c.s("keyword"), ""))),
+    "letters:letter_counting": lambda c: F.when(_or(c.s("relation"), "at least") == "at least", matches(c.t, "[a-zA-Z]") >= _or(c.n("N"), 1)).otherwise(matches(c.t, "[a-zA-Z]") < _or(c.n("N"), 1)),
+    "letters:letter_counting2": lambda c: compared(occurrences(F.lower(c.t), F.lower(_or(c.s("letter"), "a"))), _or(c.s("let_relation"), "at least"), _or(c.n("let_frequency"), 1)),
+    "paragraphs:paragraphs": lambda c: F.size(F.filter(starred(c.t), lambda p: ~blank(p))) == 2,
+    "paragraphs:paragraphs2": lambda c: F.size(F.filter(pieces(c.t, "\n\n"), lambda p: ~blank(p))) == 2,
+    "punctuation:punctuation_dot": lambda c: ~F.contains(c.t, F.lit(".")),
+    "punctuation:punctuation_exclamation": lambda c: ~F.contains(c.t, F.lit("!")),
+    "new:copy_span_idx": lambda c: F.contains(
+        F.lower(c.t), F.lower(F.substr(_or(c.s("prompt_to_repeat"), ""), _or(c.n("n_start"), 0) + 1, _or(c.n("n_end"), 0) + 1 - _or(c.n("n_start"), 0)))
+    ),
+}
+
+# --- scoring -------------------------------------------------------------------------------
+
+
+def follows(rules: dict[str, Rule], identifier: Column, text: Column, args: Column, language: Column | None = None) -> Column:
+    """Does the text follow one constraint; unknown ids and undecided checks do not."""
+    check = Check(text, args, F.lit(None).cast("string") if language is None else language)
+    decided = first_match([(identifier == name, rule(check)) for name, rule in rules.items()], F.lit(False))
+    return F.coalesce(decided, F.lit(False))
+
+
+def constraint_score(prediction: Column, constraints: Column, rules: dict[str, Rule] = REGISTRY, language: Column | None = None) -> Column:
+    """Share of satisfied constraints of the answer without thinking; an empty answer is 0."""
+
+    def judge(answer: Column) -> Column:
+        verdicts = F.transform(constraints, lambda k: follows(rules, k["instruction_id"], answer, k["kwargs"], language).cast("double"))
+        share = let(verdicts, lambda x: F.aggregate(x, F.lit(0.0), lambda a, b: a + b) / F.size(x))
+        return F.when((answer == "") | blank(prediction), F.lit(0.0)).otherwise(F.coalesce(share, F.lit(0.0)))
+
+    return let(remove_thinking(prediction), judge)
+
+
+def score_constraints(df: DataFrame, prediction: str, ground_truth: str, rules: dict[str, Rule] = REGISTRY, language: str | None = None, out: str = "score") -> DataFrame:
+    """G14 as a table job over constraint texts."""
+    parsed = df.withColumn("__c", parse_constraints(ground_truth))
+    return parsed.withColumn(out, constraint_score(F.col(prediction), F.col("__c"), rules, None if language is None else F.col(language))).drop("__c")
+
+
+def constraint_verdicts(df: DataFrame, prediction: str, constraints: str, rules: dict[str, Rule] = REGISTRY, language: str | None = None) -> DataFrame:
+    """One row per constraint with its verdict, for J4 and counts per rule."""
+    kept = [c for c in df.columns if c != constraints]
+    rows = df.select(*kept, F.posexplode(constraints).alias("constraint_no", "k"))
+    answer = remove_thinking(prediction)
+    verdict = let(answer, lambda a: follows(rules, F.col("k.instruction_id"), a, F.col("k.kwargs"), None if language is None else F.col(language)))
+    return rows.select(*kept, "constraint_no", "k.instruction_id", verdict.alias("followed"))
+
+
+def legacy_score(prediction: Column, constraint: Column, language: Column | None = None) -> Column:
+    """One ``func_name`` constraint as JSON text; 0 without a name."""
+    args = F.from_json(constraint, "map<string,string>")
+    name = F.get_json_object(constraint, "$.func_name")
+    verdict = let(remove_thinking(prediction), lambda a: follows(LEGACY, name, a, args, language))
+    return F.when(name.isNull(), F.lit(0.0)).otherwise(verdict.cast("double"))
+
+
+def pooled_score(prediction: Column, constraints: Column, language: Column | None = None, scale: float = 10.0) -> Column:
+    """G15, script form: all entries pooled over both registries, unknown ids failed, times 10."""
+    rules = {**REGISTRY, **EXTENDED}
+    verdicts = F.transform(constraints, lambda k: follows(rules, k["instruction_id"], prediction, k["kwargs"], language).cast("double"))
+    return let(verdicts, lambda x: F.coalesce(F.aggregate(x, F.lit(0.0), lambda a, b: a + b) / F.nullif(F.size(x), F.lit(0)), F.lit(0.0)) * scale)
+
+
+def rule_counts(verdicts: DataFrame) -> DataFrame:
+    """Matched and failed constraints per rule."""
+    return verdicts.groupBy("instruction_id").agg(F.count_if("followed").alias("matched"), F.count_if(~F.col("followed")).alias("failed"))
+
+
+# --- L3: registration and conflicts --------------------------------------------------------
+
+
+def register_constraint(identifier: str, rule: Rule, family: dict[str, Rule] = REGISTRY) -> None:
+    family[identifier] = rule
+
+
+# Which ids exclude which others (each excludes itself), and which exclude all but a few.
+CONFLICTS: dict[str, tuple[str, ...]] = {
+    **{name: (name,) for name in REGISTRY},
+    "language:response_language": (
+        "detectable_format:multiple_sections", "keywords:existence", "keywords:frequency", "keywords:forbidden_words", "startend:end_checker",
+        "change_case:english_capital", "change_case:english_lowercase",
+    ),
+    "length_constraints:number_paragraphs": ("length_constraints:nth_paragraph_first_word", "length_constraints:number_sentences"),
+    "length_constraints:nth_paragraph_first_word": ("length_constraints:number_paragraphs",),
+    "detectable_format:multiple_sections": ("language:response_language", "detectable_format:number_highlighted_sections"),
+    "change_case:capital_word_frequency": ("change_case:english_lowercase", "change_case:english_capital"),
+    "change_case:english_lowercase": ("change_case:english_capital",),
+    "startend:quotation": ("detectable_format:title",),
+    "paragraphs:paragraphs": ("paragraphs:paragraphs2",),
+    "paragraphs:paragraphs2": ("paragraphs:paragraphs",),
+    "first_word:first_word_sent": ("first_word:first_word_answer",),
+    "first_word:first_word_answer": ("first_word:first_word_sent",),
+    "count:counting_composition": (
+        "count:count_unique", "count:count_increment_word", "paragraphs:paragraphs", "paragraphs:paragraphs2", "keywords:letter_frequency", "keywords:frequency",
+    ),
+}
+CONFLICTS_WITH_ALL_BUT: dict[str, tuple[str, ...]] = {
+    "detectable_format:constrained_response": (),
+    "detectable_format:json_format": ("keywords:forbidden_words", "keywords:existence"),
+    "combination:two_responses": ("keywords:forbidden_words", "keywords:existence", "language:response_language", "detectable_format:title", "punctuation:no_comma"),
+    "combination:repeat_prompt": ("keywords:existence", "detectable_format:title", "punctuation:no_comma"),
+    "copy:copy": (),
+    "new:copy_span_idx": (),
+    "copy:copying_simple": (),
+    "copy:copying_multiple": (),
+}
+
+
+def conflict_pairs(spark) -> DataFrame:
+    """L3: symmetric (a, b) pairs, each id with itself among them; bounded by the registry."""
+    listed = [(a, b) for a, others in CONFLICTS.items() for b in (*others, a)]
+    listed += [(a, b) for a, free in CONFLICTS_WITH_ALL_BUT.items() for b in REGISTRY if b not in free]
+    pairs = spark.createDataFrame(listed, "a string, b string")
+    return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+
+
+def conflicting_sets(df: DataFrame, key: str, ids: str) -> DataFrame:
+    """L3: keys whose constraint set holds two entries that exclude each other."""
+    after = lambda x, i: F.transform(F.slice(ids, i + 2, F.size(ids)), lambda y: F.struct(x.alias("a"), y.alias("b")))
+    pairs = df.select(key, F.explode(F.flatten(F.transform(ids, after))).alias("p")).select(key, "p.a", "p.b")
+    return pairs.join(F.broadcast(conflict_pairs(df.sparkSession)), ["a", "b"], "left_semi").select(key).distinct()
+
+
+v.register_verifier("ifeval", lambda s: constraint_score(s.prediction, parse_constraints(s.label)))
+v.register_verifier("ifeval_old", lambda s: legacy_score(s.prediction, s.label))

@@ -183,11 +183,14 @@ for _rule in (gsm8k, math, strict_math, flan, string_matcher, puzzle, string_f1,
     register_verifier(_rule.__name__, _rule)
 
 
-def build_verifiers(remap: str | None = None) -> dict[str, Verifier]:
-    """The registry, with ``old=new`` calling the new rule under the old name."""
+def build_verifiers(remap: str | None = None, names: list[str] | None = None) -> dict[str, Verifier]:
+    """The registry, with ``old=new`` calling the new rule under the old name.
+
+    ``names`` narrows it to the rules a table uses, which keeps the plan small.
+    """
     from rollweave.functions import constraints  # noqa: F401 - registers the constraint verifiers
 
-    verifiers = dict(_VERIFIERS)
+    verifiers = {k: x for k, x in _VERIFIERS.items() if names is None or k in names}
     if remap:
         parts = remap.split("=")
         if len(parts) != 2:

@@ -347,7 +347,7 @@ def parse_constraints(ground_truth: str | Column) -> Column:
     """
     text = as_column(ground_truth)
     pair = "struct<instruction_id:array<string>,kwargs:array<map<string,string>>>"
-    json_text = F.when(F.from_json(text, f"array<{pair}>").isNotNull(), text).otherwise(python_literal_to_json(text))
+    json_text = F.when(F.try_parse_json(text).isNotNull(), text).otherwise(python_literal_to_json(text))
     inner_text = F.get(F.from_json(text, "array<string>"), 0)
     first = F.coalesce(F.get(F.from_json(json_text, f"array<{pair}>"), 0), F.from_json(inner_text, pair))
     zipped = F.transform(

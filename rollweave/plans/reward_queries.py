@@ -65,7 +65,7 @@ ANSWERS = r"""p AS (SELECT doc_id, source, coalesce(quality, 2) AS q, doc_id % 3
     f"""WITH {ANSWERS} SELECT doc_id, gsm::DOUBLE AS gsm8k, flan::DOUBLE AS flan, 0.0::DOUBLE AS passthrough, (gsm + flan)::DOUBLE AS reward FROM s""",
 )
 def scored_rewards(t):
-    out = g.score_rewards(_answers(t), v.build_verifiers(), "prediction")
+    out = g.score_rewards(_answers(t), v.build_verifiers(names=["gsm8k", "flan", "math", "passthrough"]), "prediction")
     return out.select("doc_id", *[F.col("per_verifier")[n].alias(n) for n in ("gsm8k", "flan", "passthrough")], "reward")
 
 
@@ -76,7 +76,7 @@ def scored_rewards(t):
     SELECT verifier, round(avg(x), 9)::DOUBLE AS mean_reward, round(avg(CASE WHEN x > 0 THEN 1.0 ELSE 0 END), 9)::DOUBLE AS correct_rate FROM l GROUP BY 1""",
 )
 def reward_metrics(t):
-    out = g.reward_metrics(g.score_rewards(_answers(t), v.build_verifiers(), "prediction"))
+    out = g.reward_metrics(g.score_rewards(_answers(t), v.build_verifiers(names=["gsm8k", "flan", "math", "passthrough"]), "prediction"))
     return out.select("verifier", F.round("mean_reward", 9).alias("mean_reward"), F.round("correct_rate", 9).alias("correct_rate"))
 
 
@@ -88,7 +88,7 @@ def reward_metrics(t):
 def remapped_verifier(t):
     truth = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("The "), "text", F.lit(" YES!"))).otherwise(F.lit("no"))
     rows = t.documents.select("doc_id", F.concat("text", F.lit(" yes")).alias("p"), F.array(truth).alias("ground_truth"), F.array(F.lit("mine")).alias("dataset"))
-    return g.score_rewards(rows, v.build_verifiers("mine=puzzle"), "p", mult=1.0).select("doc_id", "reward")
+    return g.score_rewards(rows, v.build_verifiers("mine=puzzle", ["puzzle", "string_f1"]), "p", mult=1.0).select("doc_id", "reward")
 
 
 def _score(rows, rule, prediction, label, tokens=None, **config):
