@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ from rollweave.operators.messages import (
     drop_trailing_assistant,
     flatten_prompt,
     label_arrays,
+    let,
     override_system_prompt,
     prompt_of,
     resolve_active_tools,
@@ -66,26 +70,48 @@ def build_vocabulary(df: DataFrame, *token_columns: str, max_size: int | None =
     return df.sparkSession.createDataFrame(reserved, "token string, id int, frequency long").unionByName(words)
 
 
+def _lookup(tokens: list[str], unknown_id: int):
+    """Token arrays to id arrays: the flattened Arrow values are looked up in one call per batch."""
+    known = pa.array(tokens, pa.string())
+
+    @F.arrow_udf("array<int>")
+    def codes(batch: pa.Array) -> pa.Array:
+        lists = batch.cast(pa.list_(pa.string()))
+        found = pc.fill_null(pc.index_in(lists.flatten(), value_set=known), unknown_id).cast(pa.int32())
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        return pa.ListArray.from_arrays(offsets, found)
+
+    return codes
+
+
 def encode(df: DataFrame, key: str, columns: dict[str, str], vocabulary: DataFrame, unknown_id: int = 3) -> DataFrame:
-    """Token arrays → id arrays under new names, one pass for all columns.
+    """Token arrays → id arrays under new names.
 
-    Ids are dense frequency ranks, so the head ``id < HEAD_IDS`` is a proven bound for the
-    broadcast; it holds the hot tokens.  Only a larger vocabulary sends the remaining rare
-    tokens through a shuffle join.  Grouping back by ``key`` needs no exchange when the input
-    is already partitioned by it.
+    Ids are dense frequency ranks, so the head ``id < HEAD_IDS`` is bounded by construction and
+    can go to every task; it holds the hot tokens.  A vocabulary within the bound is looked up
+    in place: no explode, no shuffle, no grouping.  A larger one joins its rare tail.
     """
+    if vocabulary.where(F.col("id") >= HEAD_IDS).isEmpty():
+        head = vocabulary.where(F.col("id") < HEAD_IDS).orderBy("id").select("token").toArrow()
+        codes = _lookup(head.column("token").to_pylist(), unknown_id)
+        return df.withColumns({out: codes(F.col(c)) for out, c in columns.items()}).drop(*columns.values())
+    return encode_by_join(df, key, columns, vocabulary, unknown_id)
+
+
+def encode_by_join(df: DataFrame, key: str, columns: dict[str, str], vocabulary: DataFrame, unknown_id: int = 3, head: int = HEAD_IDS) -> DataFrame:
+    """D2 for a vocabulary of any size: exploded tokens, the hot head by broadcast join, only the
+    rest through a shuffle join, then grouped back by the unique ``key``."""
     tag = lambda c: lambda t: F.struct(F.lit(c).alias("c"), t.alias("token"))
     tagged = [F.transform(tokens, tag(c)) for c, tokens in enumerate(columns.values())]
     long = df.select(key, F.posexplode_outer(F.concat(*tagged)).alias("pos", "item")).select(key, "pos", "item.c", "item.token")
     words = vocabulary.select("token", "id")
-    coded = long.join(F.broadcast(words.where(F.col("id") < HEAD_IDS)), "token", "left")
-    tail = words.where(F.col("id") >= HEAD_IDS)
-    if not tail.isEmpty():
-        rare = coded.where(F.col("id").isNull()).drop("id").join(tail, "token", "left")
-        coded = coded.where(F.col("id").isNotNull()).unionByName(rare)
+    coded = long.join(F.broadcast(words.where(F.col("id") < head)), "token", "left")
+    rare = coded.where(F.col("id").isNull()).drop("id").join(words.where(F.col("id") >= head), "token", "left")
+    coded = coded.where(F.col("id").isNotNull()).unionByName(rare)
     item = F.struct("pos", "c", F.coalesce("id", F.lit(unknown_id)).alias("id"))
     gathered = coded.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("__items"))
-    pick = lambda c: F.transform(F.filter("__items", lambda x: x["c"] == c), lambda x: x["id"])
+    pick = lambda c: F.transform(F.filter("__items", lambda x: (x["c"] == c)), lambda x: x["id"])
     ids = gathered.select(key, *[pick(c).alias(out) for c, out in enumerate(columns)])
     return df.drop(*columns.values()).join(ids, key)
 
@@ -146,35 +172,47 @@ def label_mask(messages: Column, tokenizer: Tokenizer, trainable: str) -> Column
         F.array().cast("array<struct<gap:int,run:int>>").alias("runs"),
     )
 
-    def step(acc: Column, s: Column) -> Column:
-        system = acc["sys"] | (s["role"] == "system")
-        base = head_plain + F.when(system, F.lit(0)).otherwise(block)
-        following = F.get(sized, acc["i"] + 1)["role"]
-        is_last = acc["i"] == n - 1
-        masked = ~is_last if trainable == "last" else s["role"] != "assistant"
-        plain_end = base + acc["sum"] + s["end"]
-        opened = F.coalesce(following == "assistant", no)
-        stop = F.when(opened, base + acc["sum"] + s["gen"] + suffix).otherwise(plain_end)
-        begin = F.greatest(acc["prefix"], acc["done"])
-        run = F.struct((begin - acc["done"]).alias("gap"), F.greatest(stop - begin, F.lit(0)).alias("run"))
-        return F.struct(
-            (acc["i"] + 1).alias("i"),
-            (acc["sum"] + s["mid"]).alias("sum"),
-            system.alias("sys"),
-            plain_end.alias("prefix"),
-            F.when(masked, F.greatest(stop, begin)).otherwise(acc["done"]).alias("done"),
-            F.when(masked, F.concat(acc["runs"], F.array(run))).otherwise(acc["runs"]).alias("runs"),
-        )
-
-    runs = F.aggregate(sized, start, step, lambda acc: acc["runs"])
-    bits = F.transform(runs, lambda r: F.concat(F.array_repeat(F.lit(0), r["gap"]), F.array_repeat(F.lit(1), r["run"])))
+    def spans(sizes: Column) -> Column:
+        def step(acc: Column, s: Column) -> Column:
+            system = acc["sys"] | (s["role"] == "system")
+            following = F.get(sizes, acc["i"] + 1)["role"]
+            masked = acc["i"] != n - 1 if trainable == "last" else s["role"] != "assistant"
+            base = head_plain + acc["sum"] + F.when(system, F.lit(0)).otherwise(block)
+            opened = F.coalesce(following == "assistant", no)
+            place = F.struct(
+                system.alias("sys"),
+                (base + s["end"]).alias("plain"),
+                F.when(opened, base + s["gen"] + suffix).otherwise(base + s["end"]).alias("stop"),
+                F.greatest(acc["prefix"], acc["done"]).alias("begin"),
+                masked.alias("masked"),
+            )
+
+            def advance(p: Column) -> Column:
+                run = F.struct((p["begin"] - acc["done"]).alias("gap"), F.greatest(p["stop"] - p["begin"], F.lit(0)).alias("run"))
+                return F.struct(
+                    (acc["i"] + 1).alias("i"),
+                    (acc["sum"] + s["mid"]).alias("sum"),
+                    p["sys"].alias("sys"),
+                    p["plain"].alias("prefix"),
+                    F.when(p["masked"], F.greatest(p["stop"], p["begin"])).otherwise(acc["done"]).alias("done"),
+                    F.when(p["masked"], F.concat(acc["runs"], F.array(run))).otherwise(acc["runs"]).alias("runs"),
+                )
+
+            return let(place, advance)
+
+        return F.aggregate(sizes, start, step, lambda acc: acc["runs"])
+
+    bits = F.transform(let(sized, spans), lambda r: F.concat(F.array_repeat(F.lit(0), r["gap"]), F.array_repeat(F.lit(1), r["run"])))
     empty = F.raise_error(F.lit("messages field is empty")).cast("array<int>")
     return F.when(n == 0, empty).otherwise(F.flatten(bits))
 
 
 def apply_mask(ids: Column, mask: Column) -> Column:
     """-100 under the mask; positions beyond the mask keep their id."""
-    return F.zip_with(F.slice(mask, 1, F.least(F.size(mask), F.size(ids))), ids, lambda m, x: F.when(m == 1, F.lit(IGNORED)).otherwise(x))
+    cover = lambda x: F.zip_with(
+        F.slice(x["m"], 1, F.least(F.size(x["m"]), F.size(x["i"]))), x["i"], lambda m, i: F.when(m == 1, F.lit(IGNORED)).otherwise(i)
+    )
+    return let(F.struct(mask.alias("m"), ids.alias("i")), cover)
 
 
 # --- D3-D6: SFT rows -----------------------------------------------------------------------

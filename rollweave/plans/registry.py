@@ -15,6 +15,18 @@ TABLES = (
     "pages benchmark labels conversations"
 ).split()
 
+TEXTS = ("documents", "conversations")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows round the cores when the input has fewer splits than cores.
+
+    Text rules are bound by CPU, and a small file is one split; with many splits, as on any
+    large table, the plan stays a plain scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -26,6 +38,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
+        return spread(self.spark.read.parquet(f"{self.root}/{name}.parquet")) if name in TEXTS else self.plain(name)
+
+    def plain(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
     def scratch(self, name: str) -> str:

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture costs more than building the expressions of the rule families.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
