@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollweave.operators.messages import as_column
+from rollweave.operators.messages import let
 
 
 @dataclass(frozen=True)
@@ -244,12 +244,16 @@ def render(
     default_system: str | None = None,
 ) -> Column:
     """The whole conversation as text."""
-    messages, chosen = as_column(messages), resolve(template, default_system)
-    final = F.size(messages) - 1
-    pieces = F.transform(messages, lambda m, i: piece(chosen, m, i, i == final, eos, add_generation_prompt, fields))
-    suffix = F.lit(chosen.suffix if add_generation_prompt else "")
-    suffix = F.when(F.size(messages) > 0, suffix).otherwise(F.lit(""))
-    return F.concat(F.lit(bos), header(chosen, messages), F.array_join(pieces, ""), suffix)
+    chosen = resolve(template, default_system)
+
+    def build(msgs: Column) -> Column:
+        final = F.size(msgs) - 1
+        pieces = F.transform(msgs, lambda m, i: piece(chosen, m, i, i == final, eos, add_generation_prompt, fields))
+        suffix = F.lit(chosen.suffix if add_generation_prompt else "")
+        suffix = F.when(F.size(msgs) > 0, suffix).otherwise(F.lit(""))
+        return F.concat(F.lit(bos), header(chosen, msgs), F.array_join(pieces, ""), suffix)
+
+    return let(messages, build)
 
 
 def render_chat(df: DataFrame, template: str, messages: str = "messages", out: str = "text", **options) -> DataFrame:

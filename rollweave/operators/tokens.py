@@ -6,6 +6,7 @@ newline or a tag, so the pieces of a template can be counted one by one.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollweave.operators.messages import (
     as_column,
@@ -70,19 +72,23 @@ def build_vocabulary(df: DataFrame, *token_columns: str, max_size: int | None =
     return df.sparkSession.createDataFrame(reserved, "token string, id int, frequency long").unionByName(words)
 
 
-def _lookup(tokens: list[str], unknown_id: int):
-    """Token arrays to id arrays: the flattened Arrow values are looked up in one call per batch."""
+def _lookup(tokens: list[str], columns: dict[str, str], unknown_id: int):
+    """Token lists to id lists: the flattened Arrow values are looked up in one call per batch."""
     known = pa.array(tokens, pa.string())
 
-    @F.arrow_udf("array<int>")
-    def codes(batch: pa.Array) -> pa.Array:
-        lists = batch.cast(pa.list_(pa.string()))
-        found = pc.fill_null(pc.index_in(lists.flatten(), value_set=known), unknown_id).cast(pa.int32())
+    def codes(lists: pa.ListArray) -> pa.ListArray:
+        found = pc.fill_null(pc.index_in(lists.flatten().cast(pa.string()), value_set=known), unknown_id).cast(pa.int32())
         sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
         offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
         return pa.ListArray.from_arrays(offsets, found)
 
-    return codes
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [n for n in batch.schema.names if n not in columns.values()]
+            arrays = [batch.column(n) for n in kept] + [codes(batch.column(c)) for c in columns.values()]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *columns])
+
+    return scan
 
 
 def encode(df: DataFrame, key: str, columns: dict[str, str], vocabulary: DataFrame, unknown_id: int = 3) -> DataFrame:
@@ -94,8 +100,9 @@ def encode(df: DataFrame, key: str, columns: dict[str, str], vocabulary: DataFra
     """
     if vocabulary.where(F.col("id") >= HEAD_IDS).isEmpty():
         head = vocabulary.where(F.col("id") < HEAD_IDS).orderBy("id").select("token").toArrow()
-        codes = _lookup(head.column("token").to_pylist(), unknown_id)
-        return df.withColumns({out: codes(F.col(c)) for out, c in columns.items()}).drop(*columns.values())
+        rest = df.drop(*columns.values()).schema.fields
+        schema = T.StructType([*rest, *[T.StructField(out, T.ArrayType(T.IntegerType())) for out in columns]])
+        return df.mapInArrow(_lookup(head.column("token").to_pylist(), columns, unknown_id), schema)
     return encode_by_join(df, key, columns, vocabulary, unknown_id)
 
 
@@ -105,11 +112,11 @@ def encode_by_join(df: DataFrame, key: str, columns: dict[str, str], vocabulary:
     tag = lambda c: lambda t: F.struct(F.lit(c).alias("c"), t.alias("token"))
     tagged = [F.transform(tokens, tag(c)) for c, tokens in enumerate(columns.values())]
     long = df.select(key, F.posexplode_outer(F.concat(*tagged)).alias("pos", "item")).select(key, "pos", "item.c", "item.token")
-    words = vocabulary.select("token", "id")
-    coded = long.join(F.broadcast(words.where(F.col("id") < head)), "token", "left")
-    rare = coded.where(F.col("id").isNull()).drop("id").join(words.where(F.col("id") >= head), "token", "left")
-    coded = coded.where(F.col("id").isNotNull()).unionByName(rare)
-    item = F.struct("pos", "c", F.coalesce("id", F.lit(unknown_id)).alias("id"))
+    words = vocabulary.select("token", F.col("id").alias("__id"))
+    coded = long.join(F.broadcast(words.where(F.col("__id") < head)), "token", "left")
+    rare = coded.where(F.col("__id").isNull()).drop("__id").join(words.where(F.col("__id") >= head), "token", "left")
+    coded = coded.where(F.col("__id").isNotNull()).unionByName(rare)
+    item = F.struct("pos", "c", F.coalesce("__id", F.lit(unknown_id)).alias("id"))
     gathered = coded.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("__items"))
     pick = lambda c: F.transform(F.filter("__items", lambda x: (x["c"] == c)), lambda x: x["id"])
     ids = gathered.select(key, *[pick(c).alias(out) for c, out in enumerate(columns)])
@@ -134,7 +141,12 @@ def mask_prompt(labels: str | Column, prompt_ids: str | Column) -> Column:
     return F.transform(as_column(labels), lambda x, i: F.when(i < count, F.lit(IGNORED)).otherwise(x))
 
 
-def label_mask(messages: Column, tokenizer: Tokenizer, trainable: str) -> Column:
+def label_mask(messages: str | Column, tokenizer: Tokenizer, trainable: str) -> Column:
+    """1 where a token carries no loss, see ``_mask``; the messages are bound once."""
+    return let(messages, lambda bound: _mask(bound, tokenizer, trainable))
+
+
+def _mask(messages: Column, tokenizer: Tokenizer, trainable: str) -> Column:
     """1 where a token carries no loss, over the whole untruncated conversation.
 
     ``trainable`` is ``assistant`` (every assistant turn) or ``last`` (the last message).  A
