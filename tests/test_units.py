@@ -262,7 +262,7 @@ def test_encode_by_join_matches_lookup(spark):
 
 def test_order_with_hot_ties_and_empty_input(spark):
     rows = spark.range(1000).select("id", F.lit(1).alias("n"))
-    indexed = {r.id: r.index for r in row_index(rows, "id").collect()}
+    indexed = {r.id: r["index"] for r in row_index(rows, "id").collect()}
     assert indexed == {i: i for i in range(1000)}
     assert running_by_key(rows, "id", total=F.col("n")).agg(F.max("total")).first()[0] == 1000
     assert row_index(rows.where("false"), "id").count() == 0
