@@ -30,10 +30,17 @@ def _feed(t, name: str, handle_of, transform, schema: str = SCHEMA, mode: str =
     """Append one drop after the other and run the job to its end each time, always resuming."""
     root = t.scratch(name)
     arrivals = _arrivals(t) if rows is None else rows
-    for drop in range(DROPS):
-        arrivals.where(F.col("drop_no") == drop).write.mode("append").parquet(f"{root}/in")
-        stream = transform(jobs.read_stream(t.spark, f"{root}/in", schema))
-        jobs.run(stream, f"{root}/checkpoint", handle_of(f"{root}/out"), mode)
+    setting = "spark.sql.shuffle.partitions"
+    before = t.spark.conf.get(setting)
+    # A state store per partition and batch: follow the cores that are there.
+    t.spark.conf.set(setting, str(min(int(before), 2 * t.spark.sparkContext.defaultParallelism)))
+    try:
+        for drop in range(DROPS):
+            arrivals.where(F.col("drop_no") == drop).write.mode("append").parquet(f"{root}/in")
+            stream = transform(jobs.read_stream(t.spark, f"{root}/in", schema))
+            jobs.run(stream, f"{root}/checkpoint", handle_of(f"{root}/out"), mode)
+    finally:
+        t.spark.conf.set(setting, before)
     return f"{root}/out"
 
 
