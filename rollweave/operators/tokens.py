@@ -28,6 +28,7 @@ from rollweave.operators.messages import (
 )
 from rollweave.operators.ordering import running
 from rollweave.operators.render import Template, piece, render, resolve
+from rollweave.session import materialise_stage
 
 TOKEN_PATTERN = r"<\|[a-z_]+\|>|</?[a-z_]+>|\n|[^\s<]+|<"
 IGNORED = -100
@@ -59,9 +60,9 @@ def build_vocabulary(df: DataFrame, *token_columns: str, max_size: int | None =
     """
     listed = F.explode(F.concat(*token_columns) if len(token_columns) > 1 else F.col(token_columns[0]))
     counted = df.select(listed.alias("token")).where(~F.col("token").isin(*specials)).groupBy("token")
-    keyed = counted.agg(F.count("*").alias("frequency")).withColumns(
-        {"__h": F.md5("token"), "__down": -F.col("frequency")}
-    )
+    # Stored once: ranking reads the counts twice, and the corpus pass is the costly part.
+    stored = materialise_stage(counted.agg(F.count("*").alias("frequency")), "token-counts")
+    keyed = stored.withColumns({"__h": F.md5("token"), "__down": -F.col("frequency")})
     rare = (64 - F.col("frequency")) * 256 + F.conv(F.substring("__h", 1, 2), 16, 10).cast("int")
     bucket = F.when(F.col("frequency") <= 64, rare).otherwise(-F.floor(F.log2("frequency") * 64)).cast("int")
     ranked = running(keyed, ["__down", "__h", "token"], bucket, id=F.lit(1))

@@ -28,6 +28,7 @@ def local_session(cores: str = "8", memory: str = "12g", **conf: str) -> SparkSe
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cores)
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
