@@ -46,6 +46,8 @@ BUCKET = 1 << 21
 FILTER_BITS = 1 << 26
 #: Members of one prefix tree, about.
 TREE = 256
+#: Members of a group that meet in one task.
+TILE = 4096
 
 DIGEST = "doc_id long, cls long, n int, bitmap binary"
 PACKED = "bucket int, counts binary, data binary, heads binary"
@@ -334,6 +336,54 @@ def _close_enough(num: int, den: int):
     return run
 
 
+def _folded(maps: list[bytes], bits: int) -> np.ndarray:
+    """Bitmaps as rows of 64 bit words, folded to ``bits``."""
+    rows = [np.frombuffer(m, dtype=np.uint64) for m in maps]
+    return np.stack([np.bitwise_xor.reduce(r.reshape(-1, bits // 64), axis=0) for r in rows])
+
+
+def _open_pairs(num: int, den: int):
+    """Pairs of a group's members from different components that the bitmaps cannot tell apart.
+
+    A hot group comes in tiles of two chunks, so its members meet in many tasks.
+    """
+
+    def pairs(tile: pa.Table) -> Iterator[tuple[int, int]]:
+        n, cls, part = tile["n"].to_numpy(), tile["cls"].to_numpy(), tile["component"].to_numpy()
+        hub, chunk, short = tile["hub"].to_numpy(), tile["chunk"].to_numpy(), tile["short"].to_numpy()
+        low, high = tile["low"][0].as_py(), tile["high"][0].as_py()
+        maps = tile["bitmap"].to_pylist()
+        bits = np.array([8 * len(m) for m in maps])
+        for size in np.unique(bits[short]):
+            # A set fits one whose bitmap has as many bits or, being larger, twice as many.
+            rows = np.flatnonzero((bits >= size) & (bits <= 4 * size))
+            words = _folded([maps[i] for i in rows], int(size))
+            for k in np.flatnonzero(short[rows] & (bits[rows] == size)):
+                x = rows[k]
+                fits = (n[rows] >= n[x]) & (n[rows] * num <= n[x] * den) & (part[rows] != part[x]) & (hub[rows] != cls[x])
+                if low != high:
+                    fits &= chunk[rows] != chunk[x]
+                y = np.flatnonzero(fits)
+                if len(y):
+                    m = n[rows[y]].astype(np.int64)
+                    apart = np.bitwise_count(words[y] ^ words[k]).sum(axis=1, dtype=np.int64)
+                    close = 2 * needed(int(n[x]), m, num, den) <= int(n[x]) + m - apart
+                    yield from ((int(cls[x]), int(cls[rows[i]])) for i in y[close])
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("grp", "ascending"), ("low", "ascending"), ("high", "ascending"), ("n", "ascending")])
+        key = [table[c].to_numpy() for c in ("grp", "low", "high")]
+        new = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in key], axis=0)]))
+        found: set[tuple[int, int]] = set()
+        for first, last in zip(new, np.append(new[1:], table.num_rows)):
+            found.update(pairs(table.slice(first, last - first)))
+        return pa.table(
+            {"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())}
+        )
+
+    return run
+
+
 class Tree:
     """A prefix tree of ascending shingle sequences; an edge holds a run of shingles."""
 
@@ -508,16 +558,25 @@ def jaccard_components(
     )
     named = materialise_stage(named, "members")
     # The only groups left are those whose classes lie in different components.
-    split = named.groupBy("grp").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-    open_ = named.join(split.select("grp"), "grp", "left_semi")
-    x = open_.where("short").select("grp", *[F.col(c).alias(f"x_{c}") for c in ("cls", "n", "component")])
-    y = open_.select("grp", *[F.col(c).alias(f"y_{c}") for c in ("cls", "n", "component", "hub")])
+    split = named.groupBy("grp").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.expr(f"(count(*) - 1) div {TILE} + 1").alias("chunks")
+    )
+    own = F.pmod(F.xxhash64("cls"), F.col("chunks"))
+    open_ = materialise_stage(
+        named.join(split.where("a <> b").select("grp", "chunks"), "grp")
+        .join(classes.select("cls", "bitmap"), "cls")
+        .withColumn("chunk", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumn("low", F.least("chunk", "other"))
+        .withColumn("high", F.greatest("chunk", "other"))
+        .drop("chunks", "other"),
+        "members",
+    )
+    blocks = max(1, open_.count() // (4 * TILE))
     rest = (
-        x.join(y, "grp")
-        .where("x_component <> y_component and y_hub <> x_cls")
-        .where((F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_cls") != F.col("y_cls"))))
-        .where(F.col("y_n") * num <= F.col("x_n") * den)
-        .select(F.col("x_cls").alias("a"), F.col("y_cls").alias("b"))
+        open_.withColumn("block", F.pmod(F.xxhash64("grp", "low", "high"), F.lit(blocks)))
+        .groupBy("block")
+        .applyInArrow(_open_pairs(num, den), "a long, b long")
         .distinct()
     )
     more = materialise_stage(_links(texts, classes, rest, width, num, den), "links")

@@ -272,6 +272,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines.append(sum(1 for x in own if x.encode().strip()))
             gone = {x["line"] for x in drop or ()}
             near.append(sum(1 for x in drop or () if x["near"]))
+            equal.append(len(gone) - near[-1])
             own = [x for i, x in enumerate(own) if i not in gone]
             left.append(sum(1 for x in own if x.encode().strip()))
             out.append(text if not gone else "\n".join(own))

@@ -65,21 +65,21 @@ lines AS MATERIALIZED (
   FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM cut)
 ), keyed AS MATERIALIZED (SELECT *, len(w) AS n, array_to_string(w, ' ') AS s FROM lines WHERE len(w) >= 5),
 first AS MATERIALIZED (
-  SELECT s, any_value(w) AS w, any_value(n) AS n, min((doc_id, line)) AS at FROM keyed GROUP BY s
+  SELECT s, any_value(w) AS w, any_value(n) AS n, min((doc_id, line)) AS here FROM keyed GROUP BY s
 ), variants AS MATERIALIZED (
-  SELECT at, i AS place, array_to_string(w[1 : i - 1] || w[i + 1 :], ' ') AS v
-  FROM (SELECT at, w, unnest(range(1, n + 1)) AS i FROM first WHERE n >= 10)
-  UNION ALL SELECT at, 0, s FROM first WHERE n >= 10
-), met AS MATERIALIZED (SELECT v FROM variants GROUP BY v HAVING count(DISTINCT at) > 1),
+  SELECT here, i AS place, array_to_string(list_concat(w[1 : i - 1], w[i + 1 : n]), ' ') AS v
+  FROM (SELECT here, w, n, unnest(range(1, n + 1)) AS i FROM first WHERE n >= 10)
+  UNION ALL SELECT here, 0, s FROM first WHERE n >= 10
+), met AS MATERIALIZED (SELECT v FROM variants GROUP BY v HAVING count(DISTINCT here) > 1),
 held AS MATERIALIZED (SELECT * FROM variants SEMI JOIN met USING (v)),
 pairs AS (
-  SELECT b.at AS at, a.at AS kept FROM held a JOIN held b USING (v)
-  WHERE a.at < b.at AND (a.place = b.place OR (a.place = 0) <> (b.place = 0))
-), near AS (SELECT at, min(kept) AS kept FROM pairs GROUP BY at),
+  SELECT b.here AS here, a.here AS kept FROM held a JOIN held b USING (v)
+  WHERE a.here < b.here AND (a.place = b.place OR (a.place = 0) <> (b.place = 0))
+), near AS (SELECT here, min(kept) AS kept FROM pairs GROUP BY here),
 gone AS (
-  SELECT k.doc_id, k.line, k.n, (k.doc_id, k.line) = f.at AS near
-  FROM keyed k JOIN first f USING (s) LEFT JOIN near p ON p.at = f.at
-  WHERE (k.doc_id, k.line) > coalesce(p.kept, f.at)
+  SELECT k.doc_id, k.line, k.n, (k.doc_id, k.line) = f.here AS near
+  FROM keyed k JOIN first f USING (s) LEFT JOIN near p ON p.here = f.here
+  WHERE (k.doc_id, k.line) > coalesce(p.kept, f.here)
 ), dropped AS (
   SELECT doc_id, list(line) AS gone, count(*) FILTER (NOT near) AS n_equal, count(*) FILTER (near) AS n_near
   FROM gone GROUP BY doc_id
@@ -93,6 +93,20 @@ FROM documents d LEFT JOIN cut c USING (doc_id) LEFT JOIN dropped g USING (doc_i
 """
 
 
+@query("op7_benchmark_decontamination")
+def op7(spark: SparkSession, root: str) -> DataFrame:
+    from rollweave.llm.tiling import contaminated_documents
+
+    return contaminated_documents(documents(spark, root), spark.read.parquet(f"{root}/benchmark.parquet"))
+
+
+@query("op8_best_fit_packing")
+def op8(spark: SparkSession, root: str) -> DataFrame:
+    from rollweave.llm.bestfit import pack_documents
+
+    return pack_documents(documents(spark, root))
+
+
 @query("op9_line_dedup", LINES_SQL)
 def op9(spark: SparkSession, root: str) -> DataFrame:
     from rollweave.llm.linededup import line_dedup
