@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,3 +64,24 @@ def materialise_stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each session, so that their workers can import it."""
+    context = spark.sparkContext
+    if getattr(context, "_rollweave_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    package = os.path.basename(os.path.dirname(os.path.abspath(__file__)))
+    # The driver serves this file for as long as the session lives.
+    folder = tempfile.mkdtemp(prefix=f"{package}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, f"{package}.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for top, _, names in os.walk(os.path.join(root, package)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    archive.write(full, os.path.relpath(full, root))
+    context.addPyFile(path)
+    context._rollweave_shipped = True
