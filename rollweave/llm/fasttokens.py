@@ -19,15 +19,14 @@ import re
 import numpy as np
 
 #: Pieces remembered by one worker (about 200 bytes each); at the bound the memory starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 #: Longer pieces are encoded each time.
 LONGEST = 48
 
 _ODD = re.compile("[\x1c-\x1f\x85\xa0  -​    　]")
 _RARE = re.compile("[\t\x0b\x0c\r]")
 _RUN = re.compile(r"\s ")
-_PLAIN_END = re.compile(r"[A-Za-z0-9À-ÖØ-öø-ÿ][.,]\Z")
-_BREAK = re.compile(r"(\S+)\n(\S+)")
+_PLAIN = frozenset(chr(c) for c in range(256) if chr(c).isalpha() and c not in (0xAA, 0xB5, 0xBA))
 _MARK = "~"
 
 
@@ -40,7 +39,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.spaced = spaced
-        self.forget()
+        self.known: dict[str, bytes] = {}
+        # What a full stop or comma behind a letter adds.
+        self.ends = dict(zip(".,", self._whole([".", ","])))
         size = self.tokenizer.get_vocab_size()
         opens = np.zeros(size, dtype=bool)
         if spaced:
@@ -50,11 +51,6 @@ class Encoder:
             opens[np.frombuffer(mark, dtype=np.uint32)] = len(mark) == 4
         self.opens = opens
 
-    def forget(self) -> None:
-        #: Ids of pieces, and of pieces that follow no space.
-        self.known: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}
-
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype=np.uint32).tobytes() for x in found]
@@ -74,15 +70,16 @@ class Encoder:
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist())]
 
-    def _encode(self, pieces: list[str]) -> dict[str, bytes]:
-        plain = [p for p in pieces if len(p) <= LONGEST and "<" not in p and _MARK not in p and not p[-1:].isspace() and p.split() == [p]]
-        out: dict[str, bytes] = {}
+    def _encode(self, pieces: list[str]) -> None:
+        """Learn pieces; plain ones many to a call."""
+        known, plain, rest = self.known, [], []
+        for p in pieces:
+            (rest if len(p) > LONGEST or "<" in p or _MARK in p else plain).append(p)
         for start in range(0, len(plain), 500):
             part = plain[start : start + 500]
-            out.update(zip(part, self._joined(part)))
-        rest = [p for p in pieces if p not in out]
-        out.update(zip(rest, self._whole([" " + p for p in rest] if self.spaced else rest)))
-        return out
+            known.update(zip(part, self._joined(part)))
+        if rest:
+            known.update(zip(rest, self._whole([" " + p for p in rest] if self.spaced else rest)))
 
     def _pieces(self, text: str) -> list[str] | None:
         if _ODD.search(text):
@@ -94,68 +91,46 @@ class Encoder:
         pieces = text.split(" ")
         return None if "" in pieces else pieces
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of new pieces, through their parts where the parts are certain."""
-        parts: dict[str, tuple] = {}
-        stems, bare = set(), {".", ",", "\n"} if self.spaced else set()
+    def _learn(self, new: set[str]) -> None:
+        known, ends, todo = self.known, self.ends, []
         for piece in new:
-            parted = _BREAK.fullmatch(piece) if self.spaced and "\n" in piece else None
-            if parted:
-                parts[piece] = (parted[1], parted[2], True)
-                stems.add(parted[1])
-                bare.add(parted[2])
-            elif _PLAIN_END.search(piece):
-                parts[piece] = (piece[:-1], piece[-1], False)
-                stems.add(piece[:-1])
-                if not self.spaced:
-                    stems.add(piece[-1])
-            else:
-                stems.add(piece)
-        known, bare_known = self.known, self.bare
-        ends = {p for p in stems if p not in known and _PLAIN_END.search(p)}
-        stems = (stems - ends) | {p[:-1] for p in ends}
-        found = self._encode([p for p in stems if p not in known])
-        lack = [p for p in bare if p not in bare_known]
-        bare_found = dict(zip(lack, self._whole(lack)))
-        id_of = lambda p: known[p] if p in known else found[p]
-        bare_of = lambda p: bare_known[p] if p in bare_known else bare_found[p]
-        sign = bare_of if self.spaced else id_of
-        if not self.spaced:
-            for s in {p[-1] for p in ends} - known.keys() - found.keys():
-                found.update(self._encode([s]))
-        for p in ends:
-            found[p] = id_of(p[:-1]) + sign(p[-1])
-        for piece, (a, b, broken) in parts.items():
-            if piece not in found:
-                found[piece] = id_of(a) + (bare_of("\n") + bare_of(b) if broken else sign(b))
-        known.update((p, v) for p, v in found.items() if len(p) <= LONGEST)
-        bare_known.update((p, v) for p, v in bare_found.items() if len(p) <= LONGEST)
-        return found
+            sign = ends.get(piece[-1:])
+            if sign is not None and piece[-2:-1] in _PLAIN:
+                stem = known.get(piece[:-1])
+                if stem is not None:
+                    known[piece] = stem + sign
+                    continue
+            todo.append(piece)
+        self._encode(todo)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) + len(self.bare) > REMEMBERED:
-            self.forget()
+        if len(self.known) > REMEMBERED:
+            self.known = {}
         get = self.known.get
         cut = [self._pieces(t) for t in texts]
-        heads = [None if not p or not self.spaced else p[0] for p in cut]
-        values: list[list] = [[] if not p else list(map(get, p[1:] if self.spaced else p)) for p in cut]
+        heads: list[bytes] = []
+        if self.spaced:
+            # The first piece of a text follows no space.
+            heads = self._whole([p[0] if p else "" for p in cut])
+            cut = [p and p[1:] for p in cut]
+        values = [list(map(get, p)) if p else [] for p in cut]
         holes = [[k for k, v in enumerate(own) if v is None] if None in own else () for own in values]
-        shift = 1 if self.spaced else 0
-        new = {p[k + shift] for p, own in zip(cut, holes) for k in own}
-        found = self._learn(new) if new else {}
-        out = []
-        lack = list({h for h in heads if h is not None and h not in self.bare})
-        firsts = dict(zip(lack, self._whole(lack))) if lack else {}
-        for text, p, head, own, own_holes in zip(texts, cut, heads, values, holes):
+        new = {p[k] for p, own in zip(cut, holes) for k in own}
+        if new:
+            self._learn(new)
+        known, out = self.known, []
+        for i, (text, p, own, own_holes) in enumerate(zip(texts, cut, values, holes)):
             if p is None:
                 raw = self._whole([text])[0]
             else:
                 for k in own_holes:
-                    own[k] = found[p[k + shift]]
+                    own[k] = known[p[k]]
                 raw = b"".join(own)
-                if head is not None:
-                    raw = (firsts[head] if head in firsts else self.bare[head]) + raw
+                if heads:
+                    raw = heads[i] + raw
             out.append(np.frombuffer(raw, dtype=np.uint32))
+        for p in [p for p in new if len(p) > LONGEST]:
+            del known[p]
         return out
 
 

@@ -28,6 +28,13 @@ def documents(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/documents.parquet")
 
 
+@query("op3_binary_records")
+def op3(spark: SparkSession, root: str) -> DataFrame:
+    from rollweave.llm.records import record_digests
+
+    return record_digests(documents(spark, root))
+
+
 JACCARD_SQL = rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, coalesce(regexp_extract_all({FOLD.format("text")}, '{WORD}'), []) AS w FROM documents
