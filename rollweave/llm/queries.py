@@ -100,6 +100,13 @@ FROM documents d LEFT JOIN cut c USING (doc_id) LEFT JOIN dropped g USING (doc_i
 """
 
 
+@query("op6_language_id")
+def op6(spark: SparkSession, root: str) -> DataFrame:
+    from rollweave.llm.langid import identify
+
+    return identify(documents(spark, root))
+
+
 @query("op7_benchmark_decontamination")
 def op7(spark: SparkSession, root: str) -> DataFrame:
     from rollweave.llm.tiling import contaminated_documents
