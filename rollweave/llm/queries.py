@@ -35,6 +35,13 @@ def op3(spark: SparkSession, root: str) -> DataFrame:
     return record_digests(documents(spark, root))
 
 
+@query("op4_token_counts")
+def op4(spark: SparkSession, root: str) -> DataFrame:
+    from rollweave.llm.viterbi import token_counts
+
+    return token_counts(documents(spark, root))
+
+
 JACCARD_SQL = rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, coalesce(regexp_extract_all({FOLD.format("text")}, '{WORD}'), []) AS w FROM documents
