@@ -28,6 +28,13 @@ def documents(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/documents.parquet")
 
 
+@query("op1_sharding")
+def op1(spark: SparkSession, root: str) -> DataFrame:
+    from rollweave.llm.sharding import shard_documents
+
+    return shard_documents(documents(spark, root))
+
+
 @query("op3_binary_records")
 def op3(spark: SparkSession, root: str) -> DataFrame:
     from rollweave.llm.records import record_digests
