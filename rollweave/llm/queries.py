@@ -35,6 +35,13 @@ def op1(spark: SparkSession, root: str) -> DataFrame:
     return shard_documents(documents(spark, root))
 
 
+@query("op2_secret_scan")
+def op2(spark: SparkSession, root: str) -> DataFrame:
+    from rollweave.llm.secretscan import labelled_by_form, scan
+
+    return scan(documents(spark, root), labelled_by_form)
+
+
 @query("op3_binary_records")
 def op3(spark: SparkSession, root: str) -> DataFrame:
     from rollweave.llm.records import record_digests
