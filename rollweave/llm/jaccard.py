@@ -11,9 +11,10 @@ Documents with equal shingle sets are one class; only classes are joined. Two cl
 3. In each group of classes that share a prefix shingle, members are joined to hubs of fitting size, not
    to each other. A parity bitmap bounds the overlap of a pair and discards most that do not link.
    Pairs left over are verified against a prefix tree of the members' whole sets.
-4. Links give components. Groups whose classes all lie in one component need nothing more. For the
-   others, all pairs of members from different components are verified the same way, so no link between
-   components is missed, and pairs inside a component are never formed.
+4. Links give components. Groups whose classes all lie in one component need nothing more. In the others
+   each member is tried with its likeliest partner of another component, twice; then all pairs of members
+   that still lie in different components are verified the same way, so no link between components is
+   missed, and pairs inside a component are never formed.
 
 Defined cases: a text without words (or null) has an empty set and links with nothing; fewer words than
 the shingle width make one shingle of the whole sequence; equal rows are linked; a null doc_id is kept
@@ -342,7 +343,7 @@ def _folded(maps: list[bytes], bits: int) -> np.ndarray:
     return np.stack([np.bitwise_xor.reduce(r.reshape(-1, bits // 64), axis=0) for r in rows])
 
 
-def _open_pairs(num: int, den: int):
+def _open_pairs(num: int, den: int, nearest: bool):
     """Pairs of a group's members from different components that the bitmaps cannot tell apart.
 
     A hot group comes in tiles of two chunks, so its members meet in many tasks.
@@ -368,7 +369,10 @@ def _open_pairs(num: int, den: int):
                     m = n[rows[y]].astype(np.int64)
                     apart = np.bitwise_count(words[y] ^ words[k]).sum(axis=1, dtype=np.int64)
                     close = 2 * needed(int(n[x]), m, num, den) <= int(n[x]) + m - apart
-                    yield from ((int(cls[x]), int(cls[rows[i]])) for i in y[close])
+                    y = y[close]
+                    if nearest and len(y):
+                        y = y[np.argmin((apart / m)[close])][None]
+                    yield from ((int(cls[x]), int(cls[rows[i]])) for i in y)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("grp", "ascending"), ("low", "ascending"), ("high", "ascending"), ("n", "ascending")])
@@ -528,6 +532,42 @@ def _links(texts: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, n
     )
 
 
+def _between_components(members: DataFrame, classes: DataFrame, label: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b) of members of one group that lie in different components and may link.
+
+    With ``nearest`` each member names only its likeliest partner, so a group gives no more pairs than it
+    has members; those settle nearly all groups, and the last round names what is left.
+    """
+    named = materialise_stage(
+        members.join(label.withColumnRenamed("node", "cls"), "cls", "left").select(
+            "grp", "cls", "n", "short", "hub", F.coalesce("component", "cls").alias("component")
+        ),
+        "members",
+    )
+    # The only groups left are those whose classes lie in different components.
+    split = named.groupBy("grp").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.expr(f"(count(*) - 1) div {TILE} + 1").alias("chunks")
+    )
+    own = F.pmod(F.xxhash64("cls"), F.col("chunks"))
+    tiles = materialise_stage(
+        named.join(split.where("a <> b").select("grp", "chunks"), "grp")
+        .join(classes.select("cls", "bitmap"), "cls")
+        .withColumn("chunk", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumn("low", F.least("chunk", "other"))
+        .withColumn("high", F.greatest("chunk", "other"))
+        .drop("chunks", "other"),
+        "members",
+    )
+    blocks = max(1, tiles.count() // (4 * TILE))
+    return (
+        tiles.withColumn("block", F.pmod(F.xxhash64("grp", "low", "high"), F.lit(blocks)))
+        .groupBy("block")
+        .applyInArrow(_open_pairs(num, den, nearest), "a long, b long")
+        .distinct()
+    )
+
+
 def jaccard_components(
     docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, text: str = "text", buckets: int | None = None
 ) -> DataFrame:
@@ -553,34 +593,15 @@ def jaccard_components(
     hubs = members.where("hub <> 0").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
     links = materialise_stage(_links(texts, classes, hubs, width, num, den), "links")
     label = components(links)
-    named = members.join(label.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "grp", "cls", "n", "short", "hub", F.coalesce("component", "cls").alias("component")
-    )
-    named = materialise_stage(named, "members")
-    # The only groups left are those whose classes lie in different components.
-    split = named.groupBy("grp").agg(
-        F.min("component").alias("a"), F.max("component").alias("b"), F.expr(f"(count(*) - 1) div {TILE} + 1").alias("chunks")
-    )
-    own = F.pmod(F.xxhash64("cls"), F.col("chunks"))
-    open_ = materialise_stage(
-        named.join(split.where("a <> b").select("grp", "chunks"), "grp")
-        .join(classes.select("cls", "bitmap"), "cls")
-        .withColumn("chunk", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .withColumn("low", F.least("chunk", "other"))
-        .withColumn("high", F.greatest("chunk", "other"))
-        .drop("chunks", "other"),
-        "members",
-    )
-    blocks = max(1, open_.count() // (4 * TILE))
-    rest = (
-        open_.withColumn("block", F.pmod(F.xxhash64("grp", "low", "high"), F.lit(blocks)))
-        .groupBy("block")
-        .applyInArrow(_open_pairs(num, den), "a long, b long")
-        .distinct()
-    )
-    more = materialise_stage(_links(texts, classes, rest, width, num, den), "links")
-    label = components(links.unionAll(more))
+    tested = hubs
+    for nearest in (True, True, False):
+        rest = materialise_stage(_between_components(members, classes, label, num, den, nearest), "pairs")
+        rest = rest.join(tested, ["a", "b"], "left_anti")
+        if rest.isEmpty():
+            continue
+        more = materialise_stage(_links(texts, classes, rest, width, num, den), "links")
+        links, tested = links.unionAll(more), tested.unionAll(rest)
+        label = components(links)
     names = digests.join(label.withColumnRenamed("node", "cls"), "cls", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "cls").alias("component")
     )
