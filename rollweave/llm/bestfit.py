@@ -45,11 +45,10 @@ def _tokenised(vocabulary: str, end: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(vocabulary, spaced=True)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
                 rows = []
-                texts = [t or "" for t in batch.column("text").to_pylist()]
-                for doc, own in zip(batch.column("doc_id").to_pylist(), tool.ids(texts)):
+                for doc, own in zip(batch.column("doc_id").to_pylist(), tool.ids(batch.column("text"))):
                     ids = np.append(own, np.uint32(end)).astype("<u4")
                     for k, (start, length) in enumerate(cuts(len(ids), capacity)):
                         rows.append((doc, k, start, length, zlib.crc32(ids[start : start + length].tobytes())))

@@ -78,12 +78,11 @@ def _framed(vocabulary: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(vocabulary, spaced=False)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                texts = [t or "" for t in batch.column("text").to_pylist()]
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
                 frames = [
                     frame(doc, np.append(own, np.uint32(end)))
-                    for doc, own in zip(batch.column("doc_id").to_pylist(), tool.ids(texts))
+                    for doc, own in zip(batch.column("doc_id").to_pylist(), tool.ids(batch.column("text")))
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
 
