@@ -265,7 +265,7 @@ def repeated_line_numbers(docs: DataFrame, min_words: int = 5, near_words: int =
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, drops = batch.column("text").to_pylist(), batch.column("_drop").to_pylist()
+        texts, drops = batch.column("text").to_pylist(), batch.column("__drop").to_pylist()
         out, lines, left, equal, near = [], [], [], [], []
         for text, drop in zip(texts, drops):
             own = [] if text is None else text.split("\n")
@@ -277,7 +277,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left.append(sum(1 for x in own if x.encode().strip()))
             out.append(text if not gone else "\n".join(own))
         at = batch.schema.get_field_index("text")
-        kept = batch.set_column(at, "text", pa.array(out, batch.schema.field("text").type)).drop_columns(["_drop"])
+        kept = batch.set_column(at, "text", pa.array(out, batch.schema.field("text").type)).drop_columns(["__drop"])
         yield pa.RecordBatch.from_arrays(
             [*kept.columns, *(pa.array(x, pa.int64()) for x in (lines, left, equal, near))],
             names=[*kept.schema.names, *COUNTS],
@@ -292,13 +292,13 @@ def line_dedup(docs: DataFrame, drop_empty: bool = False, min_words: int = 5, ne
     drops = (
         repeated_line_numbers(docs, min_words, near_words)
         .groupBy("doc")
-        .agg(F.collect_set(F.struct("line", "near")).alias("_drop"))
-        .withColumnRenamed("doc", "_doc")
+        .agg(F.collect_set(F.struct("line", "near")).alias("__drop"))
+        .withColumnRenamed("doc", "__doc")
     )
     schema = StructType([*docs.schema.fields, *(StructField(c, LongType()) for c in COUNTS)])
     out = (
-        docs.join(drops, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col("_doc"), "left")
-        .select(*[F.col(f"`{c}`") for c in docs.columns], "_drop")
+        docs.join(drops, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col("__doc"), "left")
+        .select(*[F.col(f"`{c}`") for c in docs.columns], "__drop")
         .mapInArrow(_without, schema)
     )
     return out.where((F.col("_lines") == 0) | (F.col("_left") > 0)) if drop_empty else out

@@ -159,7 +159,7 @@ def quality_rules(
 
 def _stripped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        frequent = batch.column("frequent").to_pylist()
+        frequent = batch.column("__frequent").to_pylist()
         out: list[str | None] = []
         for texts in kernel.blocks(batch.column("text")):
             hashes, count, first, start = line_hashes(texts, kernel.words(texts, lower=True))
@@ -175,16 +175,16 @@ def _stripped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     b"\n".join(texts.bytes_of(start[a + k], ends[k]) for k in range(b - a) if not gone[k]).decode()
                 )
         at = batch.schema.get_field_index("text")
-        yield batch.set_column(at, "text", pa.array(out, batch.schema.field("text").type)).drop_columns(["frequent"])
+        yield batch.set_column(at, "text", pa.array(out, batch.schema.field("text").type)).drop_columns(["__frequent"])
 
 
 def apply_quality(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
     """The documents that the rules keep, without their frequent lines; all columns of ``docs`` stay."""
     keep = quality_rules(docs, host, **limits).where("kept").select(
-        F.col("doc_id").alias("_doc"), F.col("host").alias("_host"), F.col("tid").alias("_tid"), "frequent"
-    ).dropDuplicates(["_doc", "_host", "_tid"])
+        F.col("doc_id").alias("__doc"), F.col("host").alias("__host"), F.col("tid").alias("__tid"), F.col("frequent").alias("__frequent")
+    ).dropDuplicates(["__doc", "__host", "__tid"])
     joined = docs.join(
-        keep.withColumnRenamed("frequent", "_frequent"),
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (host_key(host) == F.col("_host")) & (F.xxhash64("text") == F.col("_tid")),
-    ).select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_frequent").alias("frequent"))
+        keep,
+        F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (host_key(host) == F.col("__host")) & (F.xxhash64("text") == F.col("__tid")),
+    ).select(*[F.col(f"`{c}`") for c in docs.columns], "__frequent")
     return joined.mapInArrow(_stripped, docs.schema)

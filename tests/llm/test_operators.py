@@ -1,0 +1,361 @@
+"""The ten operators against SQL, brute force, exact round trips and held-out accuracy."""
+
+from __future__ import annotations
+
+import re
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rollweave.llm import bestfit, jaccard, langid, linededup, quality, queries, records, secretscan, sharding, tiling, viterbi
+from tests.llm.cases import SCHEMA, awkward, changed, rows, sentence, with_clashes
+from tests.oracle import rows_of
+
+ROOT = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def fold(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def vocabulary(name):
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return awkward(spark)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return queries.documents(spark, ROOT)
+
+
+def benchmark(spark):
+    items = [(1, sentence(40, 24)), (2, sentence(41, 24)), (3, None), (4, ""), (5, "short item"), (5, "short item")]
+    return spark.createDataFrame(items, "item_id long, text string")
+
+
+OPERATORS = {
+    "op1": lambda d: sharding.shard_documents(d),
+    "op2": lambda d: secretscan.scan(d, secretscan.labelled_by_form),
+    "op3": lambda d: records.record_digests(d).select("doc_id", "start", "n_tokens", "ids_crc32"),
+    "op4": lambda d: viterbi.token_counts(d),
+    "op5": lambda d: jaccard.jaccard_components(d),
+    "op6": lambda d: langid.identify(d),
+    "op7": lambda d: tiling.contaminated_documents(d, benchmark(d.sparkSession)),
+    "op8": lambda d: bestfit.pack_documents(d).select("doc_id", "piece", "start", "length", "ids_crc32"),
+    "op9": lambda d: linededup.line_dedup(d).select("doc_id", "text", *linededup.COUNTS),
+    "op10": lambda d: quality.quality_rules(d).drop("frequent"),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_empty_table(spark, name):
+    assert OPERATORS[name](spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_clashing_columns_change_nothing(odd, name):
+    assert rows(OPERATORS[name](with_clashes(odd))) == rows(OPERATORS[name](odd))
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_sql_twin(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{ROOT}/documents.parquet'")
+    df, rel = queries.QUERIES[name](spark, ROOT), con.execute(queries.SQL[name])
+    columns = [d[0] for d in rel.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(columns, rel.fetchall())
+
+
+@pytest.mark.parametrize("table", ["docs", "odd"])
+def test_sharding(request, table):
+    docs = request.getfixturevalue(table)
+    got = sharding.shard_documents(docs).collect()
+    want = [(r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in docs.collect()]
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == Counter(want)
+    held = defaultdict(list)
+    for r in got:
+        held[r.shard].append(r.slot)
+    count = [len(held[s]) for s in range(8)]
+    assert max(count) - min(count) <= 1
+    assert all(sorted(slots) == list(range(len(slots))) for slots in held.values())
+    # Only what a full shard cannot take leaves home.
+    home = Counter(r.home_shard for r in got)
+    assert sum(r.shard != r.home_shard for r in got) == sum(max(0, home[s] - count[s]) for s in range(8))
+
+
+def test_sharding_of_one_key(spark):
+    hot = spark.range(6000).select(F.when(F.col("id") < 4500, 7).otherwise(F.col("id")).alias("doc_id"), F.lit("x").alias("text"))
+    got = sharding.shard_documents(hot).groupBy("shard").agg(F.count("*").alias("n"), F.count_distinct("slot").alias("d"), F.max("slot").alias("m")).collect()
+    assert [(r.n, r.d, r.m) for r in got] == [(750, 750, 749)] * 8
+
+
+def test_secret_candidates(odd, docs):
+    run = re.compile(r"[A-Za-z0-9+/_\-]{16,}")
+    want = []
+    for r in docs.unionByName(odd).collect():
+        for k, word in enumerate(re.split(r"[\x20\x09-\x0D]+", r.text or "")):
+            if found := run.findall(word):
+                want.append((r.doc_id, k, max(found, key=len)))
+    assert Counter(tuple(r) for r in secretscan.candidates(docs.unionByName(odd)).select("doc_id", "word_no", "candidate").collect()) == Counter(want)
+
+
+def test_secret_forest_on_held_out_findings(spark):
+    import random
+
+    draw, texts, labels = random.Random(5), [], []
+    for k in range(240):
+        real = k % 2
+        value = "".join(draw.choice("abcdef0123456789ABCDEFGHXYZ") for _ in range(32)) if real else "src/main/resources/template/module"
+        texts.append((k, f"config {'token =' if real else 'see path'} {value} end", "en", "a", None))
+        labels.append((k, 3, float(real)))
+    docs = spark.createDataFrame(texts, SCHEMA)
+    findings = spark.createDataFrame([x for x in labels if x[0] < 160], "doc_id long, word_no int, label double")
+    got = {r.doc_id: r.is_secret for r in secretscan.scan(docs, findings).collect()}
+    assert len(got) == 240
+    assert all(got[k] == bool(k % 2) for k in range(160, 240))
+
+
+@pytest.mark.parametrize("table", ["docs", "odd"])
+def test_records_round_trip(request, spark, table):
+    from tokenizers import Tokenizer
+
+    docs, tool = request.getfixturevalue(table), Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    want = []
+    for r in docs.collect():
+        want.append((r.doc_id, [*tool.encode(r.text or "", add_special_tokens=False).ids, 2]))
+    got = records.record_digests(docs).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted((x for x, _ in want), key=lambda x: (x is not None, x))
+    crc = lambda ids: zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == Counter((d, len(i), crc(i)) for d, i in want)
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+
+
+def test_records_in_drawn_order(spark, docs, tmp_path):
+    path, index = str(tmp_path / "records"), str(tmp_path / "index")
+    records.write_records(docs, path, vocabulary("word_bpe_49k.json"), 2)
+    index = records.write_index(spark, path, index)
+    straight, drawn = records.read_records(spark, path, index), records.read_records(spark, path, index, seed=3)
+    assert rows(straight) == rows(drawn) and [r.doc_id for r in drawn.collect()] != [r.doc_id for r in straight.collect()]
+    some = index.where("doc_id % 7 = 0")
+    assert rows(records.read_records(spark, path, some)) == rows(straight.where("doc_id % 7 = 0"))
+
+
+def test_a_broken_record_is_found():
+    good = records.frame(5, np.array([1, 70_000], dtype=np.uint32)) + b"\n"
+    doc, ids, end = records.parse(good, 0)
+    assert (doc, ids.tolist(), end) == (5, [1, 70_000], len(good))
+    for at in range(len(good)):
+        with pytest.raises(records.BrokenRecord):
+            records.parse(good[:at] + bytes([good[at] ^ 1]) + good[at + 1 :], 0)
+
+
+@pytest.mark.parametrize("name, spaced", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_encoding_by_pieces(name, spaced):
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from rollweave.llm.fasttokens import Encoder
+
+    parts = [" ", "  ", "\n", "\t", ".", ",", "a", "Hello", "world", "é", "ª", "µ", "中文", "12", "'s", "<|endoftext|>", "</w>", "Ġ", "\x01", "\x85", "\xa0", " ", "﻿", "😀", "x.y", "×", "\r\n", "İ"]
+    draw = random.Random(11)
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 12))) for _ in range(3000)] + ["", None]
+    own, whole = Encoder(vocabulary(name), spaced), Tokenizer.from_file(vocabulary(name))
+    want = [x.ids for x in whole.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in own.ids(pa.array(texts, pa.string()))] == want
+
+
+@pytest.mark.parametrize("fallback", [True, False])
+def test_token_counts(odd, docs, fallback):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    pieces = viterbi.unigram_pieces(vocabulary("piece_bpe_32k.model"))
+    unknown = next(i for i, (piece, _) in enumerate(pieces) if piece == "<unk>")
+    tool = Tokenizer(models.Unigram(pieces, unknown, fallback))
+    tool.pre_tokenizer = pre_tokenizers.Metaspace("▁", "always")
+    both = docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text").where("length(text) < 40000 or text is null"))
+    want = Counter((r.doc_id, len(tool.encode(r.text or "", add_special_tokens=False).ids)) for r in both.collect())
+    assert Counter(tuple(r) for r in viterbi.token_counts(both, byte_fallback=fallback).collect()) == want
+
+
+def shingles(text):
+    own = WORD.findall(fold(text or ""))
+    return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set()
+
+
+def reached(pairs, nodes):
+    least = {n: n for n in nodes}
+    moved = True
+    while moved:
+        moved = False
+        for a, b in pairs:
+            low = min(least[a], least[b])
+            moved |= least[a] != low or least[b] != low
+            least[a] = least[b] = low
+    return least
+
+
+def test_jaccard_join(spark, odd):
+    near = [(100 + k, changed(sentence(70, 120), 3 * (k % 30) + 5, f"w{k}"), "en", "a", 0) for k in range(40)]
+    chain = [(200 + k, " ".join(sentence(71, 200).split()[6 * k : 6 * k + 80]), "en", "a", 0) for k in range(12)]
+    docs = odd.where("doc_id is not null").unionByName(spark.createDataFrame(near + chain, SCHEMA))
+    sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
+    pairs = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    least = reached([(a, b) for a, b in pairs if sets[b]], sets)
+    assert {tuple(r) for r in jaccard.jaccard_components(docs).collect()} == {(d, len(s), least[d]) for d, s in sets.items()}
+
+
+def test_language_of_held_out_documents(spark, odd):
+    docs = queries.documents(spark, "/root/testdata/sf0.01")
+    got = langid.identify(docs).join(docs.select("doc_id", "lang", "text"), "doc_id").where("lang is not null and text rlike '\\\\p{L}'")
+    held = got.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")).alias("x"), F.count("*").alias("n")).first()
+    assert held.n > 100 and held.x >= 0.9
+    assert got.where("score < 0 or score > 1").count() == 0
+    for r in langid.identify(odd).join(odd.select("doc_id", "text"), "doc_id").collect():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        if r.text is None or not any(c.isalpha() for c in r.text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+
+
+def test_decontamination(spark):
+    item = sentence(40, 24).split(" ")
+    wrapped = lambda own, k: f"{sentence(50 + k, 20)} {own} {sentence(60 + k, 20)}"
+    texts = [
+        (1, wrapped(" ".join(item), 1)),
+        (2, wrapped(" ".join(item[12:] + ["between"] + item[:12]), 2)),
+        (3, wrapped(" ".join(item).upper().replace(" ", ", "), 3)),
+        (4, wrapped(" ".join(item[:9]), 4)),
+        (5, wrapped(" ".join(item[::-1]), 5)),
+        (6, None),
+        (7, ""),
+        (8, wrapped("Short, item!", 6)),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.covered, r.n_tiles) for r in tiling.contaminated_documents(docs, benchmark(spark)).collect()}
+    assert got == {(1, 1): (24, 1), (2, 1): (24, 2), (3, 1): (24, 1), (8, 5): (2, 1)}
+
+
+def plain_tiles(doc, item, least):
+    """Greedy string tiling as it is defined: all longest free matches, one after the other."""
+    free_d, free_i, out = [True] * len(doc), [True] * len(item), 0
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(item)):
+            for d in range(len(doc)):
+                n = 0
+                while i + n < len(item) and d + n < len(doc) and item[i + n] == doc[d + n] and free_i[i + n] and free_d[d + n]:
+                    n += 1
+                best = max(best, (n, -i, -d))
+        n, i, d = best[0], -best[1], -best[2]
+        if n < least:
+            return out
+        free_i[i : i + n] = [False] * n
+        free_d[d : d + n] = [False] * n
+        out += n
+
+
+def test_tiles_against_the_definition():
+    draw = np.random.default_rng(3)
+    for _ in range(150):
+        item, doc = draw.integers(0, 4, 20), draw.integers(0, 4, 35)
+        hits = np.array([(i, d) for i in range(18) for d in range(33) if (item[i : i + 3] == doc[d : d + 3]).all()]).reshape(-1, 2)
+        covered = sum(x[2] for x in tiling.tile(doc, item, hits, 3)) if len(hits) else 0
+        assert covered == plain_tiles(doc.tolist(), item.tolist(), 3)
+
+
+@pytest.mark.parametrize("table", ["docs", "odd"])
+def test_packing(request, table):
+    from tokenizers import Tokenizer
+
+    docs, tool = request.getfixturevalue(table), Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    want = Counter()
+    for r in docs.collect():
+        ids = [*tool.encode(r.text or "", add_special_tokens=False).ids, 0]
+        for k, (start, n) in enumerate(bestfit.cuts(len(ids), 2048)):
+            want[r.doc_id, k, start, n, zlib.crc32(struct.pack(f"<{n}I", *ids[start : start + n]))] += 1
+    got = bestfit.pack_documents(docs).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for own in sequences.values():
+        at = 0
+        for offset, n in sorted(own):
+            assert offset == at
+            at += n
+        assert at <= 2048
+    counts = np.bincount([r.length for r in got], minlength=2049)
+    assert len(sequences) <= bestfit.lower_bound(counts, 2048) + 1
+
+
+def test_lower_bound_is_one():
+    draw = np.random.default_rng(1)
+    for _ in range(100):
+        lengths = draw.integers(1, 21, draw.integers(1, 30))
+        _, _, used = bestfit.best_fit_decreasing(lengths, 20)
+        assert bestfit.lower_bound(np.bincount(lengths, minlength=21), 20) <= used
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) <= 1
+    if abs(len(a) - len(b)) != 1:
+        return False
+    short, long = sorted((a, b), key=len)
+    return any(long[:k] + long[k + 1 :] == short for k in range(len(long)))
+
+
+def test_line_dedup(spark, odd):
+    line = sentence(2, 14)
+    more = [(20, changed(line, 3, "") + "\nkept", "en", "a", 0), (21, line + " more", "en", "a", 0), (22, "a b c d e\nA B C D E", "en", "a", 0)]
+    docs = odd.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(spark.createDataFrame(more, SCHEMA))
+    seen, want = [], {}
+    for r in sorted(docs.collect(), key=lambda r: r.doc_id):
+        out = []
+        for own in [] if r.text is None else r.text.split("\n"):
+            words = WORD.findall(fold(own))
+            hit = len(words) >= 5 and any(words == x or (len(words) >= 10 and len(x) >= 10 and one_edit(words, x)) for x in seen)
+            if len(words) >= 5:
+                seen.append(words)
+            if not hit:
+                out.append(own)
+        want[r.doc_id] = None if r.text is None else "\n".join(out)
+    got = linededup.line_dedup(docs)
+    assert {r.doc_id: r.text for r in got.collect()} == want
+    lost = {d for d, t in want.items() if t is not None and not t.split()} - {5, 6}
+    assert {r.doc_id for r in linededup.line_dedup(docs, drop_empty=True).collect()} == set(want) - lost
+
+
+def test_quality_rules(spark, odd):
+    foot = "all rights reserved by the owner of this page"
+    pages = [(500 + k, sentence(100 + k, 30) + "\n" + (foot.upper() if k % 2 else foot), "en", "web", 0) for k in range(60)]
+    pages += [(600, "\n".join([sentence(300, 3)] + [foot] * 12), "en", "web", 0), (601, sentence(301, 8) * 3, "en", "web", 0)]
+    docs = odd.unionByName(spark.createDataFrame(pages, SCHEMA))
+    got = {r.doc_id: r for r in quality.quality_rules(docs).collect() if r.doc_id is not None}
+    for r in docs.where("doc_id is not null").collect():
+        words = WORD.findall(r.text or "")
+        windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+        marked = {i + j for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for j in range(8)}
+        lines = [x for x in (r.text or "").split("\n") if WORD.search(x)]
+        own = got[r.doc_id]
+        assert (own.n_words, own.word_chars, own.n_dup_lines, own.n_repeat_words) == (len(words), sum(map(len, words)), len(lines) - len(set(lines)), len(marked))
+        assert own.n_symbols == sum(c in "#*$%&|<>" for c in r.text or "")
+        assert own.base_failed == (len(words) < 20 or 100 * len(marked) > 30 * len(words))
+    assert all(got[500 + k].kept and got[500 + k].lost_words == 9 for k in range(60))
+    assert not got[600].kept
+    kept = {r.doc_id: r.text for r in quality.apply_quality(docs).where("source = 'web'").collect()}
+    assert all(kept[500 + k] == sentence(100 + k, 30) for k in range(60)) and 600 not in kept
