@@ -70,19 +70,20 @@ def extract_json(text: str | Column) -> Column:
     """The first decodable object that ends at the last brace, doubled braces repaired."""
 
     def search(t: Column) -> Column:
-        end = F.length(t) - F.instr(F.reverse(t), "}") + 1
-        starts = F.filter(F.sequence(F.lit(1), F.greatest(end, F.lit(1))), lambda i: (i <= end) & (F.substr(t, i, F.lit(1)) == "{"))
+        # Up to the last closing brace; what follows each opening brace is a part.
+        parts = F.split(F.substr(t, F.lit(1), F.length(t) - F.instr(F.reverse(t), "}") + 1), r"\{")
         decoded = lambda s: F.try_parse_json(s).isNotNull()
 
-        def candidate(i: Column) -> Column:
+        def candidate(own: Column, i: Column) -> Column:
             return let(
-                F.substr(t, i, end - i + 1),
+                F.concat(F.lit("{"), F.array_join(F.slice(own, i + 1, F.size(own)), "{")),
                 lambda s: F.when(decoded(s), s).otherwise(
                     let(F.replace(F.replace(s, F.lit("{{"), F.lit("{")), F.lit("}}"), F.lit("}")), lambda r: F.when(decoded(r), r))
                 ),
             )
 
-        return F.get(F.filter(F.transform(starts, candidate), lambda c: c.isNotNull()), 0)
+        found = let(parts, lambda own: F.transform(own, lambda _, i: F.when(i > 0, candidate(own, i))))
+        return F.get(F.filter(found, lambda c: c.isNotNull()), 0)
 
     text = as_column(text)
     return F.when(F.contains(text, F.lit("}")) & F.contains(text, F.lit("{")), let(text, search))

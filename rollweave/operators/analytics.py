@@ -203,21 +203,29 @@ def tool_statistics(calls: DataFrame, rollouts: int | DataFrame, configured: lis
     )
 
 
-NUMBER = r"^-?\d+(\.\d+)?([eE][-+]?\d+)?$"
+def _numbers(values: Column) -> Column:
+    """Numeric entries of a map of variants; booleans count as 0 and 1, texts that look like numbers do not count."""
+
+    def number(_: Column, v: Column) -> Column:
+        kind = F.schema_of_variant(v)
+        return F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double")).when(
+            (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL"), F.try_variant_get(v, "$", "double")
+        )
+
+    return F.map_filter(F.transform_values(values, number), lambda _, v: v.isNotNull())
 
 
 def env_metrics(df: DataFrame, info: str) -> DataFrame:
     """Mean of every numeric key per environment.
 
     ``info`` is JSON text: flat with ``env_name`` (else ``unknown``), or nested per environment
-    under ``env_metrics``.  Texts that only look like numbers do not count.
+    under ``env_metrics``.
     """
-    flat = F.from_json(info, "map<string,string>")
-    nested = F.from_json(F.get_json_object(info, "$.env_metrics"), "map<string,map<string,double>>")
-    quoted = lambda k: F.regexp_like(F.col(info), F.concat(F.lit('"'), k, F.lit('"\\s*:\\s*"')))
-    numbers = F.map_filter(flat, lambda k, v: (k != "env_name") & ~quoted(k) & v.rlike(NUMBER))
-    typed = F.transform_values(numbers, lambda _, v: v.cast("double"))
-    single = F.create_map(F.coalesce(flat["env_name"], F.lit("unknown")), typed)
+    flat = F.from_json(info, "map<string,variant>")
+    nested = F.from_json(F.get_json_object(info, "$.env_metrics"), "map<string,map<string,variant>>")
+    name = F.coalesce(F.try_variant_get(flat["env_name"], "$", "string"), F.lit("unknown"))
+    single = F.create_map(name, _numbers(F.map_filter(flat, lambda k, _: k != "env_name")))
+    nested = F.transform_values(nested, lambda _, v: _numbers(v))
     by_env = df.select(F.explode(F.coalesce(nested, single)).alias("env", "values"))
     return by_env.select("env", F.explode("values").alias("key", "value")).groupBy("env", "key").agg(F.avg("value").alias("mean"))
 

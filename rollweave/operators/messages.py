@@ -464,10 +464,10 @@ def tool_coverage(df: DataFrame, configured: list[str], tools: str = "tools") ->
 def validate_tools(df: DataFrame, configured: list[str], tools: str = "tools", name: str = "dataset") -> list[str]:
     """Raise on unconfigured names, return the extraneous ones.
 
-    Only names are collected: at most as many as are configured, plus ten to show.
+    Only names are collected; a message lists every wrong name.
     """
     coverage = tool_coverage(df, configured, tools)
-    wrong = coverage.where("problem = 'unconfigured'").orderBy("tool_name").limit(10).collect()
+    wrong = coverage.where("problem = 'unconfigured'").orderBy("tool_name").collect()
     if wrong:
         raise ValueError(f"{name} uses tools {[r.tool_name for r in wrong]} that are not configured: {configured}")
     return sorted(r.tool_name for r in coverage.where("problem = 'extraneous'").collect())

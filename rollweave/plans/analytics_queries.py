@@ -164,6 +164,7 @@ def tool_statistics(t):
     "G33",
     """WITH e AS (SELECT event_id % 4 AS c, event_type, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events),
     l AS (SELECT 'unknown' AS env, 'k' AS key, k AS v FROM e WHERE c = 0 UNION ALL SELECT event_type, 'k', k FROM e WHERE c = 1 UNION ALL SELECT event_type, 'half', k / 2 FROM e WHERE c = 1
+      UNION ALL SELECT event_type, unnest(['done', 'acc[0', 'r.s']), unnest([1, k, 2]) FROM e WHERE c = 1
       UNION ALL SELECT event_type, 'k', k FROM e WHERE c = 2 UNION ALL SELECT 'other', 'one', 1 FROM e WHERE c = 2)
     SELECT env, key, round(avg(v), 6) AS mean FROM l GROUP BY 1, 2""",
 )
@@ -172,7 +173,7 @@ def env_metrics(t):
     c = F.col("event_id") % 4
     info = (
         F.when(c == 0, F.col("props"))
-        .when(c == 1, F.format_string('{"env_name": "%s", "k": %d, "half": %.1f, "note": "x", "label": "12"}', "event_type", k, k / 2))
+        .when(c == 1, F.format_string('{"env_name": "%s", "k": %d, "half": %.1f, "note": "x", "label": "12", "done": true, "acc[0": %d, "r.s": 2, "rxs": "2"}', "event_type", k, k / 2, k))
         .when(c == 2, F.format_string('{"env_metrics": {"%s": {"k": %d}, "other": {"one": 1}}}', "event_type", k))
         .otherwise(F.lit("{}"))
     )

@@ -175,9 +175,10 @@ def text_matchers(t):
     )
 
 
-F1_SQL = f"""b AS (SELECT d.doc_id, d.text AS p, bb.text AS l FROM documents d JOIN benchmark bb ON bb.item_id = d.doc_id % (SELECT count(*) FROM benchmark)),
-    w AS (SELECT doc_id, string_split({norm('p')}, ' ') AS pw, string_split({norm('l')}, ' ') AS lw FROM b),
-    pc AS (SELECT doc_id, x AS tok, count(*) AS n FROM (SELECT doc_id, unnest(pw) AS x FROM w) WHERE x <> '' GROUP BY 1, 2), lc AS (SELECT doc_id, x AS tok, count(*) AS n FROM (SELECT doc_id, unnest(lw) AS x FROM w) WHERE x <> '' GROUP BY 1, 2),
+F1_SQL = f"""m AS MATERIALIZED (SELECT count(*) AS m FROM benchmark), k AS MATERIALIZED (SELECT doc_id, text AS p, doc_id % m AS item_id FROM documents, m),
+    b AS MATERIALIZED (SELECT k.doc_id, k.p, bb.text AS l FROM k JOIN benchmark bb USING (item_id)),
+    w AS MATERIALIZED (SELECT doc_id, string_split({norm('p')}, ' ') AS pw, string_split({norm('l')}, ' ') AS lw FROM b),
+    pc AS MATERIALIZED (SELECT doc_id, x AS tok, count(*) AS n FROM (SELECT doc_id, unnest(pw) AS x FROM w) WHERE x <> '' GROUP BY 1, 2), lc AS MATERIALIZED (SELECT doc_id, x AS tok, count(*) AS n FROM (SELECT doc_id, unnest(lw) AS x FROM w) WHERE x <> '' GROUP BY 1, 2),
     c AS (SELECT doc_id, sum(least(pc.n, lc.n)) AS same FROM pc JOIN lc USING (doc_id, tok) GROUP BY 1), np AS (SELECT doc_id, sum(n) AS n FROM pc GROUP BY 1), nl AS (SELECT doc_id, sum(n) AS n FROM lc GROUP BY 1),
     f AS (SELECT w.doc_id, coalesce(2.0 * (same / np.n) * (same / nl.n) / (same / np.n + same / nl.n), 0) AS f1 FROM w LEFT JOIN c USING (doc_id) LEFT JOIN np USING (doc_id) LEFT JOIN nl USING (doc_id))"""
 

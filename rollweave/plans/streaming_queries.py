@@ -95,10 +95,10 @@ def stream_throughput(t):
 @check(
     "recent_throughput",
     "K3",
-    """WITH l AS (SELECT user_id, epoch_us(ts) / 1e6 AS s FROM events ORDER BY ts DESC LIMIT 500) SELECT sum(user_id)::BIGINT AS tokens, count(*) AS samples, round(sum(user_id) / (max(s) - min(s)), 4) AS tokens_per_second FROM l""",
+    """WITH l AS (SELECT user_id, epoch_us(ts) / 1e6 AS s FROM events ORDER BY ts DESC, event_id DESC LIMIT 500) SELECT sum(user_id)::BIGINT AS tokens, count(*) AS samples, round(sum(user_id) / (max(s) - min(s)), 4) AS tokens_per_second FROM l""",
 )
 def recent_throughput(t):
-    out = jobs.recent_throughput(t.events.select(F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("tokens")), 500)
+    out = jobs.recent_throughput(t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("tokens")), 500, ties=("event_id",))
     return out.withColumn("tokens_per_second", F.round("tokens_per_second", 4))
 
 

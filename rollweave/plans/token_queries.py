@@ -309,9 +309,9 @@ def transform_chain(t):
     f"""WITH {VOCAB}, {labelled('lab', 'messages', 'msgs', 'assistant')}, s AS (SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN 'web' ELSE 'books' END AS dataset_source,
       least(len(toks), 256) AS n, len(list_filter(keep[1:256], lambda x: x = 1)) AS trainable FROM lab)
     SELECT dataset_source, count(*) FILTER (WHERE trainable > 0 AND n <= 250) AS final_instances, count(*) AS initial_instances, count(*) AS original_size, 1.0::DOUBLE AS requested,
-      sum(n) FILTER (WHERE trainable > 0 AND n <= 250)::BIGINT AS total_tokens, sum(trainable) FILTER (WHERE trainable > 0 AND n <= 250)::BIGINT AS trainable_tokens,
+      coalesce(sum(n) FILTER (WHERE trainable > 0 AND n <= 250), 0)::BIGINT AS total_tokens, coalesce(sum(trainable) FILTER (WHERE trainable > 0 AND n <= 250), 0)::BIGINT AS trainable_tokens,
       count(*) - count(*) FILTER (WHERE trainable > 0 AND n <= 250) AS instances_filtered, false AS is_upsampled, 1.0::DOUBLE AS upsampling_factor,
-      round(avg(n) FILTER (WHERE trainable > 0 AND n <= 250), 6) AS avg_tokens_per_instance FROM s GROUP BY 1""",
+      round(coalesce(avg(n) FILTER (WHERE trainable > 0 AND n <= 250), 0), 6) AS avg_tokens_per_instance FROM s GROUP BY 1""",
 )
 def sft_statistics(t):
     source = F.when(F.col("conv_id") % 3 == 0, F.lit("web")).otherwise(F.lit("books"))

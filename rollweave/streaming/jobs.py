@@ -158,9 +158,9 @@ def stream_throughput(events: DataFrame, window: str, slide: str, delay: str = "
     return grouped.withColumn("tokens_per_second", F.when(seconds > 0, F.col("tokens") / seconds).otherwise(0.0))
 
 
-def recent_throughput(events: DataFrame, n: int, order: str = "ts") -> DataFrame:
-    """K3, exact form: over the last ``n`` records, 0 on an empty input."""
-    last = events.orderBy(F.desc(order)).limit(n)
+def recent_throughput(events: DataFrame, n: int, order: str = "ts", ties: tuple[str, ...] = ()) -> DataFrame:
+    """K3, exact form: over the last ``n`` records, 0 on an empty input; ``ties`` and the tokens order equal times."""
+    last = events.orderBy(F.desc(order), *[F.desc(c) for c in ties], F.desc("tokens")).limit(n)
     span = F.max(F.col(order).cast("double")) - F.min(F.col(order).cast("double"))
     return last.agg(
         F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"),
