@@ -199,6 +199,40 @@ def op10(spark: SparkSession, root: str) -> DataFrame:
     return quality_rules(documents(spark, root)).drop("host", "tid", "frequent")
 
 
+MIDDLE_SQL = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents
+), numbers AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS c2,
+    n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 AS plain,
+    ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 AS spm
+  FROM drawn
+), cut AS (
+  SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form FROM numbers
+), parts AS (
+  SELECT *, '<P>' || substr(t, 1, a) AS p, '<M>' || substr(t, a + 1, b - a) AS m, '<S>' || substr(t, b + 1, n - b) AS s FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN NOT plain THEN a END AS prefix_chars, CASE WHEN NOT plain THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN s || p || m ELSE p || s || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op11_fill_in_middle", MIDDLE_SQL)
+def op11(spark: SparkSession, root: str) -> DataFrame:
+    from rollweave.llm.middle import digests
+
+    return digests(documents(spark, root))
+
+
+@query("op13_byte_bpe")
+def op13(spark: SparkSession, root: str) -> DataFrame:
+    from rollweave.llm.bytebpe import round_trip_digests
+
+    return round_trip_digests(documents(spark, root))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
