@@ -25,7 +25,7 @@ import base64
 import heapq
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,8 @@ CHUNK = 1 << 22
 #: Longest word that the fold takes, in bytes.
 FOLDED = 256
 BUCKETS = 1 << 15
+#: A piece's number in the fold is its rank times ``START`` and its start; ``NONE`` is no rank.
+START, NONE = 1 << 20, 1 << 40
 
 CHUNKS = "chunk long, docs array<long>, counts array<int>, wide boolean, codes binary, words array<string>"
 ENCODED = "doc_id long, ids array<int>"
@@ -50,6 +52,52 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in (x.split() for x in lines if x.strip())}
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _folded(word: Column, buckets: Column) -> Column:
+    """The ids of a word in hex.
+
+    The state of the fold is one number for each piece: where the piece starts, and above ``START`` the rank
+    of the piece together with its right neighbour (``NONE``: no such piece). So the least number is the
+    leftmost pair of least rank. A last number stands for the end of the word.
+    """
+
+    def rank(start: Column, end: Column) -> Column:
+        piece = F.substr(word, start * 2 + 1, (end - start) * 2)
+        return F.element_at(F.get(buckets, (F.crc32(piece) % BUCKETS).cast("int")), piece)
+
+    def start_of(state: Column, at: Column) -> Column:
+        return F.get(state, at).bitwiseAND(START - 1).cast("int")
+
+    def paired(start: Column, end: Column) -> Column:
+        return F.coalesce(rank(start, end).cast("long"), F.lit(NONE)) * START + start
+
+    def merge(state: Column, at: Column) -> Column:
+        """Join the pieces ``at`` and ``at + 1``, counted from one."""
+        here, behind = start_of(state, at - 1), start_of(state, at + 1)
+        left = F.when(at > 1, F.array(paired(start_of(state, at - 2), behind))).otherwise(F.array().cast("array<bigint>"))
+        right = F.array(paired(here, start_of(state, at + 2)))
+        return F.concat(F.slice(state, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(state, at + 2, F.size(state)))
+
+    def step(state: Column, _: Column) -> Column:
+        least = F.array_min(state)
+        return F.aggregate(
+            F.array(least), state, lambda s, x: F.when(x >= NONE * START, s).otherwise(merge(s, F.array_position(s, x).cast("int")))
+        )
+
+    size = (F.length(word) / 2).cast("int")
+    single = F.transform(F.sequence(F.lit(0), size), lambda k: F.when(k + 2 > size, NONE * START + k).otherwise(paired(k, k + 2)))
+    done = F.aggregate(F.sequence(F.lit(1), size), single, step)
+    pieces = _bound(
+        done, lambda s: F.transform(F.slice(s, 1, F.size(s) - 1), lambda _, k: rank(start_of(s, k), start_of(s, k + 1)))
+    )
+    known = rank(F.lit(0), size)
+    return F.when(known.isNotNull(), F.array(known)).otherwise(pieces)
+
+
 class RankMap:
     """The ranks as foldable columns, so that they are literals of the plan."""
 
@@ -64,40 +112,10 @@ class RankMap:
             pieces[rank] = piece.hex()
         self._pieces = F.split(F.lit(",".join(pieces)), ",")
 
-    def rank(self, piece: Column) -> Column:
-        """The rank of a piece in hex; null if it has none."""
-        return F.element_at(F.get(self._buckets, (F.crc32(piece) % BUCKETS).cast("int")), piece)
-
     def ids(self, word: Column) -> Column:
-        """The ids of one word."""
+        """The ids of one word; map and bytes are bound once, so that the plan holds one copy of the map."""
         whole = F.hex(F.encode(word, "UTF-8"))
-
-        def step(state: Column, _: Column) -> Column:
-            pieces, ranks = state["p"], state["r"]
-            size = F.size(pieces)
-
-            def merged(i: Column) -> Column:
-                new = F.concat(F.get(pieces, i - 1), F.get(pieces, i))
-                left = F.when(i > 1, F.array(self.rank(F.concat(F.get(pieces, i - 2), new)))).otherwise(F.array().cast("array<int>"))
-                right = F.array(self.rank(F.concat(new, F.get(pieces, i + 1))))
-                return F.struct(
-                    F.concat(F.slice(pieces, 1, i - 1), F.array(new), F.slice(pieces, i + 2, size)).alias("p"),
-                    F.concat(F.slice(ranks, 1, F.greatest(i - 2, F.lit(0))), left, right, F.slice(ranks, i + 2, size)).alias("r"),
-                )
-
-            least = F.array_position(ranks, F.array_min(ranks)).cast("int")
-            return F.when(F.array_min(ranks).isNull(), state).otherwise(F.get(F.transform(F.array(least), merged), F.lit(0)))
-
-        def folded(pieces: Column) -> Column:
-            # The last piece has no right neighbour: its rank is null and stays so.
-            ranks = F.transform(pieces, lambda x, i: self.rank(F.concat(x, F.get(pieces, i + 1))))
-            start = F.struct(pieces.alias("p"), ranks.alias("r"))
-            done = F.aggregate(F.slice(pieces, 2, F.size(pieces)), start, step)
-            return F.transform(done["p"], self.rank)
-
-        single = F.regexp_extract_all(whole, F.lit(".."), F.lit(0))
-        known = self.rank(whole)
-        return F.when(known.isNotNull(), F.array(known)).otherwise(F.get(F.transform(F.array(single), folded), F.lit(0)))
+        return _bound(self._buckets, lambda buckets: _bound(whole, lambda x: _folded(x, buckets)))
 
     def decoded(self, ids: Column) -> Column:
         """The bytes of ``ids``, piece after piece."""
