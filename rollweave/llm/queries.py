@@ -226,6 +226,45 @@ def op11(spark: SparkSession, root: str) -> DataFrame:
     return digests(documents(spark, root))
 
 
+# crc32 bit by bit, as there is no such function; a turn is a struct of role and text.
+TRIE_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL
+), own AS MATERIALIZED (
+  SELECT conv_id, list({'r': r, 't': t} ORDER BY turn NULLS FIRST, md5(concat(strlen(r), ':', r, t))) AS w,
+    xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT), lambda a, b:
+      list_reduce([1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[], lambda u, v: CASE WHEN u & 1 = 1 THEN xor(u >> 1, 3988292384) ELSE u >> 1 END, xor(a, b)),
+      4294967295), 4294967295) % 9 AS h
+  FROM turns GROUP BY conv_id
+), rebuilt AS MATERIALIZED (
+  SELECT o.conv_id, list_concat(coalesce(b.w, [])[1 : o.h], o.w[o.h + 1 : len(o.w)]) AS w
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5
+), steps AS (
+  SELECT conv_id, d, w[1 : d] AS p, w[1 : d - 1] AS up, len(w) = d AS ends, CASE WHEN d > 0 THEN strlen(w[d].t) ELSE 0 END AS bytes
+  FROM (SELECT conv_id, w, unnest(range(0, len(w) + 1)) AS d FROM rebuilt)
+), nodes AS MATERIALIZED (
+  SELECT p, d, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM steps GROUP BY p, d
+), children AS (SELECT up AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY up),
+sums AS (
+  SELECT q AS p, sum(saved) AS saved, sum(leaf) AS leaves FROM (
+    SELECT n.p[1 : unnest(range(0, n.d + 1))] AS q, saved, (c.n IS NULL)::BIGINT AS leaf FROM nodes n LEFT JOIN children c USING (p)
+  ) GROUP BY q
+)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, s.leaves::BIGINT AS n_leaves,
+  s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s USING (p) LEFT JOIN children c USING (p) LEFT JOIN nodes u ON n.d > 0 AND u.p = n.up AND u.d = n.d - 1
+"""
+
+
+@query("op12_conversation_trie", TRIE_SQL)
+def op12(spark: SparkSession, root: str) -> DataFrame:
+    from rollweave.llm.ztrie import conversation_trie
+
+    return conversation_trie(spark.read.parquet(f"{root}/conversations.parquet"))
+
+
 @query("op13_byte_bpe")
 def op13(spark: SparkSession, root: str) -> DataFrame:
     from rollweave.llm.bytebpe import round_trip_digests
