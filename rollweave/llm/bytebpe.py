@@ -1,22 +1,19 @@
 """Byte-level BPE: ranked merges folded over the bytes of distinct words, and decoding by concatenation.
 
-Texts become chunks: each task cuts its texts into the pattern's matches and writes, for some megabytes
-of text, the chunk's distinct words once and every text as codes into them. The distinct words of all
-chunks are the only thing that is encoded: a higher-order fold starts from the single bytes of a word and
-merges, step by step, the leftmost pair of least rank; ranks come from a literal map in the plan (dealt
-into buckets by CRC, as looking up a key in one map reads it from the start). The ids of its words then
-travel to each chunk, which replaces its codes.
+Texts become chunks, one for each Arrow batch of some megabytes: the chunk's distinct words (matches of the
+pattern) once, and every text as codes into them. A higher-order fold encodes distinct words: it starts from
+the ids of a word's single bytes and joins, step by step, the leftmost pair of least rank; ranks come from a
+literal map in the plan, dealt into buckets by remainder, as looking up a key in one map reads it from the start. Words
+that many chunks share, at most ``HEAD``, are encoded once and sent to all tasks; all others are encoded in
+the chunk where they stand. So the only shuffle counts the chunks of each word; texts and codes stay in
+their task, and a chunk's work does not depend on any other.
 
-What is shuffled is each chunk's distinct words, their ids and the codes (two bytes a word), never the
-texts. A word in every chunk is one row for each chunk. A chunk ends at ``CHUNK`` bytes of text or at
-65,536 distinct words; one longer text is a chunk of its own.
-
-The fold copies the word's arrays at each merge, which is quadratic in the word; words of more than
-``FOLDED`` bytes take the same merges from a heap over a linked list instead.
+The fold copies a word's array at each merge, which is quadratic in the word; a word of more than ``FOLDED``
+bytes takes the same merges from a heap over a linked list instead.
 
 Defined cases: a null text is empty and has no ids; a null doc_id stays null; repeated rows are encoded
-each; other columns are ignored; an empty table gives an empty result. Decoding keeps unknown ids out:
-an id beyond the vocabulary is an error.
+each; other columns are ignored; an empty table gives an empty result. A vocabulary in which a piece is not
+reached by merging two pieces of lower rank is refused. Decoding an id beyond the vocabulary is an error.
 """
 
 from __future__ import annotations
@@ -24,27 +21,41 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollweave.llm import kernel
 from rollweave.session import scratch_path
 
-#: Bytes of text in one chunk, about.
-CHUNK = 1 << 22
+#: Bytes of text in one chunk, at most (one longer text is a chunk of its own); Arrow batches may be smaller.
+CHUNK = 1 << 24
 #: Longest word that the fold takes, in bytes.
 FOLDED = 256
-BUCKETS = 1 << 15
-#: A piece's number in the fold is its rank times ``START`` and its start; ``NONE`` is no rank.
-START, NONE = 1 << 20, 1 << 40
-
-CHUNKS = "chunk long, docs array<long>, counts array<int>, wide boolean, codes binary, words array<string>"
+#: Words sent to all tasks, at most, and their bytes, at most: 16 MB with their ids.
+HEAD, HEAD_BYTES = 1 << 18, 32
+#: A prime, so that keys spread.
+BUCKETS = 32_749
+#: In the fold a piece is its id plus ``SHIFT`` times the id of the pair it opens; ``NONE``: no such pair.
+SHIFT, NONE = 1 << 20, 1 << 40
+
+CHUNKS = "docs array<long>, counts array<int>, codes binary, words array<string>"
+SPLIT = "docs array<long>, counts array<int>, codes binary, slots binary, rest array<string>"
 ENCODED = "doc_id long, ids array<int>"
 
+#: Letters, digits, signs (but the apostrophe) and white space of ASCII; the pattern never joins two kinds.
+_KIND = np.zeros(256, dtype=np.uint8)
+for _b in range(33, 127):
+    _KIND[_b] = 1 if chr(_b).isalpha() else 2 if chr(_b).isdigit() else 3
+_KIND[ord("'")] = 0
+_KIND[[9, 10, 11, 12, 13, 32]] = 4
+#: Second bytes of the letters that begin with byte 0xC3.
+_ACCENTED = np.isin(np.arange(256), [x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)])
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Pieces and ranks of a vocabulary file: base64 and a number on each line."""
@@ -52,85 +63,105 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in (x.split() for x in lines if x.strip())}
 
 
+def merges(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
+    """The pair of ids that each longer piece is made of: what its bytes come to before its own rank."""
+    out = {}
+    for piece, rank in ranks.items():
+        if len(piece) > 1:
+            parts = heap_ids(piece, ranks, below=rank)
+            if len(parts) != 2:
+                raise ValueError(f"{piece!r} is no merge of two pieces of lower rank")
+            out[parts[0], parts[1]] = rank
+    return out
+
+
 def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _folded(word: Column, buckets: Column) -> Column:
-    """The ids of a word in hex.
+def _folded(word: Column, singles: Column, pairs: Column) -> Column:
+    """The ids of a word.
 
-    The state of the fold is one number for each piece: where the piece starts, and above ``START`` the rank
-    of the piece together with its right neighbour (``NONE``: no such piece). So the least number is the
-    leftmost pair of least rank. A last number stands for the end of the word.
+    The least number of the state is the pair of least rank, and the first place of it is the leftmost one;
+    the last piece opens no pair.
     """
 
-    def rank(start: Column, end: Column) -> Column:
-        piece = F.substr(word, start * 2 + 1, (end - start) * 2)
-        return F.element_at(F.get(buckets, (F.crc32(piece) % BUCKETS).cast("int")), piece)
+    def paired(left: Column, right: Column) -> Column:
+        key = left * SHIFT + right
+        bucket = F.get(pairs, (key % BUCKETS).cast("int"))
+        made = F.get(bucket["r"], F.array_position(bucket["k"], key).cast("int") - 1)
+        return F.coalesce(made, F.lit(NONE)) * SHIFT + left
 
-    def start_of(state: Column, at: Column) -> Column:
-        return F.get(state, at).bitwiseAND(START - 1).cast("int")
-
-    def paired(start: Column, end: Column) -> Column:
-        return F.coalesce(rank(start, end).cast("long"), F.lit(NONE)) * START + start
+    def piece(state: Column, at: Column) -> Column:
+        return F.get(state, at).bitwiseAND(SHIFT - 1)
 
     def merge(state: Column, at: Column) -> Column:
-        """Join the pieces ``at`` and ``at + 1``, counted from one."""
-        here, behind = start_of(state, at - 1), start_of(state, at + 1)
-        left = F.when(at > 1, F.array(paired(start_of(state, at - 2), behind))).otherwise(F.array().cast("array<bigint>"))
-        right = F.array(paired(here, start_of(state, at + 2)))
-        return F.concat(F.slice(state, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(state, at + 2, F.size(state)))
+        """Join the pieces ``at - 1`` and ``at``, counted from zero, to the pair's own id."""
+        made = F.shiftright(F.get(state, at - 1), SHIFT.bit_length() - 1)
+
+        def changed(x: Column, k: Column) -> Column:
+            left = F.when(k == at - 2, paired(x.bitwiseAND(SHIFT - 1), made))
+            return left.when(k == at - 1, paired(made, piece(state, at + 1))).when(k == at, -1).otherwise(x)
+
+        return F.array_remove(F.transform(state, changed), F.lit(-1).cast("long"))
 
     def step(state: Column, _: Column) -> Column:
-        least = F.array_min(state)
+        least = F.array_position(state, F.array_min(state)).cast("int")
         return F.aggregate(
-            F.array(least), state, lambda s, x: F.when(x >= NONE * START, s).otherwise(merge(s, F.array_position(s, x).cast("int")))
+            F.array(least), state, lambda s, at: F.when(F.get(s, at - 1) >= NONE * SHIFT, s).otherwise(merge(s, at))
         )
 
-    size = (F.length(word) / 2).cast("int")
-    single = F.transform(F.sequence(F.lit(0), size), lambda k: F.when(k + 2 > size, NONE * START + k).otherwise(paired(k, k + 2)))
-    done = F.aggregate(F.sequence(F.lit(1), size), single, step)
-    pieces = _bound(
-        done, lambda s: F.transform(F.slice(s, 1, F.size(s) - 1), lambda _, k: rank(start_of(s, k), start_of(s, k + 1)))
+    raw = F.encode(word, "UTF-8")
+    first = F.transform(
+        F.sequence(F.lit(1), F.octet_length(word)), lambda k: F.get(singles, F.conv(F.hex(F.substr(raw, k, F.lit(1))), 16, 10).cast("int"))
     )
-    known = rank(F.lit(0), size)
-    return F.when(known.isNotNull(), F.array(known)).otherwise(pieces)
+    start = _bound(first, lambda ids: F.transform(ids, lambda x, k: paired(x, F.get(ids, k + 1))))
+    done = _bound(start, lambda s: F.aggregate(F.slice(s, 2, F.size(s)), s, step))
+    return F.transform(done, lambda x: x.bitwiseAND(SHIFT - 1).cast("int"))
 
 
 class RankMap:
     """The ranks as foldable columns, so that they are literals of the plan."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-        for piece, rank in ranks.items():
-            key = piece.hex().upper()
-            buckets[zlib.crc32(key.encode()) % BUCKETS][key] = rank
-        self._buckets = F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
-        pieces = [""] * (max(ranks.values(), default=-1) + 1)
+        buckets: list[dict[str, list[int]]] = [{"k": [], "r": []} for _ in range(BUCKETS)]
+        for (left, right), rank in merges(ranks).items():
+            key = left * SHIFT + right
+            buckets[key % BUCKETS]["k"].append(key)
+            buckets[key % BUCKETS]["r"].append(rank)
+        self._pairs = F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<struct<k:array<bigint>,r:array<bigint>>>")
+        self._singles = F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<bigint>")
+        pieces = [""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             pieces[rank] = piece.hex()
         self._pieces = F.split(F.lit(",".join(pieces)), ",")
 
-    def ids(self, word: Column) -> Column:
-        """The ids of one word; map and bytes are bound once, so that the plan holds one copy of the map."""
-        whole = F.hex(F.encode(word, "UTF-8"))
-        return _bound(self._buckets, lambda buckets: _bound(whole, lambda x: _folded(x, buckets)))
+    def ids(self, words: Column) -> Column:
+        """The ids of each word of an array; null for a word of more than ``FOLDED`` bytes.
+
+        The maps are bound once, so that the plan holds one copy of each.
+        """
+        return _bound(
+            F.struct(self._pairs.alias("p"), self._singles.alias("s")),
+            lambda m: F.transform(words, lambda w: F.when(F.octet_length(w) <= FOLDED, _folded(w, m["s"], m["p"]))),
+        )
 
     def decoded(self, ids: Column) -> Column:
         """The bytes of ``ids``, piece after piece."""
         return F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(self._pieces, i + 1)), ""))
 
 
-def heap_ids(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same merges for one long word: least rank first, leftmost among equal ones."""
+def heap_ids(word: bytes, ranks: dict[bytes, int], below: int | None = None) -> list[int]:
+    """The same merges for one long word: least rank first, leftmost among equal ones; only ranks ``below``."""
     ends, back = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
     heap: list[tuple[int, int, int]] = []
 
     def offer(start: int) -> None:
         if ends[start] < len(word):
             stop = ends[ends[start]]
-            if (rank := ranks.get(word[start:stop])) is not None:
+            rank = ranks.get(word[start:stop])
+            if rank is not None and (below is None or rank < below):
                 heapq.heappush(heap, (rank, start, stop))
 
     for start in range(len(word)):
@@ -154,96 +185,148 @@ def heap_ids(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _long_words(ranks: dict[bytes, int]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for word in batch.column("word").to_pylist():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([word], pa.string()), pa.array([heap_ids(word.encode(), ranks)], pa.list_(pa.int32()))], names=["word", "ids"]
-                )
+def _runs(texts: kernel.Texts) -> tuple[pa.Array, np.ndarray]:
+    """The texts cut where two kinds of ASCII meet and the pattern cannot cross, and how many cuts each text has.
 
-    return run
+    White space belongs to what follows it, so nothing is cut behind it.
+    """
+    data, offsets = texts.data, texts.offsets
+    kind = _KIND[data]
+    two = np.flatnonzero(data[:-1] == 0xC3)
+    two = two[_ACCENTED[data[two + 1]]]
+    kind[two] = kind[two + 1] = 1
+    before, own = kind[:-1], kind[1:]
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    cut[1:-1] = (before != own) & (before != 0) & (own != 0) & (before != 4)
+    cut[offsets] = True
+    edges = np.flatnonzero(cut)
+    runs = pa.StringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges.astype(np.int32).tobytes()), pa.py_buffer(data))
+    return runs, np.diff(np.searchsorted(edges, offsets))
+
+
+def _coded(texts: kernel.Texts, find) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct matches, the code of each match, and the number of matches of each text."""
+    runs, count = _runs(texts)
+    coded = runs.dictionary_encode()
+    index = coded.indices.to_numpy()
+    known: dict[str, int] = {}
+    flat, size = [], []
+    for run in coded.dictionary.to_pylist():
+        found = find(run)
+        size.append(len(found))
+        flat.extend(known.setdefault(w, len(known)) for w in found)
+    bounds = np.concatenate([[0], np.cumsum(count)])
+    codes, ends = _taken(np.array(flat, dtype=np.uint32), np.array(size, dtype=np.int64), index)
+    return list(known), codes, np.diff(np.concatenate([[0], ends])[bounds])
+
+
+def _taken(flat: np.ndarray, size: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists ``index`` of (``flat``, ``size``) on end, and where each ends."""
+    length = size[index]
+    ends = np.cumsum(length)
+    if not len(flat):
+        return flat, ends
+    first = (np.cumsum(size) - size)[index]
+    return flat[np.repeat(first - ends + length, length) + np.arange(int(ends[-1]) if len(ends) else 0)], ends
 
 
 def _chunked(pattern: str, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
-        from pyspark import TaskContext
 
         find = regex.compile(pattern).findall
-        name = TaskContext.get().partitionId() << 32
-        known: dict[str, int] = {}
-        docs: list[int | None] = []
-        parts: list[np.ndarray] = []
-        held = 0
-
-        def chunk() -> pa.RecordBatch:
-            wide = len(known) > 1 << 16
-            codes = np.concatenate([*parts, np.zeros(0, np.uint32)]).astype("<u4" if wide else "<u2").tobytes()
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([name], pa.int64()),
-                    pa.array([docs], pa.list_(pa.int64())),
-                    pa.array([[len(x) for x in parts]], pa.list_(pa.int32())),
-                    pa.array([wide]),
-                    pa.array([codes], pa.binary()),
-                    pa.array([list(known)], pa.list_(pa.string())),
-                ],
-                names=[x.split()[0] for x in CHUNKS.split(", ")],
-            )
+        for batch in batches:
+            for texts in kernel.blocks(batch.column("text"), limit):
+                words, codes, counts = _coded(texts, find)
+                docs = batch.column("doc_id").slice(texts.first, len(texts))
+                yield _row(CHUNKS, _one(docs), _one(pa.array(counts, pa.int32())), pa.array([codes.astype("<u4").tobytes()]), _one(pa.array(words, pa.string())))
+
+    return run
+
+
+def _one(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _row(schema: str, *columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), names=[x.split()[0] for x in schema.split(", ")])
+
 
+def _split(head):
+    """Each chunk's words as places in ``head``, or behind it in the chunk's own rest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = head.value["word"].combine_chunks()
+        for batch in batches:
+            for k in range(batch.num_rows):
+                words = batch.column("words")[k].values
+                slots = pc.index_in(words, value_set=known)
+                missing = pc.is_null(slots).to_numpy(zero_copy_only=False)
+                place = slots.fill_null(0).to_numpy().astype(np.int64)
+                place[missing] = len(known) + np.arange(int(missing.sum()))
+                own = batch.slice(k, 1)
+                yield _row(SPLIT, own.column("docs"), own.column("counts"), own.column("codes"), pa.array([place.astype("<u4").tobytes()]), _one(words.filter(pa.array(missing))))
+
+    return run
+
+
+def _assembled(head, ranks: dict[bytes, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = head.value["ids"].combine_chunks()
+        head_flat, head_size = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
         for batch in batches:
-            texts = batch.column("text")
-            for row, doc in enumerate(batch.column("doc_id").to_pylist()):
-                text = texts[row].as_py() or ""
-                if docs and (held + len(text) > limit or len(known) + len(text) > 1 << 16 and len(known) > 1 << 15):
-                    yield chunk()
-                    name, known, docs, parts, held = name + 1, {}, [], [], 0
-                docs.append(doc)
-                parts.append(np.array([known.setdefault(w, len(known)) for w in find(text)], dtype=np.uint32))
-                held += len(text)
-        if docs:
-            yield chunk()
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                rest, words = row.column("ids")[0].values, row.column("rest")[0].values
+                flat, size = rest.flatten().to_numpy(), rest.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+                long = np.flatnonzero(rest.is_null().to_numpy(zero_copy_only=False))
+                if len(long):
+                    found = [heap_ids(words[int(i)].as_py().encode(), ranks) for i in long]
+                    parts = np.split(flat, np.cumsum(size)[:-1])
+                    for i, ids in zip(long, found):
+                        parts[i], size[i] = np.array(ids, dtype=np.int32), len(ids)
+                    flat = np.concatenate(parts)
+                slots = np.frombuffer(row.column("slots")[0].as_buffer(), dtype="<u4")
+                codes = np.frombuffer(row.column("codes")[0].as_buffer(), dtype="<u4")
+                ids, ends = _taken(np.concatenate([head_flat, flat]).astype(np.int32), np.concatenate([head_size, size]), slots[codes])
+                counts = row.column("counts")[0].values.to_numpy()
+                edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+                out = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids))
+                made = _row(ENCODED, row.column("docs")[0].values, out)
+                for at in range(0, made.num_rows, 1024):
+                    yield made.slice(at, 1024)
 
     return run
 
 
-def _assembled(left: pa.Table, right: pa.Table) -> pa.Table:
-    """The ids of a chunk's texts: ``left`` is the chunk, ``right`` the ids of its words."""
-    if not left.num_rows:
-        return pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
-    codes = np.frombuffer(left["codes"][0].as_py(), dtype="<u4" if left["wide"][0].as_py() else "<u2")
-    right = right.sort_by("k")
-    lists = right["ids"].combine_chunks() if right.num_rows else pa.array([], pa.list_(pa.int32()))
-    if isinstance(lists, pa.ChunkedArray):
-        lists = lists.chunk(0)
-    flat, size = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
-    length = size[codes].astype(np.int64)
-    end = np.cumsum(length)
-    first = (np.cumsum(size) - size)[codes]
-    ids = flat[np.repeat(first - end + length, length) + np.arange(int(end[-1]) if len(end) else 0)]
-    counts = left["counts"][0].values.to_numpy()
-    edges = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(counts)])]
-    return pa.table({"doc_id": left["docs"][0].values, "ids": pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids, pa.int32()))})
-
-
-def encode(docs: DataFrame, vocabulary: str, pattern: str, chunk_bytes: int = CHUNK) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, pattern: str, chunk_bytes: int = CHUNK, head_words: int = HEAD) -> DataFrame:
     """The ids of every text (``ENCODED``), each match of ``pattern`` encoded by itself."""
     spark = docs.sparkSession
     ranks = read_ranks(vocabulary)
+    rank_map = RankMap(ranks)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     path = scratch_path(spark, "chunks")
     texts.mapInArrow(_chunked(pattern, chunk_bytes), CHUNKS).write.option("compression", "zstd").parquet(path)
     chunks = spark.read.schema(CHUNKS).parquet(path)
-    words = chunks.select("chunk", F.posexplode("words").alias("k", "word"))
-    distinct = words.select("word").distinct()
-    short = F.octet_length("word") <= FOLDED
-    folded = distinct.where(short).select("word", RankMap(ranks).ids(F.col("word")).alias("ids"))
-    vocabulary_ids = folded.unionByName(distinct.where(~short).mapInArrow(_long_words(ranks), "word string, ids array<int>"))
-    coded = words.join(vocabulary_ids, "word").select("chunk", "k", "ids")
-    # Read anew: both sides of a cogroup need columns of their own.
-    own = spark.read.schema(CHUNKS).parquet(path).select("chunk", "docs", "counts", "wide", "codes")
-    return own.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(_assembled, ENCODED)
+    word = chunks.select(F.explode("words").alias("word")).where(F.octet_length("word") <= HEAD_BYTES)
+    counted = spark.read.schema("word string, n long").parquet(_stored(word.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "words"))
+    # The least number of chunks that leaves at most ``head_words`` words.
+    sizes = sorted((r.n, r.words) for r in counted.groupBy("n").agg(F.count("*").alias("words")).collect())
+    least, held = 1 << 62, 0
+    for n, words in reversed(sizes):
+        if held + words > head_words:
+            break
+        least, held = n, held + words
+    often = counted.where(F.col("n") >= least).select("word", F.get(rank_map.ids(F.array("word")), F.lit(0)).alias("ids"))
+    head = spark.sparkContext.broadcast(often.toArrow())
+    split = chunks.mapInArrow(_split(head), SPLIT)
+    return split.withColumn("ids", rank_map.ids(F.col("rest"))).mapInArrow(_assembled(head, ranks), ENCODED)
+
+
+def _stored(df: DataFrame, name: str) -> str:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
