@@ -21,6 +21,9 @@ DEFAULTS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+#: Arrow batches end at this size, whatever the length of a row; ten thousand long texts would be hundreds of megabytes.
+ARROW_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
 
 def local_session(cores: str = "8", memory: str = "12g", **conf: str) -> SparkSession:
     """A local session for tests and the benchmark; clusters bring their own."""
@@ -33,7 +36,7 @@ def local_session(cores: str = "8", memory: str = "12g", **conf: str) -> SparkSe
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
-    for key, value in {**DEFAULTS, **conf}.items():
+    for key, value in {**DEFAULTS, **dict([ARROW_BYTES]), **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -67,7 +70,12 @@ def materialise_stage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each session, so that their workers can import it."""
+    """Send this package to the executors, once for each session, so that their workers can import it.
+
+    A session that sets no size for Arrow batches gets one.
+    """
+    if not spark.conf.get(ARROW_BYTES[0], ""):
+        spark.conf.set(*ARROW_BYTES)
     context = spark.sparkContext
     if getattr(context, "_rollweave_shipped", False):
         return
