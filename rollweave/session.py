@@ -74,7 +74,7 @@ def ship(spark: SparkSession) -> None:
 
     A session that sets no size for Arrow batches gets one.
     """
-    if not spark.conf.get(ARROW_BYTES[0], ""):
+    if spark.conf.get(ARROW_BYTES[0], None) is None:
         spark.conf.set(*ARROW_BYTES)
     context = spark.sparkContext
     if getattr(context, "_rollweave_shipped", False):
