@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollweave.session import materialise_stage
+
 HASH_BUCKETS = 4096
+#: Rows of one range of an ordered table, about.
+BUCKET_ROWS = 1 << 20
 
 
 def md5_key(seed: int | str, *cols: str | Column) -> Column:
@@ -84,44 +87,58 @@ def hash_rank(
     return ranked.withColumn(out, F.col(out).cast("long")).drop("__h")
 
 
-def key_buckets(
-    df: DataFrame, key: str | Column, buckets: int | None = None, error: float = 1e-3
-) -> tuple[DataFrame, str]:
-    """Tag rows with a range bucket of a numeric or time key; split points by quantile sketch.
+def ranged(df: DataFrame, order: Sequence[str | Column], rows: int = BUCKET_ROWS) -> DataFrame:
+    """``df`` cut into ranges of about ``rows`` rows along ``order``: ``__part`` and the place ``__local`` in it.
 
-    Only the split points reach the driver, one per bucket.
+    Keys may be of any type that Spark orders, and several; nulls come first. Split points are sampled by
+    Spark's range exchange on the keys themselves. The row's place in the input is the last key, so a range
+    may end inside equal keys and one hot key fills many ranges. The result is stored: places are drawn once.
     """
-    buckets = buckets or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    column = F.col(key) if isinstance(key, str) else key
-    numeric = df.withColumn("__n", column.cast("double"))
-    cuts = numeric.approxQuantile("__n", [i / buckets for i in range(1, buckets)], max(error, 0.25 / buckets))
-    if not cuts:  # no rows
-        return numeric.withColumn("__range", F.lit(0.0)).drop("__n"), "__range"
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="__n", outputCol="__range").transform(numeric)
-    return bucketed.drop("__n"), "__range"
+    salted = df.withColumn("__salt", F.monotonically_increasing_id())
+    keys = [F.col(k) if isinstance(k, str) else k for k in order]
+    keys = [*(k.asc_nulls_first() for k in keys), F.col("__salt")]
+    parts = max(1, -(-df.count() // rows))
+    if parts > 1:
+        placed = salted.repartitionByRange(parts, *keys)
+    else:
+        placed = salted.coalesce(1)
+    numbered = placed.sortWithinPartitions(*keys).drop("__salt").withColumn("__at", F.monotonically_increasing_id())
+    split = numbered.withColumns({"__part": F.shiftright("__at", 33).cast("int"), "__local": F.col("__at").bitwiseAND((1 << 33) - 1)})
+    return materialise_stage(split.drop("__at"), "ranged")
+
+
+def _offsets(parts: DataFrame, **measures: Column) -> DataFrame:
+    """Sums of all ranges before each range; one row for each range."""
+    totals = parts.groupBy("__part").agg(*[F.sum(m).alias(n) for n, m in measures.items()])
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("__part", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in measures])
+
 
+def as_keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
-def row_index(df: DataFrame, key: str, start: int = 0, out: str = "index") -> DataFrame:
-    """Consecutive row number in ``key`` order; the key must be unique and not null."""
-    bucketed, bucket = key_buckets(df.where(F.col(key).isNotNull()), key)
-    numbered = running(bucketed, [key], F.col(bucket), **{out: F.lit(1)})
-    return numbered.withColumn(out, (F.col(out) - 1 + start).cast("long")).drop(bucket)
+
+def row_index(df: DataFrame, key: str | Sequence[str], start: int = 0, out: str = "index") -> DataFrame:
+    """Consecutive row number in the order of a key of any type, or of several; null keys come first.
+
+    Equal keys are numbered in the order of the input, which is arbitrary; give a unique key.
+    """
+    parts = ranged(df, as_keys(key))
+    numbered = attach(parts, _offsets(parts, __before=F.lit(1)), ["__part"], bounded=True)
+    return numbered.withColumn(out, (F.col("__before") + F.col("__local") + start).cast("long")).drop("__part", "__local", "__before")
 
 
-def running_by_key(df: DataFrame, key: str, **measures: Column) -> DataFrame:
+def running_by_key(df: DataFrame, key: str | Sequence[str], **measures: Column) -> DataFrame:
     """Inclusive running sums over the whole table in the order of a unique key."""
-    bucketed, bucket = key_buckets(df, key)
-    return running(bucketed, [key], F.col(bucket), **measures).drop(bucket)
+    parts = ranged(df, as_keys(key))
+    return running(parts, ["__local"], F.col("__part"), **measures).drop("__part", "__local")
 
 
-def value_rank(df: DataFrame, value: str, key: str, out: str = "rank") -> DataFrame:
-    """1-based position by (value, digest of the key); one value may fill many buckets."""
-    digest = F.md5(F.col(key).cast("string"))
-    spread = F.col(value).cast("double") + hash_bucket(digest) / F.lit(float(HASH_BUCKETS))
-    bucketed, bucket = key_buckets(df.withColumn("__h", digest), spread)
-    ranked = running(bucketed, [value, "__h", key], F.col(bucket), **{out: F.lit(1)})
-    return ranked.withColumn(out, F.col(out).cast("long")).drop(bucket, "__h")
+def value_rank(df: DataFrame, value: str, key: str | Sequence[str], out: str = "rank") -> DataFrame:
+    """1-based position by (value, digest of the key, key); one value may fill many ranges."""
+    keys = as_keys(key)
+    digest = F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
+    return row_index(df.withColumn("__h", digest), [value, "__h", *keys], start=1, out=out).drop("__h")
 
 
 def first_hash_rows(df: DataFrame, key: str, seed: int | str, groups: Sequence[str], quota: DataFrame) -> DataFrame:

@@ -17,12 +17,18 @@ from pyspark.sql import types as T
 
 from rollweave.operators.messages import as_column
 from rollweave.operators.ordering import attach, hash_rank, md5_mod, row_index, running_by_key, value_rank
+from rollweave.session import materialise_stage
 
 IGNORED = -100
 
 
+#: Rows of one shard, about: up to here packing is one sequential scan.
+SHARD_ROWS = 1 << 16
+
+
 def default_shards(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Shards follow the rows alone, so that the packs of a table do not depend on the session."""
+    return max(1, -(-df.count() // SHARD_ROWS))
 
 
 # --- the scan ------------------------------------------------------------------------------
@@ -59,7 +65,7 @@ def _make_packer(carried: list[str], lengths: list[str], max_items: int | None,
         bounds = pa.array([*starts, ends], pa.int32())
         arrays = dict(zip(table.column_names, _flat_lists(table)))
         numbers = pa.array(range(first_no, first_no + len(starts)), pa.int64())
-        shards = pa.array([shard] * len(starts), pa.int32())
+        shards = pa.array([shard] * len(starts), schema.field("shard").type)
         columns = [shards, numbers, *[_regroup(arrays[c], bounds) for c in carried]]
         return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -100,16 +106,22 @@ def next_fit(
     carry: Sequence[str],
     max_items: int | None = None,
     n_shards: int | None = None,
+    by: str | None = None,
 ) -> DataFrame:
     """One row per pack: ``shard``, ``pack_no`` and each carried column as one array.
 
     A shard is an even hash split of the rows, never a data group.  ``n_shards=1`` gives the
-    exact order of one sequential scan; more shards leave at most one open pack each.
+    exact order of one sequential scan; more shards leave at most one open pack each.  With ``by``
+    the shards are the values of that column, groups of a size the caller bounds (a training step).
+    The packs are stored, so the scan runs once however often they are read.
     """
-    n_shards = n_shards or default_shards(df)
     carry = list(carry)
     size_names = [f"__len{i}" for i in range(len(lengths))]
-    shard = md5_mod(F.md5(F.col(order).cast("string")), n_shards)
+    if by is None:
+        n_shards = n_shards or default_shards(df)
+        shard = md5_mod(F.md5(F.col(order).cast("string")), n_shards)
+    else:
+        shard = F.col(by).cast("long")
     narrow = df.select(
         shard.alias("__shard"),
         F.col(order).alias("__order"),
@@ -117,7 +129,7 @@ def next_fit(
         limit.cast("int").alias("__limit"),
         *carry,
     )
-    fields = [T.StructField("shard", T.IntegerType()), T.StructField("pack_no", T.LongType())]
+    fields = [T.StructField("shard", narrow.schema["__shard"].dataType), T.StructField("pack_no", T.LongType())]
     for name in carry:
         kind = narrow.schema[name].dataType
         fields.append(T.StructField(name, kind if isinstance(kind, T.ArrayType) else T.ArrayType(kind)))
@@ -125,8 +137,8 @@ def next_fit(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     scan = _make_packer(carry, size_names, max_items, to_arrow_schema(schema))
-    ordered = narrow.repartition(n_shards, "__shard").sortWithinPartitions("__shard", "__order")
-    return ordered.mapInArrow(scan, schema)
+    dealt = narrow.repartition("__shard") if by else narrow.repartition(n_shards, "__shard")
+    return materialise_stage(dealt.sortWithinPartitions("__shard", "__order").mapInArrow(scan, schema), "packs")
 
 
 def number_packs(packs: DataFrame, out: str = "pack_id") -> DataFrame:
@@ -148,6 +160,7 @@ def pack_sequences(
     min_packs: int = 1,
     mask_tool_use: bool = False,
     n_shards: int | None = None,
+    by: str | None = None,
     query: str = "query",
     response: str = "response",
     mask: str = "mask",
@@ -157,21 +170,29 @@ def pack_sequences(
 
     Pad ids leave the query and, with their mask and logprob, the response.  Query tokens have
     logprob NaN and response mask 0; the sample ordinal is the row number in key order plus 1.
+    With ``by`` (a training step, whose rows are few) ordinals, packs and the minimum are per value of it.
     """
     zipped = F.arrays_zip(F.col(response).alias("t"), F.col(mask).alias("m"), F.col(logprobs).alias("p"))
     uneven = F.raise_error(F.lit("response, mask and logprobs differ in length")).cast("array<struct<t:int,m:int,p:double>>")
     same = (F.size(response) == F.size(logprobs)) & (F.size(response) == F.size(mask))
     kept = F.filter(F.when(same, zipped).otherwise(uneven), lambda z: z["t"] != pad_id)
-    clean = row_index(df, key, out="__i").select(
-        key, "__i", F.filter(query, lambda x: x != pad_id).alias("__q"), kept.alias("__r")
+    if by is None:
+        indexed, own = row_index(df, key, out="__i"), []
+    else:
+        place = F.row_number().over(Window.partitionBy(by).orderBy(key)) - 1
+        indexed, own = df.withColumn("__i", place.cast("long")), [by]
+    clean = indexed.select(
+        *own, key, "__i", F.filter(query, lambda x: x != pad_id).alias("__q"), kept.alias("__r")
     )
     n_query, n_response = F.size("__q"), F.size("__r")
     sample = (F.col("__i") + 1).cast("int")
     total = n_query + n_response
     marked = F.transform("__r", lambda z: F.when((z["m"] != 0) | F.lit(not mask_tool_use), sample).otherwise(F.lit(0)))
     rows = clean.select(
+        *own,
         key,
         "__i",
+        sample.alias("samples"),
         total.alias("packed_seq_lens"),
         n_response.alias("num_actions"),
         F.concat("__q", F.transform("__r", lambda z: z["t"])).alias("tokens"),
@@ -182,24 +203,26 @@ def pack_sequences(
     )
     limit = F.lit(pack_length)
     if min_packs > 1:
-        sums = rows.agg(F.sum("packed_seq_lens").alias("__sum"))
-        rows = rows.crossJoin(F.broadcast(sums))
+        sums = rows.groupBy(*own).agg(F.sum("packed_seq_lens").alias("__sum"))
+        rows = attach(rows, sums, own) if own else rows.crossJoin(F.broadcast(sums))
         limit = F.when(F.col("__sum") > 0, F.least(F.floor(F.col("__sum") / min_packs), F.lit(pack_length))).otherwise(F.lit(pack_length))
-    carried = [key, "packed_seq_lens", "num_actions", "tokens", "response_mask", "dones", "position_ids", "logprobs"]
-    packs = next_fit(rows, "__i", [F.col("packed_seq_lens")], limit, carried, n_shards=n_shards)
+    carried = [key, *(["samples"] if by else []), "packed_seq_lens", "num_actions", "tokens", "response_mask", "dones", "position_ids", "logprobs"]
+    packs = next_fit(rows, "__i", [F.col("packed_seq_lens")], limit, carried, n_shards=n_shards, by=by)
+    if by:
+        packs = packs.withColumnRenamed("shard", by)
     within = F.flatten(F.transform("packed_seq_lens", lambda n, k: F.array_repeat(k + 1, n)))
     return packs.withColumnRenamed(key, f"{key}s").withColumn("attention_mask", within)
 
 
-def broadcast_advantages(packs: DataFrame, advantages: DataFrame, pack: Sequence[str] = ("shard", "pack_no")) -> DataFrame:
+def broadcast_advantages(packs: DataFrame, advantages: DataFrame, pack: Sequence[str] = ("shard", "pack_no"), by: str | None = None) -> DataFrame:
     """token advantages by looking samples up through the response mask; 0 where it is 0.
 
-    ``advantages`` is (sample, advantage) with the 1-based ordinal.  The join runs on the
-    samples of each pack, not on its tokens.
+    ``advantages`` is (sample, advantage) with the 1-based ordinal, and ``by`` if ordinals are per value
+    of it.  The join runs on the samples of each pack, not on its tokens.
     """
     pack = list(pack)
     samples = packs.select(*pack, F.explode(F.array_distinct("response_mask")).alias("sample")).where("sample > 0")
-    looked = samples.join(advantages, "sample").groupBy(*pack).agg(F.map_from_entries(F.collect_list(F.struct("sample", "advantage"))).alias("__a"))
+    looked = samples.join(advantages, [*([by] if by else []), "sample"]).groupBy(*pack).agg(F.map_from_entries(F.collect_list(F.struct("sample", "advantage"))).alias("__a"))
     joined = attach(packs, looked, pack)
     lookup = F.transform("response_mask", lambda m: F.coalesce(F.col("__a")[m], F.lit(0.0)))
     return joined.withColumn("advantages", lookup).drop("__a")
