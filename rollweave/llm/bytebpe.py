@@ -4,9 +4,9 @@ Texts become chunks, one for each Arrow batch of some megabytes: the chunk's dis
 pattern) once, and every text as codes into them. A higher-order fold encodes distinct words: it starts from
 the ids of a word's single bytes and joins, step by step, the leftmost pair of least rank; ranks come from a
 literal map in the plan, dealt into buckets by remainder, as looking up a key in one map reads it from the start. Words
-that many chunks share, at most ``HEAD``, are encoded once and sent to all tasks; all others are encoded in
-the chunk where they stand. So the only shuffle counts the chunks of each word; texts and codes stay in
-their task, and a chunk's work does not depend on any other.
+that many chunks share, at most ``HEAD``, are encoded once and sent to all tasks by a broadcast join; all
+others are encoded where they stand. So the only shuffle counts the chunks of each word; texts and codes stay
+in their task, and a chunk's work does not depend on any other.
 
 The fold copies a word's array at each merge, which is quadratic in the word; a word of more than ``FOLDED``
 bytes takes the same merges from a heap over a linked list instead.
@@ -25,26 +25,24 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollweave.llm import kernel
-from rollweave.session import scratch_path
+from rollweave.session import materialise_stage, scratch_path
 
 #: Bytes of text in one chunk, at most (one longer text is a chunk of its own); Arrow batches may be smaller.
-CHUNK = 1 << 24
+CHUNK = 1 << 22
 #: Longest word that the fold takes, in bytes.
 FOLDED = 256
-#: Words sent to all tasks, at most, and their bytes, at most: 16 MB with their ids.
-HEAD, HEAD_BYTES = 1 << 18, 32
+#: Words sent to all tasks, at most, and the bytes of one, at most: below 100 MB with their ids, 40 as a rule.
+HEAD, HEAD_BYTES = 1 << 19, 32
 #: A prime, so that keys spread.
 BUCKETS = 32_749
 #: In the fold a piece is its id plus ``SHIFT`` times the id of the pair it opens; ``NONE``: no such pair.
 SHIFT, NONE = 1 << 20, 1 << 40
 
 CHUNKS = "docs array<long>, counts array<int>, codes binary, words array<string>"
-SPLIT = "docs array<long>, counts array<int>, codes binary, slots binary, rest array<string>"
 ENCODED = "doc_id long, ids array<int>"
 
 #: Letters, digits, signs (but the apostrophe) and white space of ASCII; the pattern never joins two kinds.
@@ -137,15 +135,10 @@ class RankMap:
             pieces[rank] = piece.hex()
         self._pieces = F.split(F.lit(",".join(pieces)), ",")
 
-    def ids(self, words: Column) -> Column:
-        """The ids of each word of an array; null for a word of more than ``FOLDED`` bytes.
-
-        The maps are bound once, so that the plan holds one copy of each.
-        """
-        return _bound(
-            F.struct(self._pairs.alias("p"), self._singles.alias("s")),
-            lambda m: F.transform(words, lambda w: F.when(F.octet_length(w) <= FOLDED, _folded(w, m["s"], m["p"]))),
-        )
+    def ids(self, word: Column) -> Column:
+        """The ids of one word; the maps are bound once, so that the plan holds one copy of each."""
+        maps = F.struct(self._pairs.alias("p"), self._singles.alias("s"))
+        return _bound(maps, lambda m: _folded(word, m["s"], m["p"]))
 
     def decoded(self, ids: Column) -> Column:
         """The bytes of ``ids``, piece after piece."""
@@ -252,49 +245,46 @@ def _row(schema: str, *columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names=[x.split()[0] for x in schema.split(", ")])
 
 
-def _split(head):
-    """Each chunk's words as places in ``head``, or behind it in the chunk's own rest."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = head.value["word"].combine_chunks()
-        for batch in batches:
-            for k in range(batch.num_rows):
-                words = batch.column("words")[k].values
-                slots = pc.index_in(words, value_set=known)
-                missing = pc.is_null(slots).to_numpy(zero_copy_only=False)
-                place = slots.fill_null(0).to_numpy().astype(np.int64)
-                place[missing] = len(known) + np.arange(int(missing.sum()))
-                own = batch.slice(k, 1)
-                yield _row(SPLIT, own.column("docs"), own.column("counts"), own.column("codes"), pa.array([place.astype("<u4").tobytes()]), _one(words.filter(pa.array(missing))))
+def _assembled(ranks: dict[bytes, int]):
+    """Texts' ids from the rows of each chunk: its texts and codes with the first word, then its other words."""
 
-    return run
+    def finished(chunk: pa.RecordBatch, lists: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        size = np.concatenate([x.value_lengths().to_numpy() for x in lists] or [np.zeros(0, np.int64)]).astype(np.int64)
+        flat = np.concatenate([x.flatten().to_numpy() for x in lists] or [np.zeros(0, np.int32)])
+        codes = np.frombuffer(chunk.column("codes")[0].as_buffer(), dtype="<u4")
+        ids, ends = _taken(flat, size, codes)
+        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(chunk.column("counts")[0].values.to_numpy())])]
+        out = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids.astype(np.int32)))
+        made = _row(ENCODED, chunk.column("docs")[0].values, out)
+        for at in range(0, made.num_rows, 1024):
+            yield made.slice(at, 1024)
 
+    def known(rows: pa.RecordBatch) -> pa.Array:
+        lists = rows.column("ids")
+        if not lists.null_count:
+            return lists
+        words = rows.column("long").to_pylist()
+        return pa.array([x if w is None else heap_ids(w.encode(), ranks) for x, w in zip(lists.to_pylist(), words)], pa.list_(pa.int32()))
 
-def _assembled(head, ranks: dict[bytes, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = head.value["ids"].combine_chunks()
-        head_flat, head_size = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+        chunk, lists, held = None, [], 0
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                rest, words = row.column("ids")[0].values, row.column("rest")[0].values
-                flat, size = rest.flatten().to_numpy(), rest.value_lengths().fill_null(0).to_numpy().astype(np.int64)
-                long = np.flatnonzero(rest.is_null().to_numpy(zero_copy_only=False))
-                if len(long):
-                    found = [heap_ids(words[int(i)].as_py().encode(), ranks) for i in long]
-                    parts = np.split(flat, np.cumsum(size)[:-1])
-                    for i, ids in zip(long, found):
-                        parts[i], size[i] = np.array(ids, dtype=np.int32), len(ids)
-                    flat = np.concatenate(parts)
-                slots = np.frombuffer(row.column("slots")[0].as_buffer(), dtype="<u4")
-                codes = np.frombuffer(row.column("codes")[0].as_buffer(), dtype="<u4")
-                ids, ends = _taken(np.concatenate([head_flat, flat]).astype(np.int32), np.concatenate([head_size, size]), slots[codes])
-                counts = row.column("counts")[0].values.to_numpy()
-                edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-                out = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids))
-                made = _row(ENCODED, row.column("docs")[0].values, out)
-                for at in range(0, made.num_rows, 1024):
-                    yield made.slice(at, 1024)
+            is_head = batch.column("docs").is_valid().to_numpy(zero_copy_only=False)
+            edges = sorted({0, batch.num_rows, *np.flatnonzero(is_head).tolist()})
+            for begin, end in zip(edges, edges[1:]):
+                if is_head[begin]:
+                    if chunk is not None:
+                        yield from finished(chunk, lists)
+                    chunk, lists, held = batch.slice(begin, 1), [], 0
+                rows = batch.slice(begin, end - begin)
+                rows = rows.filter(rows.column("k").is_valid())
+                if rows.num_rows:
+                    if not np.array_equal(rows.column("k").to_numpy(), np.arange(held, held + rows.num_rows)):
+                        raise AssertionError("the words of a chunk came out of order")
+                    lists.append(known(rows))
+                    held += rows.num_rows
+        if chunk is not None:
+            yield from finished(chunk, lists)
 
     return run
 
@@ -308,25 +298,36 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, chunk_bytes: int = CH
     path = scratch_path(spark, "chunks")
     texts.mapInArrow(_chunked(pattern, chunk_bytes), CHUNKS).write.option("compression", "zstd").parquet(path)
     chunks = spark.read.schema(CHUNKS).parquet(path)
+    head = _shared_words(chunks, rank_map, head_words)
+    # A chunk's rows stay together and in order: a broadcast join changes neither, and nothing is shuffled.
+    words = chunks.select("docs", "counts", "codes", F.posexplode_outer("words").alias("k", "word"))
+    first = F.coalesce(F.col("k"), F.lit(0)) == 0
+    rows = words.select(*[F.when(first, F.col(c)).alias(c) for c in ("docs", "counts", "codes")], "k", "word")
+    coded = rows.join(F.broadcast(head), "word", "left").select(
+        "docs",
+        "counts",
+        "codes",
+        "k",
+        F.coalesce("shared", F.when(F.octet_length("word") <= FOLDED, rank_map.ids(F.col("word")))).alias("ids"),
+        F.when(F.octet_length("word") > FOLDED, F.col("word")).alias("long"),
+    )
+    return coded.mapInArrow(_assembled(ranks), ENCODED)
+
+
+def _shared_words(chunks: DataFrame, rank_map: RankMap, most: int) -> DataFrame:
+    """At most ``most`` words of at most ``HEAD_BYTES`` bytes, those in the most chunks, with their ids as ``shared``."""
+    spark = chunks.sparkSession
     word = chunks.select(F.explode("words").alias("word")).where(F.octet_length("word") <= HEAD_BYTES)
-    counted = spark.read.schema("word string, n long").parquet(_stored(word.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "words"))
-    # The least number of chunks that leaves at most ``head_words`` words.
+    counted = materialise_stage(word.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "words")
+    # One row for each number of chunks; the least number that leaves few enough words.
     sizes = sorted((r.n, r.words) for r in counted.groupBy("n").agg(F.count("*").alias("words")).collect())
-    least, held = 1 << 62, 0
+    least, held = (1 << 62), 0
     for n, words in reversed(sizes):
-        if held + words > head_words:
+        if held + words > most:
             break
         least, held = n, held + words
-    often = counted.where(F.col("n") >= least).select("word", F.get(rank_map.ids(F.array("word")), F.lit(0)).alias("ids"))
-    head = spark.sparkContext.broadcast(often.toArrow())
-    split = chunks.mapInArrow(_split(head), SPLIT)
-    return split.withColumn("ids", rank_map.ids(F.col("rest"))).mapInArrow(_assembled(head, ranks), ENCODED)
-
-
-def _stored(df: DataFrame, name: str) -> str:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return path
+    often = counted.where(F.col("n") >= least).repartition(spark.sparkContext.defaultParallelism)
+    return materialise_stage(often.select("word", rank_map.ids(F.col("word")).alias("shared")), "shared")
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
