@@ -47,10 +47,12 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``, or a test folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        folder = tempfile.mkdtemp(prefix="rollweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        # A running session does not take this setting; all sessions of the context share the folder.
+        folder = getattr(context, "_rollweave_folder", None) or tempfile.mkdtemp(prefix="rollweave-")
+        context._rollweave_folder = folder
     return folder
 
 

@@ -25,7 +25,7 @@ OUTCOME_NAMES = [f.split()[0] for f in OUTCOME.split(", ")]
 def streaming_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A session with its own settings, so that a job's state needs change no other query's session."""
     own = spark.newSession()
-    for key in ("spark.checkpoint.dir", "spark.sql.session.timeZone", "spark.sql.execution.arrow.maxBytesPerBatch"):
+    for key in ("spark.sql.session.timeZone", "spark.sql.execution.arrow.maxBytesPerBatch"):
         value = spark.conf.get(key, None)
         if value is not None:
             own.conf.set(key, value)
@@ -144,7 +144,8 @@ def collect_outcomes(table: str) -> Callable[[DataFrame, int], None]:
 
 
 def groups(spark: SparkSession, table: str) -> DataFrame:
-    return read_batches(spark, f"{table}/groups", OUTCOME).drop("batch_id")
+    """The rows of all groups; ``group_no`` tells the groups of one prompt apart."""
+    return read_batches(spark, f"{table}/groups", OUTCOME).withColumn("group_no", F.col("batch_id").cast("long")).drop("batch_id")
 
 
 def late_rows(spark: SparkSession, table: str) -> DataFrame:

@@ -1,33 +1,16 @@
-"""Structured Streaming jobs (K1-K6).
+"""Structured Streaming jobs (K3-K5) and what all jobs share; groups (K1, K6), training steps (K2) and
+running totals (K3) have modules of their own.
 
 All sinks are written per micro-batch under ``batch_id=N`` and replaced when a batch is run
-again, so a restart neither loses nor repeats rows.  Late rows are only bounded by the
-watermark delay the caller chooses.
+again, so a restart neither loses nor repeats rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from rollweave.operators.filters import classify_groups
-from rollweave.operators.ordering import row_index
-
-GROUP_SCHEMA = "prompt_id long, sample int, reward double, complete boolean"
-_STATE = T.StructType(
-    [
-        T.StructField("samples", T.ArrayType(T.IntegerType())),
-        T.StructField("rewards", T.ArrayType(T.DoubleType())),
-        T.StructField("done", T.BooleanType()),
-    ]
-)
-
-
 def read_stream(spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
@@ -35,50 +18,6 @@ def read_stream(spark: SparkSession, path: str, schema: str, files_per_trigger:
     return reader.parquet(path)
 
 
-def stream_groups(rollouts: DataFrame, n: int, delay: str = "7 days", wait: str | None = None) -> DataFrame:
-    """K1, K6: the rows of a prompt group once its ``n`` samples are there, in any order.
-
-    Repeated samples are dropped first by (prompt, sample), which spreads a hot prompt; the
-    state then holds at most ``n`` samples per prompt.  With ``wait`` a group that stays
-    incomplete for that long (event time) is emitted with ``complete = false``.  Input columns:
-    prompt_id, sample, reward, ts.
-    """
-    wait_ms = None if wait is None else int(pd.Timedelta(wait).total_seconds() * 1000)
-
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        samples, rewards, done = state.get if state.exists else ([], [], False)
-        seen = dict(zip(samples, rewards))
-
-        def rows(complete: bool) -> pd.DataFrame:
-            order = sorted(seen)
-            return pd.DataFrame({"prompt_id": key[0], "sample": order, "reward": [seen[s] for s in order], "complete": complete})
-
-        if state.hasTimedOut:
-            state.remove()
-            if not done and seen:
-                yield rows(False)
-            return
-        latest = 0
-        for frame in frames:
-            latest = max(latest, int(frame["ts"].max().timestamp() * 1000)) if len(frame) else latest
-            for sample, reward in zip(frame["sample"], frame["reward"]):
-                if not done:
-                    seen.setdefault(int(sample), float(reward))
-        finished = not done and len(seen) >= n
-        if finished:
-            yield rows(True)
-        if finished or done:
-            state.update(([], [], True))
-        else:
-            state.update((list(seen), list(seen.values()), False))
-        if wait_ms is not None:
-            state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + wait_ms)
-
-    distinct = rollouts.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["prompt_id", "sample"])
-    timeout = GroupStateTimeout.EventTimeTimeout if wait else GroupStateTimeout.NoTimeout
-    return distinct.groupBy("prompt_id").applyInPandasWithState(update, GROUP_SCHEMA, _STATE, "append", timeout)
-
-
 # --- sinks ---------------------------------------------------------------------------------
 
 
@@ -110,42 +49,6 @@ def collect_batches(table: str) -> Callable[[DataFrame, int], None]:
     return lambda batch, batch_id: write_batch(batch, table, batch_id)
 
 
-STEP_SCHEMA = "prompt_id long, sample int, reward double, kind string, position long, step long"
-
-
-def stream_step_batches(table: str, size: int, max_score: float, active_sampling: bool = False) -> Callable[[DataFrame, int], None]:
-    """K2: number complete groups in arrival order and cut them into steps of ``size`` groups.
-
-    Zero-spread groups take a place and leave no rows; with active sampling they take none, so
-    that later groups fill the step.  The place continues from the earlier batches of the
-    table, so repeating a batch gives the same steps.
-    """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        kinds = classify_groups(batch, "prompt_id", "reward", max_score).select("prompt_id", "kind")
-        counted = kinds.where("kind = 'kept'") if active_sampling else kinds
-        earlier = read_batches(spark, f"{table}/places", "places long", before=batch_id)
-        offset = earlier.agg(F.coalesce(F.sum("places"), F.lit(0)).alias("n")).first().n
-        placed = row_index(counted, "prompt_id", start=offset, out="position")
-        step = F.floor(F.col("position") / size).cast("long")
-        rows = batch.join(placed.where("kind = 'kept'"), "prompt_id").withColumn("step", step)
-        columns = [f.split()[0] for f in STEP_SCHEMA.split(", ")]
-        write_batch(rows.select(*columns), f"{table}/rows", batch_id)
-        write_batch(counted.agg(F.count("*").alias("places")), f"{table}/places", batch_id)
-        batch.unpersist()
-
-    return handle
-
-
-def complete_steps(spark: SparkSession, table: str, size: int) -> DataFrame:
-    """K2: rows of the steps whose places are all taken."""
-    rows = read_batches(spark, f"{table}/rows", STEP_SCHEMA)
-    places = read_batches(spark, f"{table}/places", "places long").agg(F.coalesce(F.sum("places"), F.lit(0)).alias("__n"))
-    return rows.crossJoin(F.broadcast(places)).where((F.col("step") + 1) * size <= F.col("__n")).drop("__n", "batch_id")
-
-
 def stream_throughput(events: DataFrame, window: str, slide: str, delay: str = "1 hour") -> DataFrame:
     """K3: tokens and samples per sliding window with tokens per second and mean times.
 
@@ -173,7 +76,7 @@ def stream_exclusions(table: str, max_score: float, pass_rate: float) -> Callabl
     """K4: prompts of a batch of complete groups that are solved join the exclusion table."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        means = batch.groupBy("prompt_id").agg(F.avg("reward").alias("m"))
+        means = batch.where("outcome = 'complete'").groupBy("prompt_id").agg(F.avg("reward").alias("m"))
         write_batch(means.where(F.col("m") / max_score >= pass_rate).select("prompt_id"), table, batch_id)
 
     return handle
