@@ -4,8 +4,8 @@ Texts become chunks, one for each Arrow batch of some megabytes: the chunk's dis
 pattern) once, and every text as codes into them. A higher-order fold encodes distinct words: it starts from
 the ids of a word's single bytes and joins, step by step, the leftmost pair of least rank; ranks come from a
 literal map in the plan, dealt into buckets by remainder, as looking up a key in one map reads it from the start. Words
-that many chunks share, at most ``HEAD``, are encoded once and sent to all tasks by a broadcast join; all
-others are encoded where they stand. So the only shuffle counts the chunks of each word; texts and codes stay
+that many chunks share, at most ``HEAD``, are encoded once and sent to all tasks; all others are encoded in
+the chunk where they stand. So the only shuffle counts the chunks of each word; texts and codes stay
 in their task, and a chunk's work does not depend on any other.
 
 The fold copies a word's array at each merge, which is quadratic in the word; a word of more than ``FOLDED``
@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,7 @@ BUCKETS = 32_749
 SHIFT, NONE = 1 << 20, 1 << 40
 
 CHUNKS = "docs array<long>, counts array<int>, codes binary, words array<string>"
+RESOLVED = "texts array<struct<doc_id:long,codes:array<int>>>, known array<array<int>>, rest array<string>"
 ENCODED = "doc_id long, ids array<int>"
 
 #: Letters, digits, signs (but the apostrophe) and white space of ASCII; the pattern never joins two kinds.
@@ -135,10 +137,10 @@ class RankMap:
             pieces[rank] = piece.hex()
         self._pieces = F.split(F.lit(",".join(pieces)), ",")
 
-    def ids(self, word: Column) -> Column:
-        """The ids of one word; the maps are bound once, so that the plan holds one copy of each."""
+    def ids(self, words: Column) -> Column:
+        """The ids of each word of an array; the maps are bound once, so that the plan holds one copy of each."""
         maps = F.struct(self._pairs.alias("p"), self._singles.alias("s"))
-        return _bound(maps, lambda m: _folded(word, m["s"], m["p"]))
+        return _bound(maps, lambda m: F.transform(words, lambda w: _folded(w, m["s"], m["p"])))
 
     def decoded(self, ids: Column) -> Column:
         """The bytes of ``ids``, piece after piece."""
@@ -245,46 +247,28 @@ def _row(schema: str, *columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names=[x.split()[0] for x in schema.split(", ")])
 
 
-def _assembled(ranks: dict[bytes, int]):
-    """Texts' ids from the rows of each chunk: its texts and codes with the first word, then its other words."""
-
-    def finished(chunk: pa.RecordBatch, lists: list[pa.Array]) -> Iterator[pa.RecordBatch]:
-        size = np.concatenate([x.value_lengths().to_numpy() for x in lists] or [np.zeros(0, np.int64)]).astype(np.int64)
-        flat = np.concatenate([x.flatten().to_numpy() for x in lists] or [np.zeros(0, np.int32)])
-        codes = np.frombuffer(chunk.column("codes")[0].as_buffer(), dtype="<u4")
-        ids, ends = _taken(flat, size, codes)
-        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(chunk.column("counts")[0].values.to_numpy())])]
-        out = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids.astype(np.int32)))
-        made = _row(ENCODED, chunk.column("docs")[0].values, out)
-        for at in range(0, made.num_rows, 1024):
-            yield made.slice(at, 1024)
-
-    def known(rows: pa.RecordBatch) -> pa.Array:
-        lists = rows.column("ids")
-        if not lists.null_count:
-            return lists
-        words = rows.column("long").to_pylist()
-        return pa.array([x if w is None else heap_ids(w.encode(), ranks) for x, w in zip(lists.to_pylist(), words)], pa.list_(pa.int32()))
+def _resolved(head, ranks: dict[bytes, int]):
+    """Each chunk with the ids of its shared and its long words; codes count these first, then ``rest``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, lists, held = None, [], 0
+        shared, ids = head.value["word"].combine_chunks(), head.value["shared"].combine_chunks()
         for batch in batches:
-            is_head = batch.column("docs").is_valid().to_numpy(zero_copy_only=False)
-            edges = sorted({0, batch.num_rows, *np.flatnonzero(is_head).tolist()})
-            for begin, end in zip(edges, edges[1:]):
-                if is_head[begin]:
-                    if chunk is not None:
-                        yield from finished(chunk, lists)
-                    chunk, lists, held = batch.slice(begin, 1), [], 0
-                rows = batch.slice(begin, end - begin)
-                rows = rows.filter(rows.column("k").is_valid())
-                if rows.num_rows:
-                    if not np.array_equal(rows.column("k").to_numpy(), np.arange(held, held + rows.num_rows)):
-                        raise AssertionError("the words of a chunk came out of order")
-                    lists.append(known(rows))
-                    held += rows.num_rows
-        if chunk is not None:
-            yield from finished(chunk, lists)
+            for k in range(batch.num_rows):
+                words = batch.column("words")[k].values
+                found = pc.index_in(words, value_set=shared)
+                have = found.is_valid().to_numpy(zero_copy_only=False)
+                long = ~have & (pc.binary_length(words).to_numpy() > FOLDED)
+                rest = ~have & ~long
+                known = [ids.take(found.drop_null())]
+                known += [pa.array([heap_ids(words[int(i)].as_py().encode(), ranks)], ids.type) for i in np.flatnonzero(long)]
+                place = np.empty(len(words), dtype=np.int32)
+                place[np.concatenate([np.flatnonzero(have), np.flatnonzero(long), np.flatnonzero(rest)])] = np.arange(len(words))
+                codes = place[np.frombuffer(batch.column("codes")[k].as_buffer(), dtype="<u4")]
+                bounds = np.concatenate([[0], np.cumsum(batch.column("counts")[k].values.to_numpy())]).astype(np.int32)
+                texts = pa.StructArray.from_arrays(
+                    [batch.column("docs")[k].values, pa.ListArray.from_arrays(pa.array(bounds), pa.array(codes))], names=["doc_id", "codes"]
+                )
+                yield _row(RESOLVED, _one(texts), _one(pa.concat_arrays(known)), _one(words.filter(pa.array(rest))))
 
     return run
 
@@ -298,20 +282,16 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, chunk_bytes: int = CH
     path = scratch_path(spark, "chunks")
     texts.mapInArrow(_chunked(pattern, chunk_bytes), CHUNKS).write.option("compression", "zstd").parquet(path)
     chunks = spark.read.schema(CHUNKS).parquet(path)
-    head = _shared_words(chunks, rank_map, head_words)
-    # A chunk's rows stay together and in order: a broadcast join changes neither, and nothing is shuffled.
-    words = chunks.select("docs", "counts", "codes", F.posexplode_outer("words").alias("k", "word"))
-    first = F.coalesce(F.col("k"), F.lit(0)) == 0
-    rows = words.select(*[F.when(first, F.col(c)).alias(c) for c in ("docs", "counts", "codes")], "k", "word")
-    coded = rows.join(F.broadcast(head), "word", "left").select(
-        "docs",
-        "counts",
-        "codes",
-        "k",
-        F.coalesce("shared", F.when(F.octet_length("word") <= FOLDED, rank_map.ids(F.col("word")))).alias("ids"),
-        F.when(F.octet_length("word") > FOLDED, F.col("word")).alias("long"),
-    )
-    return coded.mapInArrow(_assembled(ranks), ENCODED)
+    head = spark.sparkContext.broadcast(_shared_words(chunks, rank_map, head_words).toArrow())
+    table = F.concat("known", rank_map.ids(F.col("rest")))
+
+    def assembled(ids: Column) -> Column:
+        return F.transform(
+            "texts", lambda t: F.struct(t["doc_id"].alias("doc_id"), F.flatten(F.transform(t["codes"], lambda c: F.get(ids, c))).alias("ids"))
+        )
+
+    resolved = chunks.mapInArrow(_resolved(head, ranks), RESOLVED)
+    return resolved.select(F.explode(_bound(table, assembled)).alias("x")).select("x.doc_id", "x.ids")
 
 
 def _shared_words(chunks: DataFrame, rank_map: RankMap, most: int) -> DataFrame:
@@ -327,7 +307,7 @@ def _shared_words(chunks: DataFrame, rank_map: RankMap, most: int) -> DataFrame:
             break
         least, held = n, held + words
     often = counted.where(F.col("n") >= least).repartition(spark.sparkContext.defaultParallelism)
-    return materialise_stage(often.select("word", rank_map.ids(F.col("word")).alias("shared")), "shared")
+    return often.select("word", F.get(rank_map.ids(F.array("word")), F.lit(0)).alias("shared"))
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
