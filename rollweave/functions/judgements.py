@@ -66,24 +66,57 @@ def parse_total_score(text: str | Column) -> Column:
     return F.coalesce(found.cast("double"), F.lit(-1.0))
 
 
+#: Escaped quotes and backslashes, quotes, runs of braces, and what lies between them.
+_JSON_PARTS = r'(?s)\\["\\]|"|\{+|\}+|[^\\"{}]+|\\'
+
+
 def extract_json(text: str | Column) -> Column:
-    """The first decodable object that ends at the last brace, doubled braces repaired."""
+    """The first decodable object that ends at the last brace, doubled braces repaired.
 
-    def search(t: Column) -> Column:
-        # Up to the last closing brace; what follows each opening brace is a part.
-        parts = F.split(F.substr(t, F.lit(1), F.length(t) - F.instr(F.reverse(t), "}") + 1), r"\{")
-        decoded = lambda s: F.try_parse_json(s).isNotNull()
+    An object that ends there can begin in one place only: where the count of braces outside quotes, taken
+    backwards, comes to nothing. One fold finds that place for the text as it is and for the text with
+    doubled braces made single (a run of n braces then counts as half as many), so two texts are parsed.
+    """
 
-        def candidate(own: Column, i: Column) -> Column:
-            return let(
-                F.concat(F.lit("{"), F.array_join(F.slice(own, i + 1, F.size(own)), "{")),
-                lambda s: F.when(decoded(s), s).otherwise(
-                    let(F.replace(F.replace(s, F.lit("{{"), F.lit("{")), F.lit("}}"), F.lit("}")), lambda r: F.when(decoded(r), r))
-                ),
-            )
+    def step(state: Column, part: Column) -> Column:
+        n = F.length(part)
+        half = F.shiftright(n + 1, 1)
+        opens = F.startswith(part, F.lit("{")) & ~state["quoted"]
+        closes = F.startswith(part, F.lit("}")) & ~state["quoted"]
+        begin = state["left"] - n
+
+        def depth(name: str, size: Column) -> Column:
+            return F.when(closes, state[name] + size).when(opens, state[name] - size).otherwise(state[name])
+
+        # The last ``depth`` braces of an opening run belong to the object; of doubled ones, the pairs.
+        own = begin + n - state["depth"]
+        pairs = begin + n - F.least(state["pairs"] * 2, n)
+        return F.struct(
+            depth("depth", n).alias("depth"),
+            depth("pairs", half).alias("pairs"),
+            F.when(part == '"', ~state["quoted"]).otherwise(state["quoted"]).alias("quoted"),
+            begin.alias("left"),
+            F.when((state["own"] < 0) & opens & (state["depth"] <= n), own).otherwise(state["own"]).alias("own"),
+            F.when((state["doubled"] < 0) & opens & (state["pairs"] <= half), pairs).otherwise(state["doubled"]).alias("doubled"),
+        )
 
-        found = let(parts, lambda own: F.transform(own, lambda _, i: F.when(i > 0, candidate(own, i))))
-        return F.get(F.filter(found, lambda c: c.isNotNull()), 0)
+    def search(t: Column) -> Column:
+        start = F.struct(
+            F.lit(0).alias("depth"), F.lit(0).alias("pairs"), F.lit(False).alias("quoted"), F.length(t).alias("left"), F.lit(-1).alias("own"), F.lit(-1).alias("doubled")
+        )
+        found = F.aggregate(F.reverse(F.regexp_extract_all(t, F.lit(_JSON_PARTS), F.lit(0))), start, step)
+
+        def chosen(places: Column) -> Column:
+            decoded = lambda s: F.when(F.try_parse_json(s).isNotNull(), s)
+            behind = lambda at: F.when(at >= 0, F.substr(t, at + 1, F.length(t)))
+            own = let(behind(places["own"]), decoded)
+            repaired = F.replace(F.replace(behind(places["doubled"]), F.lit("{{"), F.lit("{")), F.lit("}}"), F.lit("}"))
+            doubled = let(repaired, decoded)
+            first = (places["doubled"] >= 0) & ((places["own"] < 0) | (places["doubled"] < places["own"]))
+            return F.when(first, F.coalesce(doubled, own)).otherwise(F.coalesce(own, doubled))
+
+        return let(found, chosen)
 
     text = as_column(text)
-    return F.when(F.contains(text, F.lit("}")) & F.contains(text, F.lit("{")), let(text, search))
+    upto = F.substr(text, F.lit(1), F.length(text) - F.instr(F.reverse(text), "}") + 1)
+    return F.when(F.contains(text, F.lit("}")) & F.contains(text, F.lit("{")), let(upto, search))

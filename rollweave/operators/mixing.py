@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rollweave.operators.messages import first_match
 from rollweave.operators.ordering import first_hash_rows, hash_rank, md5_key, row_index
+from rollweave.sources.publish import build_table
 
 CACHE_VERSION = "v6"
 
@@ -125,8 +126,8 @@ def limit_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(key).limit(n)
 
 
-def slice_rows(df: DataFrame, key: str, start: int, end: int) -> DataFrame:
-    """Positional range ``[start, end)`` in key order."""
+def slice_rows(df: DataFrame, key: str | list[str], start: int, end: int) -> DataFrame:
+    """Positional range ``[start, end)`` in the order of a key of any type, or of several; null keys first."""
     return row_index(df, key).where((F.col("index") >= start) & (F.col("index") < end))
 
 
@@ -231,19 +232,9 @@ def reference_cache_hash(settings: dict) -> str:
     return hashlib.sha256(json.dumps(settings, sort_keys=True).encode()).hexdigest()[:16]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def materialise(spark: SparkSession, root: str, config: dict, build, skip_cache: bool = False) -> DataFrame:
-    """The table of a configuration, built once and found again by its hash."""
-    path = f"{root}/{config_hash(config)}"
-    if skip_cache:
-        return build()
-    if not _exists(spark, path):
-        build().write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    """The table of a configuration, built once and found again by its hash; a build that died is no obstacle."""
+    return build() if skip_cache else build_table(spark, root, config_hash(config), build, config=config)
 
 
 def require_rows(df: DataFrame) -> DataFrame:

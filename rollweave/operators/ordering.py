@@ -123,9 +123,13 @@ def row_index(df: DataFrame, key: str | Sequence[str], start: int = 0, out: str
 
     Equal keys are numbered in the order of the input, which is arbitrary; give a unique key.
     """
-    parts = ranged(df, as_keys(key))
-    numbered = attach(parts, _offsets(parts, __before=F.lit(1)), ["__part"], bounded=True)
-    return numbered.withColumn(out, (F.col("__before") + F.col("__local") + start).cast("long")).drop("__part", "__local", "__before")
+    return numbered(ranged(df, as_keys(key)), start, out)
+
+
+def numbered(parts: DataFrame, start: int = 0, out: str = "index") -> DataFrame:
+    """The rows of ``ranged`` with their number in its order."""
+    placed = attach(parts, _offsets(parts, __before=F.lit(1)), ["__part"], bounded=True)
+    return placed.withColumn(out, (F.col("__before") + F.col("__local") + start).cast("long")).drop("__part", "__local", "__before")
 
 
 def running_by_key(df: DataFrame, key: str | Sequence[str], **measures: Column) -> DataFrame:

@@ -73,60 +73,92 @@ def build_vocabulary(df: DataFrame, *token_columns: str, max_size: int | None =
     return df.sparkSession.createDataFrame(reserved, "token string, id int, frequency long").unionByName(words)
 
 
-def _lookup(tokens: list[str], columns: dict[str, str], unknown_id: int):
-    """Token lists to id lists: the flattened Arrow values are looked up in one call per batch."""
-    known = pa.array(tokens, pa.string())
+def _lists(flat: pa.Array, sizes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), flat)
 
-    def codes(lists: pa.ListArray) -> pa.ListArray:
-        found = pc.fill_null(pc.index_in(lists.flatten().cast(pa.string()), value_set=known), unknown_id).cast(pa.int32())
-        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-        return pa.ListArray.from_arrays(offsets, found)
+
+def _sizes(lists: pa.ListArray) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _looked_up(head: pa.Table, columns: dict[str, str], unknown_id: int, missing: bool):
+    """Token lists to id lists by one lookup of the flattened values of a batch.
+
+    A token that the head does not hold gets the unknown id; with ``missing`` it is listed too, by column
+    and position.
+    """
+    known, ids = head.column("token").combine_chunks(), head.column("id").combine_chunks().cast(pa.int32())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [n for n in batch.schema.names if n not in columns.values()]
-            arrays = [batch.column(n) for n in kept] + [codes(batch.column(c)) for c in columns.values()]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *columns])
+            arrays, left = [batch.column(n) for n in kept], []
+            for c, name in enumerate(columns.values()):
+                tokens, sizes = batch.column(name).flatten().cast(pa.string()), _sizes(batch.column(name))
+                found = ids.take(pc.index_in(tokens, value_set=known))
+                arrays.append(_lists(pc.fill_null(found, unknown_id), sizes))
+                at = np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False))
+                row = np.repeat(np.arange(batch.num_rows), sizes)[at]
+                left.append((row, np.full(len(at), c, np.int32), (at - (np.cumsum(sizes) - sizes)[row]).astype(np.int32), tokens.take(pa.array(at))))
+            if missing:
+                rows = np.concatenate([x[0] for x in left])
+                order = np.argsort(rows, kind="stable")
+                fields = [pa.array(np.concatenate([x[k] for x in left])) for k in (1, 2)] + [pa.concat_arrays([x[3] for x in left])]
+                items = pa.StructArray.from_arrays([f.take(pa.array(order)) for f in fields], names=["c", "pos", "token"])
+                arrays.append(_lists(items, np.bincount(rows, minlength=batch.num_rows)))
+            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *columns, *(["__missing"] if missing else [])])
+
+    return scan
+
+
+def _scattered(columns: list[str]):
+    """The ids of rare tokens put into their places."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rare = batch.column("__rare")
+            row, items = np.repeat(np.arange(batch.num_rows), _sizes(rare)), rare.flatten()
+            which, pos, ids = (items.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            for c, name in enumerate(columns):
+                lists = batch.column(name)
+                sizes, flat = _sizes(lists), lists.flatten().to_numpy(zero_copy_only=False).copy()
+                own = which == c
+                flat[(np.cumsum(sizes) - sizes)[row[own]] + pos[own]] = ids[own]
+                batch = batch.set_column(batch.schema.get_field_index(name), name, _lists(pa.array(flat, pa.int32()), sizes))
+            yield batch.drop_columns(["__rare"])
 
     return scan
 
 
-def encode(df: DataFrame, key: str, columns: dict[str, str], vocabulary: DataFrame, unknown_id: int = 3) -> DataFrame:
-    """Token arrays → id arrays under new names.
+def encode(df: DataFrame, key: str, columns: dict[str, str], vocabulary: DataFrame, unknown_id: int = 3, head: int = HEAD_IDS) -> DataFrame:
+    """Token arrays → id arrays under new names; ``key`` may repeat or be null.
 
-    Ids are dense frequency ranks, so the head ``id < HEAD_IDS`` is bounded by construction and
-    can go to every task; it holds the hot tokens.  A vocabulary within the bound is looked up
-    in place: no explode, no shuffle, no grouping.  A larger one joins its rare tail.
+    Tokens with an id below ``head`` are looked up in place, so their table is bounded; ids are frequency
+    ranks, so these are the hot ones. Only the tokens it does not hold leave, each distinct one once for a
+    row, meet the rest of the vocabulary and are put into their places. A vocabulary without such a rest
+    needs no second step.
     """
-    if vocabulary.where(F.col("id") >= HEAD_IDS).isEmpty():
-        head = vocabulary.where(F.col("id") < HEAD_IDS).orderBy("id").select("token").toArrow()
-        rest = df.drop(*columns.values()).schema.fields
-        schema = T.StructType([*rest, *[T.StructField(out, T.ArrayType(T.IntegerType())) for out in columns]])
-        return df.mapInArrow(_lookup(head.column("token").to_pylist(), columns, unknown_id), schema)
-    return encode_by_join(df, key, columns, vocabulary, unknown_id)
-
-
-def encode_by_join(df: DataFrame, key: str, columns: dict[str, str], vocabulary: DataFrame, unknown_id: int = 3, head: int = HEAD_IDS) -> DataFrame:
-    """D2 for a vocabulary of any size: exploded tokens, the hot head by broadcast join, only the
-    rest through a shuffle join, then grouped back by the unique ``key``."""
-    tag = lambda c: lambda t: F.struct(F.lit(c).alias("c"), t.alias("token"))
-    tagged = [F.transform(tokens, tag(c)) for c, tokens in enumerate(columns.values())]
-    long = df.select(key, F.posexplode_outer(F.concat(*tagged)).alias("pos", "item")).select(key, "pos", "item.c", "item.token")
-    words = vocabulary.select("token", F.col("id").alias("__id"))
-    coded = long.join(F.broadcast(words.where(F.col("__id") < head)), "token", "left")
-    rare = coded.where(F.col("__id").isNull()).drop("__id").join(words.where(F.col("__id") >= head), "token", "left")
-    coded = coded.where(F.col("__id").isNotNull()).unionByName(rare)
-    item = F.struct("pos", "c", F.coalesce("__id", F.lit(unknown_id)).alias("id"))
-    gathered = coded.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("__items"))
-    pick = lambda c: F.transform(F.filter("__items", lambda x: (x["c"] == c)), lambda x: x["id"])
-    ids = gathered.select(key, *[pick(c).alias(out) for c, out in enumerate(columns)])
-    return df.drop(*columns.values()).join(ids, key)
-
-
-def encode_with(df: DataFrame, tokens: str, out: str, codec) -> DataFrame:
-    """Plug-in point for an external tokenizer given as a ``pandas_udf`` of the text."""
-    return df.withColumn(out, codec(F.col(tokens)))
+    words = vocabulary.select("token", F.col("id").cast("int").alias("id"))
+    hot = words.where((F.col("id") >= 0) & (F.col("id") < head)).dropDuplicates(["token"]).toArrow()
+    rest = words.where((F.col("id") < 0) | (F.col("id") >= head)).dropDuplicates(["token"])
+    fields = [f for f in df.schema.fields if f.name not in columns.values()]
+    coded = T.StructType([*fields, *[T.StructField(out, T.ArrayType(T.IntegerType())) for out in columns]])
+    if rest.isEmpty():
+        return df.mapInArrow(_looked_up(hot, columns, unknown_id, False), coded)
+    item = T.StructType([T.StructField("c", T.IntegerType()), T.StructField("pos", T.IntegerType()), T.StructField("token", T.StringType())])
+    wide = T.StructType([*coded.fields, T.StructField("__missing", T.ArrayType(item))])
+    # Stored: a row is known by its number from here on.
+    rows = materialise_stage(
+        df.mapInArrow(_looked_up(hot, columns, unknown_id, True), wide).withColumn("__row", F.monotonically_increasing_id()), "encoded"
+    )
+    left = rows.select("__row", F.explode("__missing").alias("m")).groupBy("__row", F.col("m.token").alias("token")).agg(
+        F.collect_list(F.struct("m.c", "m.pos")).alias("places")
+    )
+    met = left.join(rest.withColumnRenamed("id", "__id"), "token")
+    placed = F.transform("places", lambda p: F.struct(p["c"].alias("c"), p["pos"].alias("pos"), F.col("__id").alias("id")))
+    rare = met.select("__row", placed.alias("placed")).groupBy("__row").agg(F.flatten(F.collect_list("placed")).alias("__rare"))
+    joined = rows.drop("__missing").join(rare, "__row", "left").drop("__row")
+    return joined.mapInArrow(_scattered(list(columns)), coded)
 
 
 # --- masks ---------------------------------------------------------------------------------

@@ -84,17 +84,24 @@ def total_scores(t):
 @check(
     "extracted_json",
     "I5",
-    """SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN doc_id::VARCHAR WHEN 1 THEN 'x' WHEN 2 THEN NULL ELSE 'in' END AS value FROM documents""",
+    """SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN doc_id::VARCHAR WHEN 1 THEN (doc_id * 2)::VARCHAR WHEN 2 THEN NULL ELSE 'in' END AS value,
+      CASE doc_id % 4 WHEN 0 THEN length(coalesce(text, '')) WHEN 3 THEN length(coalesce(text, '')) END AS n_reasoning FROM documents""",
 )
 def extracted_json(t):
+    """Answers around whole documents: text before the object, text inside its strings, doubled braces, none."""
+    body = F.coalesce("text", F.lit(""))
+    quoted = F.regexp_extract(F.to_json(F.struct(body.alias("x"))), r'(?s)^\{"x":(.*)\}$', 1)
     number = F.col("doc_id").cast("string")
     text = (
-        F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit('ok {bad {"score": '), number, F.lit("} end")))
-        .when(F.col("doc_id") % 4 == 1, F.lit('a {{"score": "x"}} b'))
-        .when(F.col("doc_id") % 4 == 2, F.lit("no object }"))
-        .otherwise(F.lit('{"score": "in", "more": {"score": 1}}'))
+        F.when(F.col("doc_id") % 4 == 0, F.concat(body, F.lit(' {bad {"score": '), number, F.lit(', "reasoning": '), quoted, F.lit("} end")))
+        .when(F.col("doc_id") % 4 == 1, F.concat(body, F.lit(' {{"score": '), (F.col("doc_id") * 2).cast("string"), F.lit("}} b")))
+        .when(F.col("doc_id") % 4 == 2, F.concat(F.translate(body, "{}", ""), F.lit(" no object }")))
+        .otherwise(F.concat(F.lit('{"score": "in", "more": {"score": 1}, "reasoning": '), quoted, F.lit("}")))
+    )
+    found = j.extract_json(text)
+    return t.documents.select("doc_id", found.alias("x")).select(
+        "doc_id", F.get_json_object("x", "$.score").alias("value"), F.length(F.get_json_object("x", "$.reasoning")).cast("long").alias("n_reasoning")
     )
-    return t.documents.select("doc_id", F.get_json_object(j.extract_json(text), "$.score").alias("value"))
 
 
 def _quoted(text: str) -> str:

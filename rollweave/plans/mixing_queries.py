@@ -197,6 +197,40 @@ def materialised_table(t):
     return x.require_rows(again)
 
 
+STRING_KEY = "lang || ':' || lpad((doc_id * 7919 % 100003)::VARCHAR, 6, '0')"
+
+
+def _string_keyed(t):
+    """Documents under a text key; a tenth has none."""
+    key = F.concat("lang", F.lit(":"), F.lpad((F.col("doc_id") * 7919 % 100003).cast("string"), 6, "0"))
+    return t.documents.select("doc_id", "source", F.when(F.col("doc_id") % 10 != 3, key).alias("key"))
+
+
+@check(
+    "string_row_index",
+    "A7 B6 C7",
+    f"""SELECT doc_id, key, row_number() OVER (ORDER BY key NULLS FIRST, doc_id) - 1 AS "index" FROM (SELECT doc_id, CASE WHEN doc_id % 10 <> 3 THEN {STRING_KEY} END AS key FROM documents)""",
+)
+def string_row_index(t):
+    """Row numbers by a composite key whose first part is text and may be null; ranges of a hundred rows."""
+    from rollweave.operators import ordering
+
+    parts = ordering.ranged(_string_keyed(t).drop("source"), ["key", "doc_id"], rows=100)
+    return ordering.numbered(parts)
+
+
+@check(
+    "string_slices",
+    "C7",
+    f"""SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (ORDER BY key NULLS FIRST, source, doc_id) - 1 AS i
+      FROM (SELECT doc_id, source, CASE WHEN doc_id % 10 <> 3 THEN {STRING_KEY} END AS key FROM documents)), (SELECT count(*) AS n FROM documents)
+    WHERE i >= n // 20 AND i < n - n // 3""",
+)
+def string_slices(t):
+    rows, n = _string_keyed(t), t.documents.count()
+    return x.slice_rows(rows, ["key", "source", "doc_id"], n // 20, n - n // 3).select("doc_id", "source")
+
+
 @check(
     "preference_mix",
     "H11",

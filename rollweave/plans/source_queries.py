@@ -92,11 +92,11 @@ def dataset_with_sidecars(t):
 def rollout_shards(t):
     path = t.scratch("rollouts")
     rows = t.events.select("event_id", "user_id", "event_type", "value")
-    first = rows.where("event_type = 'click'")
-    files.append_rollouts(first, path, "event_id", 0, 1000)
-    files.append_rollouts(rows.where("event_type <> 'click'"), path, "event_id", first.count(), 1000)
-    schema = "event_id long, user_id long, event_type string, value double, shard long"
-    back = t.spark.read.schema(schema).json(path)
+    first, rest = rows.where("event_type = 'click'"), rows.where("event_type <> 'click'")
+    # Each step is appended twice, as a job does that is run again.
+    for step, part in ((0, first), (0, first), (1, rest), (1, rest), (0, first)):
+        files.append_rollouts(part, path, "event_id", "run", step, 1000)
+    back = files.read_rollouts(t.spark, path, "run", "event_id long, user_id long, event_type string, value double")
     return back.groupBy("shard").agg(
         F.count("*").alias("n"), F.min("event_id").alias("lo"), F.max("event_id").alias("hi")
     )

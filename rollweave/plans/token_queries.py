@@ -145,24 +145,67 @@ def vocabulary(t):
     return tokenizer(t).vocabulary
 
 
-@check(
-    "encoded_documents",
-    "D2",
-    f"""WITH {VOCAB}, d AS (SELECT doc_id, {tokens('text')} AS toks FROM documents), {encoded('e', 'doc_id', 'toks', 'd')}
-    SELECT doc_id, len(ids) AS n, list_sum(ids)::BIGINT AS total, len(list_filter(ids, lambda x: x = 3)) AS unknown, {sql_joined('ids[1:20]')} AS head FROM e""",
-)
-def encoded_documents(t):
-    docs = t.documents.select("doc_id", k.tokens_of("text").alias("toks"))
-    ids = k.encode(docs, "doc_id", {"ids": "toks"}, tokenizer(t).vocabulary)
-    return ids.select(
+def _ids_sql(unknown: str = "3") -> str:
+    return f"SELECT doc_id, len(ids) AS n, list_sum(ids)::BIGINT AS total, len(list_filter(ids, lambda x: x = {unknown})) AS unknown, md5({sql_joined('ids')}) AS ids_md5 FROM e"
+
+
+def _ids(df, unknown: int = 3):
+    """Whole id lists: their sums and digests."""
+    return df.select(
         "doc_id",
         F.size("ids").alias("n"),
         F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"),
-        F.size(F.filter("ids", lambda x: x == 3)).alias("unknown"),
-        joined(F.slice("ids", 1, 20)).alias("head"),
+        F.size(F.filter("ids", lambda x: x == unknown)).alias("unknown"),
+        F.md5(joined("ids").cast("binary")).alias("ids_md5"),
     )
 
 
+def _document_tokens(t):
+    return t.documents.select("doc_id", k.tokens_of("text").alias("toks"))
+
+
+DOCS_SQL = f"d AS (SELECT doc_id, {tokens('text')} AS toks FROM documents)"
+
+
+@check("encoded_documents", "D2", f"WITH {VOCAB}, {DOCS_SQL}, {encoded('e', 'doc_id', 'toks', 'd')} {_ids_sql()}")
+def encoded_documents(t):
+    return _ids(k.encode(_document_tokens(t), "doc_id", {"ids": "toks"}, tokenizer(t).vocabulary))
+
+
+OWN_SQL = f"{DOCS_SQL}, own AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, md5(token), token) + 3 AS rank FROM (SELECT unnest(toks) AS token FROM d) WHERE token NOT IN ('<pad>', '</s>', '<s>', '<unk>') GROUP BY token)"
+# The documents hold none of the special tokens as a vocabulary entry of their own.
+SPECIAL_SQL = "SELECT * FROM (VALUES ('<pad>', 0), ('</s>', 1), ('<s>', 2), ('<unk>', 3)) v(token, id)"
+
+
+def _own_sql(ids: str, where: str = "true") -> str:
+    vocab = f"vocab AS (SELECT token, {ids} AS id FROM own WHERE {where} UNION ALL {SPECIAL_SQL})"
+    return f"WITH {OWN_SQL}, {vocab}, {encoded('e', 'doc_id', 'toks', 'd')}"
+
+
+def _own_vocabulary(t, **limits):
+    return k.build_vocabulary(_document_tokens(t), "toks", **limits)
+
+
+@check("encoded_tail", "D2", f"{_own_sql('rank')} {_ids_sql()}")
+def encoded_tail(t):
+    """A head of 500 tokens: most distinct tokens come from the rest of the vocabulary."""
+    return _ids(k.encode(_document_tokens(t), "doc_id", {"ids": "toks"}, _own_vocabulary(t), head=500))
+
+
+@check("encoded_resized", "D2", f"{_own_sql('rank', 'rank < 700')} {_ids_sql()}")
+def encoded_resized(t):
+    """A vocabulary cut to 700 entries: all other tokens are unknown, on both sides of the head's bound."""
+    return _ids(k.encode(_document_tokens(t), "doc_id", {"ids": "toks"}, _own_vocabulary(t, max_size=700), head=300))
+
+
+@check("encoded_sparse_ids", "D2", f"{_own_sql('rank * 7 + 5')} {_ids_sql()}")
+def encoded_sparse_ids(t):
+    """Ids with gaps, under a vocabulary of the caller's."""
+    own = _own_vocabulary(t)
+    sparse = own.withColumn("id", F.when(F.col("id") > 3, F.col("id") * 7 + 5).otherwise(F.col("id")))
+    return _ids(k.encode(_document_tokens(t), "doc_id", {"ids": "toks"}, sparse, head=2000))
+
+
 PROMPT_SQL = "CASE WHEN len(messages) = 1 THEN messages ELSE messages[1:len(messages) - 1] END"
 SFT_SQL = f"""{VOCAB}, x AS (SELECT conv_id, messages, {PROMPT_SQL} AS prompt FROM msgs),
     y AS (SELECT conv_id, {tokens(tagged('messages', False))} AS full_toks, {tokens(tagged('prompt', True))} AS prompt_toks FROM x),
@@ -303,6 +346,29 @@ def transform_chain(t):
     return out.select("conv_id", "dataset_source", joined("labels").alias("labels"))
 
 
+@check(
+    "cached_transform_chain",
+    "C13 D9",
+    f"""WITH {VOCAB}, {labelled('lab', 'messages', 'msgs', 'assistant')}, {encoded('e', 'conv_id', 'toks', 'lab')}
+    SELECT conv_id, len(ids) > 80 AS longer, CASE WHEN len(ids) > 80 THEN 1 ELSE 3 END AS steps_run, md5({sql_joined(masked('ids', 'keep') + '[1:120]')}) AS labels_md5 FROM e JOIN lab USING (conv_id)
+    WHERE len(list_filter(keep[1:120], lambda x: x = 1)) > 0 AND len(ids) > 60""",
+)
+def cached_transform_chain(t):
+    """The chain twice, the second time with another last step: only that step runs."""
+    transforms.register_transform("longer_than", lambda df, tok, n: F.size("input_ids") > n, "filter")
+    steps, root, coder = ["sft_assistant_tokenize_and_truncate_v1", "sft_assistant_filter_v1", "longer_than"], t.scratch("steps"), tokenizer(t)
+
+    def run(n):
+        settings = {"table": f"{t.root}/conversations", "template": "role_tags"}
+        out, ran = transforms.run_cached_transforms(
+            messages(t), steps, [{"max_seq_length": 120}, {}, {"n": n}], coder, "conv_id", root, settings, target=["conv_id", "labels", "input_ids"]
+        )
+        return out.select("conv_id", F.md5(joined("labels").cast("binary")).alias("labels_md5"), F.lit(len(ran)).alias("steps_run"))
+
+    first, second = run(60), run(80)
+    return first.join(second.select("conv_id"), "conv_id", "left_anti").unionByName(second).withColumn("longer", F.col("steps_run") == 1)
+
+
 @check(
     "sft_statistics",
     "B1 D1 D2 D5 E1 C11",

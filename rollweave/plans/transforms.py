@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from rollweave.operators import filters, tokens
 from rollweave.operators.messages import prune_columns
+from rollweave.operators.mixing import config_hash, step_fingerprint
+from rollweave.sources.publish import build_table, published_table, read_record
 
 TRANSFORMS: dict[str, tuple[Callable, str]] = {}
 
@@ -55,9 +57,35 @@ def run_transforms(df: DataFrame, steps: list[str], args: list[dict], tokenizer,
     if len(steps) != len(args):
         raise ValueError(f"steps and arguments differ in length: {steps} {args}")
     for name, kwargs in zip(steps, args):
-        fn, kind = TRANSFORMS[name]
-        if kind == "map":
-            df = prune_columns(fn(df, tokenizer, key, **kwargs), target)
-        else:
-            df = df.where(F.coalesce(fn(df, tokenizer, **kwargs), F.lit(False)))
+        df = _step(df, name, kwargs, tokenizer, key, target)
     return df
+
+
+def _step(df: DataFrame, name: str, kwargs: dict, tokenizer, key: str, target: list[str] | None) -> DataFrame:
+    fn, kind = TRANSFORMS[name]
+    if kind == "map":
+        return prune_columns(fn(df, tokenizer, key, **kwargs), target)
+    return df.where(F.coalesce(fn(df, tokenizer, **kwargs), F.lit(False)))
+
+
+def run_cached_transforms(
+    df: DataFrame, steps: list[str], args: list[dict], tokenizer, key: str, root: str, source: dict, target: list[str] | None = None
+) -> tuple[DataFrame, list[str]]:
+    """The steps in order, each one's table kept under the fingerprint of its whole lineage.
+
+    ``source`` is what tells the input and the tokenizer apart (names, revisions, settings); a step's
+    fingerprint chains on the one before it. Work begins behind the last step whose table is there, so a
+    changed step reruns itself and what follows. Returns the table and the names of the steps that ran.
+    """
+    if len(steps) != len(args):
+        raise ValueError(f"steps and arguments differ in length: {steps} {args}")
+    spark, prints, ran = df.sparkSession, [config_hash(source)], []
+    for name, kwargs in zip(steps, args):
+        prints.append(step_fingerprint(prints[-1], name, {"args": kwargs, "target": target, "key": key}))
+    there = next((k for k in range(len(steps), 0, -1) if read_record(spark, f"{root}/{prints[k]}.json")), 0)
+    out = published_table(spark, root, prints[there]) if there else df
+    for k in range(there, len(steps)):
+        step = _step(out, steps[k], args[k], tokenizer, key, target)
+        out = build_table(spark, root, prints[k + 1], lambda step=step: step, step=steps[k], after=prints[k])
+        ran.append(steps[k])
+    return out, ran

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollweave.operators.ordering import row_index
+from rollweave.sources.publish import names_in, publish, read_record
 
 ROLLOUT_SHARD_ROWS = 10_000
 
@@ -87,13 +90,49 @@ def read_dataset(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/data")
 
 
-def append_rollouts(df: DataFrame, path: str, key: str, offset: int = 0, shard_rows: int = ROLLOUT_SHARD_ROWS) -> None:
-    """Append JSON lines in shards numbered from a running total of rows."""
-    sharded = shard_rollouts(df, key, offset, shard_rows)
-    sharded.repartition("shard").write.partitionBy("shard").mode("append").json(path)
+def append_rollouts(df: DataFrame, path: str, key: str | list[str], run: str, step: int, shard_rows: int = ROLLOUT_SHARD_ROWS) -> int:
+    """Append the rows of one step of a run as JSON lines, in shards numbered from the run's total of rows.
+
+    The append is a record, keyed by (run, step), that names its folder and holds the total behind it; it is
+    published last. A step that is there already is left as it is, so a retried append adds nothing, and one
+    that died adds nothing either. One writer for each run. Returns the total.
+    """
+    spark = df.sparkSession
+    record = read_record(spark, _append_record(path, run, step))
+    if record is None:
+        offset = total_rollouts(spark, path, run)
+        folder = f"data/{run}/{step}-{uuid.uuid4().hex}"
+        shard_rollouts(df, key, offset, shard_rows).repartition("shard").write.partitionBy("shard").json(f"{path}/{folder}")
+        rows = spark.read.schema("shard long").json(f"{path}/{folder}").count()
+        record = {"folder": folder, "offset": offset, "rows": rows, "total": offset + rows}
+        publish(spark, _append_record(path, run, step), record)
+    return record["total"]
+
+
+def _append_record(path: str, run: str, step: int) -> str:
+    return f"{path}/appends/{run}/{step:012d}.json"
+
+
+def appends(spark: SparkSession, path: str, run: str) -> list[dict]:
+    """The records of a run's appends in the order of their rows."""
+    folder = f"{path}/appends/{run}"
+    return sorted((read_record(spark, f"{folder}/{name}") for name in names_in(spark, folder)), key=lambda r: (r["total"], r["offset"]))
+
+
+def total_rollouts(spark: SparkSession, path: str, run: str) -> int:
+    """Rows appended to a run so far."""
+    return max((r["total"] for r in appends(spark, path, run)), default=0)
+
+
+def read_rollouts(spark: SparkSession, path: str, run: str, schema: str) -> DataFrame:
+    """The rows of all appends of a run with their ``shard``."""
+    folders = [f"{path}/{r['folder']}" for r in appends(spark, path, run) if r["rows"]]
+    reader = spark.read.schema(f"{schema}, shard long")
+    parts = [reader.option("basePath", folder).json(folder) for folder in folders]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], f"{schema}, shard long")
 
 
-def shard_rollouts(df: DataFrame, key: str, offset: int = 0, shard_rows: int = ROLLOUT_SHARD_ROWS) -> DataFrame:
+def shard_rollouts(df: DataFrame, key: str | list[str], offset: int = 0, shard_rows: int = ROLLOUT_SHARD_ROWS) -> DataFrame:
     indexed = row_index(df, key, start=offset, out="__i")
     return indexed.withColumn("shard", F.floor(F.col("__i") / shard_rows).cast("long")).drop("__i")
 

@@ -252,12 +252,15 @@ def test_group_guards(spark):
     assert preferences.pairwise_comparisons(cands, "k", 4).count() == 10
 
 
-def test_encode_by_join_matches_lookup(spark):
-    rows = spark.createDataFrame([(i, ["a", "b", f"w{i % 5}", "zz"]) for i in range(20)], "id long, toks array<string>")
-    vocab = tokens.build_vocabulary(rows.withColumn("toks", F.filter("toks", lambda x: x != "zz")), "toks")
-    there = {r.id: r.ids for r in tokens.encode(rows, "id", {"ids": "toks"}, vocab).collect()}
-    joined = {r.id: r.ids for r in tokens.encode_by_join(rows, "id", {"ids": "toks"}, vocab, head=5).collect()}
-    assert there == joined and there[0][-1] == 3 and sorted(there[0][:2]) == [4, 5]
+def test_encoder_keeps_repeated_and_null_keys(spark):
+    rows = spark.createDataFrame([(1, ["a", "c", "x"]), (1, ["b"]), (None, ["c", "c", "a"]), (2, []), (3, None)], "id long, toks array<string>")
+    vocabulary = spark.createDataFrame([("a", 4), ("b", 5), ("c", 6)], "token string, id int")
+    want = [(None, [6, 6, 4]), (1, [4, 6, 3]), (1, [5]), (2, []), (3, [])]
+    for head in (1000, 6, 5, 1):
+        got = tokens.encode(rows, "id", {"ids": "toks"}, vocabulary, head=head).collect()
+        assert sorted(((r.id, r.ids) for r in got), key=lambda r: (r[0] or 0, r[1])) == sorted(want, key=lambda r: (r[0] or 0, r[1])), head
+    two = tokens.encode(rows.withColumn("more", F.reverse("toks")), "id", {"ids": "toks", "back": "more"}, vocabulary, head=5).collect()
+    assert all(r.back == r.ids[::-1] for r in two)
 
 
 def test_order_with_hot_ties_and_empty_input(spark):
