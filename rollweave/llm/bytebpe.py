@@ -75,9 +75,9 @@ def merges(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
     return out
 
 
-def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _bound(value: Column, kind: str, body: Callable[[Column], Column]) -> Column:
+    """``body``, of type ``kind``, of a value that is computed once; a fold of one step copies nothing."""
+    return F.aggregate(F.array(value), F.lit(None).cast(kind), lambda _, x: body(x))
 
 
 def _folded(word: Column, singles: Column, pairs: Column) -> Column:
@@ -116,8 +116,8 @@ def _folded(word: Column, singles: Column, pairs: Column) -> Column:
     first = F.transform(
         F.sequence(F.lit(1), F.octet_length(word)), lambda k: F.get(singles, F.conv(F.hex(F.substr(raw, k, F.lit(1))), 16, 10).cast("int"))
     )
-    start = _bound(first, lambda ids: F.transform(ids, lambda x, k: paired(x, F.get(ids, k + 1))))
-    done = _bound(start, lambda s: F.aggregate(F.slice(s, 2, F.size(s)), s, step))
+    start = _bound(first, "array<bigint>", lambda ids: F.transform(ids, lambda x, k: paired(x, F.get(ids, k + 1))))
+    done = _bound(start, "array<bigint>", lambda s: F.aggregate(F.slice(s, 2, F.size(s)), s, step))
     return F.transform(done, lambda x: x.bitwiseAND(SHIFT - 1).cast("int"))
 
 
@@ -140,7 +140,7 @@ class RankMap:
     def ids(self, words: Column) -> Column:
         """The ids of each word of an array; the maps are bound once, so that the plan holds one copy of each."""
         maps = F.struct(self._pairs.alias("p"), self._singles.alias("s"))
-        return _bound(maps, lambda m: F.transform(words, lambda w: _folded(w, m["s"], m["p"])))
+        return _bound(maps, "array<array<int>>", lambda m: F.transform(words, lambda w: _folded(w, m["s"], m["p"])))
 
     def decoded(self, ids: Column) -> Column:
         """The bytes of ``ids``, piece after piece."""
@@ -291,7 +291,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, chunk_bytes: int = CH
         )
 
     resolved = chunks.mapInArrow(_resolved(head, ranks), RESOLVED)
-    return resolved.select(F.explode(_bound(table, assembled)).alias("x")).select("x.doc_id", "x.ids")
+    return resolved.select(F.explode(_bound(table, "array<struct<doc_id:bigint,ids:array<int>>>", assembled)).alias("x")).select("x.doc_id", "x.ids")
 
 
 def _shared_words(chunks: DataFrame, rank_map: RankMap, most: int) -> DataFrame:
