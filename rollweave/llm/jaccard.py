@@ -17,18 +17,20 @@ Documents with equal shingle sets are one class; only classes are joined. Two cl
    missed, and pairs inside a component are never formed.
 
 Defined cases: a text without words (or null) has an empty set and links with nothing; fewer words than
-the shingle width make one shingle of the whole sequence; equal rows are linked; a null doc_id is kept
-but is never the name of a component unless all of its class have none; other columns are ignored.
+the shingle width make one shingle of the whole sequence; equal rows are linked; rows are told apart by
+doc_id and text, so a null or repeated doc_id joins nothing by itself; a null doc_id is never the name of a
+component unless all of its rows have none; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollweave.llm import kernel
@@ -50,7 +52,7 @@ TREE = 256
 #: Members of a group that meet in one task.
 TILE = 4096
 
-DIGEST = "doc_id long, cls long, n int, bitmap binary"
+DIGEST = "doc_id long, own long, cls long, n int, bitmap binary"
 PACKED = "bucket int, counts binary, data binary, heads binary"
 MEMBERS = "grp long, cls long, n int, short boolean, hub long"
 SETS = "cls long, n int, data binary"
@@ -99,23 +101,28 @@ def _digests(width: int):
     def run(batches):
         rows: list[tuple] = []
         seen: set[int] = set()
-        for doc, own in _sets(batches, width):
+        named: deque = deque()
+
+        def named_batches():
+            for batch in batches:
+                named.extend(batch.column("own").to_pylist())
+                yield batch
+
+        def digests():
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=[x.split()[0] for x in DIGEST.split(", ")])
+
+        for doc, own in _sets(named_batches(), width):
             cls = class_hash(own) if len(own) else None
             new = cls is not None and cls not in seen
             if new and len(seen) < FLUSH:
                 seen.add(cls)
-            rows.append((doc, cls, len(own), bitmap(own) if new else None))
+            rows.append((doc, named.popleft(), cls, len(own), bitmap(own) if new else None))
             if len(rows) >= 4096:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                    names=["doc_id", "cls", "n", "bitmap"],
-                )
+                yield digests()
                 rows = []
         if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                names=["doc_id", "cls", "n", "bitmap"],
-            )
+            yield digests()
 
     return run
 
@@ -524,12 +531,15 @@ def _links(texts: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, n
         dealt.select("a", "part", F.col("a").alias("cls")).distinct()
     )
     blocks = max(1, count // (4 * TREE))
-    return (
+    found = (
         roles.join(sets, "cls")
         .select("a", "part", "cls", "data", F.pmod(F.xxhash64("a", "part"), F.lit(blocks)).alias("block"))
         .groupBy("block")
         .applyInArrow(_linked_in_block(num, den), "a long, b long")
     )
+    links = materialise_stage(found, "links")
+    shared.destroy()
+    return links
 
 
 def _between_components(members: DataFrame, classes: DataFrame, label: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
@@ -568,13 +578,20 @@ def _between_components(members: DataFrame, classes: DataFrame, label: DataFrame
     )
 
 
-def jaccard_components(
+def row_name(text: str = "text") -> Column:
+    """What tells rows apart: doc_id and text. Rows without doc_id, or with a repeated one, keep their own."""
+    return F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col(text))
+
+
+def linked_rows(
     docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, text: str = "text", buckets: int | None = None
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row: the least doc_id that links reach."""
+    """(row, doc_id, n_shingles, component) of each row: its ``row_name``, and a number for what links reach; null for an empty set."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    digests = materialise_stage(texts.mapInArrow(_digests(width), DIGEST), "digests")
+    # Inside, a document is known by its row name alone.
+    named = docs.select(row_name(text).alias("doc_id"), F.col("doc_id").cast("long").alias("own"), F.col(text).alias("text"))
+    digests = materialise_stage(named.mapInArrow(_digests(width), DIGEST), "digests")
+    texts = named.select("doc_id", "text")
     classes = materialise_stage(
         digests.where("cls is not null")
         .groupBy("cls")
@@ -590,8 +607,9 @@ def jaccard_components(
         .applyInArrow(_groups_in_bucket(num, den), MEMBERS),
         "members",
     )
+    often.destroy()
     hubs = members.where("hub <> 0").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-    links = materialise_stage(_links(texts, classes, hubs, width, num, den), "links")
+    links = _links(texts, classes, hubs, width, num, den)
     label = components(links)
     tested = hubs
     for nearest in (True, True, False):
@@ -599,13 +617,34 @@ def jaccard_components(
         rest = rest.join(tested, ["a", "b"], "left_anti")
         if rest.isEmpty():
             continue
-        more = materialise_stage(_links(texts, classes, rest, width, num, den), "links")
+        more = _links(texts, classes, rest, width, num, den)
         links, tested = links.unionAll(more), tested.unionAll(rest)
         label = components(links)
-    names = digests.join(label.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "cls").alias("component")
+    return digests.join(label.withColumnRenamed("node", "cls"), "cls", "left").select(
+        F.col("doc_id").alias("row"), F.col("own").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "cls").alias("component")
     )
+
+
+def jaccard_components(
+    docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, text: str = "text", buckets: int | None = None
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row: the least doc_id that links reach."""
+    names = linked_rows(docs, width, num, den, text, buckets)
     least = names.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     return names.join(least, "component", "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` with one row of each component: the one with the least doc_id (none comes last), then row name.
+
+    Rows with equal doc_id and text are one row; rows without a word are linked with nothing and all stay.
+    """
+    rows = linked_rows(docs, **settings).where("component is not null")
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("x"))
+    keep = first.select(F.col("x.row").alias("__row"))
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # Equal rows fall together before they are sent on, so copies without doc_id are no hot key.
+    distinct = docs.where(worded).withColumn("__row", row_name()).dropDuplicates(["__row"])
+    return distinct.join(keep, "__row", "left_semi").drop("__row").unionByName(docs.where(~worded))

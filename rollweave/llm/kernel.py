@@ -79,7 +79,7 @@ def raw_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]], offsets.astype(np.int64) - int(offsets[0])
 
 
-def blocks(column: pa.Array, limit: int = 4 * BLOCK) -> Iterator[Texts]:
+def blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[Texts]:
     """The column in runs of whole rows of about ``limit`` bytes; one longer text is a run of its own."""
     data, offsets = raw_text(column)
     first, rows = 0, len(offsets) - 1

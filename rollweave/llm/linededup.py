@@ -14,9 +14,13 @@ pairs of a group are formed, however many lines share it. Hits are verified on t
 Lines that can have no partner emit no variants: of two lines one edit apart, the first or the last half
 is untouched, so a line none of whose half keys occurs in another line is left out exactly.
 
+A document is known by its doc_id and the hash of its text, so rows that share a doc_id, or have none, keep
+lines of their own.
+
 Defined cases: a null text has no lines and stays null; blank lines are kept unless ``drop_empty``
-removes the whole document; repeated rows with one doc_id are one document and treated alike; a null
-doc_id comes last in the order; other columns pass through; an empty table gives an empty result.
+removes the whole document; rows with equal doc_id and text are one document and treated alike; documents
+of one doc_id go by the hash of their text; a null doc_id comes last in the order; other columns pass
+through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,11 +37,11 @@ from rollweave.llm import kernel
 from rollweave.session import materialise_stage
 
 LAST = 2**63 - 1
-LINES = "doc long, line int, n int, hash long, halves array<long>"
-VARIANTS = "key long, place int, doc long, line int"
+LINES = "doc long, tid long, line int, n int, hash long, halves array<long>"
+VARIANTS = "key long, place int, doc long, tid long, line int"
 #: Lines before and after, and how many went as equal and as near lines.
 COUNTS = ("_lines", "_left", "_equal", "_near")
-TEXTS = "doc long, line int, words array<string>"
+TEXTS = "doc long, tid long, line int, words array<string>"
 #: Documents whose wanted lines may be broadcast (about 64 bytes each); beyond it they are joined by shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -45,7 +49,7 @@ BROADCAST_ROWS = 500_000
 def _line_table(near_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs = batch.column("doc").to_numpy(zero_copy_only=False)
+            docs, tids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "tid"))
             for texts in kernel.blocks(batch.column("text")):
                 found = kernel.words(texts, lower=True)
                 start, first = kernel.lines(texts)
@@ -67,12 +71,13 @@ def _line_table(near_words: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(docs[texts.first + row], pa.int64()),
+                        pa.array(tids[texts.first + row], pa.int64()),
                         pa.array((full - first[row]).astype(np.int32)),
                         pa.array(n.astype(np.int32)),
                         pa.array(kernel.signed(kernel.sequence_hashes(found.hash, begin, n))),
                         pa.ListArray.from_arrays(pa.array(lists), pa.array(kernel.signed(keys[use]))),
                     ],
-                    names=["doc", "line", "n", "hash", "halves"],
+                    names=["doc", "tid", "line", "n", "hash", "halves"],
                 )
 
     return run
@@ -102,9 +107,10 @@ def inverse_powers(n: int) -> np.ndarray:
     return _inverse[:n]
 
 
-def _wanted(batch: pa.RecordBatch) -> Iterator[tuple[int, int, kernel.Texts, kernel.Words]]:
-    """Of each wanted line: document, line number, and its words' place in the block."""
-    docs, wanted = batch.column("doc").to_pylist(), batch.column("wanted").to_pylist()
+def _wanted(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], int, kernel.Texts, kernel.Words]]:
+    """Of each wanted line: document (doc, tid), line number, and its words' place in the block."""
+    docs = list(zip(batch.column("doc").to_pylist(), batch.column("tid").to_pylist()))
+    wanted = batch.column("wanted").to_pylist()
     for texts in kernel.blocks(batch.column("text")):
         found = kernel.words(texts, lower=True)
         start, first = kernel.lines(texts)
@@ -139,7 +145,7 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(found.hash)
             keys.append(deletions(found.hash))
             places.append(np.arange(-1, n))
-            docs.append(np.full(n + 1, doc))
+            docs.append(np.tile(np.array(doc, dtype=np.int64), (n + 1, 1)))
             lines.append(np.full(n + 1, line))
             held += n
             if held > 1 << 19:
@@ -154,10 +160,10 @@ def _variant_batch(keys, places, docs, lines) -> pa.RecordBatch:
         [
             pa.array(kernel.signed(np.concatenate(keys))),
             pa.array(np.concatenate(places).astype(np.int32)),
-            pa.array(np.concatenate(docs), pa.int64()),
+            *(pa.array(x, pa.int64()) for x in np.concatenate(docs).T),
             pa.array(np.concatenate(lines).astype(np.int32)),
         ],
-        names=["key", "place", "doc", "line"],
+        names=["key", "place", "doc", "tid", "line"],
     )
 
 
@@ -169,11 +175,12 @@ def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([x[0] for x in rows], pa.int64()),
+                pa.array([x[0][0] for x in rows], pa.int64()),
+                pa.array([x[0][1] for x in rows], pa.int64()),
                 pa.array([x[1] for x in rows], pa.int32()),
                 pa.array([x[2] for x in rows], pa.list_(pa.string())),
             ],
-            names=["doc", "line", "words"],
+            names=["doc", "tid", "line", "words"],
         )
 
 
@@ -198,22 +205,23 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fetch(docs: DataFrame, lines: DataFrame, reader, schema: str) -> DataFrame:
-    """``reader`` over the texts that hold the wanted ``lines`` (doc, line)."""
-    wanted = materialise_stage(lines.groupBy("doc").agg(F.collect_set("line").alias("wanted")), "lines")
+    """``reader`` over the texts that hold the wanted ``lines`` (doc, tid, line)."""
+    wanted = materialise_stage(lines.groupBy("doc", "tid").agg(F.collect_set("line").alias("wanted")), "lines")
     if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    return docs.join(wanted, "doc").mapInArrow(reader, schema)
+    return docs.join(wanted, ["doc", "tid"]).mapInArrow(reader, schema)
 
 
 def repeated_line_numbers(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> DataFrame:
-    """(doc, line, near, kept_doc, kept_line): each line to drop and an earlier line that stands for it."""
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), "text")
+    """(doc, tid, line, near, kept_doc, kept_tid, kept_line): each line to drop and an earlier line that stands for it."""
+    texts = docs.select(*_document(docs), "text")
     lines = materialise_stage(
         texts.mapInArrow(_line_table(near_words), LINES).where(F.col("n") >= min_words), "lines"
     )
+    at = F.struct("doc", "tid", "line")
     first = materialise_stage(
         lines.groupBy("hash", "n").agg(
-            F.min(F.struct("doc", "line")).alias("at"), F.max(F.struct("doc", "line")).alias("last"), F.first("halves").alias("halves")
+            F.min(at).alias("at"), F.max(at).alias("last"), F.first("halves").alias("halves")
         ),
         "lines",
     )
@@ -222,7 +230,6 @@ def repeated_line_numbers(docs: DataFrame, min_words: int = 5, near_words: int =
     hopeful = halves.join(shared, "half", "left_semi").select("hash").distinct()
     near_first = first.where(F.size("halves") > 0).join(hopeful, "hash", "left_semi").select("at.*")
     variants = materialise_stage(_fetch(texts, near_first, _variants, VARIANTS), "variants")
-    at = F.struct("doc", "line")
     met = (
         variants.groupBy("key").agg(F.min(at).alias("a"), F.max(at).alias("b")).where("a <> b").select("key")
     )
@@ -237,7 +244,7 @@ def repeated_line_numbers(docs: DataFrame, min_words: int = 5, near_words: int =
     found = same.select(*columns).unionAll(shorter.select(*columns)).unionAll(longer.select(*columns)).where("kept < at")
     pairs = materialise_stage(found.distinct(), "pairs")
     both = pairs.select("at.*").unionAll(pairs.select("kept.*")).distinct()
-    words = materialise_stage(_fetch(texts, both, _line_texts, TEXTS).dropDuplicates(["doc", "line"]), "words")
+    words = materialise_stage(_fetch(texts, both, _line_texts, TEXTS).dropDuplicates(["doc", "tid", "line"]), "words")
     checked = (
         pairs.join(words.select(at.alias("at"), "words"), "at")
         .join(words.select(at.alias("kept"), F.col("words").alias("kept_words")), "kept")
@@ -251,18 +258,24 @@ def repeated_line_numbers(docs: DataFrame, min_words: int = 5, near_words: int =
     )
     return (
         lines.join(stand, ["hash", "n"])
-        .where(F.struct("doc", "line") > F.col("kept"))
+        .where(at > F.col("kept"))
         .select(
             "doc",
+            "tid",
             "line",
             # An equal earlier line goes before a near one.
-            (F.col("near") & (F.struct("doc", "line") == F.col("at"))).alias("near"),
-            F.when(F.struct("doc", "line") == F.col("at"), F.col("kept")).otherwise(F.col("at")).alias("kept"),
+            (F.col("near") & (at == F.col("at"))).alias("near"),
+            F.when(at == F.col("at"), F.col("kept")).otherwise(F.col("at")).alias("kept"),
         )
-        .select("doc", "line", "near", F.col("kept.doc").alias("kept_doc"), F.col("kept.line").alias("kept_line"))
+        .select("doc", "tid", "line", "near", *[F.col(f"kept.{c}").alias(f"kept_{c}") for c in ("doc", "tid", "line")])
     )
 
 
+def _document(docs: DataFrame) -> list:
+    """What tells documents apart, and orders them."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("tid")]
+
+
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, drops = batch.column("text").to_pylist(), batch.column("__drop").to_pylist()
@@ -291,13 +304,13 @@ def line_dedup(docs: DataFrame, drop_empty: bool = False, min_words: int = 5, ne
     """
     drops = (
         repeated_line_numbers(docs, min_words, near_words)
-        .groupBy("doc")
+        .groupBy(F.col("doc").alias("__doc"), F.col("tid").alias("__tid"))
         .agg(F.collect_set(F.struct("line", "near")).alias("__drop"))
-        .withColumnRenamed("doc", "__doc")
     )
+    doc, tid = _document(docs)
     schema = StructType([*docs.schema.fields, *(StructField(c, LongType()) for c in COUNTS)])
     out = (
-        docs.join(drops, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col("__doc"), "left")
+        docs.join(drops, (doc == F.col("__doc")) & (tid == F.col("__tid")), "left")
         .select(*[F.col(f"`{c}`") for c in docs.columns], "__drop")
         .mapInArrow(_without, schema)
     )

@@ -1,8 +1,9 @@
 """Quality rules: base counts of each text, and lines that too many documents of one host share.
 
 Lines are normalised (A-Z folded, white space collapsed) and hashed. For each host, the documents that
-hold a line are counted, equal texts once; a line in more than ``max(min_docs, share * documents of the
-host)`` of them is boilerplate and is removed. A document that loses so much that fewer than
+hold a line are counted, equal texts once; a line in more than ``max(min_docs, cube root of the host's
+documents)`` of them is boilerplate and is removed. The limit hardly grows with the host (1,000 for 10^9
+documents), so a line in one per cent of a host is found whatever the host's size. A document that loses so much that fewer than
 ``min_words`` words or less than ``min_left`` of its words remain is rejected.
 
 Defined cases: a null text has no words and fails the base rules; an empty line or a line without a
@@ -105,7 +106,6 @@ def keyed(docs: DataFrame, host: str) -> DataFrame:
 def quality_rules(
     docs: DataFrame,
     host: str = "source",
-    share: float = 0.1,
     min_docs: int = 20,
     min_words: int = 10,
     min_left: float = 0.3,
@@ -124,7 +124,7 @@ def quality_rules(
     # Repeated rows of one text hold each line as often; what counts is the text.
     copies = stats.groupBy("host", "tid").agg(F.count("*").alias("copies"))
     limits = copies.groupBy("host").agg(
-        F.greatest(F.lit(float(min_docs)), F.count("*") * F.lit(share)).alias("most")
+        F.greatest(F.lit(float(min_docs)), F.cbrt(F.count("*").cast("double"))).alias("most")
     )
     often = (
         held.groupBy("host", "line", "words").agg(F.count("*").alias("docs")).join(limits, "host").where("docs > most")

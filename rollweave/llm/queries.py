@@ -174,7 +174,7 @@ WITH base AS MATERIALIZED (
 held AS MATERIALIZED (
   SELECT doc_id, host, text, regexp_extract_all({FOLD.format("l")}, '{WORD}') AS lw FROM cut
 ), lines AS MATERIALIZED (SELECT doc_id, host, text, array_to_string(lw, ' ') AS line, len(lw) AS n FROM held),
-limits AS (SELECT host, greatest(20.0, 0.1 * count(DISTINCT text)) AS most FROM base WHERE text IS NOT NULL GROUP BY host),
+limits AS (SELECT host, greatest(20.0, cbrt(count(DISTINCT text))) AS most FROM base WHERE text IS NOT NULL GROUP BY host),
 often AS (
   SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS c FROM lines GROUP BY host, line) JOIN limits USING (host)
   WHERE c > most

@@ -10,8 +10,9 @@ reaches ``threshold``.
 The benchmark is read in blocks of at most ``BLOCK_WORDS`` words; each block's seeds are broadcast (their
 size is that bound) and met by one pass over the documents, which are never shuffled.
 
-Defined cases: null or empty texts hold no seeds; an item of fewer words than ``seed`` is matched as a
-whole; equal rows give equal results; ties between tiles of one length go to the earlier place in the
+Defined cases: null or empty texts hold no seeds; an item of fewer than ``min_words`` words stands in clean
+texts too and gives no verdict (``short_items`` lists them); below ``seed`` words it is matched as a whole;
+rows are judged by their text alone, whatever their doc_id; equal rows give equal results; ties between tiles of one length go to the earlier place in the
 item, then in the document; words are compared with A-Z folded and punctuation at their ends dropped;
 other columns are ignored; an empty table on either side gives an empty result.
 """
@@ -22,6 +23,7 @@ import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,11 @@ from rollweave.llm import kernel
 
 #: Words of the benchmark in one broadcast block (about 40 bytes each).
 BLOCK_WORDS = 1 << 20
-TILES = "doc_id long, item_id long, item_words int, covered int, n_tiles int, longest int, first int"
+#: Words of the shortest item that gives a verdict.
+MIN_WORDS = 8
+#: What parts words: ASCII signs and white space.
+SIGNS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+TILES = "doc_id long, text_hash long, item_id long, item_words int, covered int, n_tiles int, longest int, first int"
 
 
 @dataclass(frozen=True)
@@ -126,43 +132,63 @@ def _matches(doc: np.ndarray, items: Items, seed: int) -> dict[int, list[np.ndar
     return found
 
 
-def _tiles(shared, seed: int, threshold: float):
+def _row_tiles(column: pa.Array, items: Items, seed: int, threshold: float, min_words: int) -> Iterator[tuple]:
+    """(row, item, its words, covered, tiles, longest, first) of each row that an item contaminates."""
+    for texts in kernel.blocks(column):
+        words = tidy_words(texts)
+        for i in _rows_with_seeds(words, items):
+            doc = words.hash[words.bounds[i] : words.bounds[i + 1]]
+            for k, parts in _matches(doc, items, seed).items():
+                first, size = int(items.first[k]), int(items.first[k + 1] - items.first[k])
+                if size < min_words:
+                    continue
+                hits = np.concatenate(parts)
+                hits[:, 0] -= first
+                width = min(seed, size)
+                cover = np.zeros(size + 1, dtype=np.int64)
+                own = np.unique(hits[:, 0])
+                np.add.at(cover, own, 1)
+                np.add.at(cover, own + width, -1)
+                # All seeds together bound what tiles can cover.
+                if np.count_nonzero(np.cumsum(cover[:-1])) < threshold * size:
+                    continue
+                tiles = tile(doc, items.words[first : first + size], hits, seed)
+                covered = sum(x[2] for x in tiles)
+                if covered >= threshold * size:
+                    yield int(texts.first + i), int(items.ids[k]), size, covered, len(tiles), tiles[0][2], min(x[1] for x in tiles)
+
+
+def _tiles(shared, seed: int, threshold: float, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items: Items = shared.value
         for batch in batches:
-            docs, rows = batch.column("doc_id").to_pylist(), []
-            for texts in kernel.blocks(batch.column("text")):
-                words = tidy_words(texts)
-                hopeful = _rows_with_seeds(words, items)
-                for i in hopeful:
-                    doc = words.hash[words.bounds[i] : words.bounds[i + 1]]
-                    for k, parts in _matches(doc, items, seed).items():
-                        first, size = int(items.first[k]), int(items.first[k + 1] - items.first[k])
-                        hits = np.concatenate(parts)
-                        hits[:, 0] -= first
-                        width = min(seed, size)
-                        cover = np.zeros(size + 1, dtype=np.int64)
-                        own = np.unique(hits[:, 0])
-                        np.add.at(cover, own, 1)
-                        np.add.at(cover, own + width, -1)
-                        # All seeds together bound what tiles can cover.
-                        if np.count_nonzero(np.cumsum(cover[:-1])) < threshold * size:
-                            continue
-                        tiles = tile(doc, items.words[first : first + size], hits, seed)
-                        covered = sum(x[2] for x in tiles)
-                        if covered >= threshold * size:
-                            rows.append(
-                                (docs[texts.first + i], int(items.ids[k]), size, covered, len(tiles), tiles[0][2], min(x[1] for x in tiles))
-                            )
+            rows = list(_row_tiles(batch.column("text"), shared.value, seed, threshold, min_words))
             columns = list(zip(*rows)) or [()] * 7
+            at = pa.array(columns[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64() if k < 2 else pa.int32()) for k, x in enumerate(columns)],
+                [
+                    batch.column("doc_id").take(at),
+                    batch.column("text_hash").take(at),
+                    *(pa.array(x, pa.int64() if k == 0 else pa.int32()) for k, x in enumerate(columns[1:])),
+                ],
                 names=[x.split()[0] for x in TILES.split(", ")],
             )
 
     return run
 
 
+def _clean(shared, seed: int, threshold: float, min_words: int):
+    """The rows that no item of the block contaminates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, dtype=bool)
+            for row, *_ in _row_tiles(batch.column("text"), shared.value, seed, threshold, min_words):
+                keep[row] = False
+            yield batch if keep.all() else batch.filter(pa.array(keep))
+
+    return run
+
+
 def _rows_with_seeds(words: kernel.Words, items: Items) -> np.ndarray:
     rows = []
     for width, (keys, _) in items.seeds.items():
@@ -174,20 +200,37 @@ def _rows_with_seeds(words: kernel.Words, items: Items) -> np.ndarray:
     return np.unique(np.concatenate(rows)) if rows else np.zeros(0, dtype=np.int64)
 
 
-def contaminated_documents(
-    docs: DataFrame, benchmark: DataFrame, seed: int = 4, threshold: float = 0.5
-) -> DataFrame:
-    """(doc_id, item_id, item_words, covered, n_tiles, longest, first) where tiles cover enough of an item."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _blocks(benchmark: DataFrame, seed: int) -> Iterator:
+    """The benchmark as broadcast blocks of bounded size."""
+    spark = benchmark.sparkSession
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     total = items.agg(F.sum(F.size(F.split("text", r"\W+")) + 1).alias("n")).first()["n"] or 0
     parts = max(1, math.ceil(total / BLOCK_WORDS))
-    out = None
     for part in range(parts):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).distinct()
         table = own.orderBy("item_id", "text").toArrow()
-        block = build_items(table["item_id"].to_pylist(), table["text"].to_pylist(), seed)
-        found = texts.mapInArrow(_tiles(spark.sparkContext.broadcast(block), seed, threshold), TILES)
-        out = found if out is None else out.unionAll(found)
-    return out
+        yield spark.sparkContext.broadcast(build_items(table["item_id"].to_pylist(), table["text"].to_pylist(), seed))
+
+
+def contaminated_documents(
+    docs: DataFrame, benchmark: DataFrame, seed: int = 4, threshold: float = 0.5, min_words: int = MIN_WORDS
+) -> DataFrame:
+    """(doc_id, text_hash, item_id, item_words, covered, n_tiles, longest, first) where tiles cover enough of an item."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    found = [texts.mapInArrow(_tiles(block, seed, threshold, min_words), TILES) for block in _blocks(benchmark, seed)]
+    return reduce(DataFrame.unionAll, found)
+
+
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, seed: int = 4, threshold: float = 0.5, min_words: int = MIN_WORDS
+) -> DataFrame:
+    """The rows of ``docs`` whose text no item contaminates, each judged by itself; nothing is shuffled."""
+    for block in _blocks(benchmark, seed):
+        docs = docs.mapInArrow(_clean(block, seed, threshold, min_words), docs.schema)
+    return docs
+
+
+def short_items(benchmark: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The items that are too short for a verdict, with their number of words."""
+    words = F.size(F.filter(F.split("text", SIGNS), lambda w: w != ""))
+    return benchmark.withColumn("n_words", words).where(F.col("text").isNotNull() & F.col("n_words").between(1, min_words - 1))
