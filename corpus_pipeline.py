@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollweave.llm.bestfit import pack_documents
-from rollweave.llm.jaccard import jaccard_components
+from rollweave.llm.jaccard import one_of_each
 from rollweave.llm.linededup import line_dedup
 from rollweave.llm.quality import apply_quality
-from rollweave.llm.tiling import contaminated_documents
+from rollweave.llm.tiling import decontaminate
 from rollweave.session import materialise_stage
 
 
@@ -25,30 +25,33 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are not depleted, without the lines their host repeats."""
+    """Documents that pass the base rules and are not depleted, without the lines their host repeats.
+
+    Rows are judged by host and text; equal rows are judged alike, and a row without doc_id as any other.
+    """
     return _sized(apply_quality(docs))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand in an earlier place; those that lose all their lines go."""
+    """Documents without lines that stand in an earlier place; those that lose all their lines go.
+
+    Rows with equal doc_id and text are one document; all others have lines of their own.
+    """
     return _sized(line_dedup(docs, drop_empty=True).select(*docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the Jaccard join: the one with the least doc_id.
+    """One document of each component of the Jaccard join: the one with the least doc_id, rows without one last.
 
-    Rows that repeat a doc_id are one document; a row without doc_id stays.
+    Rows with equal doc_id and text are one document; different texts of one doc_id, or without a doc_id, are
+    documents of their own. Rows without a word are linked with nothing and stay.
     """
-    keep = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    return one_of_each(docs).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = contaminated_documents(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold no benchmark item; each row is judged by its own text, whatever its doc_id."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
