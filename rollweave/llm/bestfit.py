@@ -6,7 +6,9 @@ parts by hash; each part packs by best-fit decreasing. Dual-feasible functions g
 sequences that a set of pieces needs; a part whose count meets its bound is certified. The parts' bounds
 add up to more than the bound of all pieces, as each rounds up, so while the whole is above its own bound,
 parts hand over the pieces of their emptiest sequences, and those are dealt anew into fewer parts and
-packed again by best-fit decreasing.
+packed again by best-fit decreasing, until the whole meets its bound or a round gains nothing. Every row of
+the result tells the bound and by how many sequences it is missed. Pieces are dealt by a number of their
+own, so equal rows fill all parts.
 
 Defined cases: a null text is empty and gives one piece that holds the end id; rows that repeat a doc_id
 are packed each for itself; a null doc_id stays null; ties go by (length, doc_id, piece); other columns
@@ -30,9 +32,7 @@ from rollweave.session import materialise_stage
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 #: Pieces that one part packs, about (some 60 bytes each).
-PART = 1 << 18
-#: Rounds in which parts hand over pieces, at most; each is a full pass over the handed pieces alone.
-ROUNDS = 4
+PART = 1 << 16
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -138,8 +138,11 @@ def _pack_part(capacity: int):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int) -> DataFrame:
-    """``pieces`` (doc_id, piece, start, length, ids_crc32) with sequence_id and offset."""
+def pack(pieces: DataFrame, capacity: int, part_rows: int = PART) -> DataFrame:
+    """``pieces`` (doc_id, piece, start, length, ids_crc32), a stored table, with sequence_id and offset.
+
+    ``bound`` is the number of sequences that all pieces need at least, ``gap`` how many more there are.
+    """
     schema = PACKED + ", loose boolean"
     full = pieces.where(F.col("length") == capacity).select(
         "*",
@@ -148,37 +151,40 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
         F.lit(0).cast("long").alias("offset"),
     )
     rest, done, named = pieces.where(F.col("length") < capacity), materialise_stage(full, "packed"), 0
-    count = {r["length"]: r["n"] for r in rest.groupBy("length").agg(F.count("*").alias("n")).collect()}
     counts = np.zeros(capacity + 1, dtype=np.int64)
-    for length, n in count.items():
-        counts[length] = n
-    bound, settled = lower_bound(counts, capacity), 0
-    for turn in range(ROUNDS + 1):
-        n = rest.count() if turn else int(counts.sum())
-        parts = max(1, math.ceil(n / PART))
-        part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(parts)) + named
+    for row in rest.groupBy("length").agg(F.count("*").alias("n")).collect():
+        counts[row["length"]] = row["n"]
+    whole = pieces.where(F.col("length") == capacity).count()
+    n, bound, settled, before, best = int(counts.sum()), lower_bound(counts, capacity), 0, None, None
+    while True:
+        parts = max(1, math.ceil(n / part_rows))
+        part = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(named)), F.lit(parts)) + named
         packed = materialise_stage(
             rest.withColumn("part", part).groupBy("part").applyInArrow(_pack_part(capacity), schema), "packed"
         )
         named += parts
         used = packed.agg(F.count_distinct("sequence_id").alias("n")).first()["n"]
-        if turn == ROUNDS or parts == 1 or settled + used <= bound:
-            return done.unionByName(packed.drop("loose"))
+        total = settled + used
+        if before is None or total <= before:
+            best = done.unionByName(packed.drop("loose")), total
+        if total <= bound or (parts == 1 and not settled) or (before is not None and total >= before):
+            gap = F.lit(best[1] - bound).cast("long")
+            return best[0].select("*", F.lit(bound + whole).cast("long").alias("bound"), gap.alias("gap"))
         kept = packed.where("not loose").drop("loose")
         settled += kept.agg(F.count_distinct("sequence_id").alias("n")).first()["n"]
-        done = done.unionByName(kept)
+        done, before = done.unionByName(kept), total
         rest = packed.where("loose").select("doc_id", "piece", "start", "length", "ids_crc32")
-    raise AssertionError
+        n = rest.count()
 
 
 def pack_documents(
-    docs: DataFrame, vocabulary: str | None = None, end: int = 0, capacity: int = 2048
+    docs: DataFrame, vocabulary: str | None = None, end: int = 0, capacity: int = 2048, part_rows: int = PART
 ) -> DataFrame:
-    """The pieces of every document, each with its sequence and its place there."""
+    """The pieces of every document, each with its sequence and its place there; see ``pack``."""
     if vocabulary is None:
         import public_tokenizers
 
         vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     pieces = materialise_stage(texts.mapInArrow(_tokenised(vocabulary, end, capacity), PIECES), "pieces")
-    return pack(pieces, capacity)
+    return pack(pieces, capacity, part_rows)

@@ -145,10 +145,11 @@ def fit(train: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> tuple:
     for row in grams.collect():
         found[row["gram"] + 1] = row["n"]
     idf = (np.log((1 + found[0]) / (1 + found[1:])) + 1).astype(np.float32)
-    # Few rows pass the first bound, so the ranking of a frequent language stays small.
-    size = train.groupBy("lang").agg(F.count("*").alias("n"))
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("draw")
-    drawn = train.select("doc_id", "text", "lang", draw).join(size, "lang").where(F.col("draw") * F.col("n") <= 2.0 * sample * (1 << 30))
+    # One row for each language comes back; the bounds go into the scan, so few texts of any language move.
+    most = {r["lang"]: 2.0 * sample * (1 << 30) / r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    bounds = F.create_map(*[F.lit(x) for pair in sorted(most.items()) for x in pair]) if most else F.create_map().cast("map<string,double>")
+    drawn = train.select("doc_id", "text", "lang", draw.alias("draw")).where(F.col("draw") <= F.element_at(bounds, F.col("lang")))
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
     chosen = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
     rows = materialise_stage(

@@ -10,6 +10,12 @@ programming carries the best score and its number of pieces to that place. The r
   of the vocabulary less ten; with byte fallback it counts its UTF-8 bytes, else a run of unknown
   characters counts one.
 
+The vocabulary is the list of pieces of a public file; that file's own scores are merge ranks, which say
+nothing of likelihood, so each piece's score is the logarithm of its share of all pieces of the corpus, as
+the file's tokenizer cuts it (every piece counted once more, so that none has a share of nothing). The counts
+are sums over all documents, made in each task and added up. What is counted then is the likeliest cut
+under these scores; it is not the cut of the file's own tokenizer.
+
 Words are counted once and remembered; no text is shuffled.
 
 Defined cases: a null or empty text has no pieces; very long words take time in proportion to their
@@ -20,12 +26,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words remembered by one worker (about 150 bytes each); at the bound the memory starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
+#: Words given to the tokenizer in one call.
+ENCODED = 1 << 14
 LONGEST = 48
 SPACE = "▁"
 COUNTED = "doc_id long, n_pieces long"
@@ -92,23 +102,49 @@ class Counter(dict):
         return sum(map(self.__getitem__, words[1:] if text.startswith(SPACE) else words))
 
 
-def unigram_pieces(model: str) -> list[tuple[str, float]]:
-    """(piece, score) of a sentencepiece file, in the order of ids."""
+def model_pieces(model: str) -> list[str]:
+    """The pieces of a sentencepiece file in the order of ids."""
     import sentencepiece
 
     own = sentencepiece.SentencePieceProcessor(model_file=model)
-    return [(own.id_to_piece(i), own.get_score(i)) for i in range(own.get_piece_size())]
+    return [own.id_to_piece(i) for i in range(own.get_piece_size())]
+
+
+def _piece_counts(model: str):
+    """How often each piece occurs in the texts of a task; a batch's distinct words are cut once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import sentencepiece
 
+        own = sentencepiece.SentencePieceProcessor(model_file=model)
+        total = np.zeros(own.get_piece_size(), dtype=np.int64)
+        for batch in batches:
+            words = pc.value_counts(pc.split_pattern(batch.column("text").fill_null(""), " ").flatten())
+            counts = words.field("counts").to_numpy()
+            for at in range(0, len(words), ENCODED):
+                ids = own.encode(words.field("values").slice(at, ENCODED).to_pylist(), num_threads=1)
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                flat = np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum()))
+                total += np.bincount(flat, weights=np.repeat(counts[at : at + ENCODED], sizes), minlength=len(total)).astype(np.int64)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["id", "n"])
+
+    return run
 
-_counters: dict[tuple[str, bool], Counter] = {}
 
+def unigram_pieces(docs: DataFrame, model: str) -> list[tuple[str, float]]:
+    """(piece, score) of the pieces of a file, scored by the whole of ``docs``; as many rows as the file has."""
+    pieces = model_pieces(model)
+    counts = np.ones(len(pieces), dtype=np.float64)
+    found = docs.select("text").mapInArrow(_piece_counts(model), "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    for row in found.collect():
+        counts[row["id"]] += row["n"]
+    return list(zip(pieces, np.log(counts / counts.sum()).tolist()))
 
-def _counted(model: str, byte_fallback: bool):
+
+def _counted(pieces, byte_fallback: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (model, byte_fallback)
-        if key not in _counters:
-            _counters[key] = Counter(unigram_pieces(model), byte_fallback)
-        counter = _counters[key]
+        counter = Counter(pieces.value, byte_fallback)
         for batch in batches:
             n = [counter.total(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64())], names=["doc_id", "n_pieces"])
@@ -116,11 +152,19 @@ def _counted(model: str, byte_fallback: bool):
     return run
 
 
-def token_counts(docs: DataFrame, model: str | None = None, byte_fallback: bool = True) -> DataFrame:
-    """(doc_id, n_pieces): pieces of each whole text. ``model`` is a sentencepiece file on every executor."""
-    if model is None:
-        import public_tokenizers
+def token_counts(
+    docs: DataFrame, model: str | None = None, byte_fallback: bool = True, pieces: list[tuple[str, float]] | None = None
+) -> DataFrame:
+    """(doc_id, n_pieces): pieces of each whole text.
+
+    ``model`` is a sentencepiece file on every executor, whose pieces ``docs`` itself scores; or give
+    ``pieces`` with their scores, a unigram vocabulary of your own.
+    """
+    if pieces is None:
+        if model is None:
+            import public_tokenizers
 
-        model = public_tokenizers.path("piece_bpe_32k.model")
+            model = public_tokenizers.path("piece_bpe_32k.model")
+        pieces = unigram_pieces(docs, model)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.mapInArrow(_counted(model, byte_fallback), COUNTED)
+    return texts.mapInArrow(_counted(docs.sparkSession.sparkContext.broadcast(pieces), byte_fallback), COUNTED)

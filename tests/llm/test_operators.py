@@ -183,15 +183,36 @@ def test_encoding_by_pieces(name, spaced):
 def test_token_counts(odd, docs, fallback):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
-    pieces = viterbi.unigram_pieces(vocabulary("piece_bpe_32k.model"))
+    both = docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    pieces = viterbi.unigram_pieces(both, vocabulary("piece_bpe_32k.model"))
     unknown = next(i for i, (piece, _) in enumerate(pieces) if piece == "<unk>")
     tool = Tokenizer(models.Unigram(pieces, unknown, fallback))
     tool.pre_tokenizer = pre_tokenizers.Metaspace("▁", "always")
-    both = docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text").where("length(text) < 40000 or text is null"))
     want = Counter((r.doc_id, len(tool.encode(r.text or "", add_special_tokens=False).ids)) for r in both.collect())
     assert Counter(tuple(r) for r in viterbi.token_counts(both, byte_fallback=fallback).collect()) == want
 
 
+def test_scores_are_shares_of_all_pieces(spark, docs):
+    """Counts over all documents, however they are dealt; about as many pieces as the file's own tokenizer makes."""
+    import math
+
+    import sentencepiece
+
+    model = vocabulary("piece_bpe_32k.model")
+    own = sentencepiece.SentencePieceProcessor(model_file=model)
+    counts = Counter(range(own.get_piece_size()))
+    for r in docs.collect():
+        for word in (r.text or "").split(" "):
+            counts.update(own.encode(word))
+    total = sum(counts.values())
+    for parts in (1, 7):
+        got = viterbi.unigram_pieces(docs.repartition(parts), model)
+        assert [p for p, _ in got] == viterbi.model_pieces(model)
+        assert all(math.isclose(score, math.log(counts[i] / total), rel_tol=1e-12) for i, (_, score) in enumerate(got))
+    pieces = docs.join(viterbi.token_counts(docs), "doc_id").agg(F.sum("n_pieces")).first()[0]
+    assert 0.8 < pieces / (total - len(counts)) < 1.02
+
+
 def shingles(text):
     own = WORD.findall(fold(text or ""))
     return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set()
@@ -302,6 +323,56 @@ def test_packing(request, table):
     assert len(sequences) <= bestfit.lower_bound(counts, 2048) + 1
 
 
+@pytest.mark.parametrize("case", ["distinct", "a third equal", "large"])
+def test_packing_in_many_parts(spark, case):
+    """Twenty parts: certified, or nothing more to gain; equal rows without doc_id fill all parts."""
+    draw = np.random.default_rng(4)
+    lengths = draw.integers(1, 400 if case != "large" else 1000, 6000)
+    rows = [(None if case == "a third equal" and k % 3 == 0 else k, 0, 0, int(64 if case == "a third equal" and k % 3 == 0 else n), 7) for k, n in enumerate(lengths)]
+    rows += [(k, 1, 5, 2048, 9) for k in range(40)]
+    pieces = spark.createDataFrame(rows, bestfit.PIECES).repartition(4)
+    pieces = bestfit.materialise_stage(pieces, "pieces")
+    got = bestfit.pack(pieces, 2048, part_rows=300).collect()
+    assert Counter(tuple(r)[:5] for r in got) == Counter(rows)
+    held = defaultdict(list)
+    for r in got:
+        held[r.sequence_id].append((r.offset, r.length))
+    for own in held.values():
+        ends = np.cumsum([n for _, n in sorted(own)])
+        assert [o for o, _ in sorted(own)] == [0, *ends[:-1]] and ends[-1] <= 2048
+    bound = bestfit.lower_bound(np.bincount([r[3] for r in rows], minlength=2049), 2048)
+    assert {(r.bound, r.gap) for r in got} == {(bound, len(held) - bound)}
+    whole = bestfit.best_fit_decreasing(np.array([r[3] for r in rows]), 2048)[2]
+    assert len(held) <= max(bound, whole) + 1
+    if case != "large":
+        assert len(held) <= bound + 1
+
+
+def test_nearest_centroid_by_hand(spark):
+    """Cosines of hand-made vectors: the nearest centroid, the first language on a tie, rejection below the bound."""
+    idf = np.ones(langid.SIZE, dtype=np.float32)
+    column = spark.createDataFrame([("aaa",), ("bbb",), ("zzz",)], "text string").toArrow()["text"].combine_chunks()
+    vectors = np.vstack([x for _, x in langid.vectors(column, idf)])
+    centres = np.stack([vectors[0], vectors[1], vectors[1]])
+    shared = spark.sparkContext.broadcast((idf, ["aa", "bb", "cc"], centres, np.array([0.5, 0.5, 0.5])))
+    docs = spark.createDataFrame([(1, "aaa aaa"), (2, "bbb"), (3, "zzz"), (4, "aaa bbb bbb"), (5, "1 2"), (6, None)], "doc_id long, text string")
+    rows_in = docs.selectExpr("doc_id", "text", "false as held_out", "coalesce(text rlike '[a-z]', false) as letters")
+    got = {r.doc_id: r for r in rows_in.mapInArrow(langid._predicted(shared), langid.PREDICTED).collect()}
+    def grams(text):
+        own = Counter(f" {text} "[i : i + 3] for i in range(len(text)))
+        return {g: np.log1p(n) for g, n in own.items() if not g.endswith("  ")}
+    def cosine(a, b):
+        x, y = grams(a), grams(b)
+        return sum(x[g] * y.get(g, 0) for g in x) / np.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
+    for doc, text in ((1, "aaa aaa"), (2, "bbb"), (4, "aaa bbb bbb")):
+        best = max(("aaa", "bbb"), key=lambda c: cosine(text, c))
+        assert got[doc].lang_pred == {"aaa": "aa", "bbb": "bb"}[best]
+        assert got[doc].score == pytest.approx(cosine(text, best), abs=1e-5)
+        assert got[doc].rejected == (cosine(text, best) < 0.5)
+    assert got[3].rejected and got[5].rejected and got[6].rejected
+    assert [got[k].lang_pred for k in (5, 6)] == ["und", "und"]
+
+
 def test_lower_bound_is_one():
     draw = np.random.default_rng(1)
     for _ in range(100):
