@@ -20,11 +20,43 @@ from rollweave.operators.messages import as_column, first_match, let, parse_cons
 
 @dataclass(frozen=True)
 class Check:
-    """What a rule sees: the answer, its arguments and the detected language (null: unknown)."""
+    """What a rule sees: the answer, its arguments and the detected language (null: unknown).
+
+    ``shared`` is the ``analysis`` of the answer, where many rules read one text; without it a rule makes
+    the pieces that it needs.
+    """
 
     t: Column
     args: Column
     language: Column
+    shared: Column | None = None
+
+    def piece(self, name: str) -> Column:
+        return PIECES[name](self.t) if self.shared is None else self.shared[name]
+
+    @property
+    def words(self) -> Column:
+        return self.piece("words")
+
+    @property
+    def characters(self) -> Column:
+        return self.piece("characters")
+
+    @property
+    def tokens(self) -> Column:
+        return self.piece("tokens")
+
+    @property
+    def sentences(self) -> Column:
+        return self.piece("sentences")
+
+    @property
+    def stripped(self) -> Column:
+        return self.piece("stripped")
+
+    @property
+    def lower(self) -> Column:
+        return self.piece("lower")
 
     def s(self, name: str) -> Column:
         return self.args[name]
@@ -160,6 +192,22 @@ def each(items: Column, test: Callable[[Column], Column]) -> Column:
     return F.forall(items, test)
 
 
+#: The pieces of a text that rules share.
+PIECES: dict[str, Callable[[Column], Column]] = {
+    "words": words,
+    "characters": word_characters,
+    "tokens": word_tokens,
+    "sentences": sentences,
+    "stripped": strip_space,
+    "lower": F.lower,
+}
+
+
+def analysis(text: Column) -> Column:
+    """All ``PIECES`` of a text at once, to be bound and handed to many rules."""
+    return F.struct(*[make(text).alias(name) for name, make in PIECES.items()])
+
+
 # --- legacy functions (25) -----------------------------------------------------------------
 
 _SENTENCE_SPLIT = r"(?Ud)(?<!\w\.\w.)(?<![A-Z][a-z]\.)(?<=\.|\?)\s"
@@ -179,7 +227,7 @@ def _letter_count(c: Check) -> Column:
 
 def _words_near(c: Check) -> Column:
     tolerance = F.greatest(F.bround(c.n("N") * 0.1), F.lit(1.0))
-    return let(F.size(words(c.t)), lambda n: _quantified(n, c, F.abs(n - c.n("N")) <= tolerance))
+    return let(F.size(c.words), lambda n: _quantified(n, c, F.abs(n - c.n("N")) <= tolerance))
 
 
 def _two_sides(c: Check) -> Column:
@@ -192,9 +240,9 @@ def _sections(c: Check) -> Column:
 
 
 LEGACY: dict[str, Rule] = {
-    "verify_keywords": lambda c: each(c.items("keyword_list"), lambda k: F.contains(F.lower(c.t), F.lower(k))),
-    "verify_keyword_frequency": lambda c: F.size(F.filter(word_characters(F.lower(c.t)), lambda w: w == F.lower(c.s("word")))) == c.n("N"),
-    "validate_forbidden_words": lambda c: each(c.items("forbidden_words"), lambda k: ~F.contains(F.lower(c.t), F.lower(k))),
+    "verify_keywords": lambda c: each(c.items("keyword_list"), lambda k: F.contains(c.lower, F.lower(k))),
+    "verify_keyword_frequency": lambda c: F.size(F.filter(word_characters(c.lower), lambda w: w == F.lower(c.s("word")))) == c.n("N"),
+    "validate_forbidden_words": lambda c: each(c.items("forbidden_words"), lambda k: ~F.contains(c.lower, F.lower(k))),
     "verify_letter_frequency": _letter_count,
     "validate_response_language": lambda c: c.language == c.s("language"),
     "verify_paragraph_count": lambda c: let(pieces(c.t, "* * *"), lambda p: each(p, lambda x: ~blank(x)) & (F.size(p) == c.n("N"))),
@@ -215,7 +263,7 @@ LEGACY: dict[str, Rule] = {
     "validate_repeat_prompt": lambda c: F.startswith(c.t, c.s("original_prompt")),
     "validate_two_responses": _two_sides,
     "validate_uppercase": lambda c: c.t == F.upper(c.t),
-    "validate_lowercase": lambda c: c.t == F.lower(c.t),
+    "validate_lowercase": lambda c: c.t == c.lower,
     "validate_frequency_capital_words": lambda c: let(matches(c.t, r"(?U)\b[A-Z]+\b"), lambda n: _quantified(n, c, n == c.n("N"))),
     "validate_end": lambda c: F.endswith(c.t, c.s("end_phrase")),
     "validate_quotation": lambda c: c.t.startswith('"') & c.t.endswith('"'),
@@ -233,7 +281,7 @@ def _pattern_count(c: Check) -> Column:
 
 
 def _letter_frequency(c: Check) -> Column:
-    return compared(occurrences(F.lower(c.t), F.lower(c.s("letter"))), c.s("let_relation"), c.n("let_frequency"))
+    return compared(occurrences(c.lower, F.lower(c.s("letter"))), c.s("let_relation"), c.n("let_frequency"))
 
 
 def _nth_paragraph(c: Check) -> Column:
@@ -248,7 +296,7 @@ def _nth_paragraph(c: Check) -> Column:
 
 
 def _postscript(c: Check) -> Column:
-    text, marker = F.lower(c.t), c.s("postscript_marker")
+    text, marker = c.lower, c.s("postscript_marker")
     other = found(text, F.lower(marker))
     return F.when(marker == "P.P.S", text.rlike(r"p\.\s?p\.\s?s")).when(marker == "P.S.", text.rlike(r"p\.\s?s\.")).otherwise(other)
 
@@ -259,7 +307,7 @@ def _highlights(c: Check) -> Column:
 
 
 def _json(c: Check) -> Column:
-    body = F.regexp_replace(strip_space(c.t), r"\A(?:```json)?(?:```Json)?(?:```JSON)?(?:```)?", "")
+    body = F.regexp_replace(c.stripped, r"\A(?:```json)?(?:```Json)?(?:```JSON)?(?:```)?", "")
     return F.try_parse_json(strip_space(F.regexp_replace(body, r"```\z", ""))).isNotNull()
 
 
@@ -310,7 +358,7 @@ def _bigrams(c: Check) -> Column:
         wrapped = lambda x, i: F.when(i % 2 == 0, x.startswith("<<") | (i == F.size(w) - 1)).otherwise(x.endswith(">>"))
         return each(F.transform(w, wrapped), lambda ok: ok)
 
-    return let(words(c.t), judge)
+    return let(c.words, judge)
 
 
 def _composition(parts: Column, c: Check, tokens: Callable[[Column], Column], skip_blank: bool) -> Column:
@@ -340,6 +388,10 @@ def _is_copy(text: Column, prompt: Column) -> Column:
     return lower_strip(text) == lower_strip(prompt)
 
 
+def _copied(c: Check, prompt: Column) -> Column:
+    return F.lower(c.stripped) == lower_strip(prompt)
+
+
 def _unique(tokens: Column) -> Column:
     return let(tokens, lambda w: F.size(w) == F.size(F.array_distinct(w)))
 
@@ -350,43 +402,43 @@ REGISTRY: dict[str, Rule] = {
     "keywords:forbidden_words": lambda c: each(c.items("forbidden_words"), lambda k: ~found(c.t, r"(?iU)\b", k, r"\b")),
     "keywords:letter_frequency": _letter_frequency,
     "language:response_language": lambda c: _language(c, c.s("language")),
-    "length_constraints:number_sentences": lambda c: compared(F.size(sentences(c.t)), c.s("relation"), c.n("num_sentences")),
+    "length_constraints:number_sentences": lambda c: compared(F.size(c.sentences), c.s("relation"), c.n("num_sentences")),
     "length_constraints:number_paragraphs": lambda c: divided(starred(c.t), c.n("num_paragraphs")),
-    "length_constraints:number_words": lambda c: compared(F.size(word_characters(c.t)), c.s("relation"), c.n("num_words")),
+    "length_constraints:number_words": lambda c: compared(F.size(c.characters), c.s("relation"), c.n("num_words")),
     "length_constraints:nth_paragraph_first_word": _nth_paragraph,
     "detectable_content:number_placeholders": lambda c: matches(c.t, r"(?d)\[.*?\]") >= c.n("num_placeholders"),
     "detectable_content:postscript": _postscript,
     "detectable_format:number_bullet_lists": lambda c: matches(c.t, r"(?md)^\s*\*[^*].*$") + matches(c.t, r"(?md)^\s*-.*$") == c.n("num_bullets"),
-    "detectable_format:constrained_response": lambda c: F.exists(F.array(*[F.lit(o) for o in RESPONSE_OPTIONS]), lambda o: F.contains(strip_space(c.t), o)),
+    "detectable_format:constrained_response": lambda c: F.exists(F.array(*[F.lit(o) for o in RESPONSE_OPTIONS]), lambda o: F.contains(c.stripped, o)),
     "detectable_format:number_highlighted_sections": _highlights,
     "detectable_format:multiple_sections": lambda c: matches(c.t, r"\s?", c.s("section_spliter"), r"\s?\d+\s?") >= c.n("num_sections"),
     "detectable_format:json_format": _json,
     "detectable_format:title": lambda c: F.exists(extract(c.t, r"<<[^\n]+>>"), lambda x: ~blank(F.regexp_replace(x, r"\A<+|>+\z", ""))),
     "combination:two_responses": _two_answers,
-    "combination:repeat_prompt": lambda c: F.startswith(lower_strip(c.t), lower_strip(c.s("prompt_to_repeat"))),
-    "startend:end_checker": lambda c: F.endswith(F.lower(F.regexp_replace(strip_space(c.t), r'\A"+|"+\z', "")), lower_strip(c.s("end_phrase"))),
-    "change_case:capital_word_frequency": lambda c: compared(F.size(F.filter(word_tokens(c.t), is_upper)), c.s("capital_relation"), c.n("capital_frequency")),
+    "combination:repeat_prompt": lambda c: F.startswith(F.lower(c.stripped), lower_strip(c.s("prompt_to_repeat"))),
+    "startend:end_checker": lambda c: F.endswith(F.lower(F.regexp_replace(c.stripped, r'\A"+|"+\z', "")), lower_strip(c.s("end_phrase"))),
+    "change_case:capital_word_frequency": lambda c: compared(F.size(F.filter(c.tokens, is_upper)), c.s("capital_relation"), c.n("capital_frequency")),
     "change_case:english_capital": lambda c: is_upper(c.t) & _language(c, F.lit("en")),
     "change_case:english_lowercase": lambda c: is_lower(c.t) & _language(c, F.lit("en")),
     "punctuation:no_comma": lambda c: ~F.contains(c.t, F.lit(",")),
-    "startend:quotation": lambda c: (F.length(strip_space(c.t)) > 1) & strip_space(c.t).startswith('"') & strip_space(c.t).endswith('"'),
+    "startend:quotation": lambda c: (F.length(c.stripped) > 1) & c.stripped.startswith('"') & c.stripped.endswith('"'),
     "copy:repeat_phrase": _repeat_phrase,
-    "copy:copy": lambda c: _is_copy(c.t, c.s("prompt_to_repeat")),
-    "new:copy_span_idx": lambda c: _is_copy(c.t, F.substr(c.s("prompt_to_repeat"), c.n("n_start") + 1, c.n("n_end") - c.n("n_start"))),
+    "copy:copy": lambda c: _copied(c, c.s("prompt_to_repeat")),
+    "new:copy_span_idx": lambda c: _copied(c, F.substr(c.s("prompt_to_repeat"), c.n("n_start") + 1, c.n("n_end") - c.n("n_start"))),
     "detectable_format:sentence_hyphens": _hyphens,
-    "keywords:no_adjacent_consecutive": lambda c: _adjacent(_initials(words(c.t)), lambda d: d == 1),
-    "detectable_format:square_brackets": lambda c: each(words(c.t), lambda w: w.startswith("[") & w.endswith("]")),
+    "keywords:no_adjacent_consecutive": lambda c: _adjacent(_initials(c.words), lambda d: d == 1),
+    "detectable_format:square_brackets": lambda c: each(c.words, lambda w: w.startswith("[") & w.endswith("]")),
     "keywords:word_once": lambda c: matches(c.t, "(?iu)", c.s("keyword")) == 1,
     "keywords:word_count_different_numbers": _pattern_count,
     "keywords:exclude_word_harder": lambda c: ~F.contains(c.t, F.concat(F.lit(" "), c.s("keyword"), F.lit(" "))),
     "paragraphs:paragraphs": lambda c: divided(starred(c.t), F.lit(2)),
     "paragraphs:paragraphs2": lambda c: divided(pieces(c.t, "\n\n"), F.lit(2)),
-    "first_word:first_word_sent": lambda c: each(sentences(c.t), lambda s: F.coalesce(F.lower(F.get(words(s), 0)) == F.lower(c.s("first_word")), F.lit(False))),
-    "first_word:first_word_answer": lambda c: F.lower(F.get(words(c.t), 0)) == F.lower(c.s("first_word")),
-    "last_word:last_word_sent": lambda c: each(sentences(c.t), lambda s: F.coalesce(_no_punctuation(last(words(s))) == F.lower(c.s("last_word")), F.lit(False))),
-    "last_word:last_word_answer": lambda c: _no_punctuation(last(words(c.t))) == F.lower(c.s("last_word")),
+    "first_word:first_word_sent": lambda c: each(c.sentences, lambda s: F.coalesce(F.lower(F.get(words(s), 0)) == F.lower(c.s("first_word")), F.lit(False))),
+    "first_word:first_word_answer": lambda c: F.lower(F.get(c.words, 0)) == F.lower(c.s("first_word")),
+    "last_word:last_word_sent": lambda c: each(c.sentences, lambda s: F.coalesce(_no_punctuation(last(words(s))) == F.lower(c.s("last_word")), F.lit(False))),
+    "last_word:last_word_answer": lambda c: _no_punctuation(last(c.words)) == F.lower(c.s("last_word")),
     "detectable_format:bigram_wrapping": _bigrams,
-    "copy:copying_simple": lambda c: _is_copy(c.t, c.s("prompt_to_repeat")),
+    "copy:copying_simple": lambda c: _copied(c, c.s("prompt_to_repeat")),
     "copy:copying_multiple": lambda c: let(pieces(c.t, "******"), lambda p: (F.size(p) == c.n("N")) & each(p, lambda x: _is_copy(x, c.s("prompt_to_repeat")))),
     "punctuation:punctuation_dot": lambda c: ~F.contains(c.t, F.lit(".")),
     "punctuation:punctuation_exclamation": lambda c: ~F.contains(c.t, F.lit("!")),
@@ -396,11 +448,11 @@ REGISTRY: dict[str, Rule] = {
     ),
     "letters:letter_counting2": _letter_frequency,
     "count:counting_composition": lambda c: _composition(starred(c.t), c, word_tokens, skip_blank=False),
-    "count:count_unique": lambda c: _unique(word_tokens(c.t)),
+    "count:count_unique": lambda c: _unique(c.tokens),
     "count:count_increment_word": lambda c: (matches(c.t, "(?iu)", c.s("keyword1")) == 1) & (matches(c.t, "(?iu)", c.s("keyword2")) == 2),
-    "keywords:palindrome": lambda c: F.exists(words(c.t), lambda w: w == F.reverse(w)),
-    "keywords:keyword_specific_position": lambda c: _at_position(sentences(c.t), word_tokens, c),
-    "keywords:start_end": lambda c: _same_ends(word_tokens(c.t)),
+    "keywords:palindrome": lambda c: F.exists(c.words, lambda w: w == F.reverse(w)),
+    "keywords:keyword_specific_position": lambda c: _at_position(c.sentences, word_tokens, c),
+    "keywords:start_end": lambda c: _same_ends(c.tokens),
 }
 
 
@@ -411,14 +463,14 @@ def _rephrase(c: Check) -> Column:
 
 
 def _similar_words(c: Check) -> Column:
-    same = v._shared_words(word_characters(F.lower(c.t)), word_characters(F.lower(c.s("original_paragraph"))))
+    same = v._shared_words(word_characters(c.lower), word_characters(F.lower(c.s("original_paragraph"))))
     return let(same, lambda n: (n >= c.n("low")) & (n <= c.n("high")))
 
 
 UNREGISTERED: dict[str, Rule] = {
     "multi-turn:constrained_start": lambda c: found(c.t, r"(?m)^\s*", c.s("starter")),
     "detectable_format:rephrase": _rephrase,
-    "keywords:key_sentences": lambda c: let(sentences(c.t), lambda ss: F.size(F.filter(c.items("key_sentences"), lambda k: F.array_contains(ss, k))) == c.n("num_sentences")),
+    "keywords:key_sentences": lambda c: let(c.sentences, lambda ss: F.size(F.filter(c.items("key_sentences"), lambda k: F.array_contains(ss, k))) == c.n("num_sentences")),
     "detectable_content:rephrase_paragraph": _similar_words,
 }
 
@@ -430,20 +482,20 @@ def _or(value: Column, default) -> Column:
 
 
 def _whole_word(c: Check, name: str) -> Column:
-    return matches(F.lower(c.t), r"(?U)\b", quoted(F.lower(c.s(name))), r"\b")
+    return matches(c.lower, r"(?U)\b", quoted(F.lower(c.s(name))), r"\b")
 
 
-def _filled(text: Column) -> Column:
-    return F.filter(sentences(text), lambda s: ~blank(s))
+def _filled(c: Check) -> Column:
+    return F.filter(c.sentences, lambda s: ~blank(s))
 
 
 def _every_sentence(c: Check, pick: Callable[[Column], Column], name: str) -> Column:
     same = lambda s: F.coalesce(F.lower(bare(pick(words(s)))) == F.lower(_or(c.s(name), "")), F.lit(False))
-    return let(_filled(c.t), lambda ss: (F.size(ss) > 0) & each(ss, same))
+    return let(_filled(c), lambda ss: (F.size(ss) > 0) & each(ss, same))
 
 
 def _answer_word(c: Check, pick: Callable[[Column], Column], name: str) -> Column:
-    return F.coalesce(F.lower(bare(pick(words(c.t)))) == F.lower(_or(c.s(name), "")), F.lit(False))
+    return F.coalesce(F.lower(bare(pick(c.words))) == F.lower(_or(c.s(name), "")), F.lit(False))
 
 
 def _copies(c: Check) -> Column:
@@ -468,22 +520,22 @@ def _bracketed(c: Check) -> Column:
 
 
 def _position(c: Check) -> Column:
-    word = F.get(words(F.get(_filled(c.t), _or(c.n("n"), 1) - 1)), _or(c.n("m"), 1) - 1)
+    word = F.get(words(F.get(_filled(c), _or(c.n("n"), 1) - 1)), _or(c.n("m"), 1) - 1)
     return F.coalesce(F.lower(bare(word)) == F.lower(_or(c.s("keyword"), "")), F.lit(False))
 
 
 def _defaults(c: Check) -> Check:
     filled = F.map_from_arrays(F.array(F.lit("n_sent"), F.lit("n_words")), F.array(_or(c.s("n_sent"), "3"), _or(c.s("n_words"), "2")))
-    return Check(c.t, filled, c.language)
+    return Check(c.t, filled, c.language, c.shared)
 
 
 EXTENDED: dict[str, Rule] = {
-    "copy:copy": lambda c: F.contains(lower_strip(c.t), lower_strip(_or(c.s("prompt_to_repeat"), ""))),
-    "copy:copying_simple": lambda c: F.startswith(lower_strip(c.t), lower_strip(_or(c.s("prompt_to_repeat"), ""))),
+    "copy:copy": lambda c: F.contains(F.lower(c.stripped), lower_strip(_or(c.s("prompt_to_repeat"), ""))),
+    "copy:copying_simple": lambda c: F.startswith(F.lower(c.stripped), lower_strip(_or(c.s("prompt_to_repeat"), ""))),
     "copy:copying_multiple": _copies,
-    "copy:repeat_phrase": lambda c: F.coalesce(matches(F.lower(c.t), quoted(F.get(words(F.lower(c.s("phrase"))), 0))) >= _or(c.n("small_n"), 1), F.lit(False)),
+    "copy:repeat_phrase": lambda c: F.coalesce(matches(c.lower, quoted(F.get(words(F.lower(c.s("phrase"))), 0))) >= _or(c.n("small_n"), 1), F.lit(False)),
     "count:count_increment_word": lambda c: (_whole_word(c, "keyword1") >= 1) & (_whole_word(c, "keyword2") >= 2),
-    "count:count_unique": lambda c: _unique(word_characters(F.lower(c.t))),
+    "count:count_unique": lambda c: _unique(word_characters(c.lower)),
     "count:counting_composition": lambda c: _composition(F.split(c.t, r"\s?\*\s?\*\s?\*\s?", -1), _defaults(c), word_characters, skip_blank=True),
     "count:lowercase_counting": _rare_lowercase,
     "detectable_format:sentence_hyphens": lambda c: F.contains(c.t, F.lit("-")) & ~F.contains(c.t, F.lit("- ")) & ~F.contains(c.t, F.lit(" -")),
@@ -493,21 +545,21 @@ EXTENDED: dict[str, Rule] = {
     "first_word:first_word_sent": lambda c: _every_sentence(c, lambda w: F.get(w, 0), "first_word"),
     "last_word:last_word_answer": lambda c: _answer_word(c, last, "last_word"),
     "last_word:last_word_sent": lambda c: _every_sentence(c, last, "last_word"),
-    "keywords:exclude_word_harder": lambda c: ~F.contains(F.lower(c.t), F.lower(_or(c.s("keyword"), ""))),
+    "keywords:exclude_word_harder": lambda c: ~F.contains(c.lower, F.lower(_or(c.s("keyword"), ""))),
     "keywords:keyword_specific_position": _position,
     "keywords:no_adjacent_consecutive": lambda c: _adjacent(_initials(extract(c.t, "[a-zA-Z]+")), lambda d: F.abs(d) == 1),
-    "keywords:palindrome": lambda c: F.exists(extract(F.lower(c.t), "[a-zA-Z]+"), lambda w: (F.length(w) >= 3) & (w == F.reverse(w))),
-    "keywords:start_end": lambda c: _same_ends(word_characters(c.t)),
+    "keywords:palindrome": lambda c: F.exists(extract(c.lower, "[a-zA-Z]+"), lambda w: (F.length(w) >= 3) & (w == F.reverse(w))),
+    "keywords:start_end": lambda c: _same_ends(c.characters),
     "keywords:word_count_different_numbers": lambda c: compared(_whole_word(c, "keyword"), _or(c.s("relation"), "less than"), _or(c.n("frequency"), 1)),
-    "keywords:word_once": lambda c: F.contains(F.lower(c.t), F.lower(_or(c.s("keyword"), ""))),
+    "keywords:word_once": lambda c: F.contains(c.lower, F.lower(_or(c.s("keyword"), ""))),
     "letters:letter_counting": lambda c: F.when(_or(c.s("relation"), "at least") == "at least", matches(c.t, "[a-zA-Z]") >= _or(c.n("N"), 1)).otherwise(matches(c.t, "[a-zA-Z]") < _or(c.n("N"), 1)),
-    "letters:letter_counting2": lambda c: compared(occurrences(F.lower(c.t), F.lower(_or(c.s("letter"), "a"))), _or(c.s("let_relation"), "at least"), _or(c.n("let_frequency"), 1)),
+    "letters:letter_counting2": lambda c: compared(occurrences(c.lower, F.lower(_or(c.s("letter"), "a"))), _or(c.s("let_relation"), "at least"), _or(c.n("let_frequency"), 1)),
     "paragraphs:paragraphs": lambda c: F.size(F.filter(starred(c.t), lambda p: ~blank(p))) == 2,
     "paragraphs:paragraphs2": lambda c: F.size(F.filter(pieces(c.t, "\n\n"), lambda p: ~blank(p))) == 2,
     "punctuation:punctuation_dot": lambda c: ~F.contains(c.t, F.lit(".")),
     "punctuation:punctuation_exclamation": lambda c: ~F.contains(c.t, F.lit("!")),
     "new:copy_span_idx": lambda c: F.contains(
-        F.lower(c.t), F.lower(F.substr(_or(c.s("prompt_to_repeat"), ""), _or(c.n("n_start"), 0) + 1, _or(c.n("n_end"), 0) + 1 - _or(c.n("n_start"), 0)))
+        c.lower, F.lower(F.substr(_or(c.s("prompt_to_repeat"), ""), _or(c.n("n_start"), 0) + 1, _or(c.n("n_end"), 0) + 1 - _or(c.n("n_start"), 0)))
     ),
 }
 

@@ -27,9 +27,12 @@ class Sample:
 
 @dataclass(frozen=True)
 class Verifier:
+    """``by_row`` rules see all their labels of a response as one array and give a score for each."""
+
     name: str
     score: Callable[[Sample], Column]
     weight: float = 1.0
+    by_row: bool = False
 
 
 def as_score(condition: Column) -> Column:
@@ -174,9 +177,14 @@ def format_reward(text: str | Column, scale: float = 1.0) -> Column:
 _VERIFIERS: dict[str, Verifier] = {}
 
 
-def register_verifier(name: str, score: Callable[[Sample], Column], weight: float = 1.0) -> None:
-    """L2: add a scoring rule; the rule may be a built-in expression or a ``pandas_udf`` call."""
-    _VERIFIERS[name.lower()] = Verifier(name.lower(), score, weight)
+def register_verifier(name: str, score: Callable[[Sample], Column], weight: float = 1.0, by_row: bool = False) -> None:
+    """L2: add a scoring rule.
+
+    A rule of built-in expressions scores one label at a time, inside the row. A ``pandas_udf`` cannot run
+    there; register it with ``by_row``: ``label`` is then the array of all its labels of a response, and the
+    rule returns an array of as many scores.
+    """
+    _VERIFIERS[name.lower()] = Verifier(name.lower(), score, weight, by_row)
 
 
 for _rule in (gsm8k, math, strict_math, flan, string_matcher, puzzle, string_f1, re_search_f1, re_search, max_length, up_to_max_length, passthrough):

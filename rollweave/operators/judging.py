@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollweave.functions.prompts import JSON_ANSWER, JUDGE_TEMPLATES, fill
+from rollweave.functions.prompts import DEFAULT_SKILL, JSON_ANSWER, JUDGE_TEMPLATES, JUDGEMENT_TEMPLATES, fill, fill_at_once
 from rollweave.functions.text import extract_final_answer
-from rollweave.operators.messages import as_column, let, message
+from rollweave.operators.messages import as_column, first_match, let, message
 from rollweave.operators.ordering import attach, hash_bucket, md5_key, running
 
 # Price per token by model.
@@ -36,6 +36,21 @@ def judge_prompts(df: DataFrame, template: str, query: str, prediction: str, lab
     return df.withColumn(out, text)
 
 
+def judgement_prompts(df: DataFrame, skill: str, prompt: str, responses: str, out: str = "judgement_prompt") -> DataFrame:
+    """The judgement prompt of each row's ``skill``; an unknown skill takes the default one's.
+
+    A skill that scores a single response is asked about the first of ``responses``, the others about the
+    first two; a row with too few has no prompt.
+    """
+
+    def filled(template: str) -> Column:
+        slots = {"response": F.get(responses, F.lit(0)), "response1": F.get(responses, F.lit(0)), "response2": F.get(responses, F.lit(1))}
+        return fill_at_once(template, **slots, prompt=F.col(prompt))
+
+    known = [(F.col(skill) == name, filled(template)) for name, template in JUDGEMENT_TEMPLATES.items() if name != DEFAULT_SKILL]
+    return df.withColumn(out, first_match(known, filled(JUDGEMENT_TEMPLATES[DEFAULT_SKILL])))
+
+
 def judge_cost(usage: DataFrame, model: str = "model", prices: DataFrame | None = None) -> DataFrame:
     """I8: tokens times price; namespace and ``-standard`` leave the name, unknown models cost 0.
 

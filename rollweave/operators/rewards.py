@@ -30,26 +30,36 @@ def verifier_scores(df: DataFrame, verifiers: dict[str, Verifier], prediction: s
     """Weighted score of every (verifier, ground truth) pair of a response, in place.
 
     The pairs are scored inside the row, so the text is neither copied nor shuffled.  Unknown
-    verifiers are left out.  Adds ``scores array<struct<name,value>>``.
+    verifiers are left out.  Adds ``scores array<struct<name,value>>``.  Rules ``by_row`` are scored as columns
+    first, and each pair takes the next of its rule's scores.
     """
     n_tokens = F.col(tokens) if tokens else F.size(F.split(prediction, r"\s+"))
     uneven = F.raise_error(F.lit("ground truth and dataset list lengths do not match"))
     zipped = F.arrays_zip(F.col(ground_truth).alias("truth"), F.col(dataset).alias("verifier"))
     pairs = F.when(F.size(ground_truth) == F.size(dataset), zipped).otherwise(uneven.cast("array<struct<truth:string,verifier:string>>"))
 
-    def score(pair: Column) -> Column:
-        sample = Sample(F.col(prediction), pair["truth"], n_tokens, config or {})
+    wanted = F.filter(pairs, lambda p: F.lower(p["verifier"]).isin(list(verifiers)))
+    called_by = lambda key: lambda p: F.lower(p["verifier"]) == key
+    whole = {key: f"__scores_{i}" for i, key in enumerate(k for k, v in verifiers.items() if v.by_row)}
+    for key, column in whole.items():
+        labels = F.transform(F.filter(wanted, called_by(key)), lambda p: p["truth"])
+        df = df.withColumn(column, verifiers[key].score(Sample(F.col(prediction), labels, n_tokens, config or {})))
+
+    def value(pair: Column, at: Column, key: str, v: Verifier) -> Column:
+        if not v.by_row:
+            own = v.score(Sample(F.col(prediction), pair["truth"], n_tokens, config or {}))
+        else:
+            before = F.filter(F.slice(wanted, F.lit(1), at), called_by(key))
+            own = F.get(F.col(whole[key]), F.size(before))
+        return own.cast("double") * (mult * v.weight)
+
+    def score(pair: Column, at: Column) -> Column:
         called = F.lower(pair["verifier"])
-        value = first_match(
-            [(called == key, v.score(sample).cast("double") * (mult * v.weight)) for key, v in verifiers.items()],
-            F.lit(None).cast("double"),
-        )
+        number = first_match([(called == key, value(pair, at, key, v)) for key, v in verifiers.items()], F.lit(None).cast("double"))
         name = first_match([(called == key, F.lit(v.name)) for key, v in verifiers.items()], F.lit(None).cast("string"))
-        return F.struct(name.alias("name"), value.alias("value"))
+        return F.struct(name.alias("name"), number.alias("value"))
 
-    wanted = F.filter(pairs, lambda p: F.lower(p["verifier"]).isin(list(verifiers)))
-    known = F.transform(wanted, score)
-    return df.withColumn("scores", known)
+    return df.withColumn("scores", F.transform(wanted, score)).drop(*whole.values())
 
 
 def _sum(scores: Column) -> Column:

@@ -142,6 +142,39 @@ def skill_prompts(t):
     return messages(t).select("conv_id", F.when(F.col("conv_id") % 2 == 0, text("chat")).otherwise(text("unknown skill")).alias("prompt"))
 
 
+def _judgement_sql() -> str:
+    """Each skill's parts, stated here: what precedes the first slot, the headings and the end."""
+    ends = {
+        "summarization": ("Original Text", "Summary", "Comparison:", "Preferred Summary:"),
+        "code_generation": ("Problem", "Code", "Code Analysis:", "Preferred Code:"),
+        "safety": ("Scenario", "Response", "Safety Analysis:", "Preferred Response:"),
+    }
+    two = " ".join(
+        f"WHEN '{skill}' THEN concat('### {a}:', chr(10), q, chr(10), chr(10), '### {b} A:', chr(10), r1, chr(10), chr(10), '### {b} B:', chr(10), r2, chr(10), chr(10), '{c}', chr(10), '{d}', chr(10))"
+        for skill, (a, b, c, d) in ends.items()
+    )
+    skill = "CASE conv_id % 5 WHEN 0 THEN 'chat' WHEN 1 THEN 'summarization' WHEN 2 THEN 'code_generation' WHEN 3 THEN 'safety' ELSE 'no such skill' END"
+    return f"""WITH {MSGS}, x AS (SELECT conv_id, {skill} AS skill, messages[1].content AS q, messages[2].content AS r1, messages[-1].content || '{{prompt}}' AS r2 FROM msgs WHERE len(messages) >= 2)
+    SELECT conv_id, skill, CASE CASE WHEN skill = 'no such skill' THEN 'summarization' ELSE skill END
+      WHEN 'chat' THEN concat('### Prompt:', chr(10), q, chr(10), chr(10), '### Response:', chr(10), r1, chr(10), chr(10), '### Evaluation Criteria:') {two} END AS body FROM x"""
+
+
+@check("judgement_prompts", "I6 H5", _judgement_sql())
+def judgement_prompts(t):
+    """The part of each prompt that holds text of the row; the words before it are fixed."""
+    names = F.array(*[F.lit(x) for x in ("chat", "summarization", "code_generation", "safety", "no such skill")])
+    rows = messages(t).where(F.size("messages") >= 2).select(
+        "conv_id",
+        F.element_at(names, (F.col("conv_id") % 5 + 1).cast("int")).alias("skill"),
+        F.get("messages", F.lit(0))["content"].alias("q"),
+        F.array(F.get("messages", F.lit(1))["content"], F.concat(F.element_at("messages", -1)["content"], F.lit("{prompt}"))).alias("responses"),
+    )
+    text = i.judgement_prompts(rows, "skill", "q", "responses").withColumn("p", F.col("judgement_prompt"))
+    body = F.regexp_extract("p", r"(?s)(### .*)\z", 1)
+    own = F.when(F.col("skill") == "chat", F.concat(F.substring_index(body, "### Evaluation Criteria:", 1), F.lit("### Evaluation Criteria:"))).otherwise(body)
+    return text.select("conv_id", "skill", own.alias("body"))
+
+
 WORDS = r"regexp_extract_all({0}, '\S+')"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from rollweave.functions import latex
@@ -91,6 +92,33 @@ def remapped_verifier(t):
     return g.score_rewards(rows, v.build_verifiers("mine=puzzle", ["puzzle", "string_f1"]), "p", mult=1.0).select("doc_id", "reward")
 
 
+@check(
+    "custom_verifiers",
+    "L2 G2",
+    """SELECT doc_id, round(CASE WHEN doc_id % 3 = 0 THEN 0 ELSE 2.0 * starts_with(text, substr(text, 1, doc_id % 5))::INT END
+        + CASE WHEN doc_id % 3 = 1 THEN 0 ELSE 0.5 * (least(length(text) / 500.0, 1.0) + least(length(text) / 5000.0, 1.0)) END, 6)::DOUBLE AS reward FROM documents""",
+)
+def custom_verifiers(t):
+    """Two rules of the caller's: an expression with weight 2, and a ``pandas_udf`` with weight a half, called for two labels."""
+
+    @F.pandas_udf("array<double>")
+    def share_of(texts: pd.Series, most: pd.Series) -> pd.Series:
+        return pd.Series([[min(len(text) / float(m), 1.0) for m in limits] for text, limits in zip(texts, most)])
+
+    v.register_verifier("opens_with", lambda s: F.startswith(s.prediction, s.label).cast("double"), 2.0)
+    v.register_verifier("Long_Enough", lambda s: share_of(s.prediction, s.label), 0.5, by_row=True)
+    none = F.array().cast("array<string>")
+    first, second = F.col("doc_id") % 3 != 0, F.col("doc_id") % 3 != 1
+    either = lambda wide, opens: F.concat(
+        F.when(second, F.array(wide[0])).otherwise(none), F.when(first, F.array(opens)).otherwise(none), F.when(second, F.array(wide[1])).otherwise(none)
+    )
+    truth = either((F.lit("500"), F.lit("5000")), F.substr("text", F.lit(1), (F.col("doc_id") % 5).cast("int")))
+    names = either((F.lit("long_enough"), F.lit("LONG_ENOUGH")), F.lit("opens_with"))
+    rows = t.documents.select("doc_id", "text", truth.alias("ground_truth"), names.alias("dataset"))
+    scored = g.score_rewards(rows, v.build_verifiers(names=["opens_with", "long_enough"]), "text", mult=1.0)
+    return scored.select("doc_id", F.round("reward", 6).alias("reward"))
+
+
 def _score(rows, rule, prediction, label, tokens=None, **config):
     sample = v.Sample(F.col(prediction), F.col(label), F.col(tokens) if tokens else F.lit(0), config)
     return rule(sample)
