@@ -54,11 +54,12 @@ def judgement_prompts(df: DataFrame, skill: str, prompt: str, responses: str, ou
 def judge_cost(usage: DataFrame, model: str = "model", prices: DataFrame | None = None) -> DataFrame:
     """I8: tokens times price; namespace and ``-standard`` leave the name, unknown models cost 0.
 
-    The price list is a fixed table of the registry, hence its broadcast.
+    The registry's price list is a fixed table, hence its broadcast; a list of the caller's
+    (``__name``, ``input``, ``output``) is joined as its size asks for.
     """
-    table = prices if prices is not None else usage.sparkSession.createDataFrame(list(PRICES), "__name string, input double, output double")
+    table = prices if prices is not None else F.broadcast(usage.sparkSession.createDataFrame(list(PRICES), "__name string, input double, output double"))
     name = F.replace(F.substring_index(model, "/", -1), F.lit("-standard"), F.lit(""))
-    joined = usage.withColumn("__m", name).join(F.broadcast(table), F.col("__m") == F.col("__name"), "left")
+    joined = usage.withColumn("__m", name).join(table, F.col("__m") == F.col("__name"), "left")
     cost = F.coalesce("input", F.lit(0.0)) * F.col("prompt_tokens") + F.coalesce("output", F.lit(0.0)) * F.col("completion_tokens")
     return joined.withColumn("cost", cost).drop("__m", "__name", "input", "output")
 

@@ -461,15 +461,16 @@ def tool_coverage(df: DataFrame, configured: list[str], tools: str = "tools") ->
     return missing.unionByName(unused)
 
 
-def validate_tools(df: DataFrame, configured: list[str], tools: str = "tools", name: str = "dataset") -> list[str]:
+def validate_tools(df: DataFrame, configured: list[str], tools: str = "tools", name: str = "dataset", shown: int = 20) -> list[str]:
     """Raise on unconfigured names, return the extraneous ones.
 
-    Only names are collected; a message lists every wrong name.
+    The message tells how many names are wrong and the first of them; ``tool_coverage`` holds all.
     """
     coverage = tool_coverage(df, configured, tools)
-    wrong = coverage.where("problem = 'unconfigured'").orderBy("tool_name").collect()
-    if wrong:
-        raise ValueError(f"{name} uses tools {[r.tool_name for r in wrong]} that are not configured: {configured}")
+    wrong = coverage.where("problem = 'unconfigured'")
+    first = [r.tool_name for r in wrong.orderBy("tool_name").limit(shown).collect()]
+    if first:
+        raise ValueError(f"{name} uses {wrong.count()} tools that are not configured, such as {first}; configured: {configured}")
     return sorted(r.tool_name for r in coverage.where("problem = 'extraneous'").collect())
 
 

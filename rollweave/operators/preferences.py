@@ -86,16 +86,29 @@ def scored_candidates(candidates: DataFrame) -> DataFrame:
     return candidates
 
 
-def pairwise_comparisons(df: DataFrame, prompt: str, num_completions: int) -> DataFrame:
+def oversized_prompts(df: DataFrame, prompt: str, num_completions: int) -> DataFrame:
+    """H8: prompts with more candidates than they can have, and how many."""
+    counts = df.groupBy(prompt).agg(F.count("*").alias("candidates"))
+    return counts.where(F.col("candidates") > num_completions + 1)
+
+
+def pairwise_comparisons(df: DataFrame, prompt: str, num_completions: int, skip_oversized: bool = False) -> DataFrame:
     """H8: all unordered candidate pairs of a prompt, the reference among them.
 
     A prompt has at most ``num_completions`` candidates plus the reference, by how they are
-    generated; a larger group is an error, never a truncated or quadratic one.  Pairs are made
-    inside the gathered row, so there is no self join.
+    generated; a larger group is an error, or with ``skip_oversized`` has no pairs
+    (``oversized_prompts`` lists it), never a truncated or quadratic one.  Prompts are counted
+    before any is gathered, so no task holds a larger group.  Pairs are made inside the gathered
+    row, so there is no self join.
     """
-    gathered = df.groupBy(prompt).agg(F.count("*").alias("__n"), F.collect_list(F.struct("cand", "messages")).alias("__c"))
-    too_many = F.raise_error(F.lit("more candidates than completions per prompt")).cast("long")
-    checked = gathered.where(F.when(F.col("__n") <= num_completions + 1, F.col("__n")).otherwise(too_many) > 1)
+    counts = df.groupBy(prompt).agg(F.count("*").alias("__n"))
+    if skip_oversized:
+        counts = counts.where(F.col("__n") <= num_completions + 1)
+    else:
+        too_many = F.raise_error(F.lit("more candidates than completions per prompt")).cast("long")
+        counts = counts.withColumn("__n", F.when(F.col("__n") <= num_completions + 1, F.col("__n")).otherwise(too_many))
+    fitting = counts.where("__n > 1").select(prompt)
+    checked = df.join(fitting, prompt, "left_semi").groupBy(prompt).agg(F.collect_list(F.struct("cand", "messages")).alias("__c"))
     ordered = F.array_sort("__c", lambda a, b: (a["cand"] - b["cand"]).cast("int"))
     items = checked.select(prompt, ordered.alias("__c"))
     pairs = F.flatten(

@@ -60,14 +60,19 @@ JSON_TEXTS = [
 @check(
     "json_scores",
     "I3",
-    "SELECT doc_id, reasoning, score::DOUBLE AS score, score / 10.0 AS tenth FROM documents JOIN (VALUES "
+    "WITH c(k, reasoning, score) AS (VALUES "
     + ", ".join(f"({n}, $${r}$$, {s}::DOUBLE)" for n, (_, r, s) in enumerate(JSON_TEXTS))
-    + f") c(k, reasoning, score) ON k = doc_id % {len(JSON_TEXTS)}",
+    + f"""), r AS (SELECT doc_id, reasoning, score FROM documents JOIN c ON k = doc_id % {2 * len(JSON_TEXTS)}
+      UNION ALL SELECT doc_id, text, (doc_id % 11)::DOUBLE FROM documents WHERE doc_id % {2 * len(JSON_TEXTS)} >= {len(JSON_TEXTS)})
+    SELECT doc_id, md5(reasoning) AS reasoning_md5, score, score / 10.0 AS tenth FROM r""",
 )
 def json_scores(t):
-    rows = t.documents.select("doc_id", _pick("doc_id", [x for x, _, _ in JSON_TEXTS]).alias("t"))
+    """Half of the answers take every odd form in turn, the other half hold whole documents as their reasoning."""
+    k = F.col("doc_id") % (2 * len(JSON_TEXTS))
+    whole = F.concat(F.lit("```json\n"), F.to_json(F.struct(F.col("text").alias("REASONING"), (F.col("doc_id") % 11).cast("string").alias("SCORE"))), F.lit("\n```"))
+    rows = t.documents.select("doc_id", F.when(k < len(JSON_TEXTS), _pick("doc_id", [x for x, _, _ in JSON_TEXTS])).otherwise(whole).alias("t"))
     out = rows.select("doc_id", j.parse_json_score("t").alias("p"), j.parse_json_score("t", 10.0)["score"].alias("tenth"))
-    return out.select("doc_id", "p.reasoning", "p.score", "tenth")
+    return out.select("doc_id", F.md5(F.col("p.reasoning").cast("binary")).alias("reasoning_md5"), "p.score", "tenth")
 
 
 @check(
