@@ -3,7 +3,8 @@
 Texts become chunks, one for each Arrow batch of some megabytes: the chunk's distinct words (matches of the
 pattern) once, and every text as codes into them. A higher-order fold encodes distinct words: it starts from
 the ids of a word's single bytes and joins, step by step, the leftmost pair of least rank; ranks come from a
-literal map in the plan, dealt into buckets by remainder, as looking up a key in one map reads it from the start. Words
+literal map in the plan, laid out so that a pair is found in one step (Spark looks up a key in a map by reading
+it from the start). Words
 that many chunks share, at most ``HEAD``, are encoded once and sent to all tasks; all others are encoded in
 the chunk where they stand. So the only shuffle counts the chunks of each word; texts and codes stay
 in their task, and a chunk's work does not depend on any other.
@@ -36,10 +37,10 @@ from rollweave.session import materialise_stage, scratch_path
 CHUNK = 1 << 22
 #: Longest word that the fold takes, in bytes.
 FOLDED = 256
-#: Words sent to all tasks, at most, and the bytes of one, at most: below 100 MB with their ids, 40 as a rule.
-HEAD, HEAD_BYTES = 1 << 19, 32
-#: A prime, so that keys spread.
-BUCKETS = 32_749
+#: Words sent to all tasks, at most, and the bytes of one, at most: below 120 MB with their ids, 30 as a rule.
+HEAD, HEAD_BYTES = 3 << 18, 24
+#: Factor that spreads the right piece of a pair over the cells of the rank map; odd.
+SPREAD = 40_503
 #: In the fold a piece is its id plus ``SHIFT`` times the id of the pair it opens; ``NONE``: no such pair.
 SHIFT, NONE = 1 << 20, 1 << 40
 
@@ -75,12 +76,38 @@ def merges(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
     return out
 
 
+class PairTable:
+    """Pairs and ranks as two arrays: the cell of a pair is its left piece's shift plus its spread right piece.
+
+    A cell holds left piece and rank, so a cell of another pair is told by its left piece. Shifts are drawn
+    until no two pairs share a cell, pieces with many pairs first.
+    """
+
+    def __init__(self, pairs: dict[tuple[int, int], int], seed: int = 1):
+        rights: dict[int, list[int]] = {}
+        for left, right in pairs:
+            rights.setdefault(left, []).append(right)
+        self.size = 1 << max(8, (4 * len(pairs)).bit_length())
+        cells, draw = np.full(self.size, -1, dtype=np.int64), np.random.default_rng(seed)
+        shifts = np.zeros(max(rights, default=0) + 1, dtype=np.int64)
+        for left in sorted(rights, key=lambda x: (-len(rights[x]), x)):
+            own = np.array(rights[left], dtype=np.int64) * SPREAD
+            while True:
+                shift = int(draw.integers(self.size))
+                at = (own + shift) & (self.size - 1)
+                if (cells[at] < 0).all():
+                    break
+            shifts[left] = shift
+            cells[at] = [left * SHIFT + pairs[left, right] for right in rights[left]]
+        self.cells, self.shifts = cells, shifts
+
+
 def _bound(value: Column, kind: str, body: Callable[[Column], Column]) -> Column:
     """``body``, of type ``kind``, of a value that is computed once; a fold of one step copies nothing."""
     return F.aggregate(F.array(value), F.lit(None).cast(kind), lambda _, x: body(x))
 
 
-def _folded(word: Column, singles: Column, pairs: Column) -> Column:
+def _folded(word: Column, maps: Column, size: int) -> Column:
     """The ids of a word.
 
     The least number of the state is the pair of least rank, and the first place of it is the leftmost one;
@@ -88,10 +115,9 @@ def _folded(word: Column, singles: Column, pairs: Column) -> Column:
     """
 
     def paired(left: Column, right: Column) -> Column:
-        key = left * SHIFT + right
-        bucket = F.get(pairs, (key % BUCKETS).cast("int"))
-        made = F.get(bucket["r"], F.array_position(bucket["k"], key).cast("int") - 1)
-        return F.coalesce(made, F.lit(NONE)) * SHIFT + left
+        cell = F.get(maps["cells"], (F.get(maps["shifts"], left) + right * SPREAD).bitwiseAND(size - 1))
+        made = F.when(F.shiftright(cell, SHIFT.bit_length() - 1) == left, cell.bitwiseAND(SHIFT - 1)).otherwise(NONE)
+        return made * SHIFT + left
 
     def piece(state: Column, at: Column) -> Column:
         return F.get(state, at).bitwiseAND(SHIFT - 1)
@@ -114,7 +140,7 @@ def _folded(word: Column, singles: Column, pairs: Column) -> Column:
 
     raw = F.encode(word, "UTF-8")
     first = F.transform(
-        F.sequence(F.lit(1), F.octet_length(word)), lambda k: F.get(singles, F.conv(F.hex(F.substr(raw, k, F.lit(1))), 16, 10).cast("int"))
+        F.sequence(F.lit(1), F.octet_length(word)), lambda k: F.get(maps["singles"], F.conv(F.hex(F.substr(raw, k, F.lit(1))), 16, 10).cast("int"))
     )
     start = _bound(first, "array<bigint>", lambda ids: F.transform(ids, lambda x, k: paired(x, F.get(ids, k + 1))))
     done = _bound(start, "array<bigint>", lambda s: F.aggregate(F.slice(s, 2, F.size(s)), s, step))
@@ -125,26 +151,24 @@ class RankMap:
     """The ranks as foldable columns, so that they are literals of the plan."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        buckets: list[dict[str, list[int]]] = [{"k": [], "r": []} for _ in range(BUCKETS)]
-        for (left, right), rank in merges(ranks).items():
-            key = left * SHIFT + right
-            buckets[key % BUCKETS]["k"].append(key)
-            buckets[key % BUCKETS]["r"].append(rank)
-        self._pairs = F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<struct<k:array<bigint>,r:array<bigint>>>")
-        self._singles = F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<bigint>")
+        pairs = PairTable(merges(ranks))
+        listed = {"cells": pairs.cells.tolist(), "shifts": pairs.shifts.tolist(), "singles": [ranks[bytes([b])] for b in range(256)]}
+        kinds = ",".join(f"{name}:array<bigint>" for name in listed)
+        self._maps = F.from_json(F.lit(json.dumps(listed, separators=(",", ":"))), f"struct<{kinds}>")
+        self._size = pairs.size
         pieces = [""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
-            pieces[rank] = piece.hex()
-        self._pieces = F.split(F.lit(",".join(pieces)), ",")
+            # One character for each byte.
+            pieces[rank] = piece.decode("latin-1")
+        self._pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
 
     def ids(self, words: Column) -> Column:
         """The ids of each word of an array; the maps are bound once, so that the plan holds one copy of each."""
-        maps = F.struct(self._pairs.alias("p"), self._singles.alias("s"))
-        return _bound(maps, "array<array<int>>", lambda m: F.transform(words, lambda w: _folded(w, m["s"], m["p"])))
+        return _bound(self._maps, "array<array<int>>", lambda m: F.transform(words, lambda w: _folded(w, m, self._size)))
 
     def decoded(self, ids: Column) -> Column:
         """The bytes of ``ids``, piece after piece."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(self._pieces, i + 1)), ""))
+        return F.encode(F.array_join(F.transform(ids, lambda i: F.element_at(self._pieces, i + 1)), ""), "ISO-8859-1")
 
 
 def heap_ids(word: bytes, ranks: dict[bytes, int], below: int | None = None) -> list[int]:
