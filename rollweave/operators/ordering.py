@@ -16,7 +16,7 @@ from rollweave.session import materialise_stage
 
 HASH_BUCKETS = 4096
 #: Rows of one range of an ordered table, about.
-BUCKET_ROWS = 1 << 20
+BUCKET_ROWS = 1 << 17
 
 
 def md5_key(seed: int | str, *cols: str | Column) -> Column:
@@ -98,11 +98,8 @@ def ranged(df: DataFrame, order: Sequence[str | Column], rows: int = BUCKET_ROWS
     keys = [F.col(k) if isinstance(k, str) else k for k in order]
     keys = [*(k.asc_nulls_first() for k in keys), F.col("__salt")]
     parts = max(1, -(-df.count() // rows))
-    if parts > 1:
-        placed = salted.repartitionByRange(parts, *keys)
-    else:
-        placed = salted.coalesce(1)
-    numbered = placed.sortWithinPartitions(*keys).drop("__salt").withColumn("__at", F.monotonically_increasing_id())
+    # Also for one range: what makes the rows keeps its own tasks.
+    numbered = salted.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("__salt").withColumn("__at", F.monotonically_increasing_id())
     split = numbered.withColumns({"__part": F.shiftright("__at", 33).cast("int"), "__local": F.col("__at").bitwiseAND((1 << 33) - 1)})
     return materialise_stage(split.drop("__at"), "ranged")
 
