@@ -106,14 +106,14 @@ COUNTS = ["total_prompts", "filtered_prompts", "filtered_prompts_zero", "filtere
     sized AS (SELECT step AS shard, position * 4 + sample AS o, n_query + n_response AS n, sum(n_query + n_response) OVER (PARTITION BY step) AS total FROM kept),
     {next_fit_sql('sized', ['n'], 'least(n.total // 3, 64)')},
     packs AS (SELECT k.step, p.pack_no::BIGINT AS pack_no, string_agg(k.position || ':' || k.sample, ' ' ORDER BY p.o) AS members,
-        sum(n_query + n_response)::BIGINT AS tokens, round(sum(advantage * n_response), 3)::DOUBLE AS advantage
+        sum(n_query + n_response)::BIGINT AS tokens, round(sum(advantage * n_response), 3)::DOUBLE + 0.0 AS advantage
       FROM packed p JOIN kept k ON k.step = p.shard AND k.position * 4 + k.sample = p.o GROUP BY 1, 2),
     measured AS (SELECT step, avg(reward) AS scores, count(*) / 32.0 AS real_batch_size_ratio, count(*) FILTER (reward < 5) / count(*) AS unsolved_batch_size_ratio,
         count(*) FILTER (stopped) / count(*) AS stop_rate, avg(n_response) AS sequence_lengths, coalesce(avg(n_response) FILTER (reward = 5), 0) AS sequence_lengths_solved,
         max(advantage) AS advantages_max, (SELECT count(*) FROM packs p WHERE p.step = kept.step) / count(*) AS packed_ratio FROM kept GROUP BY step),
     counted AS (SELECT step, count(*) FILTER (NOT flat) AS total_prompts, count(*) FILTER (flat) AS filtered_prompts, count(*) FILTER (flat AND low = 0) AS filtered_prompts_zero,
         count(*) FILTER (flat AND low = 5) AS filtered_prompts_solved, count(*) FILTER (flat AND low NOT IN (0, 5)) AS filtered_prompts_nonzero FROM steps GROUP BY step)
-    SELECT p.*, {', '.join(f'round(m.{c}, 5)::DOUBLE AS {c}' for c in MEASURES)}, c.* EXCLUDE (step), count(*) OVER (PARTITION BY p.step) AS packs
+    SELECT p.*, {', '.join(f'round(m.{c}, 7)::DOUBLE AS {c}' for c in MEASURES)}, c.* EXCLUDE (step), count(*) OVER (PARTITION BY p.step) AS packs
     FROM packs p JOIN measured m USING (step) JOIN counted c USING (step)""",
 )
 def stream_training_steps(t):
@@ -124,9 +124,10 @@ def stream_training_steps(t):
         "pack_no",
         F.array_join(F.transform("members", lambda m: F.concat_ws(":", m["position"].cast("string"), m["sample"].cast("string"))), " ").alias("members"),
         F.size("tokens").cast("long").alias("tokens"),
-        F.round(F.aggregate("advantages", F.lit(0.0), lambda s, x: s + x), 3).alias("advantage"),
+        # No negative zero.
+        (F.round(F.aggregate("advantages", F.lit(0.0), lambda s, x: s + x), 3) + 0.0).alias("advantage"),
     )
-    metrics = published(t.spark, table, "metrics").select("step", *[F.round(c, 5).alias(c) for c in MEASURES], *COUNTS)
+    metrics = published(t.spark, table, "metrics").select("step", *[F.round(c, 7).alias(c) for c in MEASURES], *COUNTS)
     return packs.join(metrics, "step")
 
 
@@ -204,8 +205,8 @@ def token_records(t):
     "K6",
     f"""WITH bounds AS (SELECT min(epoch(ts)) AS lo, max(epoch(ts)) AS hi FROM events),
     e AS (SELECT event_id // 4 AS prompt_id, event_id % 4 AS sample, epoch_ms(ts) AS ts, floor((epoch(ts) - lo) / (hi - lo + 1) * {DROPS})::INTEGER AS own,
-        ('0x' || substr(md5(concat('again', ':', event_id)), 1, 7))::BIGINT % 10 = 0 AS again FROM events, bounds),
-    arrived AS (SELECT prompt_id, sample, ts, own AS drop_no FROM e UNION ALL SELECT prompt_id, sample, ts, {DROPS - 1} FROM e WHERE again),
+        ('0x' || substr(md5(concat('behind', ':', event_id)), 1, 7))::BIGINT % 20 = 0 AS behind, ('0x' || substr(md5(concat('again', ':', event_id)), 1, 7))::BIGINT % 10 = 0 AS again FROM events, bounds),
+    arrived AS (SELECT prompt_id, sample, ts, CASE WHEN behind THEN {DROPS - 1} ELSE own END AS drop_no FROM e UNION ALL SELECT prompt_id, sample, ts, {DROPS - 1} FROM e WHERE again),
     marks AS (SELECT d.drop_no, coalesce(max(a.ts) - 3600000, 0) AS mark FROM (SELECT unnest(range(0, {DROPS})) AS drop_no) d LEFT JOIN arrived a ON a.drop_no < d.drop_no GROUP BY 1),
     timed AS (SELECT a.*, m.mark, a.ts < m.mark AS late FROM arrived a JOIN marks m USING (drop_no)),
     held AS (SELECT prompt_id, drop_no, any_value(mark) AS mark, max(ts) AS latest FROM timed WHERE NOT late GROUP BY 1, 2),
@@ -216,12 +217,15 @@ def token_records(t):
     UNION ALL SELECT 'late', count(DISTINCT prompt_id), count(*) FROM timed WHERE late""",
 )
 def late_groups(t):
-    """Drops in time order, repeats at the end: groups that never fill up come out incomplete once the
-    watermark passes, rows behind it are late, and the end of the input frees what is still open."""
+    """Drops in time order, but for a twentieth of the rows and all repeats, which come at the end: groups that
+    never fill up come out incomplete once the watermark passes, rows behind it are late, and the end of the
+    input frees what is still open."""
     seconds = F.col("ts").cast("timestamp").cast("double")
     bounds = t.events.agg(F.min(seconds).alias("lo"), F.max(seconds).alias("hi"))
     part = F.floor((F.col("ts").cast("double") - F.col("lo")) / (F.col("hi") - F.col("lo") + 1) * DROPS).cast("int")
     own = _arrivals(t).dropDuplicates(["prompt_id", "sample"]).crossJoin(F.broadcast(bounds)).withColumn("drop_no", part).drop("lo", "hi")
+    number = F.col("prompt_id") * 4 + F.col("sample")
+    own = own.withColumn("drop_no", F.when(md5_mod(md5_key("behind", number), 20) == 0, F.lit(DROPS - 1)).otherwise(F.col("drop_no")))
     again = own.where(md5_mod(md5_key("again", F.col("prompt_id") * 4 + F.col("sample")), 10) == 0).withColumn("drop_no", F.lit(DROPS - 1))
     newest = t.events.agg(F.max(F.col("ts").cast("timestamp")).cast("string")).first()[0]
     end = end_of_input(t.spark, SCHEMA, newest, "1 hour", "2 hours")

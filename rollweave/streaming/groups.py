@@ -82,12 +82,13 @@ class GroupCollector(StatefulProcessor):
         frames = frames[~is_late]
         if not len(frames):
             return
-        latest, due, done = self.clock.get() if self.clock.exists() else (0, None, False)
+        known = self.clock.exists()
+        latest, due, done = self.clock.get() if known else (0, None, False)
         latest = max(latest, int(frames["ts_ms"].max()))
         if done:
             due_now = latest + 1
         else:
-            held = {k[0]: tuple(v) for k, v in self.samples.iterator()} if due is not None or latest else {}
+            held = {k[0]: tuple(v) for k, v in self.samples.iterator()} if known else {}
             fresh = {}
             for sample, reward, payload in zip(frames["sample"], frames["reward"], frames["payload"]):
                 if int(sample) not in held:
