@@ -319,8 +319,10 @@ def test_decontamination(spark):
         (8, wrapped("Short, item!", 6)),
     ]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
-    got = {(r.doc_id, r.item_id): (r.covered, r.n_tiles) for r in tiling.contaminated_documents(docs, benchmark(spark)).collect()}
-    assert got == {(1, 1): (24, 1), (2, 1): (24, 2), (3, 1): (24, 1), (8, 5): (2, 1)}
+    found = lambda **limits: {(r.doc_id, r.item_id): (r.covered, r.n_tiles) for r in tiling.contaminated_documents(docs, benchmark(spark), **limits).collect()}
+    assert found(min_words=1) == {(1, 1): (24, 1), (2, 1): (24, 2), (3, 1): (24, 1), (8, 5): (2, 1)}
+    # A short item gives a verdict only where one is asked for.
+    assert found() == {(1, 1): (24, 1), (2, 1): (24, 2), (3, 1): (24, 1)}
 
 
 def plain_tiles(doc, item, least):
