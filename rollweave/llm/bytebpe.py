@@ -37,8 +37,8 @@ from rollweave.session import materialise_stage, scratch_path
 CHUNK = 1 << 22
 #: Longest word that the fold takes, in bytes.
 FOLDED = 256
-#: Words sent to all tasks, at most, and the bytes of one, at most: below 120 MB with their ids, 30 as a rule.
-HEAD, HEAD_BYTES = 3 << 18, 24
+#: Words sent to all tasks, at most, and the bytes of one, at most: below 50 MB with their ids, 10 as a rule.
+HEAD, HEAD_BYTES = 1 << 18, 32
 #: Factor that spreads the right piece of a pair over the cells of the rank map; odd.
 SPREAD = 40_503
 #: In the fold a piece is its id plus ``SHIFT`` times the id of the pair it opens; ``NONE``: no such pair.
