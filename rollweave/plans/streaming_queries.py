@@ -45,7 +45,7 @@ def _arrivals(t):
 def _feed(t, name: str, handle_of, transform, schema: str = SCHEMA, mode: str = "append", rows=None, last=None):
     """Append one drop after the other and run the job to its end each time, always resuming; ``last`` are rows that end the input."""
     root = t.scratch(name)
-    spark = streaming_session(t.spark, min(4, t.spark.sparkContext.defaultParallelism))
+    spark = streaming_session(t.spark, t.spark.sparkContext.defaultParallelism)
     arrivals = _arrivals(t) if rows is None else rows
     for drop in range(DROPS + (last is not None)):
         (arrivals.where(F.col("drop_no") == drop) if drop < DROPS else last).write.mode("append").parquet(f"{root}/in")

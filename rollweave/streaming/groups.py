@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -19,7 +19,7 @@ from rollweave.streaming.jobs import read_batches, write_batch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTCOME = "prompt_id long, sample int, reward double, payload string, outcome string"
-OUTCOME_NAMES = [f.split()[0] for f in OUTCOME.split(", ")]
+OUTCOME_ROW = Row(*[f.split()[0] for f in OUTCOME.split(", ")])
 
 
 def streaming_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
@@ -40,7 +40,9 @@ class GroupCollector(StatefulProcessor):
     """State of a prompt: its samples while it is open, then a mark; ``n`` samples finish it.
 
     With ``wait_ms`` an open prompt leaves as ``incomplete`` when the watermark is that far past its last
-    sample. Rows without prompt_id only move the watermark.
+    sample. Rows without prompt_id only move the watermark. Every call of the state is a message to the JVM,
+    so a prompt's samples are one value, and nothing is written that stays as it is; the clock of an open
+    prompt that waits for nothing stays, as the samples hold their own time.
     """
 
     def __init__(self, n: int, wait_ms: int | None):
@@ -48,21 +50,9 @@ class GroupCollector(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.samples = handle.getMapState("samples", "sample int", "reward double, payload string")
+        self.samples = handle.getValueState("samples", "sample array<int>, reward array<double>, payload array<string>, latest long")
         self.clock = handle.getValueState("clock", "latest long, due long, done boolean")
 
-    def _rows(self, key: tuple, found: dict, outcome: str) -> pd.DataFrame:
-        order = sorted(found)
-        return pd.DataFrame(
-            {
-                "prompt_id": key[0],
-                "sample": order,
-                "reward": [found[s][0] for s in order],
-                "payload": [found[s][1] for s in order],
-                "outcome": outcome,
-            }
-        )
-
     def _set_timer(self, due: int | None, old: int | None) -> None:
         if due != old:
             if old is not None:
@@ -70,52 +60,70 @@ class GroupCollector(StatefulProcessor):
             if due is not None:
                 self.handle.registerTimer(due)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frames = pd.concat(list(rows))
-        if key[0] is None or pd.isna(key[0]):
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # Read to the end in any case: what is left would come as a group of its own.
+        rows = list(rows)
+        if key[0] is None:
             return
         watermark = timerValues.getCurrentWatermarkInMs()
-        is_late = frames["ts_ms"] < watermark
-        if is_late.any():
-            late = frames[is_late].sort_values("sample")
-            yield late.assign(outcome="late")[OUTCOME_NAMES]
-        frames = frames[~is_late]
-        if not len(frames):
+        timely = []
+        for r in rows:
+            if r.ts_ms is not None and r.ts_ms < watermark:
+                yield OUTCOME_ROW(key[0], r.sample, _number(r.reward), r.payload, "late")
+            else:
+                timely.append(r)
+        if not timely:
             return
-        known = self.clock.exists()
-        latest, due, done = self.clock.get() if known else (0, None, False)
-        latest = max(latest, int(frames["ts_ms"].max()))
+        was = self.clock.get()
+        latest, due, done = was or (0, None, False)
+        held, before = self._held() if was and not done else ({}, latest)
+        latest = max([latest, before, *(r.ts_ms for r in timely if r.ts_ms is not None)])
         if done:
             due_now = latest + 1
         else:
-            held = {k[0]: tuple(v) for k, v in self.samples.iterator()} if known else {}
             fresh = {}
-            for sample, reward, payload in zip(frames["sample"], frames["reward"], frames["payload"]):
-                if int(sample) not in held:
-                    fresh.setdefault(int(sample), (float(reward), payload))
+            for r in timely:
+                if r.sample not in held:
+                    fresh.setdefault(int(r.sample), (_number(r.reward), r.payload))
             if len(held) + len(fresh) >= self.n:
-                yield self._rows(key, held | fresh, "complete")
-                self.samples.clear()
+                yield from _outcome(key[0], held | fresh, "complete")
+                if held:
+                    self.samples.clear()
                 # A repeat can be no newer than the last sample; behind the watermark it is late.
                 done, due_now = True, latest + 1
             else:
-                for sample, value in fresh.items():
-                    self.samples.updateValue((sample,), value)
+                if fresh or latest > before:
+                    found = held | fresh
+                    self.samples.update((list(found), *map(list, zip(*found.values())), latest))
                 due_now = None if self.wait_ms is None else latest + self.wait_ms
         self._set_timer(due_now, due)
-        self.clock.update((latest, due_now, done))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = {k[0]: tuple(v) for k, v in self.samples.iterator()}
-        if held:
-            yield self._rows(key, held, "incomplete")
-        self.samples.clear()
+        if was is None or (due_now, done) != was[1:]:
+            self.clock.update((latest, due_now, done))
+
+    def _held(self) -> tuple[dict, int]:
+        """The samples of an open prompt and the time of the last one."""
+        samples, rewards, payloads, latest = self.samples.get()
+        return dict(zip(samples, zip(rewards, payloads))), latest
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if not self.clock.get()[2]:
+            yield from _outcome(key[0], self._held()[0], "incomplete")
+            self.samples.clear()
         self.clock.clear()
 
     def close(self) -> None:
         pass
 
 
+def _number(reward: float | None) -> float | None:
+    return None if reward is None or reward != reward else reward
+
+
+def _outcome(prompt_id: int, found: dict, outcome: str) -> Iterator[Row]:
+    for sample in sorted(found):
+        yield OUTCOME_ROW(prompt_id, sample, *found[sample], outcome)
+
+
 def group_outcomes(rollouts: DataFrame, n: int, delay: str, wait: str | None = None, payload: tuple[str, ...] = ()) -> DataFrame:
     """Rows of prompts with their outcome: ``complete``, ``incomplete`` (only with ``wait``) or ``late``.
 
@@ -129,7 +137,7 @@ def group_outcomes(rollouts: DataFrame, n: int, delay: str, wait: str | None = N
         (F.to_json(F.struct(*payload)) if payload else F.lit(None).cast("string")).alias("payload"),
         F.unix_millis("ts").alias("ts_ms"),
     )
-    return timed.groupBy("prompt_id").transformWithStateInPandas(GroupCollector(n, wait_ms), OUTCOME, "append", "eventTime")
+    return timed.groupBy("prompt_id").transformWithState(GroupCollector(n, wait_ms), OUTCOME, "append", "eventTime")
 
 
 def collect_outcomes(table: str) -> Callable[[DataFrame, int], None]:

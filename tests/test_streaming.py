@@ -5,10 +5,13 @@ from __future__ import annotations
 import datetime
 
 import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
 
+from rollweave.plans import registry, streaming_queries
 from rollweave.session import scratch_path
 from rollweave.streaming import jobs, throughput
-from rollweave.streaming.groups import ROCKSDB, collect_outcomes, end_of_input, group_outcomes, groups, late_rows, streaming_session
+from rollweave.streaming.groups import ROCKSDB, GroupCollector, collect_outcomes, end_of_input, group_outcomes, groups, late_rows, streaming_session
 from rollweave.streaming.training import TrainingSteps, manifests, next_step, published
 
 SCHEMA = "prompt_id long, sample int, reward double, ts timestamp"
@@ -69,6 +72,52 @@ def test_late_rows_repeats_and_the_end_of_input(own):
     assert sorted((r.prompt_id, r.sample) for r in late_rows(own, f"{root}/out").collect()) == [(1, 1), (2, 1)]
 
 
+class Calls:
+    """State of one prompt that writes down each call, as each is a message to the JVM."""
+
+    def __init__(self, log, name):
+        self.log, self.name, self.value = log, name, None
+
+    def __getattr__(self, call):
+        def done(*value):
+            self.log.append(f"{self.name}.{call}")
+            if call in ("update", "clear"):
+                self.value = value[0] if value else None
+            return self.value
+
+        return done
+
+
+def test_a_prompt_takes_few_calls_of_the_state():
+    log = []
+    handle = Calls(log, "timer")
+    handle.getValueState = handle.getMapState = lambda name, *_: Calls(log, name)
+    collector = GroupCollector(3, None)
+    collector.init(handle)
+    before = type("Times", (), {"getCurrentWatermarkInMs": lambda self: 10})()
+
+    def seen(*rows):
+        log.clear()
+        rows = [Row(prompt_id=1, sample=s, reward=r, payload=None, ts_ms=at) for s, r, at in rows]
+        return [(r.sample, r.reward, r.outcome) for r in collector.handleInputRows((1,), iter(rows), before)], list(log)
+
+    assert seen((2, 2.0, 12), (0, float("nan"), 11), (9, 9.0, 9)) == ([(9, 9.0, "late")], ["clock.get", "samples.update", "clock.update"])
+    # A repeat that is no newer changes nothing, and an older state keeps its own sample.
+    assert seen((2, 7.0, 11)) == ([], ["clock.get", "samples.get"])
+    assert seen((1, 1.0, 30), (2, 7.0, 40)) == (
+        [(0, None, "complete"), (1, 1.0, "complete"), (2, 2.0, "complete")],
+        ["clock.get", "samples.get", "samples.clear", "timer.registerTimer", "clock.update"],
+    )
+    assert seen((1, 5.0, 20)) == ([], ["clock.get"])
+
+
+def test_drops_use_all_cores(spark):
+    handle = lambda _: lambda batch, batch_id: seen.add(int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows, seen = spark.createDataFrame([(1, 0), (2, 1)], "id long, drop_no int"), set()
+    streaming_queries._feed(registry.Tables(spark, "none"), "cores", handle, lambda s: s.where(F.col("id") > 0), "id long, drop_no int", rows=rows)
+    assert seen == {spark.sparkContext.defaultParallelism}
+
+
 STEP_SCHEMA = "prompt_id long, sample int, reward double, query array<int>, response array<int>, mask array<int>, logprobs array<double>, finish_reason string, ts timestamp"
 PAYLOAD = ("query", "response", "mask", "logprobs", "finish_reason")
 
