@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,50 +85,64 @@ def _sizes(lists: pa.ListArray) -> np.ndarray:
 def _looked_up(head: pa.Table, columns: dict[str, str], unknown_id: int, missing: bool):
     """Token lists to id lists by one lookup of the flattened values of a batch.
 
-    A token that the head does not hold gets the unknown id; with ``missing`` it is listed too, by column
-    and position.
+    A token that the head does not hold gets the unknown id. With ``missing`` it is marked, and its id is its
+    place among the distinct such tokens of the batch, which go with the batch's first row.
     """
     known, ids = head.column("token").combine_chunks(), head.column("id").combine_chunks().cast(pa.int32())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for number, batch in enumerate(batches):
+            if not batch.num_rows:
+                continue
             kept = [n for n in batch.schema.names if n not in columns.values()]
-            arrays, left = [batch.column(n) for n in kept], []
-            for c, name in enumerate(columns.values()):
-                tokens, sizes = batch.column(name).flatten().cast(pa.string()), _sizes(batch.column(name))
-                found = ids.take(pc.index_in(tokens, value_set=known))
-                arrays.append(_lists(pc.fill_null(found, unknown_id), sizes))
-                at = np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False))
-                row = np.repeat(np.arange(batch.num_rows), sizes)[at]
-                left.append((row, np.full(len(at), c, np.int32), (at - (np.cumsum(sizes) - sizes)[row]).astype(np.int32), tokens.take(pa.array(at))))
-            if missing:
-                rows = np.concatenate([x[0] for x in left])
-                order = np.argsort(rows, kind="stable")
-                fields = [pa.array(np.concatenate([x[k] for x in left])) for k in (1, 2)] + [pa.concat_arrays([x[3] for x in left])]
-                items = pa.StructArray.from_arrays([f.take(pa.array(order)) for f in fields], names=["c", "pos", "token"])
-                arrays.append(_lists(items, np.bincount(rows, minlength=batch.num_rows)))
-            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *columns, *(["__missing"] if missing else [])])
+            sizes, found, away = [], [], []
+            for name in columns.values():
+                tokens = batch.column(name).flatten().cast(pa.string())
+                hit = ids.take(pc.index_in(tokens, value_set=known))
+                gone = hit.is_null() if not missing else pc.and_(hit.is_null(), tokens.is_valid())
+                sizes.append(_sizes(batch.column(name)))
+                found.append((pc.fill_null(hit, unknown_id), gone))
+                away.append(tokens.filter(gone) if missing else None)
+            if not missing:
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *(_lists(f, n) for (f, _), n in zip(found, sizes))], names=[*kept, *columns])
+                continue
+            coded = pa.concat_arrays(away).dictionary_encode()
+            places = np.split(coded.indices.to_numpy(), np.cumsum([len(x) for x in away])[:-1])
+            arrays, marks = [], []
+            for (flat, gone), place, size in zip(found, places, sizes):
+                mixed, gone = flat.to_numpy().copy(), gone.to_numpy(zero_copy_only=False)
+                mixed[gone] = place
+                arrays.append(_lists(pa.array(mixed, pa.int32()), size))
+                marks.append(_lists(pa.array(gone), size))
+            chunk = pa.array(np.full(batch.num_rows, (TaskContext.get().partitionId() << 33) + number))
+            first = _lists(coded.dictionary, np.array([len(coded.dictionary), *[0] * (batch.num_rows - 1)]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *arrays, *marks, chunk, first], names=[*kept, *columns, *map(_mark, columns), "__chunk", "__tokens"])
 
     return scan
 
 
-def _scattered(columns: list[str]):
-    """The ids of rare tokens put into their places."""
+def _mark(column: str) -> str:
+    return f"__rare_{column}"
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rare = batch.column("__rare")
-            row, items = np.repeat(np.arange(batch.num_rows), _sizes(rare)), rare.flatten()
-            which, pos, ids = (items.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-            for c, name in enumerate(columns):
-                lists = batch.column(name)
-                sizes, flat = _sizes(lists), lists.flatten().to_numpy(zero_copy_only=False).copy()
-                own = which == c
-                flat[(np.cumsum(sizes) - sizes)[row[own]] + pos[own]] = ids[own]
-                batch = batch.set_column(batch.schema.get_field_index(name), name, _lists(pa.array(flat, pa.int32()), sizes))
-            yield batch.drop_columns(["__rare"])
 
-    return scan
+def _scattered(columns: list[str], names: list[str], unknown_id: int):
+    """The marked tokens of a chunk get their ids: ``met`` has those that the vocabulary holds."""
+
+    def fill(rows: pa.Table, met: pa.Table) -> pa.Table:
+        place, ids = (met.column(c).to_numpy().astype(np.int64) for c in ("__place", "__id"))
+        known = np.full(place.max(initial=-1) + 1, unknown_id, np.int32)
+        known[place] = ids
+        for name in columns:
+            lists, marks = (rows.column(c).combine_chunks() for c in (name, _mark(name)))
+            flat, gone = lists.flatten().to_numpy().copy(), marks.flatten().to_numpy(zero_copy_only=False)
+            places = flat[gone]
+            # Places behind the last one that was met are unknown, too.
+            inside = places < len(known)
+            flat[gone] = np.where(inside, known[np.where(inside, places, 0)], unknown_id) if len(known) else unknown_id
+            rows = rows.set_column(rows.schema.get_field_index(name), name, _lists(pa.array(flat, pa.int32()), _sizes(lists)))
+        return rows.select(names)
+
+    return fill
 
 
 def encode(df: DataFrame, key: str, columns: dict[str, str], vocabulary: DataFrame, unknown_id: int = 3, head: int = HEAD_IDS) -> DataFrame:
@@ -135,8 +150,8 @@ def encode(df: DataFrame, key: str, columns: dict[str, str], vocabulary: DataFra
 
     Tokens with an id below ``head`` are looked up in place, so their table is bounded; ids are frequency
     ranks, so these are the hot ones. Only the tokens it does not hold leave, each distinct one once for a
-    row, meet the rest of the vocabulary and are put into their places. A vocabulary without such a rest
-    needs no second step.
+    chunk (an Arrow batch), meet the rest of the vocabulary and come back to the chunk's rows. A vocabulary
+    without such a rest needs no second step.
     """
     words = vocabulary.select("token", F.col("id").cast("int").alias("id"))
     hot = words.where((F.col("id") >= 0) & (F.col("id") < head)).dropDuplicates(["token"]).toArrow()
@@ -145,20 +160,15 @@ def encode(df: DataFrame, key: str, columns: dict[str, str], vocabulary: DataFra
     coded = T.StructType([*fields, *[T.StructField(out, T.ArrayType(T.IntegerType())) for out in columns]])
     if rest.isEmpty():
         return df.mapInArrow(_looked_up(hot, columns, unknown_id, False), coded)
-    item = T.StructType([T.StructField("c", T.IntegerType()), T.StructField("pos", T.IntegerType()), T.StructField("token", T.StringType())])
-    wide = T.StructType([*coded.fields, T.StructField("__missing", T.ArrayType(item))])
-    # Stored: a row is known by its number from here on.
-    rows = materialise_stage(
-        df.mapInArrow(_looked_up(hot, columns, unknown_id, True), wide).withColumn("__row", F.monotonically_increasing_id()), "encoded"
-    )
-    left = rows.select("__row", F.explode("__missing").alias("m")).groupBy("__row", F.col("m.token").alias("token")).agg(
-        F.collect_list(F.struct("m.c", "m.pos")).alias("places")
-    )
-    met = left.join(rest.withColumnRenamed("id", "__id"), "token")
-    placed = F.transform("places", lambda p: F.struct(p["c"].alias("c"), p["pos"].alias("pos"), F.col("__id").alias("id")))
-    rare = met.select("__row", placed.alias("placed")).groupBy("__row").agg(F.flatten(F.collect_list("placed")).alias("__rare"))
-    joined = rows.drop("__missing").join(rare, "__row", "left").drop("__row")
-    return joined.mapInArrow(_scattered(list(columns)), coded)
+    marks = [T.StructField(_mark(out), T.ArrayType(T.BooleanType())) for out in columns]
+    wide = T.StructType([*coded.fields, *marks, T.StructField("__chunk", T.LongType()), T.StructField("__tokens", T.ArrayType(T.StringType()))])
+    # Stored: a token is known by its place in its chunk from here on.
+    rows = materialise_stage(df.mapInArrow(_looked_up(hot, columns, unknown_id, True), wide), "encoded")
+    left = rows.where(F.size("__tokens") > 0).select(F.col("__chunk").alias("__of"), F.posexplode("__tokens").alias("__place", "token"))
+    met = left.join(rest.withColumnRenamed("id", "__id"), "token").select("__of", "__place", "__id")
+    rows = rows.drop("__tokens")
+    out = T.StructType([rows.schema[n] for n in coded.names])
+    return rows.groupBy("__chunk").cogroup(met.groupBy("__of")).applyInArrow(_scattered(list(columns), coded.names, unknown_id), out)
 
 
 # --- masks ---------------------------------------------------------------------------------

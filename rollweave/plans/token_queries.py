@@ -14,6 +14,7 @@ from rollweave.plans.inputs import joined, messages, preference_pairs, tokenizer
 from rollweave.plans.registry import check
 from rollweave.plans.sqltext import MSGS, PAIRS, VOCAB, encoded, labelled, masked, tagged, tokens
 from rollweave.plans.sqltext import joined as sql_joined
+from rollweave.session import materialise_stage
 
 
 def _quoted(text: str) -> str:
@@ -183,7 +184,8 @@ def _own_sql(ids: str, where: str = "true") -> str:
 
 
 def _own_vocabulary(t, **limits):
-    return k.build_vocabulary(_document_tokens(t), "toks", **limits)
+    # Stored, as it is read three times.
+    return materialise_stage(k.build_vocabulary(_document_tokens(t), "toks", **limits), "vocabulary")
 
 
 @check("encoded_tail", "D2", f"{_own_sql('rank')} {_ids_sql()}")

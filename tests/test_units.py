@@ -11,6 +11,7 @@ from rollweave.functions import verifiers as v
 from rollweave.operators import judging, messages, mixing, packing, preferences, rewards, tokens
 from rollweave.operators.ordering import row_index, running_by_key
 from rollweave.plans import transforms
+from rollweave.session import materialise_stage
 
 
 def one(spark, column):
@@ -263,6 +264,18 @@ def test_encoder_keeps_repeated_and_null_keys(spark):
     assert all(r.back == r.ids[::-1] for r in two)
 
 
+def test_rare_tokens_leave_once_for_a_chunk(spark, monkeypatch):
+    stages = []
+    monkeypatch.setattr(tokens, "materialise_stage", lambda df, name: stages.append(materialise_stage(df, name)) or stages[-1])
+    words = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda i: F.concat(F.lit("w"), ((F.col("id") + i) % 30).cast("string")))
+    rows = spark.range(400, numPartitions=1).select("id", words.alias("toks"), F.array(F.lit("none"), F.lit(None), F.lit("w29")).alias("more"))
+    vocabulary = spark.range(30).select(F.concat(F.lit("w"), "id").alias("token"), (F.col("id") - 5).cast("int").alias("id"))
+    got = tokens.encode(rows, "id", {"ids": "toks", "back": "more"}, vocabulary, unknown_id=77, head=3).collect()
+    assert sorted((r.id, r.ids, r.back) for r in got) == [(k, [(k + i) % 30 - 5 for i in range(20)], [77, 77, 24]) for k in range(400)]
+    # 27 of the vocabulary, one that it does not hold; not one for each of 400 rows.
+    assert stages[0].select(F.explode("__tokens")).count() == 28
+
+
 def test_order_with_hot_ties_and_empty_input(spark):
     rows = spark.range(1000).select("id", F.lit(1).alias("n"))
     indexed = {r.id: r["index"] for r in row_index(rows, "id").collect()}
