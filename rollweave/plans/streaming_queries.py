@@ -20,6 +20,8 @@ PAYLOAD = ("query", "response", "mask", "logprobs", "finish_reason")
 DROPS = 3
 #: Nothing is late.
 NEVER = "1000 days"
+#: Parts of the prompts that share a state.
+PARTS = 512
 
 
 def _arrivals(t):
@@ -54,7 +56,7 @@ def _feed(t, name: str, handle_of, transform, schema: str = SCHEMA, mode: str =
 
 
 def _complete(s):
-    return group_outcomes(s, 4, NEVER, payload=PAYLOAD)
+    return group_outcomes(s, 4, NEVER, payload=PAYLOAD, parts=PARTS)
 
 
 ARRIVED = """e AS (SELECT event_id // 4 AS prompt_id, (event_id % 4)::INTEGER AS sample, CASE WHEN (event_id // 4) % 7 = 0 THEN 5.0 ELSE value END AS reward,
@@ -65,7 +67,7 @@ ARRIVED = """e AS (SELECT event_id // 4 AS prompt_id, (event_id % 4)::INTEGER AS
 
 @check("stream_groups", "K1 K5", f"WITH {ARRIVED} SELECT prompt_id, sample, reward, 'complete' AS outcome FROM e JOIN full_groups USING (prompt_id)")
 def stream_groups(t):
-    out = _feed(t, "groups", collect_outcomes, lambda s: group_outcomes(s, 4, NEVER))
+    out = _feed(t, "groups", collect_outcomes, lambda s: group_outcomes(s, 4, NEVER, parts=PARTS))
     return groups(t.spark, out).drop("payload", "group_no")
 
 
@@ -165,7 +167,7 @@ def recent_throughput(t):
     SELECT prompt_id, row_number() OVER (ORDER BY md5(concat(43, ':', prompt_id)), prompt_id) - 1 AS position, '1_' || prompt_id AS prompt_key FROM p WHERE prompt_id NOT IN (SELECT prompt_id FROM full_groups WHERE mean / 50 >= 0.4)""",
 )
 def stream_exclusions(t):
-    out = _feed(t, "exclusions", lambda table: jobs.stream_exclusions(table, 50.0, 0.4), lambda s: group_outcomes(s, 4, NEVER))
+    out = _feed(t, "exclusions", lambda table: jobs.stream_exclusions(table, 50.0, 0.4), lambda s: group_outcomes(s, 4, NEVER, parts=PARTS))
     solved = jobs.excluded_prompts(t.spark, out)
     prompts = t.events.select(F.floor(F.col("event_id") / 4).cast("long").alias("key")).distinct()
     order = mixing.epoch_order(prompts, "key", 42, 1, solved.withColumnRenamed("prompt_id", "key"))
@@ -229,7 +231,7 @@ def late_groups(t):
     again = own.where(md5_mod(md5_key("again", F.col("prompt_id") * 4 + F.col("sample")), 10) == 0).withColumn("drop_no", F.lit(DROPS - 1))
     newest = t.events.agg(F.max(F.col("ts").cast("timestamp")).cast("string")).first()[0]
     end = end_of_input(t.spark, SCHEMA, newest, "1 hour", "2 hours")
-    out = _feed(t, "late", collect_outcomes, lambda s: group_outcomes(s, 4, "1 hour", wait="2 hours"), rows=own.unionByName(again), last=end)
+    out = _feed(t, "late", collect_outcomes, lambda s: group_outcomes(s, 4, "1 hour", wait="2 hours", parts=PARTS), rows=own.unionByName(again), last=end)
     found = groups(t.spark, out).unionByName(late_rows(t.spark, out).withColumn("group_no", F.lit(0).cast("long")))
     distinct = F.countDistinct("prompt_id", "group_no")
     return found.groupBy("outcome").agg(distinct.alias("groups"), F.count("*").alias("rows"))

@@ -1,6 +1,6 @@
 """K1, K5, K6: prompt groups put together from a stream of samples.
 
-One stateful operator holds the samples of unfinished prompts and nothing else. A finished prompt leaves at
+One stateful operator holds the samples of unfinished prompts and nothing else, by prompt or by part of the prompts. A finished prompt leaves at
 once; only a mark stays until the watermark has passed its last sample, so that repeats of a sample are known
 as such. A row whose time the watermark has passed is not dropped but sent on as ``late``: the operator
 compares times itself, on a column that Spark does not know as event time.
@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -124,10 +125,115 @@ def _outcome(prompt_id: int, found: dict, outcome: str) -> Iterator[Row]:
         yield OUTCOME_ROW(prompt_id, sample, *found[sample], outcome)
 
 
-def group_outcomes(rollouts: DataFrame, n: int, delay: str, wait: str | None = None, payload: tuple[str, ...] = ()) -> DataFrame:
+class PartCollector(StatefulProcessor):
+    """What ``GroupCollector`` does, for all prompts of a part at once.
+
+    A call of the state is a message to the JVM and an answer for each key is an Arrow batch, so a prompt as a key
+    costs milliseconds. Here both come once for a part and micro-batch: the samples of its open prompts are
+    one table, the marks of its finished ones another, and one timer stands for the first that is due.
+    """
+
+    def __init__(self, n: int, wait_ms: int | None):
+        self.n, self.wait_ms = n, wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "rows binary")
+        self.marks = handle.getValueState("marks", "rows binary")
+        self.due = handle.getValueState("due", "due long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(rows), ignore_index=True)
+        # Rows without prompt_id only move the watermark.
+        if key[0] < 0:
+            return
+        late = rows["ts_ms"] < timerValues.getCurrentWatermarkInMs()
+        if late.any():
+            yield _outcomes(rows[late], "late")
+        rows = rows[~late]
+        if rows.empty:
+            return
+        if rows["sample"].isna().any():
+            raise ValueError("a row has a prompt but no sample")
+        # Whole numbers and no gaps, as in the state.
+        rows = rows.assign(latest=rows["ts_ms"].fillna(0).astype("int64").clip(lower=0))[list(OPEN.names)]
+        marks, held = _load(self.marks, MARKS), _load(self.open, OPEN)
+        again = rows["prompt_id"].isin(marks["prompt_id"])
+        if again.any():
+            marks = pd.concat([marks, rows.loc[again, ["prompt_id", "latest"]]]).groupby("prompt_id", as_index=False)["latest"].max()
+        found = pd.concat([held, rows[~again]], ignore_index=True) if len(held) else rows[~again]
+        found = found.assign(latest=found.groupby("prompt_id")["latest"].transform("max"))
+        # A sample that is held, or came first, stays.
+        found = found.drop_duplicates(["prompt_id", "sample"])
+        full = found.groupby("prompt_id")["sample"].transform("size") >= self.n
+        if full.any():
+            yield _outcomes(found[full].sort_values(["prompt_id", "sample"]), "complete")
+            done = found.loc[full, ["prompt_id", "latest"]].drop_duplicates("prompt_id")
+            marks = pd.concat([marks, done], ignore_index=True) if len(marks) else done
+        self._keep(found[~full], marks, self.due.get())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        marks, held = _load(self.marks, MARKS), _load(self.open, OPEN)
+        if self.wait_ms is not None:
+            over = held["latest"] + self.wait_ms < watermark
+            if over.any():
+                yield _outcomes(held[over].sort_values(["prompt_id", "sample"]), "incomplete")
+            held = held[~over]
+        # The timer that has come leaves by itself.
+        self.due.clear()
+        self._keep(held, marks[marks["latest"] + 1 >= watermark], None)
+
+    def _keep(self, held: pd.DataFrame, marks: pd.DataFrame, old: tuple | None) -> None:
+        _store(self.open, held, OPEN)
+        _store(self.marks, marks, MARKS)
+        dues = [int(marks["latest"].min()) + 1] if len(marks) else []
+        if self.wait_ms is not None and len(held):
+            dues.append(int(held["latest"].min()) + self.wait_ms)
+        due = (min(dues),) if dues else None
+        if due == (old and tuple(old)):
+            return
+        if old is not None:
+            self.handle.deleteTimer(old[0])
+        if due is None:
+            self.due.clear()
+        else:
+            self.handle.registerTimer(due[0])
+            self.due.update(due)
+
+    def close(self) -> None:
+        pass
+
+
+MARKS = pa.schema({"prompt_id": pa.int64(), "latest": pa.int64()})
+OPEN = pa.schema({"prompt_id": pa.int64(), "sample": pa.int32(), "reward": pa.float64(), "payload": pa.string(), "latest": pa.int64()})
+
+
+def _load(state, schema: pa.Schema) -> pd.DataFrame:
+    value = state.get()
+    return (pa.ipc.open_stream(bytes(value[0])).read_all() if value else schema.empty_table()).to_pandas()
+
+
+def _store(state, rows: pd.DataFrame, schema: pa.Schema) -> None:
+    if rows.empty:
+        state.clear()
+        return
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema) as out:
+        out.write_table(pa.Table.from_pandas(rows, schema, preserve_index=False))
+    state.update((sink.getvalue().to_pybytes(),))
+
+
+def _outcomes(rows: pd.DataFrame, outcome: str) -> pd.DataFrame:
+    return rows[["prompt_id", "sample", "reward", "payload"]].assign(outcome=outcome)
+
+
+def group_outcomes(rollouts: DataFrame, n: int, delay: str, wait: str | None = None, payload: tuple[str, ...] = (), parts: int | None = None) -> DataFrame:
     """Rows of prompts with their outcome: ``complete``, ``incomplete`` (only with ``wait``) or ``late``.
 
-    Input columns: prompt_id, sample, reward, ts, and those of ``payload``, which travel as JSON.
+    Input columns: prompt_id, sample, reward, ts, and those of ``payload``, which travel as JSON. With ``parts``
+    the state is one for each part of the prompts instead of each prompt, with the same rows; a part should
+    hold some thousands of open prompts, and the number stays with the checkpoint.
     """
     wait_ms = None if wait is None else int(pd.Timedelta(wait).total_seconds() * 1000)
     timed = rollouts.withWatermark("ts", delay).select(
@@ -137,6 +243,11 @@ def group_outcomes(rollouts: DataFrame, n: int, delay: str, wait: str | None = N
         (F.to_json(F.struct(*payload)) if payload else F.lit(None).cast("string")).alias("payload"),
         F.unix_millis("ts").alias("ts_ms"),
     )
+    if parts is not None:
+        part = F.when(F.col("prompt_id").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("prompt_id"), F.lit(parts)).cast("int"))
+        # A null would make the ids of its Arrow batch floats.
+        timed = timed.withColumns({"part": part, "prompt_id": F.coalesce("prompt_id", F.lit(0).cast("long"))})
+        return timed.groupBy("part").transformWithStateInPandas(PartCollector(n, wait_ms), OUTCOME, "append", "eventTime")
     return timed.groupBy("prompt_id").transformWithState(GroupCollector(n, wait_ms), OUTCOME, "append", "eventTime")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from rollweave.plans import registry, streaming_queries
 from rollweave.session import scratch_path
 from rollweave.streaming import jobs, throughput
-from rollweave.streaming.groups import ROCKSDB, GroupCollector, collect_outcomes, end_of_input, group_outcomes, groups, late_rows, streaming_session
+from rollweave.streaming.groups import ROCKSDB, GroupCollector, PartCollector, collect_outcomes, end_of_input, group_outcomes, groups, late_rows, streaming_session
 from rollweave.streaming.training import TrainingSteps, manifests, next_step, published
 
 SCHEMA = "prompt_id long, sample int, reward double, ts timestamp"
@@ -111,6 +113,51 @@ def test_a_prompt_takes_few_calls_of_the_state():
     assert seen((1, 5.0, 20)) == ([], ["clock.get"])
 
 
+def test_parts_give_the_rows_of_single_prompts(own):
+    far = 1 << 60
+    drops = [
+        [(far + 1, 0, 0.0, at(0)), (far + 1, 0, 0.0, at(0)), (2, 0, float("nan"), at(1)), (None, None, None, at(2)), (5, 1, 1.0, None), (6, 0, 0.0, at(0)), (6, 0, 0.0, at(100))],
+        [(9, 0, 0.0, at(60)), (9, 1, 1.0, at(60)), (9, 2, 2.0, at(59)), (far, 0, 2.0, at(58))],
+        [(far + 1, 1, 1.0, at(3)), (2, 1, 1.0, at(4)), (9, 1, 7.0, at(95)), (8, 0, 2.0, at(91)), (far, 1, 3.0, at(91)), (5, 0, None, at(91)), (6, 1, 1.0, at(92))],
+        [(9, 0, 3.0, at(106)), (8, 0, 9.0, at(200)), (None, 1, 1.0, at(200)), (7, 0, 1.0, at(2))],
+    ]
+    seen = []
+    for parts in (None, 3):
+        root = scratch_path(own, "parts")
+        for drop in [*drops, end_of_input(own, SCHEMA, str(at(200)), "10 seconds", "20 seconds")]:
+            (own.createDataFrame(drop, SCHEMA) if isinstance(drop, list) else drop).write.mode("append").parquet(f"{root}/in")
+            stream = group_outcomes(jobs.read_stream(own, f"{root}/in", SCHEMA), 2, "10 seconds", "20 seconds", ("sample",), parts)
+            jobs.run(stream, f"{root}/checkpoint", collect_outcomes(f"{root}/out"))
+        rows = groups(own, f"{root}/out").unionByName(late_rows(own, f"{root}/out").withColumn("group_no", F.lit(0).cast("long")))
+        seen.append(sorted(str(tuple(r)) for r in rows.collect()))
+        if parts:
+            for name in ("open", "marks"):
+                # The end of the input has freed all of it.
+                assert own.read.format("statestore").option("path", f"{root}/checkpoint").option("stateVarName", name).load().isEmpty()
+    assert seen[0] == seen[1]
+    assert all(any(kind in r for r in seen[0]) for kind in ("complete", "incomplete", "late"))
+
+
+def test_a_part_takes_the_same_calls_however_many_prompts():
+    log = []
+    handle = Calls(log, "timer")
+    handle.getValueState = lambda name, *_: Calls(log, name)
+    collector = PartCollector(2, None)
+    collector.init(handle)
+    before = type("Times", (), {"getCurrentWatermarkInMs": lambda self: 10})()
+
+    def seen(sample, prompts):
+        log.clear()
+        frames = [pd.DataFrame({"prompt_id": p, "sample": sample, "reward": 1.0, "payload": None, "ts_ms": 20}) for p in np.array_split(np.arange(prompts), 3)]
+        return sum(len(f) for f in collector.handleInputRows((0,), iter(frames), before)), list(log)
+
+    assert seen(0, 500) == (0, ["marks.get", "open.get", "due.get", "open.update", "marks.clear"])
+    assert seen(1, 400) == (800, ["marks.get", "open.get", "due.get", "open.update", "marks.update", "timer.registerTimer", "due.update"])
+    assert seen(0, 400)[0] == 0
+    with pytest.raises(ValueError, match="no sample"):
+        seen(None, 3)
+
+
 def test_drops_use_all_cores(spark):
     handle = lambda _: lambda batch, batch_id: seen.add(int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows, seen = spark.createDataFrame([(1, 0), (2, 1)], "id long, drop_no int"), set()
