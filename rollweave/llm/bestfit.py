@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollweave.llm import kernel
 from rollweave.llm.fasttokens import encoder
 from rollweave.session import materialise_stage
 
@@ -186,5 +187,5 @@ def pack_documents(
 
         vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = materialise_stage(texts.mapInArrow(_tokenised(vocabulary, end, capacity), PIECES), "pieces")
+    pieces = materialise_stage(texts.mapInArrow(kernel.lean(_tokenised(vocabulary, end, capacity), forget=False), PIECES), "pieces")
     return pack(pieces, capacity, part_rows)

@@ -174,6 +174,7 @@ class Encoder:
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
+kernel.FORGET.append(_encoders.clear)
 
 
 def encoder(path: str, spaced: bool) -> Encoder:

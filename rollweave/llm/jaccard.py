@@ -197,9 +197,9 @@ def _frequent_in_bucket(table: pa.Table) -> pa.Table:
 def frequent_shingles(texts: DataFrame, width: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles (40 bits each, sorted) and the binary logarithm of their counts."""
     often = materialise_stage(
-        texts.mapInArrow(_shingle_segments(width, buckets), PACKED)
+        texts.mapInArrow(kernel.lean(_shingle_segments(width, buckets)), PACKED)
         .groupBy("bucket")
-        .applyInArrow(_frequent_in_bucket, "token long, level int"),
+        .applyInArrow(kernel.lean_group(_frequent_in_bucket), "token long, level int"),
         "frequent",
     )
     least, total = 64, 0
@@ -513,17 +513,17 @@ def _links(texts: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, n
     close = (
         pairs.join(own.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("bitmap").alias("bitmap_a")), "a")
         .join(own.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("bitmap").alias("bitmap_b")), "b")
-        .mapInArrow(_close_enough(num, den), "a long, b long")
+        .mapInArrow(kernel.lean(_close_enough(num, den)), "a long, b long")
     )
     close = materialise_stage(close, "pairs")
     count = close.count()
     names = close.select(F.col("a").alias("cls")).unionAll(close.select(F.col("b").alias("cls"))).distinct()
     docs = names.join(own, "cls").select(F.col("doc").alias("doc_id"))
     bits = np.zeros(FILTER_BITS // 32, dtype=np.uint32)
-    words = docs.mapInArrow(_filter_words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = docs.mapInArrow(kernel.lean(_filter_words), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
     shared = spark.sparkContext.broadcast(bits.view(np.uint8))
-    sets = texts.mapInArrow(_whole_sets(width, shared), SETS)
+    sets = texts.mapInArrow(kernel.lean(_whole_sets(width, shared)), SETS)
     # A hub with many members is dealt over several trees.
     load = close.groupBy("a").agg(F.expr(f"count(*) div {TREE} + 1").alias("parts"))
     dealt = close.join(load, "a").select("a", "b", F.expr("pmod(xxhash64(b), parts)").alias("part"))
@@ -535,7 +535,7 @@ def _links(texts: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, n
         roles.join(sets, "cls")
         .select("a", "part", "cls", "data", F.pmod(F.xxhash64("a", "part"), F.lit(blocks)).alias("block"))
         .groupBy("block")
-        .applyInArrow(_linked_in_block(num, den), "a long, b long")
+        .applyInArrow(kernel.lean_group(_linked_in_block(num, den)), "a long, b long")
     )
     links = materialise_stage(found, "links")
     shared.destroy()
@@ -573,7 +573,7 @@ def _between_components(members: DataFrame, classes: DataFrame, label: DataFrame
     return (
         tiles.withColumn("block", F.pmod(F.xxhash64("grp", "low", "high"), F.lit(blocks)))
         .groupBy("block")
-        .applyInArrow(_open_pairs(num, den, nearest), "a long, b long")
+        .applyInArrow(kernel.lean_group(_open_pairs(num, den, nearest)), "a long, b long")
         .distinct()
     )
 
@@ -590,7 +590,7 @@ def linked_rows(
     spark = docs.sparkSession
     # Inside, a document is known by its row name alone.
     named = docs.select(row_name(text).alias("doc_id"), F.col("doc_id").cast("long").alias("own"), F.col(text).alias("text"))
-    digests = materialise_stage(named.mapInArrow(_digests(width), DIGEST), "digests")
+    digests = materialise_stage(named.mapInArrow(kernel.lean(_digests(width)), DIGEST), "digests")
     texts = named.select("doc_id", "text")
     classes = materialise_stage(
         digests.where("cls is not null")
@@ -602,9 +602,9 @@ def linked_rows(
     buckets = buckets or max(16, math.ceil(total / BUCKET))
     often = spark.sparkContext.broadcast(frequent_shingles(texts, width, buckets))
     members = materialise_stage(
-        texts.mapInArrow(_posting_segments(width, buckets, often, num, den), PACKED)
+        texts.mapInArrow(kernel.lean(_posting_segments(width, buckets, often, num, den)), PACKED)
         .groupBy("bucket")
-        .applyInArrow(_groups_in_bucket(num, den), MEMBERS),
+        .applyInArrow(kernel.lean_group(_groups_in_bucket(num, den)), MEMBERS),
         "members",
     )
     often.destroy()

@@ -209,14 +209,14 @@ def _fetch(docs: DataFrame, lines: DataFrame, reader, schema: str) -> DataFrame:
     wanted = materialise_stage(lines.groupBy("doc", "tid").agg(F.collect_set("line").alias("wanted")), "lines")
     if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    return docs.join(wanted, ["doc", "tid"]).mapInArrow(reader, schema)
+    return docs.join(wanted, ["doc", "tid"]).mapInArrow(kernel.lean(reader), schema)
 
 
 def repeated_line_numbers(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> DataFrame:
     """(doc, tid, line, near, kept_doc, kept_tid, kept_line): each line to drop and an earlier line that stands for it."""
     texts = docs.select(*_document(docs), "text")
     lines = materialise_stage(
-        texts.mapInArrow(_line_table(near_words), LINES).where(F.col("n") >= min_words), "lines"
+        texts.mapInArrow(kernel.lean(_line_table(near_words)), LINES).where(F.col("n") >= min_words), "lines"
     )
     at = F.struct("doc", "tid", "line")
     first = materialise_stage(
@@ -250,7 +250,7 @@ def repeated_line_numbers(docs: DataFrame, min_words: int = 5, near_words: int =
         .join(words.select(at.alias("kept"), F.col("words").alias("kept_words")), "kept")
         .select("at", "kept", "words", "kept_words")
     )
-    near = checked.mapInArrow(_verified, pairs.select("at", "kept").schema).groupBy("at").agg(F.min("kept").alias("kept"))
+    near = checked.mapInArrow(kernel.lean(_verified), pairs.select("at", "kept").schema).groupBy("at").agg(F.min("kept").alias("kept"))
     stand = (
         first.join(near, "at", "left")
         .where((F.col("kept").isNotNull()) | (F.col("at") != F.col("last")))
@@ -312,6 +312,6 @@ def line_dedup(docs: DataFrame, drop_empty: bool = False, min_words: int = 5, ne
     out = (
         docs.join(drops, (doc == F.col("__doc")) & (tid == F.col("__tid")), "left")
         .select(*[F.col(f"`{c}`") for c in docs.columns], "__drop")
-        .mapInArrow(_without, schema)
+        .mapInArrow(kernel.lean(_without), schema)
     )
     return out.where((F.col("_lines") == 0) | (F.col("_left") > 0)) if drop_empty else out

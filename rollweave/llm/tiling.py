@@ -217,7 +217,7 @@ def contaminated_documents(
 ) -> DataFrame:
     """(doc_id, text_hash, item_id, item_words, covered, n_tiles, longest, first) where tiles cover enough of an item."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    found = [texts.mapInArrow(_tiles(block, seed, threshold, min_words), TILES) for block in _blocks(benchmark, seed)]
+    found = [texts.mapInArrow(kernel.lean(_tiles(block, seed, threshold, min_words)), TILES) for block in _blocks(benchmark, seed)]
     return reduce(DataFrame.unionAll, found)
 
 
@@ -226,7 +226,7 @@ def decontaminate(
 ) -> DataFrame:
     """The rows of ``docs`` whose text no item contaminates, each judged by itself; nothing is shuffled."""
     for block in _blocks(benchmark, seed):
-        docs = docs.mapInArrow(_clean(block, seed, threshold, min_words), docs.schema)
+        docs = docs.mapInArrow(kernel.lean(_clean(block, seed, threshold, min_words)), docs.schema)
     return docs
 
 
