@@ -2,9 +2,9 @@
 
 Texts become chunks, one for each Arrow batch of some megabytes: the chunk's distinct words (matches of the
 pattern) once, and every text as codes into them. A higher-order fold encodes distinct words: it starts from
-the ids of a word's single bytes and joins, step by step, the leftmost pair of least rank; ranks come from a
-literal map in the plan, laid out so that a pair is found in one step (Spark looks up a key in a map by reading
-it from the start). Words
+a word's bytes (``Starts``) and joins, step by step, the leftmost pair of least rank; ranks come
+from a literal map in the plan, laid out so that a pair is found in one step (Spark looks up a key in a map by
+reading it from the start). Words
 that many chunks share, at most ``HEAD``, are encoded once and sent to all tasks; all others are encoded in
 the chunk where they stand. So the only shuffle counts the chunks of each word; texts and codes stay
 in their task, and a chunk's work does not depend on any other.
@@ -43,9 +43,12 @@ HEAD, HEAD_BYTES = 1 << 18, 32
 SPREAD = 40_503
 #: In the fold a piece is its id plus ``SHIFT`` times the id of the pair it opens; ``NONE``: no such pair.
 SHIFT, NONE = 1 << 20, 1 << 40
+#: Stands before the first piece, so that each piece has one on its left; opens no pair and is in none.
+START = NONE * SHIFT + SHIFT - 1
 
 CHUNKS = "docs array<long>, counts array<int>, codes binary, words array<string>"
-RESOLVED = "texts array<struct<doc_id:long,codes:array<int>>>, known array<array<int>>, rest array<string>"
+RESOLVED = "texts array<struct<doc_id:long,codes:array<int>>>, known array<array<int>>, rest array<array<long>>"
+STARTED = "word string, start array<long>"
 ENCODED = "doc_id long, ids array<int>"
 
 #: Letters, digits, signs (but the apostrophe) and white space of ASCII; the pattern never joins two kinds.
@@ -79,8 +82,8 @@ def merges(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
 class PairTable:
     """Pairs and ranks as two arrays: the cell of a pair is its left piece's shift plus its spread right piece.
 
-    A cell holds left piece and rank, so a cell of another pair is told by its left piece. Shifts are drawn
-    until no two pairs share a cell, pieces with many pairs first.
+    A cell holds what the fold has for the left piece in front of the right one, so a cell of another pair is
+    told by its left piece. Shifts are drawn until no two pairs share a cell, pieces with many pairs first.
     """
 
     def __init__(self, pairs: dict[tuple[int, int], int], seed: int = 1):
@@ -88,74 +91,113 @@ class PairTable:
         for left, right in pairs:
             rights.setdefault(left, []).append(right)
         self.size = 1 << max(8, (4 * len(pairs)).bit_length())
-        cells, draw = np.full(self.size, -1, dtype=np.int64), np.random.default_rng(seed)
+        cells, draw = np.full(self.size, START, dtype=np.int64), np.random.default_rng(seed)
         shifts = np.zeros(max(rights, default=0) + 1, dtype=np.int64)
         for left in sorted(rights, key=lambda x: (-len(rights[x]), x)):
             own = np.array(rights[left], dtype=np.int64) * SPREAD
             while True:
                 shift = int(draw.integers(self.size))
                 at = (own + shift) & (self.size - 1)
-                if (cells[at] < 0).all():
+                if (cells[at] == START).all():
                     break
             shifts[left] = shift
-            cells[at] = [left * SHIFT + pairs[left, right] for right in rights[left]]
+            cells[at] = [pairs[left, right] * SHIFT + left for right in rights[left]]
         self.cells, self.shifts = cells, shifts
 
+    def paired(self, left: np.ndarray, right: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """What the fold has for each ``left`` piece in front of ``right``; no pair at ``last``."""
+        known = left < len(self.shifts)
+        cell = self.cells[(self.shifts[np.where(known, left, 0)] + right * SPREAD) & (self.size - 1)]
+        return np.where(known & ~last & ((cell & (SHIFT - 1)) == left), cell, NONE * SHIFT + left)
+
 
 def _bound(value: Column, kind: str, body: Callable[[Column], Column]) -> Column:
     """``body``, of type ``kind``, of a value that is computed once; a fold of one step copies nothing."""
     return F.aggregate(F.array(value), F.lit(None).cast(kind), lambda _, x: body(x))
 
 
-def _folded(word: Column, maps: Column, size: int) -> Column:
+class Starts:
+    """What the fold of a word starts from: ``START``, then its bytes, two of them as one piece where that is certain.
+
+    ``least[x, y]`` is the least rank that joins a piece ending in byte x and one beginning with y. Two bytes whose
+    own rank is below that on both sides become one piece in any order of the merges around them: nothing
+    joins either of them to its other neighbour before. Such pairs never share a byte.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], made: dict[tuple[int, int], int], pairs: PairTable):
+        self.pairs = pairs
+        self.singles = np.array([ranks[bytes([b])] for b in range(256)])
+        first, last = np.zeros(max(ranks.values()) + 1, dtype=np.int64), np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+        for piece, rank in ranks.items():
+            first[rank], last[rank] = piece[0], piece[-1]
+        self.least = np.full((256, 256), NONE)
+        left, right = np.array(list(made), dtype=np.int64).reshape(-1, 2).T
+        np.minimum.at(self.least, (last[left], first[right]), np.array(list(made.values()), dtype=np.int64))
+        self.own = np.array([[made.get((x, y), NONE) for y in self.singles.tolist()] for x in self.singles.tolist()])
+
+    def __call__(self, words: pa.Array) -> pa.ListArray:
+        data, offsets = kernel.raw_text(words)
+        # Of each byte, the least rank and the own rank of it and the byte behind; none where a word ends.
+        bound, own = np.full(len(data) + 1, NONE), np.full(len(data) + 1, NONE)
+        inner = np.ones(len(data), dtype=bool)
+        inner[offsets[1:][np.diff(offsets) > 0] - 1] = False
+        at = np.flatnonzero(inner)
+        bound[at], own[at] = self.least[data[at], data[at + 1]], self.own[data[at], data[at + 1]]
+        # ``bound[-1]`` is the place behind the last byte: none.
+        sure = (own[:-1] < bound[np.arange(len(data)) - 1]) & (own[:-1] < bound[1:])
+        gone = np.append(False, sure)[: len(data)]
+        pieces = np.where(sure, own[:-1], self.singles[data])[~gone]
+        ends = offsets - np.append(0, np.cumsum(gone))[offsets]
+        last = np.zeros(len(pieces), dtype=bool)
+        last[ends[1:][np.diff(ends) > 0] - 1] = True
+        states = np.insert(self.pairs.paired(pieces, np.append(pieces[1:], 0)[: len(pieces)], last), ends[:-1], START)
+        return pa.ListArray.from_arrays(pa.array((ends + np.arange(len(ends))).astype(np.int32)), pa.array(states))
+
+
+def _folded(start: Column, maps: Column, size: int) -> Column:
     """The ids of a word.
 
-    The least number of the state is the pair of least rank, and the first place of it is the leftmost one;
-    the last piece opens no pair.
+    A step takes the least number of the state with places for left pieces: the leftmost pair of least rank
+    (``array_position`` throws at each find); the last piece opens no pair.
     """
 
     def paired(left: Column, right: Column) -> Column:
         cell = F.get(maps["cells"], (F.get(maps["shifts"], left) + right * SPREAD).bitwiseAND(size - 1))
-        made = F.when(F.shiftright(cell, SHIFT.bit_length() - 1) == left, cell.bitwiseAND(SHIFT - 1)).otherwise(NONE)
-        return made * SHIFT + left
+        return F.when(cell.bitwiseAND(SHIFT - 1) == left, cell).otherwise(left + NONE * SHIFT)
 
     def piece(state: Column, at: Column) -> Column:
         return F.get(state, at).bitwiseAND(SHIFT - 1)
 
-    def merge(state: Column, at: Column) -> Column:
-        """Join the pieces ``at - 1`` and ``at``, counted from zero, to the pair's own id."""
-        made = F.shiftright(F.get(state, at - 1), SHIFT.bit_length() - 1)
+    def merge(state: Column, least: Column) -> Column:
+        """Join the pieces ``at`` and ``at + 1``, counted from zero, to the pair's own id."""
+        made, at = F.shiftright(least, SHIFT.bit_length() - 1), least.bitwiseAND(SHIFT - 1).cast("int")
 
         def changed(x: Column, k: Column) -> Column:
-            left = F.when(k == at - 2, paired(x.bitwiseAND(SHIFT - 1), made))
-            return left.when(k == at - 1, paired(made, piece(state, at + 1))).when(k == at, -1).otherwise(x)
+            left = F.when(k > at + 1, x).when(k < at - 1, x).when(k == at, paired(made, piece(state, at + 2)))
+            return left.when(k > at, -1).otherwise(paired(x.bitwiseAND(SHIFT - 1), made))
 
         return F.array_remove(F.transform(state, changed), F.lit(-1).cast("long"))
 
     def step(state: Column, _: Column) -> Column:
-        least = F.array_position(state, F.array_min(state)).cast("int")
-        return F.aggregate(
-            F.array(least), state, lambda s, at: F.when(F.get(s, at - 1) >= NONE * SHIFT, s).otherwise(merge(s, at))
-        )
+        placed = F.transform(state, lambda x, at: x.bitwiseAND(-SHIFT).bitwiseOR(at))
+        merged = F.aggregate(F.array(F.array_min(placed)), state, merge)
+        return F.when(F.array_min(state) >= NONE * SHIFT, state).otherwise(merged)
 
-    raw = F.encode(word, "UTF-8")
-    first = F.transform(
-        F.sequence(F.lit(1), F.octet_length(word)), lambda k: F.get(maps["singles"], F.conv(F.hex(F.substr(raw, k, F.lit(1))), 16, 10).cast("int"))
-    )
-    start = _bound(first, "array<bigint>", lambda ids: F.transform(ids, lambda x, k: paired(x, F.get(ids, k + 1))))
-    done = _bound(start, "array<bigint>", lambda s: F.aggregate(F.slice(s, 2, F.size(s)), s, step))
-    return F.transform(done, lambda x: x.bitwiseAND(SHIFT - 1).cast("int"))
+    done = _bound(start, "array<bigint>", lambda s: F.aggregate(F.slice(s, 3, F.size(s)), s, step))
+    return _bound(done, "array<int>", lambda s: F.transform(F.slice(s, 2, F.size(s)), lambda x: x.bitwiseAND(SHIFT - 1).cast("int")))
 
 
 class RankMap:
     """The ranks as foldable columns, so that they are literals of the plan."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        pairs = PairTable(merges(ranks))
-        listed = {"cells": pairs.cells.tolist(), "shifts": pairs.shifts.tolist(), "singles": [ranks[bytes([b])] for b in range(256)]}
+        made = merges(ranks)
+        pairs = PairTable(made)
+        listed = {"cells": pairs.cells.tolist(), "shifts": pairs.shifts.tolist()}
         kinds = ",".join(f"{name}:array<bigint>" for name in listed)
         self._maps = F.from_json(F.lit(json.dumps(listed, separators=(",", ":"))), f"struct<{kinds}>")
         self._size = pairs.size
+        self.starts = Starts(ranks, made, pairs)
         pieces = [""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             # One character for each byte.
@@ -163,7 +205,7 @@ class RankMap:
         self._pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
 
     def ids(self, words: Column) -> Column:
-        """The ids of each word of an array; the maps are bound once, so that the plan holds one copy of each."""
+        """The ids of each word (its ``Starts``) of an array; the maps are bound once, so that the plan holds one copy of each."""
         return _bound(self._maps, "array<array<int>>", lambda m: F.transform(words, lambda w: _folded(w, m, self._size)))
 
     def decoded(self, ids: Column) -> Column:
@@ -271,8 +313,8 @@ def _row(schema: str, *columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names=[x.split()[0] for x in schema.split(", ")])
 
 
-def _resolved(head, ranks: dict[bytes, int]):
-    """Each chunk with the ids of its shared and its long words; codes count these first, then ``rest``."""
+def _resolved(head, ranks: dict[bytes, int], starts: Starts):
+    """Each chunk with the ids of its shared and its long words; codes count these first, then ``rest``, which come as their ``Starts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared, ids = head.value["word"].combine_chunks(), head.value["shared"].combine_chunks()
@@ -292,7 +334,7 @@ def _resolved(head, ranks: dict[bytes, int]):
                 texts = pa.StructArray.from_arrays(
                     [batch.column("docs")[k].values, pa.ListArray.from_arrays(pa.array(bounds), pa.array(codes))], names=["doc_id", "codes"]
                 )
-                yield _row(RESOLVED, _one(texts), _one(pa.concat_arrays(known)), _one(words.filter(pa.array(rest))))
+                yield _row(RESOLVED, _one(texts), _one(pa.concat_arrays(known)), _one(starts(words.filter(pa.array(rest)))))
 
     return run
 
@@ -314,10 +356,19 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, chunk_bytes: int = CH
             "texts", lambda t: F.struct(t["doc_id"].alias("doc_id"), F.flatten(F.transform(t["codes"], lambda c: F.get(ids, c))).alias("ids"))
         )
 
-    resolved = chunks.mapInArrow(_resolved(head, ranks), RESOLVED)
+    resolved = chunks.mapInArrow(_resolved(head, ranks, rank_map.starts), RESOLVED)
     return resolved.select(F.explode(_bound(table, "array<struct<doc_id:bigint,ids:array<int>>>", assembled)).alias("x")).select("x.doc_id", "x.ids")
 
 
+def _started(starts: Starts):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("word")
+            yield _row(STARTED, words, starts(words))
+
+    return run
+
+
 def _shared_words(chunks: DataFrame, rank_map: RankMap, most: int) -> DataFrame:
     """At most ``most`` words of at most ``HEAD_BYTES`` bytes, those in the most chunks, with their ids as ``shared``."""
     spark = chunks.sparkSession
@@ -330,8 +381,9 @@ def _shared_words(chunks: DataFrame, rank_map: RankMap, most: int) -> DataFrame:
         if held + words > most:
             break
         least, held = n, held + words
-    often = counted.where(F.col("n") >= least).repartition(spark.sparkContext.defaultParallelism)
-    return often.select("word", F.get(rank_map.ids(F.array("word")), F.lit(0)).alias("shared"))
+    often = counted.where(F.col("n") >= least).select("word").repartition(spark.sparkContext.defaultParallelism)
+    started = often.mapInArrow(_started(rank_map.starts), STARTED)
+    return started.select("word", F.get(rank_map.ids(F.array("start")), F.lit(0)).alias("shared"))
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:

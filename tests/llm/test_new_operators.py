@@ -238,6 +238,24 @@ def test_every_piece_is_its_own_encoding():
         bytebpe.merges({b"a": 0, b"b": 1, b"c": 2, b"abc": 3})
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"])
+def test_folds_start_from_certain_pieces_and_end_at_the_librarys(spark, name):
+    import public_tokenizers
+    import pyarrow as pa
+
+    draw = random.Random(3)
+    words = ["".join(draw.choice(" aaabbthenr01üß中") for _ in range(draw.randint(0, 30))) for _ in range(500)] + ["a" * 256, "", "é"]
+    ranks = bytebpe.read_ranks(public_tokenizers.path(name))
+    rank_map = bytebpe.RankMap(ranks)
+    starts = rank_map.starts(pa.array(words)).to_pylist()
+    # Fewer pieces than bytes, so fewer steps.
+    assert sum(len(s) - 1 for s in starts) < 0.9 * sum(len(w.encode()) for w in words)
+    assert rank_map.starts(pa.array([], pa.string())).to_pylist() == []
+    assert rank_map.starts(pa.array(words).slice(7, 9)).to_pylist() == starts[7:16]
+    table = spark.createDataFrame([(starts,)], "starts array<array<long>>")
+    assert table.select(rank_map.ids("starts")).first()[0] == [bytebpe.heap_ids(w.encode(), ranks) for w in words]
+
+
 def test_cuts_lie_between_matches():
     import public_tokenizers
     import pyarrow as pa
